@@ -13,10 +13,14 @@ def changed_keys(feed: DataFrame, key: str, alias: str | None = None) -> DataFra
     return feed.where(F.col(key).isNotNull()).select(F.col(key).alias(alias or key)).distinct()
 
 
-def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """One row per key: the first by ``order`` (the first insert wins, later ones find it)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+def first_per_key(df: DataFrame, key: str, order: list[str], value_cols: list[str]) -> DataFrame:
+    """One row per key: the values of the first row by ``order`` (the first insert wins,
+    later ones find it). Aggregate form (``min_by`` over a struct of the order columns),
+    so a key with very many rows is reduced map-side before the shuffle."""
+    packed = F.struct(*[F.col(c).alias(c) for c in value_cols])
+    ordkey = F.struct(*[F.col(c).alias(c) for c in order])
+    agg = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(packed, ordkey).alias("__v"))
+    return agg.select(key, *[F.col(f"__v.{c}").alias(c) for c in value_cols if c != key])
 
 
 def last_per_key(df: DataFrame, key: str, seq: str, value_cols: list[str]) -> DataFrame:
