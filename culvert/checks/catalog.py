@@ -8,7 +8,7 @@ driver's parquet (whole tables, no sampling). The matching DuckDB statement is i
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -127,7 +127,7 @@ def feed_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured Streaming replay of the whole feed (several micro-batches), then the
     final staging state. Result is compared rows-only (no oracle)."""
     c = Ctx(spark, sf_dir)
-    base = tempfile.mkdtemp(prefix="replay-", dir=_scratch(spark))
+    base = os.path.join(checkpoint_dir(spark), f"replay-{uuid.uuid4().hex}")
     feed_dir, state_dir, ckpt = (os.path.join(base, x) for x in ("feed", "state", "ckpt"))
     from ..sources.io import write_feed
     write_feed(c.feed, feed_dir, files=4)
@@ -137,12 +137,6 @@ def feed_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, state_dir)["stg"]
 
 
-def _scratch(spark: SparkSession) -> str:
-    d = os.path.join(checkpoint_dir(spark), "scratch")
-    os.makedirs(d, exist_ok=True) if "://" not in d else None
-    return d
-
-
 # ------------------------------------------------------------------ B: projections, predicates
 
 @_q

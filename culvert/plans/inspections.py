@@ -19,21 +19,55 @@ from ..sources.schemas import LAYOUT
 from .spine import facility_dim, history_rows, task_dim
 
 
-def to_layout(df: DataFrame) -> DataFrame:
+def to_layout(df: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Typed projection to the 45 columns: width truncation, casts, order."""
-    return df.select(*[fit(F.col(c), n).cast(t).alias(c) for c, t, n in LAYOUT])
+    return df.select(*[fit(F.col(c), n).cast(t).alias(c) for c, t, n in LAYOUT], *(carry or []))
+
+
+def _restrict(src: dict[str, DataFrame], h: DataFrame) -> dict[str, DataFrame]:
+    """Sources cut down to what a history slice can reach: tasks and facilities by semi
+    join with the slice's keys, attribute tables by semi join with those facilities.
+    AQE broadcasts a key set when it is small at run time, so the big sides are only
+    filtered, not shuffled."""
+    out = dict(src)
+    tkeys = h.select(F.col("wotask_oi").alias("workordertaskoi"))
+    fkeys = h.select(F.col("epdrfacility_oi").alias("epdrdrainagefacilityoi"))
+    out["workordertask"] = src["workordertask"].join(tkeys, "workordertaskoi", "left_semi")
+    fac = src["epdrdrainfacility"].join(fkeys, "epdrdrainagefacilityoi", "left_semi")
+    out["epdrdrainfacility"] = fac
+    ids = fac.select("facilityid")
+    out["epdrmanhole"] = src["epdrmanhole"].join(ids.withColumnRenamed("facilityid", "manholeid"), "manholeid", "left_semi")
+    out["epdrcatchbasin"] = src["epdrcatchbasin"].join(ids.withColumnRenamed("facilityid", "catchbasinid"),
+                                                       "catchbasinid", "left_semi")
+    out["epdrserviceconnect"] = src["epdrserviceconnect"].join(ids.withColumnRenamed("facilityid", "wass_appid"),
+                                                               "wass_appid", "left_semi")
+    out["epdrpipe"] = src["epdrpipe"].join(fac.select(F.col("epdrpipe_oi").alias("epdrpipeoi")), "epdrpipeoi",
+                                           "left_semi")
+    out["epdrunknfac"] = src["epdrunknfac"].join(fac.select(F.col("epdrunknownf_oi").alias("epdrunknownfacilityoi")),
+                                                 "epdrunknownfacilityoi", "left_semi")
+    return out
 
 
 def unified_inspections(src: dict[str, DataFrame], lookups: dict[str, Lookup],
-                        history: DataFrame | None = None) -> DataFrame:
-    """The unified view. ``history`` restricts the work-history rows (e.g. to the keys
-    a change feed inserted); the restriction is applied before any join."""
-    h = history_rows({"epdrfacworkhistory": history} if history is not None else src)
+                        history: DataFrame | None = None, carry: list[str] | None = None) -> DataFrame:
+    """The unified view.
+
+    ``history`` restricts the work-history rows (e.g. to the keys a change feed
+    inserted); the restriction is applied before any join and cuts the task and
+    facility sides down to what the slice reaches. ``carry`` names extra columns of
+    ``history`` passed through to the output (after the 45 layout columns).
+    """
+    carry = carry or []
+    if history is not None:
+        h = history_rows({"epdrfacworkhistory": history}, carry)
+        src = _restrict(src, h)
+    else:
+        h = history_rows(src, carry)
     fac = facility_dim(src, lookups)
     tasks = task_dim(src)
     j = h.join(fac, h["epdrfacility_oi"] == fac["__fac_key"], "inner")
     j = j.join(tasks, j["wotask_oi"] == tasks["__task_key"], "inner")
-    return to_layout(j)
+    return to_layout(j, carry)
 
 
 def unified_for(spark: SparkSession, src: dict[str, DataFrame], history: DataFrame | None = None) -> DataFrame:

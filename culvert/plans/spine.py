@@ -147,9 +147,9 @@ def task_dim(src: dict[str, DataFrame]) -> DataFrame:
         F.col("wo_uuid").alias("work_order_uuid"))
 
 
-def history_rows(src: dict[str, DataFrame]) -> DataFrame:
+def history_rows(src: dict[str, DataFrame], carry: list[str] | None = None) -> DataFrame:
     """Work-history rows that can reach the view (both inner-join keys present)."""
     return (src["epdrfacworkhistory"]
             .where(F.col("wotask_oi").isNotNull() & F.col("epdrfacility_oi").isNotNull())
             .select("epdrfacilityworkhistoryoi", "wotask_oi", "epdrfacility_oi", "createdate_dttm",
-                    "lastupdate_dttm", F.col("uuid").alias("dr_uuid")))
+                    "lastupdate_dttm", F.col("uuid").alias("dr_uuid"), *(carry or [])))

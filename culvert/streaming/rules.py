@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import null_safe_changed
@@ -171,7 +171,8 @@ def to_cr_rows(view_rows: DataFrame) -> DataFrame:
     return v.select(*[(cols[c] if c in cols else F.col(c)).alias(c) for c in CR_INSPECT_COLUMNS],
                     F.col("dr_uuid").alias("__raw_dr_uuid"),
                     F.col("epdrfacilityworkhistoryoi").alias("__key"),
-                    F.col("epdrfacilityworkhistoryoi").cast("string").alias("__key_txt"))
+                    F.col("epdrfacilityworkhistoryoi").cast("string").alias("__key_txt"),
+                    *[F.col(c) for c in v.columns if c == "__seq"])
 
 
 def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, DataFrame],
@@ -188,20 +189,22 @@ def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, Data
     """
     keys = (hist_feed.where(F.col("history_oi").isNotNull())
             .groupBy("history_oi").agg(F.min("seq").alias("__seq")))
-    hist = only_keys(src["epdrfacworkhistory"], keys, "epdrfacilityworkhistoryoi", "history_oi")
-    view = unified_inspections(src, lookups, history=hist)
+    hist = src["epdrfacworkhistory"].join(
+        keys.withColumnRenamed("history_oi", "epdrfacilityworkhistoryoi"), "epdrfacilityworkhistoryoi", "inner")
+    view = unified_inspections(src, lookups, history=hist, carry=["__seq"])
     rows = to_cr_rows(view)
-    cmp = F.col("__raw_dr_uuid") if dedupe == "raw" else F.col("inspectionid")
-    rows = rows.withColumn("__cmp", cmp)
     existing = cr.select(F.col("inspectionid").alias("__old_id")).where(F.col("__old_id").isNotNull())
-    rows = rows.join(existing, rows["__cmp"] == existing["__old_id"], "left_anti")
-    # inside the batch: an id is inserted by the first key (text order) that carries it
-    first = (rows.where(F.col("inspectionid").isNotNull())
-             .groupBy(F.col("inspectionid").alias("__iid")).agg(F.min("__key_txt").alias("__first_key")))
-    rows = (rows.join(first, rows["__cmp"] == first["__iid"], "left")
-            .where(F.col("__first_key").isNull() | (F.col("__first_key") >= F.col("__key_txt")))
-            .drop("__iid", "__first_key"))
-    rows = rows.join(keys.select(F.col("history_oi").alias("__key"), "__seq"), "__key", "left")
+    cmp = F.col("__raw_dr_uuid") if dedupe == "raw" else F.col("inspectionid")
+    rows = rows.join(existing, cmp == existing["__old_id"], "left_anti")
+    # Inside the batch an id is inserted by the first key (text order) carrying it. A row
+    # can only meet another row's id when its compared value equals its own canonical id,
+    # so one window over the canonical id decides it (null ids: one group per key).
+    grp = F.coalesce(F.col("inspectionid"), F.concat(F.lit("\u0000"), F.col("__key_txt")))
+    first = F.min("__key_txt").over(Window.partitionBy(grp))
+    keep = first == F.col("__key_txt")
+    if dedupe == "raw":
+        keep = keep | ~F.col("__raw_dr_uuid").eqNullSafe(F.col("inspectionid"))
+    rows = rows.withColumn("__keep", keep).where(F.col("__keep"))
     return clean_before_write(rows).select(*CR_INSPECT_COLUMNS, "__seq")
 
 

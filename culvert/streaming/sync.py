@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources import io
 from ..sources.lookups import Lookup
 from ..sources.schemas import WOT_STG1_SCHEMA, WOT_STG_SCHEMA
-from .rules import run_cascade
+from . import rules as R
+from ..session import checkpoint_dir
+from ..sources.schemas import CR_INSPECT_COLUMNS
 
 STATE_TABLES = ("stg", "queue", "cr")
 
@@ -31,7 +33,7 @@ def init_state(state_dir: str, state: dict[str, DataFrame]) -> None:
 
 def read_state(spark: SparkSession, state_dir: str, before: int | None = None) -> dict[str, DataFrame]:
     out = {}
-    schemas = {"stg": WOT_STG_SCHEMA, "queue": WOT_STG1_SCHEMA, "cr": None}
+    schemas = {"stg": WOT_STG_SCHEMA, "queue": WOT_STG1_SCHEMA, "cr": None}  # stg drops the change marker
     for t in STATE_TABLES:
         df = io.read_latest(spark, os.path.join(state_dir, t), schemas[t], before)
         if df is None:
@@ -40,16 +42,35 @@ def read_state(spark: SparkSession, state_dir: str, before: int | None = None) -
     return out
 
 
-def make_batch_fn(state_dir: str, src: dict[str, DataFrame], lookups: dict[str, Lookup], **kw):
+def make_batch_fn(state_dir: str, src: dict[str, DataFrame], lookups: dict[str, Lookup],
+                  dedupe: str = "raw", with_backfill: bool = False):
+    """foreachBatch body. Same rules and order as ``run_cascade``, but every expensive
+    piece is computed once: the new inspection rows are checkpointed (reliable, in the
+    shared checkpoint folder), and the queue is computed from the staging version just
+    written (which keeps the per-row change marker as an extra column)."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        checkpoint_dir(spark)
         version = batch_id + 1
-        if io.committed_versions(spark, os.path.join(state_dir, "cr")).count(version):
+        if version in io.committed_versions(spark, os.path.join(state_dir, "cr")):
             return  # replay of a committed batch
         state = read_state(spark, state_dir, before=version)
-        new = run_cascade(state, batch, src, lookups, **kw)
-        for t in ("stg", "queue", "cr"):
-            io.overwrite_snapshot(new[t], os.path.join(state_dir, t), version)
+        feed = batch.checkpoint(eager=True)
+        stg, queue = R.acknowledge_sent(state["stg"], state["queue"],
+                                        R.feed_part(feed, "queue", ["queue_uuid", "old_status", "new_status"]))
+        new_cr = R.collect_inspections(state["cr"], R.feed_part(feed, "history", ["history_oi"]), src, lookups,
+                                       dedupe).checkpoint(eager=True)
+        stg, _ = R.reflag_tasks(stg, new_cr)
+        stg = R.propagate_due_date(stg, R.feed_part(feed, "workorder", ["wo_uuid", "site_oi", "reqcompdate_dttm"]))
+        stg_dir = os.path.join(state_dir, "stg")
+        io.overwrite_snapshot(stg, stg_dir, version)
+        stg_w = spark.read.parquet(io.version_path(stg_dir, version))
+        queue, _ = R.enqueue_work_orders(queue, stg_w)
+        io.overwrite_snapshot(queue, os.path.join(state_dir, "queue"), version)
+        cr = state["cr"].select(*CR_INSPECT_COLUMNS).unionByName(new_cr.select(*CR_INSPECT_COLUMNS))
+        if with_backfill:
+            cr = R.backfill_sid(cr, R.feed_part(feed, "vendor", ["workorder", "inspection_sid"]))
+        io.overwrite_snapshot(cr, os.path.join(state_dir, "cr"), version)   # committed last
     return apply
 
 
