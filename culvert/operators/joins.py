@@ -35,6 +35,14 @@ def null_salt(key: Column, *salt_from: Column) -> Column:
         .otherwise(F.lit(0)).cast("int")
 
 
+def match_salt(key: Column) -> Column:
+    """Right-side partner of ``null_salt``: 0 for every usable key. Written as an
+    expression of the key (not a literal) so the optimizer keeps the pair (key, salt) as
+    the equi-join key and the shuffle hashes on both; a literal would be folded into a
+    post-join filter and the null-key rows would again meet in one partition."""
+    return F.when(key.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("int")
+
+
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
                            salt_from: list[str], extra: Column | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left.lkey = right.rkey [AND extra]``, with null keys spread.
@@ -45,7 +53,7 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, lkey: str, rkey: s
     rows over NULL_SALT_BUCKETS partitions. ``rkey`` is dropped after the join.
     """
     l2 = left.withColumn("__salt_l", null_salt(F.col(lkey), *[F.col(c) for c in salt_from]))
-    r2 = right.withColumn("__salt_r", F.lit(0))
+    r2 = right.withColumn("__salt_r", match_salt(F.col(rkey)))
     cond = (l2[lkey] == r2[rkey]) & (l2["__salt_l"] == r2["__salt_r"])
     if extra is not None:
         cond = cond & extra

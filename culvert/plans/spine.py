@@ -22,7 +22,7 @@ from ..functions import codes as C
 from ..functions import ids as I
 from ..functions.text import clean_longdesc, fit
 from ..operators import classify as K
-from ..operators.joins import code_join, left_join_spread_nulls, null_salt
+from ..operators.joins import code_join, left_join_spread_nulls, match_salt, null_salt
 from ..sources.lookups import Lookup
 
 FACILITY_TYPES = (1, 2, 4, 8, 10)   # implied by the branch filters; pushed to the scan
@@ -35,7 +35,8 @@ def _attach(df: DataFrame, right: DataFrame, lkey: str, rkey: str, prefix: str,
     the row (``__salt``) so that null keys spread; the rows of other branches keep
     their key and fail the branch condition, which keeps them balanced.
     """
-    r = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns]).withColumn("__rsalt", F.lit(0))
+    r = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns])
+    r = r.withColumn("__rsalt", match_salt(F.col(f"{prefix}{rkey}")))
     cond = ((df[lkey] == r[f"{prefix}{rkey}"]) & (df["__salt"] == r["__rsalt"])
             & (df["inspection_type"] == F.lit(branch)))
     return df.join(r, cond, "left").drop("__rsalt")
