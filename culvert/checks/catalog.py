@@ -308,6 +308,13 @@ def last_per_key_q(c: Ctx):
                         "workorder", "seq", ["inspection_sid"])
 
 
+@_q
+def previous_value_q(c: Ctx):
+    qf = c.part("queue", ["queue_uuid", "new_status"])
+    return R.with_old_status(qf, c.queue).select("seq", "queue_uuid", "new_status",
+                                                 F.col("old_status").alias("prev_status"))
+
+
 # ------------------------------------------------------------------ G: the view
 
 @_q
@@ -506,7 +513,7 @@ QUERIES = {
     "mh_use_code": mh_use_code, "clean_longdesc": clean_longdesc_q, "anti_join_new": anti_join_new,
     "semi_join_keys": semi_join_keys, "update_by_key": update_by_key, "update_by_two_keys": update_by_two_keys,
     "delete_by_keys": delete_by_keys_q, "changed_keys": changed_keys_q, "first_per_key": first_per_key_q,
-    "last_per_key": last_per_key_q, "unified_inspections": unified_q,
+    "last_per_key": last_per_key_q, "previous_value": previous_value_q, "unified_inspections": unified_q,
     "strip_html": strip_html_pages, "strip_html_documents": strip_html_documents,
     "canonical_uuid": canonical_uuid, "compact_uuid": compact_uuid, "manhole_number": manhole_number,
     "pipe_base_ref": pipe_base_ref, "lateral_base_ref": lateral_base_ref, "pipe_use_code": pipe_use_code,

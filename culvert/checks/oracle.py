@@ -7,11 +7,6 @@ from .oracle_base import (canonical_uuid_sql, clean_longdesc_sql, drop_last_segm
                           pipe_base_ref_sql, pipe_use_sql, strip_html_sql, with_ctes)
 
 H = "epdrfacilityworkhistoryoi"
-NK = "upper(trim({}))"
-
-
-def _lk(table: str, key: str, lk: str, out: str, alias: str) -> str:
-    return f"LEFT JOIN {lk} {alias} ON upper(trim({alias}.src_text)) = upper(trim({key}))"
 
 
 def _valid_hex(c: str) -> str:
@@ -147,10 +142,6 @@ def _u(select: str, extra: str = "") -> str:
     return with_ctes(select, extra)
 
 
-def _lookup_join_mat(src_sql: str) -> str:
-    return src_sql
-
-
 CASCADE_CTES = ",\n".join([
     ACK_CTES, COLLECT_CTES, REFLAG_CTES, f"stg_r AS ({reflag_sql('stg_ack')})", DUE_CTES,
     f"stg_d AS ({due_sql('stg_r', True)})", enqueue_sql("queue_ack", "stg_d", True).strip()])
@@ -270,6 +261,11 @@ WHERE feed_status IN ('NEW', 'UPDATED') AND workorder_uuid IS NOT NULL GROUP BY
     o["last_per_key"] = _u("""
 SELECT workorder, max(seq) AS seq, arg_max(inspection_sid, seq) AS inspection_sid
 FROM feed_vendor WHERE workorder IS NOT NULL GROUP BY workorder""")
+    o["previous_value"] = _u("""
+SELECT f.seq, f.queue_uuid, f.new_status,
+  CASE WHEN row_number() OVER w = 1 THEN q.feed_status ELSE lag(f.new_status) OVER w END AS prev_status
+FROM feed_queue f LEFT JOIN wot_stg1 q ON q.task_uuid = f.queue_uuid
+WINDOW w AS (PARTITION BY f.queue_uuid ORDER BY f.seq)""")
     o["unified_inspections"] = _u("SELECT * FROM unified")
     o["strip_html"] = _u(f"SELECT page_id, {strip_html_sql('html')} AS html_clean FROM pages")
     o["strip_html_documents"] = _u(f"SELECT doc_id, {strip_html_sql('text')} AS text_clean FROM documents")

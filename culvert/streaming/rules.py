@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import null_safe_changed
 from ..functions.ids import canonical_uuid, is_valid_hex, raw_key
 from ..functions.text import nn, strip_html
-from ..operators.changes import changed_keys, first_per_key, last_per_key
+from ..operators.changes import changed_keys, first_per_key, last_per_key, previous_value
 from ..operators.joins import delete_by_keys, not_present, only_keys
 from ..plans.inspections import unified_inspections
 from ..sources.lookups import Lookup
@@ -68,9 +68,23 @@ def is_sent_transition(old: Column, new: Column) -> Column:
     return F.coalesce(t, F.lit(False))
 
 
+def with_old_status(queue_feed: DataFrame, queue: DataFrame | None) -> DataFrame:
+    """Old image for a feed that carries only new statuses: the previous update's status
+    of the same queue row, the first one seeded from the stored queue row."""
+    seed = None
+    if queue is not None:
+        q = queue.select(F.col("task_uuid").alias("__qk"), F.col("feed_status").alias("__seed"))
+        queue_feed = queue_feed.join(q, queue_feed["queue_uuid"] == q["__qk"], "left").drop("__qk")
+        seed = F.col("__seed")
+    out = previous_value(queue_feed, "queue_uuid", "seq", "new_status", seed=seed, alias="old_status")
+    return out.drop("__seed") if seed is not None else out
+
+
 def sent_transitions(queue_feed: DataFrame, queue: DataFrame | None = None) -> DataFrame:
     """Distinct work-order ids whose queue row turned to SEND/SENT. With ``queue`` given,
     only rows that exist fire (an UPDATE of a missing row changes nothing)."""
+    if "old_status" not in queue_feed.columns:
+        queue_feed = with_old_status(queue_feed, queue)
     t = queue_feed.where(is_sent_transition(F.col("old_status"), F.col("new_status")))
     keys = changed_keys(t, "queue_uuid", "key")
     if queue is not None:

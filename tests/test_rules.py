@@ -165,3 +165,13 @@ def test_backfill_last_wins_and_only_if_null(spark):
     assert got == [("WO1.1", "b", "x"), ("WO1.1", "b", "y"), ("WO2.1", "keep", "z")]
     got2 = sorted((r.workorder, r.inspection_sid) for r in R.backfill_sid(cr, vf, overwrite=False).collect())
     assert got2 == [("WO1.1", "b"), ("WO1.1", "old"), ("WO2.1", "keep")]
+
+
+def test_old_status_from_previous_event(spark):
+    q = queue_rows(spark, [("w1", "NEW"), ("w2", "SENT")])
+    f = spark.createDataFrame([(1, "w1", "OTHER"), (2, "w1", "SENT"), (3, "w2", "SEND"), (4, "w3", "SENT")],
+                              "seq long, queue_uuid string, new_status string")
+    got = {r.seq: r.old_status for r in R.with_old_status(f, q).collect()}
+    assert got == {1: "NEW", 2: "OTHER", 3: "SENT", 4: None}
+    keys = sorted(r.key for r in R.sent_transitions(f, q).collect())
+    assert keys == ["w1"]      # w2 was already SENT; w3 is not queued
