@@ -31,7 +31,8 @@ from ..functions.ids import canonical_uuid, is_valid_hex, raw_key
 from ..functions.text import nn, strip_html
 from ..operators.changes import changed_keys, first_per_key, last_per_key, previous_value
 from ..operators.joins import delete_by_keys, not_present, only_keys
-from ..plans.inspections import unified_inspections
+from ..plans.inspections import KEYSET_BROADCAST_LIMIT, unified_inspections
+from ..session import checkpoint_dir
 from ..sources.lookups import Lookup
 from ..sources.schemas import CR_INSPECT_COLUMNS, WOT_STG1_SCHEMA
 
@@ -203,9 +204,21 @@ def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, Data
     """
     keys = (hist_feed.where(F.col("history_oi").isNotNull())
             .groupBy("history_oi").agg(F.min("seq").alias("__seq")))
-    hist = src["epdrfacworkhistory"].join(
-        keys.withColumnRenamed("history_oi", "epdrfacilityworkhistoryoi"), "epdrfacilityworkhistoryoi", "inner")
-    view = unified_inspections(src, lookups, history=hist, carry=["__seq"])
+    # The batch's key count (a small aggregate of the feed) is the checked bound that lets
+    # the slice's key sets be broadcast instead of shuffling the big tables.
+    n_keys = keys.count()
+    k = keys.withColumnRenamed("history_oi", "epdrfacilityworkhistoryoi")
+    if n_keys <= KEYSET_BROADCAST_LIMIT:
+        k = F.broadcast(k)
+    hist = src["epdrfacworkhistory"].join(k, "epdrfacilityworkhistoryoi", "inner")
+    if n_keys <= KEYSET_BROADCAST_LIMIT:
+        # the slice is read by several joins: one scan of the history table, kept in the
+        # shared checkpoint folder (reliable, lineage cut)
+        checkpoint_dir(hist.sparkSession)
+        hist = hist.checkpoint(eager=True)
+    # history oi is a key of the history table, so the slice has at most n_keys rows
+    # (duplicated oi rows would only raise it by their multiplicity)
+    view = unified_inspections(src, lookups, history=hist, carry=["__seq"], history_rows_bound=n_keys)
     rows = to_cr_rows(view)
     existing = cr.select(F.col("inspectionid").alias("__old_id")).where(F.col("__old_id").isNotNull())
     cmp = F.col("__raw_dr_uuid") if dedupe == "raw" else F.col("inspectionid")
