@@ -285,7 +285,8 @@ def update_by_two_keys(c: Ctx):
 
 @_q
 def delete_by_keys_q(c: Ctx):
-    keys = R.sent_transitions(c.part("queue", ["queue_uuid", "old_status", "new_status"]), c.queue)
+    qf = c.part("queue", ["queue_uuid", "old_status", "new_status"])
+    keys = R.sent_transitions(qf, c.queue, R.feed_is_bounded(qf))
     return delete_by_keys(c.queue, keys, "task_uuid", "key")
 
 
@@ -311,7 +312,7 @@ def last_per_key_q(c: Ctx):
 @_q
 def previous_value_q(c: Ctx):
     qf = c.part("queue", ["queue_uuid", "new_status"])
-    return R.with_old_status(qf, c.queue).select("seq", "queue_uuid", "new_status",
+    return R.with_old_status(qf, c.queue, R.feed_is_bounded(qf)).select("seq", "queue_uuid", "new_status",
                                                  F.col("old_status").alias("prev_status"))
 
 
@@ -398,20 +399,22 @@ def enqueue_work_orders(c: Ctx):
 
 @_q
 def acknowledge_sent_stg(c: Ctx):
-    stg, _ = R.acknowledge_sent(c.stg, c.queue, c.part("queue", ["queue_uuid", "old_status", "new_status"]))
+    qf = c.part("queue", ["queue_uuid", "old_status", "new_status"])
+    stg, _ = R.acknowledge_sent(c.stg, c.queue, qf, R.feed_is_bounded(qf))
     return stg
 
 
 @_q
 def acknowledge_sent_queue(c: Ctx):
-    _, q = R.acknowledge_sent(c.stg, c.queue, c.part("queue", ["queue_uuid", "old_status", "new_status"]))
+    qf = c.part("queue", ["queue_uuid", "old_status", "new_status"])
+    _, q = R.acknowledge_sent(c.stg, c.queue, qf, R.feed_is_bounded(qf))
     return q
 
 
 @_q
 def propagate_due_date(c: Ctx):
     wf = c.part("workorder", ["wo_uuid", "site_oi", "reqcompdate_dttm"])
-    return R.propagate_due_date(c.stg, wf).drop(R.CHG)
+    return R.propagate_due_date(c.stg, wf, R.feed_is_bounded(wf)).drop(R.CHG)
 
 
 @_q
@@ -421,14 +424,15 @@ def collect_inspections(c: Ctx):
 
 @_q
 def reflag_tasks(c: Ctx):
-    stg, _ = R.reflag_tasks(c.stg, c.collected())
+    stg, _ = R.reflag_tasks(c.stg, c.collected(), R.feed_is_bounded(c.part("history", ["history_oi"])))
     return stg.drop(R.CHG)
 
 
 @_q
 def backfill_sid(c: Ctx):
     cr = c.collected().select(*CR_INSPECT_COLUMNS)
-    return R.backfill_sid(cr, c.part("vendor", ["workorder", "inspection_sid"]))
+    vf = c.part("vendor", ["workorder", "inspection_sid"])
+    return R.backfill_sid(cr, vf, bounded=R.feed_is_bounded(vf))
 
 
 def _cascade(c: Ctx) -> dict[str, DataFrame]:

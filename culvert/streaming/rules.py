@@ -42,6 +42,21 @@ CHG = "__chg_seq"
 QUEUE_COLUMNS = [f.name for f in WOT_STG1_SCHEMA.fields]
 
 
+# A change set derived from a feed batch of at most this many rows is broadcast into
+# its join with a state table, so the state table is scanned, never shuffled, per batch.
+CHANGESET_BROADCAST_LIMIT = 1_000_000
+
+
+def small(df: DataFrame, bounded: bool) -> DataFrame:
+    """Broadcast ``df`` when the caller has checked that it is bounded."""
+    return F.broadcast(df) if bounded else df
+
+
+def feed_is_bounded(feed: DataFrame) -> bool:
+    """The size check behind every change-set broadcast: the batch's row count."""
+    return feed.count() <= CHANGESET_BROADCAST_LIMIT
+
+
 def _with_chg(stg: DataFrame) -> DataFrame:
     return stg if CHG in stg.columns else stg.withColumn(CHG, F.lit(None).cast("long"))
 
@@ -69,43 +84,47 @@ def is_sent_transition(old: Column, new: Column) -> Column:
     return F.coalesce(t, F.lit(False))
 
 
-def with_old_status(queue_feed: DataFrame, queue: DataFrame | None) -> DataFrame:
+def with_old_status(queue_feed: DataFrame, queue: DataFrame | None, bounded: bool = False) -> DataFrame:
     """Old image for a feed that carries only new statuses: the previous update's status
     of the same queue row, the first one seeded from the stored queue row."""
     seed = None
     if queue is not None:
         q = queue.select(F.col("task_uuid").alias("__qk"), F.col("feed_status").alias("__seed"))
-        queue_feed = queue_feed.join(q, queue_feed["queue_uuid"] == q["__qk"], "left").drop("__qk")
+        q = q.join(small(queue_feed.select(F.col("queue_uuid").alias("__qk")).distinct(), bounded), "__qk", "left_semi")
+        queue_feed = queue_feed.join(small(q, bounded), queue_feed["queue_uuid"] == q["__qk"], "left").drop("__qk")
         seed = F.col("__seed")
     out = previous_value(queue_feed, "queue_uuid", "seq", "new_status", seed=seed, alias="old_status")
     return out.drop("__seed") if seed is not None else out
 
 
-def sent_transitions(queue_feed: DataFrame, queue: DataFrame | None = None) -> DataFrame:
+def sent_transitions(queue_feed: DataFrame, queue: DataFrame | None = None, bounded: bool = False) -> DataFrame:
     """Distinct work-order ids whose queue row turned to SEND/SENT. With ``queue`` given,
     only rows that exist fire (an UPDATE of a missing row changes nothing)."""
     if "old_status" not in queue_feed.columns:
-        queue_feed = with_old_status(queue_feed, queue)
+        queue_feed = with_old_status(queue_feed, queue, bounded)
     t = queue_feed.where(is_sent_transition(F.col("old_status"), F.col("new_status")))
     keys = changed_keys(t, "queue_uuid", "key")
     if queue is not None:
-        keys = keys.join(queue.select(F.col("task_uuid").alias("key")), "key", "left_semi")
+        # the queue rows of those keys (the queue is filtered by the small key set)
+        keys = (queue.select(F.col("task_uuid").alias("key")).join(small(keys, bounded), "key", "left_semi")
+                .dropDuplicates())
     return keys
 
 
-def acknowledge_sent(stg: DataFrame, queue: DataFrame, queue_feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def acknowledge_sent(stg: DataFrame, queue: DataFrame, queue_feed: DataFrame,
+                     bounded: bool = False) -> tuple[DataFrame, DataFrame]:
     """Apply a batch of queue status updates: every staging row of a transitioned work
     order becomes SENT; transitioned queue rows are deleted; other updated queue rows
     take the status of their last update."""
-    keys = sent_transitions(queue_feed, queue)
-    k = keys.select(F.col("key").alias("__ack"))
+    keys = sent_transitions(queue_feed, queue, bounded)
+    k = small(keys.select(F.col("key").alias("__ack")), bounded)
     stg2 = (stg.join(k, stg["workorder_uuid"] == k["__ack"], "left")
             .withColumn("feed_status", F.when(F.col("__ack").isNotNull(), F.lit("SENT"))
                         .otherwise(F.col("feed_status")))
             .drop("__ack"))
     last = last_per_key(queue_feed.where(F.col("queue_uuid").isNotNull()), "queue_uuid", "seq", ["new_status"])
-    q = delete_by_keys(queue, keys, "task_uuid", "key")
-    q = (q.join(last.select(F.col("queue_uuid").alias("__q"), F.col("new_status").alias("__ns")),
+    q = delete_by_keys(queue, small(keys, bounded), "task_uuid", "key")
+    q = (q.join(small(last.select(F.col("queue_uuid").alias("__q"), F.col("new_status").alias("__ns")), bounded),
                 F.col("task_uuid") == F.col("__q"), "left")
          .withColumn("feed_status", F.when(F.col("__q").isNotNull(), F.col("__ns")).otherwise(F.col("feed_status")))
          .select(*queue.columns))
@@ -141,11 +160,11 @@ def due_date_summary(wo_feed: DataFrame) -> DataFrame:
                     F.col("run.d").alias("run_date"), F.col("run.seq").alias("run_seq")))
 
 
-def propagate_due_date(stg: DataFrame, wo_feed: DataFrame) -> DataFrame:
+def propagate_due_date(stg: DataFrame, wo_feed: DataFrame, bounded: bool = False) -> DataFrame:
     """Required-date updates of site-58 work orders reach every staging row of the work
     order whose planned date really differs: date set, status UPDATED (SENT included)."""
     stg = _with_chg(stg)
-    sm = due_date_summary(wo_feed)
+    sm = small(due_date_summary(wo_feed), bounded)
     j = stg.join(sm, stg["workorder_uuid"] == sm["wo_uuid"], "left")
     matched = F.col("wo_uuid").isNotNull()
     changed1 = matched & null_safe_changed(F.col("plndcompdate_dttm"), F.col("first_s"),
@@ -222,6 +241,12 @@ def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, Data
     rows = to_cr_rows(view)
     existing = cr.select(F.col("inspectionid").alias("__old_id")).where(F.col("__old_id").isNotNull())
     cmp = F.col("__raw_dr_uuid") if dedupe == "raw" else F.col("inspectionid")
+    if n_keys <= KEYSET_BROADCAST_LIMIT:
+        # the ids the slice can compare with come from its history rows (already
+        # materialised): filter the stored table by them, then anti join on a small side
+        hcmp = F.col("uuid") if dedupe == "raw" else canonical_uuid(F.col("uuid"))
+        ids = hist.select(hcmp.alias("__old_id")).where(F.col("__old_id").isNotNull())
+        existing = F.broadcast(existing.join(F.broadcast(ids.dropDuplicates()), "__old_id", "left_semi"))
     rows = rows.join(existing, cmp == existing["__old_id"], "left_anti")
     # Inside the batch an id is inserted by the first key (text order) carrying it. A row
     # can only meet another row's id when its compared value equals its own canonical id,
@@ -237,7 +262,7 @@ def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, Data
 
 # --------------------------------------------------------------------------- I7
 
-def reflag_tasks(stg: DataFrame, cr_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def reflag_tasks(stg: DataFrame, cr_rows: DataFrame, bounded: bool = False) -> tuple[DataFrame, DataFrame]:
     """Inspection rows with status NEW re-flag their staging row (same task and work
     order) to UPDATED unless it already is. Returns (new stg, rows whose ids are not
     valid hex, i.e. would fail the binary conversion upstream)."""
@@ -250,6 +275,7 @@ def reflag_tasks(stg: DataFrame, cr_rows: DataFrame) -> tuple[DataFrame, DataFra
             .select(raw_key(F.col("project_sid")).alias("__t"), raw_key(F.col("work_order_uuid")).alias("__w"),
                     seqc.alias("__s"))
             .groupBy("__t", "__w").agg(F.min("__s").alias("__s")))
+    keys = small(keys, bounded)
     j = stg.join(keys, (stg["task_uuid"] == keys["__t"]) & (stg["workorder_uuid"] == keys["__w"]), "left")
     hit = F.col("__t").isNotNull() & null_safe_changed(F.col("feed_status"), F.lit("UPDATED"), STATUS_SENTINEL)
     out = (j.withColumn("__hit", hit)
@@ -261,7 +287,7 @@ def reflag_tasks(stg: DataFrame, cr_rows: DataFrame) -> tuple[DataFrame, DataFra
 
 # --------------------------------------------------------------------------- I1
 
-def enqueue_work_orders(queue: DataFrame, stg: DataFrame) -> tuple[DataFrame, DataFrame]:
+def enqueue_work_orders(queue: DataFrame, stg: DataFrame, bounded: bool = False) -> tuple[DataFrame, DataFrame]:
     """Staging rows changed in this batch (``__chg_seq`` set; or all rows when the column
     is absent, i.e. an initial load) with status NEW/UPDATED (exact case) put their work
     order on the queue when it is not there yet; a queued row is not refreshed.
@@ -276,17 +302,21 @@ def enqueue_work_orders(queue: DataFrame, stg: DataFrame) -> tuple[DataFrame, Da
     vals = ["task_uuid", "wotasktitle", "plndcompdate_dttm", "plndstrtdate_dttm", "workclassifi_oi", "feed_status"]
     first = first_per_key(cand, "workorder_uuid", ["__seq", "task_uuid"], vals)
     new = first.select(F.col("workorder_uuid").alias("task_uuid"), *[c for c in vals if c != "task_uuid"])
-    new = not_present(new, queue.select(F.col("task_uuid").alias("__q")), [("task_uuid", "__q")])
+    queued = queue.select(F.col("task_uuid").alias("__q"))
+    if bounded:
+        # at most one new row per changed work order: filter the queue by them, then anti join
+        queued = small(queued.join(small(new.select(F.col("task_uuid").alias("__q")), True), "__q", "left_semi"), True)
+    new = not_present(new, queued, [("task_uuid", "__q")])
     return queue.select(*QUEUE_COLUMNS).unionByName(new.select(*QUEUE_COLUMNS)), bad.drop("__seq")
 
 
 # --------------------------------------------------------------------------- I8
 
-def backfill_sid(cr: DataFrame, vendor_feed: DataFrame, overwrite: bool = True) -> DataFrame:
+def backfill_sid(cr: DataFrame, vendor_feed: DataFrame, overwrite: bool = True, bounded: bool = False) -> DataFrame:
     """Vendor rows with a work-order number set the vendor id on every inspection row of
     that number (the last update per number wins). Updated rows are cleaned again."""
     last = last_per_key(vendor_feed.where(F.col("workorder").isNotNull()), "workorder", "seq", ["inspection_sid"])
-    lk = last.select(F.col("workorder").alias("__wo"), F.col("inspection_sid").alias("__sid"))
+    lk = small(last.select(F.col("workorder").alias("__wo"), F.col("inspection_sid").alias("__sid")), bounded)
     j = cr.join(lk, cr["workorder"] == lk["__wo"], "left")
     hit = F.col("__wo").isNotNull()
     if not overwrite:
@@ -300,25 +330,29 @@ def backfill_sid(cr: DataFrame, vendor_feed: DataFrame, overwrite: bool = True)
 # --------------------------------------------------------------------------- I9
 
 def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, DataFrame],
-                lookups: dict[str, Lookup], dedupe: str = "raw", with_backfill: bool = False) -> dict[str, DataFrame]:
+                lookups: dict[str, Lookup], dedupe: str = "raw", with_backfill: bool = False,
+                bounded: bool | None = None) -> dict[str, DataFrame]:
     """One batch of the trigger chain, in a fixed order:
     acknowledgements (I2, I3) -> new histories (I5 with I6, then I7) -> due dates (I4)
-    -> enqueue (I1) -> optional vendor back-fill (I8)."""
+    -> enqueue (I1) -> optional vendor back-fill (I8).
+    ``bounded``: change sets may be broadcast (default: the feed's row count is checked)."""
+    if bounded is None:
+        bounded = feed_is_bounded(feed)
     stg, queue, cr = state["stg"], state["queue"], state["cr"]
     qf = feed_part(feed, "queue", ["queue_uuid", "old_status", "new_status"])
-    stg, queue = acknowledge_sent(stg, queue, qf)
+    stg, queue = acknowledge_sent(stg, queue, qf, bounded)
 
     hf = feed_part(feed, "history", ["history_oi"])
     new_cr = collect_inspections(cr, hf, src, lookups, dedupe)
-    stg, bad_ids = reflag_tasks(stg, new_cr)
+    stg, bad_ids = reflag_tasks(stg, new_cr, bounded)
     cr = cr.select(*CR_INSPECT_COLUMNS).unionByName(new_cr.select(*CR_INSPECT_COLUMNS))
 
     wf = feed_part(feed, "workorder", ["wo_uuid", "site_oi", "reqcompdate_dttm"])
-    stg = propagate_due_date(stg, wf)
+    stg = propagate_due_date(stg, wf, bounded)
 
-    queue, bad_queue = enqueue_work_orders(queue, stg)
+    queue, bad_queue = enqueue_work_orders(queue, stg, bounded)
     if with_backfill:
-        cr = backfill_sid(cr, feed_part(feed, "vendor", ["workorder", "inspection_sid"]))
+        cr = backfill_sid(cr, feed_part(feed, "vendor", ["workorder", "inspection_sid"]), bounded=bounded)
     return {"stg": stg.drop(CHG), "queue": queue, "cr": cr,
             "quarantine_ids": bad_ids.select(*CR_INSPECT_COLUMNS),
             "quarantine_queue": bad_queue.drop(CHG)}

@@ -56,20 +56,22 @@ def make_batch_fn(state_dir: str, src: dict[str, DataFrame], lookups: dict[str,
             return  # replay of a committed batch
         state = read_state(spark, state_dir, before=version)
         feed = batch.checkpoint(eager=True)
+        bounded = R.feed_is_bounded(feed)
         stg, queue = R.acknowledge_sent(state["stg"], state["queue"],
-                                        R.feed_part(feed, "queue", ["queue_uuid", "old_status", "new_status"]))
+                                        R.feed_part(feed, "queue", ["queue_uuid", "old_status", "new_status"]), bounded)
         new_cr = R.collect_inspections(state["cr"], R.feed_part(feed, "history", ["history_oi"]), src, lookups,
                                        dedupe).checkpoint(eager=True)
-        stg, _ = R.reflag_tasks(stg, new_cr)
-        stg = R.propagate_due_date(stg, R.feed_part(feed, "workorder", ["wo_uuid", "site_oi", "reqcompdate_dttm"]))
+        stg, _ = R.reflag_tasks(stg, new_cr, bounded)
+        stg = R.propagate_due_date(stg, R.feed_part(feed, "workorder", ["wo_uuid", "site_oi", "reqcompdate_dttm"]),
+                                   bounded)
         stg_dir = os.path.join(state_dir, "stg")
         io.overwrite_snapshot(stg, stg_dir, version)
         stg_w = spark.read.parquet(io.version_path(stg_dir, version))
-        queue, _ = R.enqueue_work_orders(queue, stg_w)
+        queue, _ = R.enqueue_work_orders(queue, stg_w, bounded)
         io.overwrite_snapshot(queue, os.path.join(state_dir, "queue"), version)
         cr = state["cr"].select(*CR_INSPECT_COLUMNS).unionByName(new_cr.select(*CR_INSPECT_COLUMNS))
         if with_backfill:
-            cr = R.backfill_sid(cr, R.feed_part(feed, "vendor", ["workorder", "inspection_sid"]))
+            cr = R.backfill_sid(cr, R.feed_part(feed, "vendor", ["workorder", "inspection_sid"]), bounded=bounded)
         io.overwrite_snapshot(cr, os.path.join(state_dir, "cr"), version)   # committed last
     return apply
 
