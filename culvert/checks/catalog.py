@@ -37,11 +37,38 @@ class Ctx:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf = spark, sf_dir
-        self.src = FX.derive_sources(spark, sf_dir)
-        self.lk = all_lookups(spark)
-        st = FX.derive_state(spark, sf_dir)
-        self.stg, self.queue = st["wot_stg"], st["wot_stg1"]
-        self.feed = FX.derive_feed(spark, sf_dir, self.src)
+        self._src = self._lk = self._state = self._feed = None
+
+    # built on first use: each query only pays for the tables it reads
+    @property
+    def src(self) -> dict[str, DataFrame]:
+        if self._src is None:
+            self._src = FX.derive_sources(self.spark, self.sf)
+        return self._src
+
+    @property
+    def lk(self):
+        if self._lk is None:
+            self._lk = all_lookups(self.spark)
+        return self._lk
+
+    @property
+    def stg(self) -> DataFrame:
+        if self._state is None:
+            self._state = FX.derive_state(self.spark, self.sf)
+        return self._state["wot_stg"]
+
+    @property
+    def queue(self) -> DataFrame:
+        if self._state is None:
+            self._state = FX.derive_state(self.spark, self.sf)
+        return self._state["wot_stg1"]
+
+    @property
+    def feed(self) -> DataFrame:
+        if self._feed is None:
+            self._feed = FX.derive_feed(self.spark, self.sf, self.src)
+        return self._feed
 
     def unified(self) -> DataFrame:
         return unified_inspections(self.src, self.lk)

@@ -25,7 +25,7 @@ def code_join(df: DataFrame, key: Column, lookup: Lookup, out: str) -> DataFrame
     lk = lookup.df.select(norm_key(F.col("src_text")).alias(k), F.col("code").alias(out))
     if lookup.broadcastable:
         lk = F.broadcast(lk)
-    return df.withColumn(k, norm_key(key)).join(lk, k, "left").drop(k)
+    return df.join(lk, norm_key(key) == lk[k], "left").drop(k)
 
 
 def null_salt(key: Column, *salt_from: Column) -> Column:

@@ -35,11 +35,11 @@ def _attach(df: DataFrame, right: DataFrame, lkey: str, rkey: str, prefix: str,
     the row (``__salt``) so that null keys spread; the rows of other branches keep
     their key and fail the branch condition, which keeps them balanced.
     """
-    r = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns])
-    r = r.withColumn("__rsalt", match_salt(F.col(f"{prefix}{rkey}")))
-    cond = ((df[lkey] == r[f"{prefix}{rkey}"]) & (df["__salt"] == r["__rsalt"])
+    r = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns],
+                     match_salt(F.col(rkey)).alias(f"__rsalt_{prefix}"))
+    cond = ((df[lkey] == r[f"{prefix}{rkey}"]) & (df["__salt"] == r[f"__rsalt_{prefix}"])
             & (df["inspection_type"] == F.lit(branch)))
-    return df.join(r, cond, "left").drop("__rsalt")
+    return df.join(r, cond, "left")
 
 
 def facility_dim(src: dict[str, DataFrame], lookups: dict[str, Lookup]) -> DataFrame:

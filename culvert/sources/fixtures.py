@@ -28,9 +28,15 @@ ACK_OLD_CYCLE = [None, "NEW", "   ", "SENT"]
 HISTORY_KEY_OFFSET = 1_000_000_000
 
 
+def _sql_str(v) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _pick(values: list, idx: Column) -> Column:
-    """values[idx] for a 0-based integer column (a literal array, 1-based element_at)."""
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (idx + 1).cast("int"))
+    """values[idx] for a 0-based integer column (a literal array, 1-based element_at).
+    The array is one SQL literal expression (one JVM call instead of one per value)."""
+    arr = F.expr("array(" + ", ".join(_sql_str(v) for v in values) + ")")
+    return F.element_at(arr, (idx + 1).cast("int"))
 
 
 def _styled(c: Column, p: Column) -> Column:
