@@ -250,9 +250,18 @@ def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, Data
     rows = rows.join(existing, cmp == existing["__old_id"], "left_anti")
     # Inside the batch an id is inserted by the first key (text order) carrying it. A row
     # can only meet another row's id when its compared value equals its own canonical id,
-    # so one window over the canonical id decides it (null ids: one group per key).
-    grp = F.coalesce(F.col("inspectionid"), F.concat(F.lit("\u0000"), F.col("__key_txt")))
-    first = F.min("__key_txt").over(Window.partitionBy(grp))
+    # so the first key per canonical id decides it (null ids never match anything).
+    if n_keys <= KEYSET_BROADCAST_LIMIT:
+        # bounded batch: materialise the rows once, reduce to the first key per id with a
+        # map-side-combined aggregate, broadcast it back (no sort, no hot-id task)
+        rows = rows.checkpoint(eager=True)
+        first_key = (rows.where(F.col("inspectionid").isNotNull())
+                     .groupBy(F.col("inspectionid").alias("__iid")).agg(F.min("__key_txt").alias("__first")))
+        rows = rows.join(F.broadcast(first_key), rows["inspectionid"] == first_key["__iid"], "left")
+        first = F.coalesce(F.col("__first"), F.col("__key_txt"))
+    else:
+        grp = F.coalesce(F.col("inspectionid"), F.concat(F.lit("\u0000"), F.col("__key_txt")))
+        first = F.min("__key_txt").over(Window.partitionBy(grp))
     keep = first == F.col("__key_txt")
     if dedupe == "raw":
         keep = keep | ~F.col("__raw_dr_uuid").eqNullSafe(F.col("inspectionid"))

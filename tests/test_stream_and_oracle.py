@@ -105,3 +105,15 @@ def test_collect_dedupes_against_stored_ids(spark, sf_small):
     # lower case (a third of the fixture rows), so raw mode skips a strict subset
     assert set(canon) <= set(raw) <= set(full)
     assert len(canon) < len(raw) < len(full)
+
+
+def test_collect_bounded_and_unbounded_paths_agree(spark, sf_small, monkeypatch):
+    c = Ctx(spark, sf_small)
+    hf = c.part("history", ["history_oi"])
+    empty = spark.createDataFrame([], "inspectionid string")
+    cols = ["inspectionid", "inspection_type", "workorder", "additional_information"]
+    bounded = _rows(R.collect_inspections(empty, hf, c.src, c.lk), cols)
+    monkeypatch.setattr(R, "KEYSET_BROADCAST_LIMIT", -1)
+    import culvert.plans.inspections as PI
+    monkeypatch.setattr(PI, "KEYSET_BROADCAST_LIMIT", -1)
+    assert _rows(R.collect_inspections(empty, hf, c.src, c.lk), cols) == bounded
