@@ -67,7 +67,7 @@ class Ctx:
     @property
     def feed(self) -> DataFrame:
         if self._feed is None:
-            self._feed = FX.derive_feed(self.spark, self.sf, self.src)
+            self._feed = FX.derive_feed(self.spark, self.sf)
         return self._feed
 
     def unified(self) -> DataFrame:

@@ -8,8 +8,8 @@
 
 Sources are read with their declared schemas from ``<src_dir>/<name>`` (see
 ``sources.schemas.SOURCE_SCHEMAS``). State lives in versioned snapshot folders below
-``<state_dir>``; the streaming checkpoint defaults to a folder below the cluster's
-``spark.checkpoint.dir``.
+``<state_dir>``; the streaming checkpoint defaults to ``<state_dir>/_stream_checkpoint``
+(one per state folder) and in-batch checkpoints go to the cluster's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -53,7 +53,9 @@ def init_from(spark: SparkSession, stg: DataFrame, queue: DataFrame, cr: DataFra
 
 def start_sync(spark: SparkSession, src_dir: str, feed_dir: str, state_dir: str, checkpoint: str | None = None,
                once: bool = False, max_files_per_trigger: int | None = None, **kw):
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "culvert-sync")
+    # the stream's checkpoint belongs to the state it produces (one per state folder)
+    ckpt = checkpoint or os.path.join(state_dir, "_stream_checkpoint")
+    checkpoint_dir(spark)   # batch-level checkpoints go to the cluster's shared folder
     return stream_sync(spark, feed_dir, state_dir, ckpt, io.load_sources(spark, src_dir), all_lookups(spark),
                        max_files_per_trigger=max_files_per_trigger, available_now=once, **kw)
 

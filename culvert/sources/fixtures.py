@@ -57,6 +57,19 @@ def _dashed(h: Column) -> Column:
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
+_DEFINED: dict[tuple, object] = {}
+
+
+def _once(kind: str, spark: SparkSession, sf_dir: str, build):
+    """Define a derived table set once per (session, folder). DataFrames are lazy plans:
+    reusing the definition skips re-analysing it, while every action still reads the
+    parquet files and recomputes everything."""
+    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _DEFINED:
+        _DEFINED[key] = build()
+    return _DEFINED[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -120,6 +133,10 @@ def _ground_invert(u: Column, cents: Column, size: Column):
 
 def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The ten source relations of the unified view."""
+    return dict(_once("sources", spark, sf_dir, lambda: _derive_sources(spark, sf_dir)))
+
+
+def _derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     tasks = _tasks(spark, sf_dir)
     t, o, n = F.col("t"), F.col("o"), F.col("n")
     parts = _parts(spark, sf_dir)
@@ -211,6 +228,10 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def derive_state(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Initial staging table (one row per task) and queue (every 4th work order)."""
+    return dict(_once("state", spark, sf_dir, lambda: _derive_state(spark, sf_dir)))
+
+
+def _derive_state(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     tasks = _tasks(spark, sf_dir)
     t, o, n = F.col("t"), F.col("o"), F.col("n")
     stg = tasks.select(
@@ -235,6 +256,13 @@ def derive_state(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def derive_feed(spark: SparkSession, sf_dir: str, sources: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The unified change feed (see ``_derive_feed``)."""
+    if sources is not None:
+        return _derive_feed(spark, sf_dir, sources)
+    return _once("feed", spark, sf_dir, lambda: _derive_feed(spark, sf_dir, derive_sources(spark, sf_dir)))
+
+
+def _derive_feed(spark: SparkSession, sf_dir: str, sources: dict[str, DataFrame] | None = None) -> DataFrame:
     """The unified change feed (schema ``FEED_SCHEMA``), seq = event_id.
 
     signup   -> insert of all history rows of work order o = event_id (one row per key)
