@@ -23,7 +23,7 @@ from ..operators.changes import changed_keys, first_per_key, last_per_key
 from ..operators.joins import code_join, delete_by_keys, not_present, only_keys
 from ..plans.inspections import unified_inspections
 from ..plans.outbound import extract_to_send, register_views
-from ..plans.spine import facility_dim, task_dim
+from ..plans.spine import task_dim
 from ..session import checkpoint_dir
 from ..sources import fixtures as FX
 from ..sources.lookups import all_lookups

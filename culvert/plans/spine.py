@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes as C
 from ..functions import ids as I
-from ..functions.text import clean_longdesc, fit
+from ..functions.text import clean_longdesc
 from ..operators import classify as K
 from ..operators.joins import code_join, left_join_spread_nulls, match_salt, null_salt
 from ..sources.lookups import Lookup

@@ -30,7 +30,7 @@ from ..functions.codes import null_safe_changed
 from ..functions.ids import canonical_uuid, is_valid_hex, raw_key
 from ..functions.text import nn, strip_html
 from ..operators.changes import changed_keys, first_per_key, last_per_key, previous_value
-from ..operators.joins import delete_by_keys, not_present, only_keys
+from ..operators.joins import delete_by_keys, not_present
 from ..plans.inspections import KEYSET_BROADCAST_LIMIT, unified_inspections
 from ..session import checkpoint_dir
 from ..sources.lookups import Lookup
