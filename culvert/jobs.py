@@ -25,7 +25,7 @@ if __package__ in (None, ""):
 
 from culvert.plans.inspections import unified_inspections  # noqa: E402
 from culvert.plans.outbound import extract_to_send, register_views  # noqa: E402
-from culvert.session import checkpoint_dir, get_spark  # noqa: E402
+from culvert.session import checkpoint_dir, cluster_spark  # noqa: E402
 from culvert.sources import io  # noqa: E402
 from culvert.sources.lookups import all_lookups  # noqa: E402
 from culvert.streaming.sync import init_state, read_state, stream_sync  # noqa: E402
@@ -82,7 +82,7 @@ def main(argv: list[str] | None = None) -> None:
     i.add_argument("--cr", required=True)
     i.add_argument("--state", required=True)
     a = p.parse_args(argv)
-    spark = get_spark(app=f"culvert-{a.cmd}")
+    spark = cluster_spark(app=f"culvert-{a.cmd}")
     if a.cmd == "views":
         write_views(spark, a.src, a.out, a.state)
     elif a.cmd == "init":

@@ -20,6 +20,23 @@ BASE_CONF = {
 }
 
 
+# Defaults for large inputs (the spark-submit entry point applies them unless the
+# deployment sets its own). Partitions are sized for memory, not core count: scans split
+# at 256 MB, shuffles start wide (AQE coalesces to ~256 MB per reducer) so a 100 TB join
+# does not spill per task, skewed partitions above 5x the median and 1 GB are split.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.broadcastTimeout": "1200",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def get_spark(master: str | None = None, app: str = "culvert",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or fetch) a session. On a cluster, pass master=None and let spark-submit decide."""
@@ -37,6 +54,15 @@ def get_spark(master: str | None = None, app: str = "culvert",
     return spark
 
 
+def cluster_spark(app: str = "culvert") -> SparkSession:
+    """Session for spark-submit: CLUSTER_CONF for every key the deployment left unset."""
+    from pyspark import SparkConf, SparkContext
+    SparkContext._ensure_initialized()      # gateway up, so defaults come from the JVM
+    given = SparkConf(loadDefaults=True)    # spark-submit --conf and spark-defaults.conf
+    extra = {k: v for k, v in CLUSTER_CONF.items() if not given.contains(k)}
+    return get_spark(None, app=app, extra=extra)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
