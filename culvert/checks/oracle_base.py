@@ -261,31 +261,31 @@ def _strip(c: str, p: str) -> str:
 
 # The unified view, as three branches joined the way the integration writes them.
 VIEW_CTES = f"""
-cli AS (SELECT workordertaskoi, {clean_longdesc_sql('longdescript')} AS txt FROM workordertask),
-spine AS (
-  SELECT concat(wo.wonumber, '.', a.tasknumber) AS won, a.wotasktitle AS title, s.assetnumber AS assetno,
-         cli.txt, e1.epdrdrainagefacilityoi AS foi, e1.facilityid AS fid, e1.facilitytype AS ft,
-         e1.epdrpipe_oi, e.epdrfacility_oi, e.epdrfacilityworkhistoryoi, e.createdate_dttm, e.lastupdate_dttm,
-         a.uuid AS task_uuid, wo.uuid AS wo_uuid, e.uuid AS dr_uuid, ep2.unknfactype AS ut
-  FROM workordertask a
-  LEFT JOIN workorders wo ON a.workorder_oi = wo.workordersoi
-  LEFT JOIN asset s ON a.asset_oi = s.assetoi
-  JOIN epdrfacworkhistory e ON e.wotask_oi = a.workordertaskoi
-  LEFT JOIN epdrdrainfacility e1 ON e.epdrfacility_oi = e1.epdrdrainagefacilityoi
-  LEFT JOIN epdrunknfac ep2 ON e1.epdrunknownf_oi = ep2.epdrunknownfacilityoi
-  LEFT JOIN cli ON cli.workordertaskoi = a.workordertaskoi
+txt AS (SELECT workordertaskoi, {clean_longdesc_sql('longdescript')} AS txt FROM workordertask),
+base AS (
+  SELECT concat(w.wonumber, '.', t.tasknumber) AS won, t.wotasktitle AS title, ast.assetnumber AS assetno,
+         txt.txt, f.epdrdrainagefacilityoi AS foi, f.facilityid AS fid, f.facilitytype AS ft,
+         f.epdrpipe_oi, h.epdrfacility_oi, h.epdrfacilityworkhistoryoi, h.createdate_dttm, h.lastupdate_dttm,
+         t.uuid AS task_uuid, w.uuid AS wo_uuid, h.uuid AS dr_uuid, u.unknfactype AS ut
+  FROM workordertask t
+  LEFT JOIN workorders w ON t.workorder_oi = w.workordersoi
+  LEFT JOIN asset ast ON t.asset_oi = ast.assetoi
+  JOIN epdrfacworkhistory h ON h.wotask_oi = t.workordertaskoi
+  LEFT JOIN epdrdrainfacility f ON h.epdrfacility_oi = f.epdrdrainagefacilityoi
+  LEFT JOIN epdrunknfac u ON f.epdrunknownf_oi = u.epdrunknownfacilityoi
+  LEFT JOIN txt ON txt.workordertaskoi = t.workordertaskoi
 ),
-macp AS (
-  SELECT b.*, mh.wwtype AS mh_wwtype, mh.neighbourhd AS mh_nb, mh.location AS mh_loc, mh.cone, mh.bench,
-         mh.channel, mh.shape AS mh_shape, mh.diameter_fl AS mh_dia, mh.depth_fl AS mh_depth,
-         mh.groundelevat_fl AS mh_ground, cb.wwtype AS cb_wwtype, cb.neighbourhd AS cb_nb, cb.location AS cb_loc,
-         cb.shape AS cb_shape, cb.diameter_fl AS cb_dia, cb.depth_fl AS cb_depth, cb.framecover
-  FROM spine b
-  LEFT JOIN epdrmanhole mh ON mh.manholeid = b.fid
-  LEFT JOIN epdrcatchbasin cb ON cb.catchbasinid = b.fid
+mh_join AS (
+  SELECT b.*, m.wwtype AS mh_wwtype, m.neighbourhd AS mh_nb, m.location AS mh_loc, m.cone, m.bench,
+         m.channel, m.shape AS mh_shape, m.diameter_fl AS mh_dia, m.depth_fl AS mh_depth,
+         m.groundelevat_fl AS mh_ground, c.wwtype AS cb_wwtype, c.neighbourhd AS cb_nb, c.location AS cb_loc,
+         c.shape AS cb_shape, c.diameter_fl AS cb_dia, c.depth_fl AS cb_depth, c.framecover
+  FROM base b
+  LEFT JOIN epdrmanhole m ON m.manholeid = b.fid
+  LEFT JOIN epdrcatchbasin c ON c.catchbasinid = b.fid
   WHERE b.ft IN (1, 2) OR (b.ft = 10 AND b.ut IN (2, 3))
 ),
-macp_out AS (
+mh_rows AS (
   SELECT left(won, 100) AS work_orders_number, left(title, 400) AS work_order_task_title,
     left(assetno, 200) AS asset_number, txt AS additional_information, foi AS facilityoi,
     left(fid, 200) AS facility_id, ft AS facility_type, epdrfacility_oi, epdrfacilityworkhistoryoi,
@@ -296,11 +296,11 @@ macp_out AS (
     left(CASE WHEN ft = 1 THEN {_strip('fid', 'MH')} WHEN ft = 2 THEN {_strip('fid', 'CB')}
          WHEN ft = 10 AND ut = 3 THEN {_strip('fid', 'MH')} WHEN ft = 10 AND ut = 2 THEN {_strip('fid', 'CB')} END, 200)
       AS manhole_number,
-    mu.code AS mh_use,
-    CASE WHEN {is_cb()} THEN scb.code ELSE smh.code END AS cover_shape,
-    CASE WHEN {not_t1()} THEN NULL ELSE w1.code END AS wall_material,
-    CASE WHEN {not_t1()} THEN NULL ELSE w2.code END AS bench_material,
-    CASE WHEN {not_t1()} THEN NULL ELSE w3.code END AS channel_material,
+    use_lk.code AS mh_use,
+    CASE WHEN {is_cb()} THEN shc.code ELSE shm.code END AS cover_shape,
+    CASE WHEN {not_t1()} THEN NULL ELSE lk_cone.code END AS wall_material,
+    CASE WHEN {not_t1()} THEN NULL ELSE lk_bench.code END AS bench_material,
+    CASE WHEN {not_t1()} THEN NULL ELSE lk_chan.code END AS channel_material,
     CAST(CASE WHEN {is_cb()} THEN cb_dia ELSE mh_dia END AS DOUBLE) AS wall_bysize,
     CAST(CASE WHEN {is_cb()} THEN cb_depth ELSE mh_depth END AS DOUBLE) AS wall_depth,
     CAST(CASE WHEN {is_cb()} THEN NULL ELSE mh_ground END AS DOUBLE) AS elevation,
@@ -314,30 +314,30 @@ macp_out AS (
     left(CASE WHEN {is_cb()} THEN cb_loc ELSE mh_loc END, 400) AS street,
     CAST(NULL AS DOUBLE) AS total_length, CAST(NULL AS BIGINT) AS year_constructed, CAST(NULL AS VARCHAR) AS size,
     left(CASE WHEN {is_cb()} THEN cb_nb ELSE mh_nb END, 200) AS drainage_area
-  FROM macp b
-  LEFT JOIN lk_shape smh ON upper(trim(smh.src_text)) = upper(trim(b.mh_shape))
-  LEFT JOIN lk_shape scb ON upper(trim(scb.src_text)) = upper(trim(b.cb_shape))
-  LEFT JOIN (SELECT upper(trim(src_text)) AS k, code FROM lk_mh_use) mu
-    ON upper(trim(CASE WHEN {is_cb('b.ft', 'b.ut')} THEN b.cb_wwtype ELSE b.mh_wwtype END)) = mu.k
-  LEFT JOIN lk_wall w1 ON upper(trim(w1.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.cone END))
-  LEFT JOIN lk_wall w2 ON upper(trim(w2.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.bench END))
-  LEFT JOIN lk_wall w3 ON upper(trim(w3.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.channel END))
+  FROM mh_join b
+  LEFT JOIN lk_shape shm ON upper(trim(shm.src_text)) = upper(trim(b.mh_shape))
+  LEFT JOIN lk_shape shc ON upper(trim(shc.src_text)) = upper(trim(b.cb_shape))
+  LEFT JOIN (SELECT upper(trim(src_text)) AS k, code FROM lk_mh_use) use_lk
+    ON upper(trim(CASE WHEN {is_cb('b.ft', 'b.ut')} THEN b.cb_wwtype ELSE b.mh_wwtype END)) = use_lk.k
+  LEFT JOIN lk_wall lk_cone ON upper(trim(lk_cone.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.cone END))
+  LEFT JOIN lk_wall lk_bench ON upper(trim(lk_bench.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.bench END))
+  LEFT JOIN lk_wall lk_chan ON upper(trim(lk_chan.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.channel END))
 ),
-pacp AS (
-  SELECT b.*, ep1.material AS raw_material, ep1.shape AS raw_shape, ep1.wwtype AS raw_wwtype, ep1.pipeid,
-         ep1.usfacilityid, ep1.dsfacilityid, ep1.diameter_fl, ep1.usgroundelev_fl, ep1.usinvertelev_fl,
-         ep1.dsgroundelev_fl, ep1.dsinvertelev_fl, ep1.location AS raw_loc, ep1.length_fl, ep1.yearconst,
-         ep1.usneighbour
-  FROM spine b LEFT JOIN epdrpipe ep1 ON b.epdrpipe_oi = ep1.epdrpipeoi
+pipe_join AS (
+  SELECT b.*, p.material AS raw_material, p.shape AS raw_shape, p.wwtype AS raw_wwtype, p.pipeid,
+         p.usfacilityid, p.dsfacilityid, p.diameter_fl, p.usgroundelev_fl, p.usinvertelev_fl,
+         p.dsgroundelev_fl, p.dsinvertelev_fl, p.location AS raw_loc, p.length_fl, p.yearconst,
+         p.usneighbour
+  FROM base b LEFT JOIN epdrpipe p ON b.epdrpipe_oi = p.epdrpipeoi
   WHERE b.ft = 8 OR (b.ft = 10 AND b.ut IN (4, 5, 6, 7, 8))
 ),
-pacp_out AS (
+pipe_rows AS (
   SELECT left(won, 100) AS work_orders_number, left(title, 400) AS work_order_task_title,
     left(assetno, 200) AS asset_number, txt AS additional_information, foi AS facilityoi,
     left(fid, 200) AS facility_id, ft AS facility_type, epdrfacility_oi, epdrfacilityworkhistoryoi,
     createdate_dttm, lastupdate_dttm, 'PACP' AS inspection_type, 'Pipe' AS pip_type,
     {pipe_use_sql('raw_wwtype', True)} AS pipe_use,
-    left(coalesce(mc.code, raw_material), 200) AS material, sc.code AS shape,
+    left(coalesce(mat.code, raw_material), 200) AS material, shp.code AS shape,
     CAST(NULL AS VARCHAR) AS access_type, CAST(NULL AS VARCHAR) AS manhole_number, CAST(NULL AS VARCHAR) AS mh_use,
     CAST(NULL AS VARCHAR) AS cover_shape, CAST(NULL AS VARCHAR) AS wall_material,
     CAST(NULL AS VARCHAR) AS bench_material, CAST(NULL AS VARCHAR) AS channel_material,
@@ -354,23 +354,23 @@ pacp_out AS (
     CAST({grade_sql('dsgroundelev_fl', 'dsinvertelev_fl')} AS DOUBLE) AS down_grade_to_invert,
     left(raw_loc, 400) AS street, CAST(length_fl AS DOUBLE) AS total_length, yearconst AS year_constructed,
     CAST(NULL AS VARCHAR) AS size, left(usneighbour, 200) AS drainage_area
-  FROM pacp b
-  LEFT JOIN lk_material mc ON upper(trim(mc.src_text)) = upper(trim(b.raw_material))
-  LEFT JOIN lk_shape sc ON upper(trim(sc.src_text)) = upper(trim(b.raw_shape))
+  FROM pipe_join b
+  LEFT JOIN lk_material mat ON upper(trim(mat.src_text)) = upper(trim(b.raw_material))
+  LEFT JOIN lk_shape shp ON upper(trim(shp.src_text)) = upper(trim(b.raw_shape))
 ),
-lacp AS (
-  SELECT b.*, esc.pipelength, esc.pipesize, esc.recordtype, esc.location AS sc_loc, esc.neighbourhd AS sc_nb,
-         esc.pipetype, esc.wass_appid
-  FROM spine b LEFT JOIN epdrserviceconnect esc ON esc.wass_appid = b.fid
+svc_join AS (
+  SELECT b.*, sv.pipelength, sv.pipesize, sv.recordtype, sv.location AS sc_loc, sv.neighbourhd AS sc_nb,
+         sv.pipetype, sv.wass_appid
+  FROM base b LEFT JOIN epdrserviceconnect sv ON sv.wass_appid = b.fid
   WHERE b.ft = 4 OR (b.ft = 10 AND b.ut IN (6, 7))
 ),
-lacp_out AS (
+svc_rows AS (
   SELECT left(won, 100) AS work_orders_number, left(title, 400) AS work_order_task_title,
     left(assetno, 200) AS asset_number, txt AS additional_information, foi AS facilityoi,
     left(fid, 200) AS facility_id, ft AS facility_type, epdrfacility_oi, epdrfacilityworkhistoryoi,
     createdate_dttm, lastupdate_dttm, 'LACP' AS inspection_type, 'Service Connection' AS pip_type,
     {pipe_use_sql('recordtype', False)} AS pipe_use,
-    left(coalesce(mc.code, pipetype), 200) AS material, CAST(NULL AS VARCHAR) AS shape,
+    left(coalesce(mat.code, pipetype), 200) AS material, CAST(NULL AS VARCHAR) AS shape,
     CAST(NULL AS VARCHAR) AS access_type, CAST(NULL AS VARCHAR) AS manhole_number, CAST(NULL AS VARCHAR) AS mh_use,
     CAST(NULL AS VARCHAR) AS cover_shape, CAST(NULL AS VARCHAR) AS wall_material,
     CAST(NULL AS VARCHAR) AS bench_material, CAST(NULL AS VARCHAR) AS channel_material,
@@ -385,11 +385,11 @@ lacp_out AS (
     CAST(NULL AS DOUBLE) AS down_elevation, CAST(NULL AS DOUBLE) AS down_grade_to_invert,
     left(sc_loc, 400) AS street, CAST(pipelength AS DOUBLE) AS total_length, CAST(NULL AS BIGINT) AS year_constructed,
     left(pipesize, 100) AS size, left(sc_nb, 200) AS drainage_area
-  FROM lacp b
-  LEFT JOIN lk_material mc ON upper(trim(mc.src_text)) = upper(trim(b.pipetype))
+  FROM svc_join b
+  LEFT JOIN lk_material mat ON upper(trim(mat.src_text)) = upper(trim(b.pipetype))
 ),
 unified AS (
-  SELECT * FROM macp_out UNION ALL SELECT * FROM pacp_out UNION ALL SELECT * FROM lacp_out
+  SELECT * FROM mh_rows UNION ALL SELECT * FROM pipe_rows UNION ALL SELECT * FROM svc_rows
 )"""
 
 
