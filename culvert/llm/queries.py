@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from culvert.llm.html_text import op7_html_text
 from culvert.llm.imatch import op2_imatch
+from culvert.llm.jaccard import op4_jaccard_join
 from culvert.llm.langid import op10_language_id
 from culvert.llm.packing import op8_packing
 from culvert.llm.pieces import op3_sentencepiece
 from culvert.llm.pii import op1_pii
 from culvert.llm.quality import op6_quality_rules
+from culvert.llm.suffix_dedup import op9_suffix_dedup
 from culvert.llm.warc import op5_warc
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_imatch": op2_imatch,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
     "op7_html_text": op7_html_text,
     "op8_packing": op8_packing,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
 }
 
