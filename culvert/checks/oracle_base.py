@@ -247,153 +247,8 @@ def pipe_base_ref_sql(c: str) -> str:
             f"THEN nullif(substr({c}, 4), '') ELSE {c} END")
 
 
-def is_cb(ft="ft", ut="ut") -> str:
-    return f"({ft} = 2 OR ({ft} = 10 AND {ut} = 2))"
-
-
-def not_t1(ft="ft", ut="ut") -> str:
-    return f"({ft} = 2 OR ({ft} = 10 AND {ut} IN (2, 3)))"
-
-
-def _strip(c: str, p: str) -> str:
-    return f"nullif(regexp_replace({c}, '^{p}', ''), '')"
-
-
-# The unified view, as three branches joined the way the integration writes them.
-VIEW_CTES = f"""
-txt AS (SELECT workordertaskoi, {clean_longdesc_sql('longdescript')} AS txt FROM workordertask),
-base AS (
-  SELECT concat(w.wonumber, '.', t.tasknumber) AS won, t.wotasktitle AS title, ast.assetnumber AS assetno,
-         txt.txt, f.epdrdrainagefacilityoi AS foi, f.facilityid AS fid, f.facilitytype AS ft,
-         f.epdrpipe_oi, h.epdrfacility_oi, h.epdrfacilityworkhistoryoi, h.createdate_dttm, h.lastupdate_dttm,
-         t.uuid AS task_uuid, w.uuid AS wo_uuid, h.uuid AS dr_uuid, u.unknfactype AS ut
-  FROM workordertask t
-  LEFT JOIN workorders w ON t.workorder_oi = w.workordersoi
-  LEFT JOIN asset ast ON t.asset_oi = ast.assetoi
-  JOIN epdrfacworkhistory h ON h.wotask_oi = t.workordertaskoi
-  LEFT JOIN epdrdrainfacility f ON h.epdrfacility_oi = f.epdrdrainagefacilityoi
-  LEFT JOIN epdrunknfac u ON f.epdrunknownf_oi = u.epdrunknownfacilityoi
-  LEFT JOIN txt ON txt.workordertaskoi = t.workordertaskoi
-),
-mh_join AS (
-  SELECT b.*, m.wwtype AS mh_wwtype, m.neighbourhd AS mh_nb, m.location AS mh_loc, m.cone, m.bench,
-         m.channel, m.shape AS mh_shape, m.diameter_fl AS mh_dia, m.depth_fl AS mh_depth,
-         m.groundelevat_fl AS mh_ground, c.wwtype AS cb_wwtype, c.neighbourhd AS cb_nb, c.location AS cb_loc,
-         c.shape AS cb_shape, c.diameter_fl AS cb_dia, c.depth_fl AS cb_depth, c.framecover
-  FROM base b
-  LEFT JOIN epdrmanhole m ON m.manholeid = b.fid
-  LEFT JOIN epdrcatchbasin c ON c.catchbasinid = b.fid
-  WHERE b.ft IN (1, 2) OR (b.ft = 10 AND b.ut IN (2, 3))
-),
-mh_rows AS (
-  SELECT left(won, 100) AS work_orders_number, left(title, 400) AS work_order_task_title,
-    left(assetno, 200) AS asset_number, txt AS additional_information, foi AS facilityoi,
-    left(fid, 200) AS facility_id, ft AS facility_type, epdrfacility_oi, epdrfacilityworkhistoryoi,
-    createdate_dttm, lastupdate_dttm, 'MACP' AS inspection_type, CAST(NULL AS VARCHAR) AS pip_type,
-    CAST(NULL AS VARCHAR) AS pipe_use, CAST(NULL AS VARCHAR) AS material, CAST(NULL AS VARCHAR) AS shape,
-    CASE WHEN ft = 10 AND ut = 3 THEN 'AMH' WHEN ft = 10 AND ut = 2 THEN 'ACB' WHEN ft = 1 THEN 'AMH'
-         WHEN ft = 2 THEN 'ACB' END AS access_type,
-    left(CASE WHEN ft = 1 THEN {_strip('fid', 'MH')} WHEN ft = 2 THEN {_strip('fid', 'CB')}
-         WHEN ft = 10 AND ut = 3 THEN {_strip('fid', 'MH')} WHEN ft = 10 AND ut = 2 THEN {_strip('fid', 'CB')} END, 200)
-      AS manhole_number,
-    use_lk.code AS mh_use,
-    CASE WHEN {is_cb()} THEN shc.code ELSE shm.code END AS cover_shape,
-    CASE WHEN {not_t1()} THEN NULL ELSE lk_cone.code END AS wall_material,
-    CASE WHEN {not_t1()} THEN NULL ELSE lk_bench.code END AS bench_material,
-    CASE WHEN {not_t1()} THEN NULL ELSE lk_chan.code END AS channel_material,
-    CAST(CASE WHEN {is_cb()} THEN cb_dia ELSE mh_dia END AS DOUBLE) AS wall_bysize,
-    CAST(CASE WHEN {is_cb()} THEN cb_depth ELSE mh_depth END AS DOUBLE) AS wall_depth,
-    CAST(CASE WHEN {is_cb()} THEN NULL ELSE mh_ground END AS DOUBLE) AS elevation,
-    CASE WHEN {is_cb()} THEN left(framecover, 100) END AS frame_material,
-    left(CASE WHEN {not_t1()} THEN fid END, 200) AS pipe_segment_reference,
-    CAST(NULL AS VARCHAR) AS lateral_segment_reference, CAST(NULL AS VARCHAR) AS upstream_mh,
-    CAST(NULL AS VARCHAR) AS downstream_mh, left(task_uuid, 100) AS work_order_task_uuid,
-    left(wo_uuid, 100) AS work_order_uuid, left(dr_uuid, 100) AS dr_uuid, ut AS unknown_type,
-    CAST(NULL AS DOUBLE) AS height, CAST(NULL AS DOUBLE) AS up_elevation, CAST(NULL AS DOUBLE) AS up_grade_to_invert,
-    CAST(NULL AS DOUBLE) AS down_elevation, CAST(NULL AS DOUBLE) AS down_grade_to_invert,
-    left(CASE WHEN {is_cb()} THEN cb_loc ELSE mh_loc END, 400) AS street,
-    CAST(NULL AS DOUBLE) AS total_length, CAST(NULL AS BIGINT) AS year_constructed, CAST(NULL AS VARCHAR) AS size,
-    left(CASE WHEN {is_cb()} THEN cb_nb ELSE mh_nb END, 200) AS drainage_area
-  FROM mh_join b
-  LEFT JOIN lk_shape shm ON upper(trim(shm.src_text)) = upper(trim(b.mh_shape))
-  LEFT JOIN lk_shape shc ON upper(trim(shc.src_text)) = upper(trim(b.cb_shape))
-  LEFT JOIN (SELECT upper(trim(src_text)) AS k, code FROM lk_mh_use) use_lk
-    ON upper(trim(CASE WHEN {is_cb('b.ft', 'b.ut')} THEN b.cb_wwtype ELSE b.mh_wwtype END)) = use_lk.k
-  LEFT JOIN lk_wall lk_cone ON upper(trim(lk_cone.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.cone END))
-  LEFT JOIN lk_wall lk_bench ON upper(trim(lk_bench.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.bench END))
-  LEFT JOIN lk_wall lk_chan ON upper(trim(lk_chan.src_text)) = upper(trim(CASE WHEN {not_t1('b.ft', 'b.ut')} THEN NULL ELSE b.channel END))
-),
-pipe_join AS (
-  SELECT b.*, p.material AS raw_material, p.shape AS raw_shape, p.wwtype AS raw_wwtype, p.pipeid,
-         p.usfacilityid, p.dsfacilityid, p.diameter_fl, p.usgroundelev_fl, p.usinvertelev_fl,
-         p.dsgroundelev_fl, p.dsinvertelev_fl, p.location AS raw_loc, p.length_fl, p.yearconst,
-         p.usneighbour
-  FROM base b LEFT JOIN epdrpipe p ON b.epdrpipe_oi = p.epdrpipeoi
-  WHERE b.ft = 8 OR (b.ft = 10 AND b.ut IN (4, 5, 6, 7, 8))
-),
-pipe_rows AS (
-  SELECT left(won, 100) AS work_orders_number, left(title, 400) AS work_order_task_title,
-    left(assetno, 200) AS asset_number, txt AS additional_information, foi AS facilityoi,
-    left(fid, 200) AS facility_id, ft AS facility_type, epdrfacility_oi, epdrfacilityworkhistoryoi,
-    createdate_dttm, lastupdate_dttm, 'PACP' AS inspection_type, 'Pipe' AS pip_type,
-    {pipe_use_sql('raw_wwtype', True)} AS pipe_use,
-    left(coalesce(mat.code, raw_material), 200) AS material, shp.code AS shape,
-    CAST(NULL AS VARCHAR) AS access_type, CAST(NULL AS VARCHAR) AS manhole_number, CAST(NULL AS VARCHAR) AS mh_use,
-    CAST(NULL AS VARCHAR) AS cover_shape, CAST(NULL AS VARCHAR) AS wall_material,
-    CAST(NULL AS VARCHAR) AS bench_material, CAST(NULL AS VARCHAR) AS channel_material,
-    CAST(NULL AS DOUBLE) AS wall_bysize, CAST(NULL AS DOUBLE) AS wall_depth, CAST(NULL AS DOUBLE) AS elevation,
-    CAST(NULL AS VARCHAR) AS frame_material,
-    left(CASE WHEN ft = 10 AND ut IN (4, 5) THEN fid ELSE {pipe_base_ref_sql('pipeid')} END, 200) AS pipe_segment_reference,
-    CAST(NULL AS VARCHAR) AS lateral_segment_reference,
-    left(usfacilityid, 200) AS upstream_mh, left(dsfacilityid, 200) AS downstream_mh,
-    left(task_uuid, 100) AS work_order_task_uuid, left(wo_uuid, 100) AS work_order_uuid,
-    left(dr_uuid, 100) AS dr_uuid, ut AS unknown_type, CAST(diameter_fl AS DOUBLE) AS height,
-    CAST(usgroundelev_fl AS DOUBLE) AS up_elevation,
-    CAST({grade_sql('usgroundelev_fl', 'usinvertelev_fl')} AS DOUBLE) AS up_grade_to_invert,
-    CAST(dsgroundelev_fl AS DOUBLE) AS down_elevation,
-    CAST({grade_sql('dsgroundelev_fl', 'dsinvertelev_fl')} AS DOUBLE) AS down_grade_to_invert,
-    left(raw_loc, 400) AS street, CAST(length_fl AS DOUBLE) AS total_length, yearconst AS year_constructed,
-    CAST(NULL AS VARCHAR) AS size, left(usneighbour, 200) AS drainage_area
-  FROM pipe_join b
-  LEFT JOIN lk_material mat ON upper(trim(mat.src_text)) = upper(trim(b.raw_material))
-  LEFT JOIN lk_shape shp ON upper(trim(shp.src_text)) = upper(trim(b.raw_shape))
-),
-svc_join AS (
-  SELECT b.*, sv.pipelength, sv.pipesize, sv.recordtype, sv.location AS sc_loc, sv.neighbourhd AS sc_nb,
-         sv.pipetype, sv.wass_appid
-  FROM base b LEFT JOIN epdrserviceconnect sv ON sv.wass_appid = b.fid
-  WHERE b.ft = 4 OR (b.ft = 10 AND b.ut IN (6, 7))
-),
-svc_rows AS (
-  SELECT left(won, 100) AS work_orders_number, left(title, 400) AS work_order_task_title,
-    left(assetno, 200) AS asset_number, txt AS additional_information, foi AS facilityoi,
-    left(fid, 200) AS facility_id, ft AS facility_type, epdrfacility_oi, epdrfacilityworkhistoryoi,
-    createdate_dttm, lastupdate_dttm, 'LACP' AS inspection_type, 'Service Connection' AS pip_type,
-    {pipe_use_sql('recordtype', False)} AS pipe_use,
-    left(coalesce(mat.code, pipetype), 200) AS material, CAST(NULL AS VARCHAR) AS shape,
-    CAST(NULL AS VARCHAR) AS access_type, CAST(NULL AS VARCHAR) AS manhole_number, CAST(NULL AS VARCHAR) AS mh_use,
-    CAST(NULL AS VARCHAR) AS cover_shape, CAST(NULL AS VARCHAR) AS wall_material,
-    CAST(NULL AS VARCHAR) AS bench_material, CAST(NULL AS VARCHAR) AS channel_material,
-    CAST(NULL AS DOUBLE) AS wall_bysize, CAST(NULL AS DOUBLE) AS wall_depth, CAST(NULL AS DOUBLE) AS elevation,
-    CAST(NULL AS VARCHAR) AS frame_material, CAST(NULL AS VARCHAR) AS pipe_segment_reference,
-    left(CASE WHEN ft = 10 AND ut IN (6, 7) THEN fid ELSE {drop_last_segment_sql('wass_appid')} END, 200)
-      AS lateral_segment_reference,
-    CAST(NULL AS VARCHAR) AS upstream_mh, CAST(NULL AS VARCHAR) AS downstream_mh,
-    left(task_uuid, 100) AS work_order_task_uuid, left(wo_uuid, 100) AS work_order_uuid,
-    left(dr_uuid, 100) AS dr_uuid, ut AS unknown_type, CAST(NULL AS DOUBLE) AS height,
-    CAST(NULL AS DOUBLE) AS up_elevation, CAST(NULL AS DOUBLE) AS up_grade_to_invert,
-    CAST(NULL AS DOUBLE) AS down_elevation, CAST(NULL AS DOUBLE) AS down_grade_to_invert,
-    left(sc_loc, 400) AS street, CAST(pipelength AS DOUBLE) AS total_length, CAST(NULL AS BIGINT) AS year_constructed,
-    left(pipesize, 100) AS size, left(sc_nb, 200) AS drainage_area
-  FROM svc_join b
-  LEFT JOIN lk_material mat ON upper(trim(mat.src_text)) = upper(trim(b.pipetype))
-),
-unified AS (
-  SELECT * FROM mh_rows UNION ALL SELECT * FROM pipe_rows UNION ALL SELECT * FROM svc_rows
-)"""
-
-
 def with_ctes(select: str, extra_ctes: str = "") -> str:
     """A full oracle statement: fixture CTEs, view CTEs, optional extra CTEs, then the select."""
+    from .oracle_view import view_ctes
     extra = f",\n{extra_ctes}" if extra_ctes.strip() else ""
-    return f"WITH {FIXTURE_CTES},\n{VIEW_CTES}{extra}\n{select}"
+    return f"WITH {FIXTURE_CTES},\n{view_ctes()}{extra}\n{select}"
