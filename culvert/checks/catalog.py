@@ -27,7 +27,7 @@ from ..plans.spine import task_dim
 from ..session import checkpoint_dir
 from ..sources import fixtures as FX
 from ..sources.lookups import all_lookups
-from ..sources.schemas import CR_INSPECT_COLUMNS, SOURCE_NAMES
+from ..sources.schemas import CR_INSPECT_COLUMNS, CR_INSPECT_SCHEMA, SOURCE_NAMES
 from ..streaming import rules as R
 from ..streaming.sync import init_state, read_state, stream_sync
 
@@ -77,7 +77,7 @@ class Ctx:
         return R.feed_part(self.feed, source, cols)
 
     def empty_cr(self) -> DataFrame:
-        return self.collected().limit(0).select(*CR_INSPECT_COLUMNS)
+        return self.spark.createDataFrame([], CR_INSPECT_SCHEMA)
 
     def collected(self) -> DataFrame:
         hf = self.part("history", ["history_oi"])
@@ -152,18 +152,24 @@ def outbound_extract(c: Ctx):
 
 def feed_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured Streaming replay of the whole feed (several micro-batches), then the
-    final staging state. Result is compared rows-only (no oracle)."""
+    final staging state: the same as one batch gives, as events follow ``seq``."""
     c = Ctx(spark, sf_dir)
     base = os.path.join(checkpoint_dir(spark), f"replay-{uuid.uuid4().hex}")
     feed_dir, state_dir, ckpt = (os.path.join(base, x) for x in ("feed", "state", "ckpt"))
     from ..sources.io import write_feed
-    write_feed(c.feed, feed_dir, files=4)
+    write_feed(c.feed, feed_dir, files=3)
     init_state(state_dir, {"stg": c.stg, "queue": c.queue, "cr": c.empty_cr()})
     q = stream_sync(spark, feed_dir, state_dir, ckpt, c.src, c.lk, max_files_per_trigger=1)
     q.awaitTermination()
     return read_state(spark, state_dir)["stg"]
 
 
+@_q
+def view_outbound(c: Ctx):
+    register_views(c.spark, c.src, c.collected().select(*CR_INSPECT_COLUMNS))
+    return c.spark.sql("SELECT inspection_type, count(*) AS n FROM cr_inspect_to_send_v GROUP BY inspection_type")
+
+
 # ------------------------------------------------------------------ B: projections, predicates
 
 @_q
@@ -313,7 +319,7 @@ def update_by_two_keys(c: Ctx):
 @_q
 def delete_by_keys_q(c: Ctx):
     qf = c.part("queue", ["queue_uuid", "old_status", "new_status"])
-    keys = R.sent_transitions(qf, c.queue, R.feed_is_bounded(qf))
+    keys = R.sent_transitions(qf, c.queue)
     return delete_by_keys(c.queue, keys, "task_uuid", "key")
 
 
@@ -339,7 +345,7 @@ def last_per_key_q(c: Ctx):
 @_q
 def previous_value_q(c: Ctx):
     qf = c.part("queue", ["queue_uuid", "new_status"])
-    return R.with_old_status(qf, c.queue, R.feed_is_bounded(qf)).select("seq", "queue_uuid", "new_status",
+    return R.with_old_status(qf, c.queue).select("seq", "queue_uuid", "new_status",
                                                  F.col("old_status").alias("prev_status"))
 
 
@@ -427,21 +433,21 @@ def enqueue_work_orders(c: Ctx):
 @_q
 def acknowledge_sent_stg(c: Ctx):
     qf = c.part("queue", ["queue_uuid", "old_status", "new_status"])
-    stg, _ = R.acknowledge_sent(c.stg, c.queue, qf, R.feed_is_bounded(qf))
+    stg, _ = R.acknowledge_sent(c.stg, c.queue, qf)
     return stg
 
 
 @_q
 def acknowledge_sent_queue(c: Ctx):
     qf = c.part("queue", ["queue_uuid", "old_status", "new_status"])
-    _, q = R.acknowledge_sent(c.stg, c.queue, qf, R.feed_is_bounded(qf))
+    _, q = R.acknowledge_sent(c.stg, c.queue, qf)
     return q
 
 
 @_q
 def propagate_due_date(c: Ctx):
     wf = c.part("workorder", ["wo_uuid", "site_oi", "reqcompdate_dttm"])
-    return R.propagate_due_date(c.stg, wf, R.feed_is_bounded(wf)).drop(R.CHG)
+    return R.propagate_due_date(c.stg, wf).drop(R.CHG, R.CHG_DATE)
 
 
 @_q
@@ -451,15 +457,15 @@ def collect_inspections(c: Ctx):
 
 @_q
 def reflag_tasks(c: Ctx):
-    stg, _ = R.reflag_tasks(c.stg, c.collected(), R.feed_is_bounded(c.part("history", ["history_oi"])))
-    return stg.drop(R.CHG)
+    stg, _ = R.reflag_tasks(c.stg, c.collected())
+    return stg.drop(R.CHG, R.CHG_DATE)
 
 
 @_q
 def backfill_sid(c: Ctx):
     cr = c.collected().select(*CR_INSPECT_COLUMNS)
     vf = c.part("vendor", ["workorder", "inspection_sid"])
-    return R.backfill_sid(cr, vf, bounded=R.feed_is_bounded(vf))
+    return R.backfill_sid(cr, vf)
 
 
 def _cascade(c: Ctx) -> dict[str, DataFrame]:
@@ -479,6 +485,25 @@ def cascade_queue(c: Ctx):
 
 # ------------------------------------------------------------------ K: quality reports
 
+@_q
+def cascade_quarantine(c: Ctx):
+    out = _cascade(c)
+    seqs = c.part("staging", ["task_uuid", "workorder_uuid", "wotasktitle"]).where(F.col("workorder_uuid").isNull())
+    lost = out["quarantine_queue"].join(seqs.select("seq", "task_uuid"), "task_uuid")
+    return (out["quarantine_ids"].select(F.lit("inspection.bad_hex").alias("rule"), "seq")
+            .unionByName(lost.select(F.lit("staging.null_work_order").alias("rule"), "seq")))
+
+
+@_q
+def dq_coverage(c: Ctx):
+    return Q.coverage(c.src, c.lk)
+
+
+@_q
+def dq_lookups(c: Ctx):
+    return Q.lookup_report(c.lk)
+
+
 @_q
 def dq_duplicate_keys(c: Ctx):
     parts = [
@@ -507,7 +532,7 @@ def dq_nulls(c: Ctx):
 def dq_quarantine(c: Ctx):
     _, bad_q = Q.split_valid(c.stg, Q.queue_key_rule())
     h = c.src["epdrfacworkhistory"]
-    _, bad_h = Q.split_valid(h, Q.hex_id_rule("uuid"))
+    _, bad_h = Q.split_valid(h, F.coalesce(Q.hex_id_rule("uuid"), F.col("uuid").isNull()))
     _, bad_p = Q.split_valid(c.src["epdrpipe"], F.col("pipeid").isNotNull())
     return (bad_q.agg(F.count(F.lit(1)).alias("n")).select(F.lit("stg.null_workorder").alias("rule"), "n")
             .unionByName(bad_h.agg(F.count(F.lit(1)).alias("n")).select(F.lit("history.bad_hex").alias("rule"), "n"))
@@ -554,5 +579,6 @@ QUERIES = {
     "collect_inspections": collect_inspections, "reflag_tasks": reflag_tasks, "backfill_sid": backfill_sid,
     "cascade_stg": cascade_stg, "cascade_queue": cascade_queue,
     "dq_duplicate_keys": dq_duplicate_keys, "dq_nulls": dq_nulls, "dq_quarantine": dq_quarantine,
-    "dq_unmapped": dq_unmapped, "dq_double_branch": dq_double_branch, "default_task_uuid": default_task_uuid,
+    "cascade_quarantine": cascade_quarantine, "view_outbound": view_outbound,
+    "dq_coverage": dq_coverage, "dq_lookups": dq_lookups, "dq_unmapped": dq_unmapped, "dq_double_branch": dq_double_branch, "default_task_uuid": default_task_uuid,
 }

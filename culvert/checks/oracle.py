@@ -64,7 +64,7 @@ crn0 AS (
 crn AS (
   SELECT * REPLACE ({strip_html_sql('additional_information')} AS additional_information)
   FROM crn0 c1
-  WHERE NOT EXISTS (SELECT 1 FROM crn0 c2 WHERE c2.inspectionid = c1.raw_dr AND c2.key_txt < c1.key_txt)
+  WHERE NOT EXISTS (SELECT 1 FROM crn0 c2 WHERE c2.inspectionid = c1.raw_dr AND (c2.hseq, c2.key_txt) < (c1.hseq, c1.key_txt))
 )"""
 
 REFLAG_CTES = f"""
@@ -142,9 +142,70 @@ def _u(select: str, extra: str = "") -> str:
     return with_ctes(select, extra)
 
 
-CASCADE_CTES = ",\n".join([
-    ACK_CTES, COLLECT_CTES, REFLAG_CTES, f"stg_r AS ({reflag_sql('stg_ack')})", DUE_CTES,
-    f"stg_d AS ({due_sql('stg_r', True)})", enqueue_sql("queue_ack", "stg_d", True).strip()])
+def _sent(c: str) -> str:
+    return f"nullif(trim(upper({c})), '') IN ('SEND', 'SENT')"
+
+
+NO_DATE = "TIMESTAMP '1900-01-01 00:00:00'"
+FIRED = ", ".join(f"first_value({c}2) OVER (PARTITION BY wo ORDER BY fire DESC, task) AS f_{c}" for c in ("title", "pc", "ps", "cls", "st"))
+KEPT = ", ".join(f"CASE WHEN q_keep THEN {'q_st2' if c == 'st' else 'q_' + c} WHEN w_fire THEN f_{c} END AS q_{c}" for c in ("title", "pc", "ps", "cls", "st"))
+
+# The cascade one event at a time: every work order steps through its events in the order of seq.
+CASCADE_CTES = f"""{COLLECT_CTES},
+flags AS (
+  SELECT project_sid, work_order_uuid, hseq AS seq FROM crn WHERE feed_status = 'NEW'
+  UNION ALL SELECT project_sid, work_order_uuid, seq FROM feed_inspection WHERE feed_status = 'NEW'
+),
+step0 AS (
+  SELECT queue_uuid AS wo, seq, 'queue' AS kind, CAST(NULL AS VARCHAR) AS task, CAST(NULL AS TIMESTAMP) AS d, old_status, new_status,
+         CAST(NULL AS VARCHAR) AS title, CAST(NULL AS TIMESTAMP) AS start, CAST(NULL AS BIGINT) AS cls FROM feed_queue
+  UNION ALL SELECT wo_uuid, seq, 'due', NULL, reqcompdate_dttm, NULL, NULL, NULL, NULL, NULL FROM feed_workorder WHERE site_oi = 58
+  UNION ALL SELECT DISTINCT {_raw_key('work_order_uuid')}, seq, 'flag', {_raw_key('project_sid')}, CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+         CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT) FROM flags WHERE {_valid_hex('project_sid')} AND {_valid_hex('work_order_uuid')}
+  UNION ALL SELECT workorder_uuid, seq, 'staging', task_uuid, plndcompdate_dttm, NULL, feed_status, wotasktitle, plndstrtdate_dttm, workclassifi_oi FROM feed_staging
+),
+step AS (SELECT *, row_number() OVER (PARTITION BY wo ORDER BY seq, kind, coalesce(task, '')) AS n FROM step0 WHERE wo IS NOT NULL),
+start AS (
+  SELECT workorder_uuid AS wo, task_uuid AS task, true AS present, wotasktitle AS title, plndcompdate_dttm AS pc, plndstrtdate_dttm AS ps, workclassifi_oi AS cls, feed_status AS st
+  FROM wot_stg WHERE workorder_uuid IN (SELECT wo FROM step)
+  UNION ALL SELECT DISTINCT wo, task, false, CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR)
+  FROM step WHERE kind = 'staging' AND task NOT IN (SELECT task_uuid FROM wot_stg WHERE task_uuid IS NOT NULL)
+  UNION ALL SELECT DISTINCT wo, CAST(NULL AS VARCHAR), false, CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR) FROM step
+),
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS n, s.*, q.task_uuid IS NOT NULL AS q_in, q.wotasktitle AS q_title, q.plndcompdate_dttm AS q_pc, q.plndstrtdate_dttm AS q_ps, q.workclassifi_oi AS q_cls, q.feed_status AS q_st
+  FROM start s LEFT JOIN wot_stg1 q ON q.task_uuid = s.wo
+  UNION ALL
+  SELECT n, wo, task, present2, title2, pc2, ps2, cls2, st2, q_keep OR w_fire, {KEPT}
+  FROM (
+    SELECT *, bool_or(fire) OVER (PARTITION BY wo) AS w_fire, {FIRED}
+    FROM (
+      SELECT e.n, w.wo, w.task, w.present OR own AS present2, CASE WHEN own THEN e.title ELSE w.title END AS title2,
+             CASE WHEN own OR due THEN e.d ELSE pc END AS pc2, CASE WHEN own THEN e.start ELSE ps END AS ps2, CASE WHEN own THEN e.cls ELSE w.cls END AS cls2,
+             CASE WHEN own THEN e.new_status WHEN due OR flag THEN 'UPDATED' WHEN gone AND w.present THEN 'SENT' ELSE st END AS st2,
+             due OR flag OR (own AND coalesce(e.new_status IN ('NEW', 'UPDATED'), false)) AS fire,
+             q_in AND NOT gone AS q_keep, CASE WHEN e.kind = 'queue' THEN e.new_status ELSE q_st END AS q_st2, q_title, q_pc, q_ps, q_cls, q_st
+      FROM (
+        SELECT w.*, e.n AS en, coalesce(e.kind = 'staging' AND e.task = w.task, false) AS own,
+               e.kind = 'due' AND w.present AND coalesce(w.pc, {NO_DATE}) <> coalesce(e.d, {NO_DATE}) AS due,
+               coalesce(e.kind = 'flag' AND w.present AND e.task = w.task AND coalesce(w.st, '~') <> 'UPDATED', false) AS flag,
+               coalesce(e.kind = 'queue' AND w.q_in AND {_sent('e.new_status')} AND (e.old_status IS NULL OR NOT {_sent('e.old_status')}), false) AS gone
+        FROM walk w JOIN step e ON e.wo = w.wo AND e.n = w.n + 1
+      ) w JOIN step e ON e.wo = w.wo AND e.n = w.en
+    )
+  )
+),
+done AS (SELECT w.* FROM walk w JOIN (SELECT wo, max(n) AS n FROM step GROUP BY wo) x ON x.wo = w.wo AND x.n = w.n),
+stg_out AS (
+  SELECT task AS task_uuid, wo AS workorder_uuid, title AS wotasktitle, pc AS plndcompdate_dttm, ps AS plndstrtdate_dttm, cls AS workclassifi_oi, st AS feed_status, CAST(NULL AS TIMESTAMPTZ) AS feed_status_dttm
+  FROM done WHERE present
+  UNION ALL SELECT {STG_COLS} FROM wot_stg WHERE workorder_uuid IS NULL OR workorder_uuid NOT IN (SELECT wo FROM step)
+  UNION ALL SELECT task_uuid, workorder_uuid, wotasktitle, plndcompdate_dttm, plndstrtdate_dttm, workclassifi_oi, feed_status, CAST(NULL AS TIMESTAMPTZ) FROM feed_staging WHERE workorder_uuid IS NULL
+),
+queue_out AS (
+  SELECT wo AS task_uuid, q_title AS wotasktitle, q_pc AS plndcompdate_dttm, q_ps AS plndstrtdate_dttm, q_cls AS workclassifi_oi, q_st AS feed_status FROM done WHERE task IS NULL AND q_in
+  UNION ALL SELECT {Q_COLS} FROM wot_stg1 WHERE task_uuid NOT IN (SELECT wo FROM step)
+)"""
 
 
 def build() -> dict[str, str]:
@@ -303,8 +364,21 @@ FROM workordertask a LEFT JOIN workorders wo ON a.workorder_oi = wo.workordersoi
 SELECT {cr_cols_b} FROM crn c LEFT JOIN (
   SELECT workorder, arg_max(inspection_sid, seq) AS sid FROM feed_vendor WHERE workorder IS NOT NULL GROUP BY workorder
 ) v ON v.workorder = c.workorder""", COLLECT_CTES)
-    o["cascade_stg"] = _u(f"SELECT {STG_COLS} FROM stg_d", CASCADE_CTES)
-    o["cascade_queue"] = _u(f"SELECT {Q_COLS} FROM eq_out", CASCADE_CTES)
+    o["cascade_stg"] = o["feed_stream_replay"] = with_ctes(f"SELECT {STG_COLS} FROM stg_out", CASCADE_CTES, recursive=True)
+    o["cascade_queue"] = with_ctes(f"SELECT {Q_COLS} FROM queue_out", CASCADE_CTES, recursive=True)
+    o["cascade_quarantine"] = with_ctes(f"""
+SELECT 'inspection.bad_hex' AS rule, seq FROM flags WHERE NOT coalesce({_valid_hex('project_sid')}, true) OR NOT coalesce({_valid_hex('work_order_uuid')}, true)
+UNION ALL SELECT 'staging.null_work_order', seq FROM feed_staging WHERE workorder_uuid IS NULL AND feed_status IN ('NEW', 'UPDATED')""", CASCADE_CTES, recursive=True)
+    o["default_task_uuid"] = _u("SELECT 32 AS len, workorder_uuid FROM wot_stg")
+    o["view_outbound"] = _u("SELECT inspection_type, count(*) AS n FROM crn WHERE feed_status = 'NEW' GROUP BY 1", COLLECT_CTES)
+    raw = {"shape": [("epdrpipe", "shape"), ("epdrmanhole", "shape"), ("epdrcatchbasin", "shape")], "material": [("epdrpipe", "material"), ("epdrserviceconnect", "pipetype")],
+           "mh_use": [("epdrmanhole", "wwtype"), ("epdrcatchbasin", "wwtype")], "wall": [("epdrmanhole", c) for c in ("cone", "bench", "channel")]}
+    o["dq_coverage"] = _u(" UNION ALL ".join(f"""
+SELECT '{k}' AS lookup, upper(trim(r.raw)) AS raw, count(*) AS n FROM ({" UNION ALL ".join(f"SELECT {c} AS raw FROM {t}" for t, c in cols)}) r
+WHERE r.raw IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lk_{k} l WHERE upper(trim(l.src_text)) = upper(trim(r.raw))) GROUP BY 1, 2""" for k, cols in raw.items()))
+    o["dq_lookups"] = _u(" UNION ALL ".join(f"""
+SELECT '{k}' AS lookup, (SELECT count(*) FROM lk_{k}) AS row_count, (SELECT count(*) FROM lk_{k} WHERE src_text IS NULL) AS null_keys,
+  (SELECT count(*) FROM (SELECT 1 FROM lk_{k} WHERE src_text IS NOT NULL GROUP BY upper(trim(src_text)) HAVING count(*) > 1)) AS repeated_keys""" for k in ("mh_use", "shape", "material", "wall")))
     o["dq_duplicate_keys"] = _u("""
 SELECT 'queue.task_uuid' AS check_name, task_uuid AS key, count(*) AS n FROM wot_stg1 WHERE task_uuid IS NOT NULL GROUP BY 2 HAVING count(*) > 1
 UNION ALL SELECT 'stg.task_uuid', task_uuid, count(*) FROM wot_stg WHERE task_uuid IS NOT NULL GROUP BY 2 HAVING count(*) > 1
@@ -324,7 +398,7 @@ UNION ALL SELECT 'epdrpipe', 'pipeid', count(*) - count(pipeid) FROM epdrpipe
 UNION ALL SELECT 'epdrpipe', 'usgroundelev_fl', count(*) - count(usgroundelev_fl) FROM epdrpipe""")
     o["dq_quarantine"] = _u(f"""
 SELECT 'stg.null_workorder' AS rule, count(*) AS n FROM wot_stg WHERE workorder_uuid IS NULL
-UNION ALL SELECT 'history.bad_hex', count(*) FROM epdrfacworkhistory WHERE NOT coalesce({_valid_hex('uuid')}, false)
+UNION ALL SELECT 'history.bad_hex', count(*) FROM epdrfacworkhistory WHERE NOT coalesce({_valid_hex('uuid')}, true)
 UNION ALL SELECT 'pipe.null_id', count(*) FROM epdrpipe WHERE pipeid IS NULL""")
     from ..sources.lookups import MATERIAL_ROWS
     codes = ", ".join(f"'{c}'" for c in sorted({c for _, c in MATERIAL_ROWS}))

@@ -190,6 +190,20 @@ feed_queue AS (
          {pick(ACK_OLD_CYCLE, '(event_id // 4) % 4')} AS old_status, {pick(ACK_NEW_CYCLE, 'event_id % 4')} AS new_status
   FROM events WHERE event_type = 'click'
 ),
+feed_staging AS (
+  SELECT event_id AS seq, CASE WHEN event_id % 6 = 0 THEN md5(concat('new-', event_id)) ELSE md5(concat('task-', user_id * 10 + 1)) END AS task_uuid,
+         CASE WHEN event_id % 30 <> 0 THEN md5(concat('wo-', user_id)) END AS workorder_uuid, concat('ST ', event_id) AS wotasktitle,
+         CASE WHEN event_id % 10 <> 4 THEN date_trunc('second', CAST(ts AS TIMESTAMP)) END AS plndcompdate_dttm,
+         date_trunc('second', CAST(ts AS TIMESTAMP)) AS plndstrtdate_dttm, event_id % 4 AS workclassifi_oi,
+         {pick(STG_STATUS_CYCLE, '(event_id // 2) % 5')} AS feed_status
+  FROM events WHERE event_type = 'error' AND event_id % 2 = 0
+),
+feed_inspection AS (
+  SELECT event_id AS seq, CASE WHEN event_id % 25 = 1 THEN 'not-hex' WHEN event_id % 25 = 2 THEN NULL
+         ELSE upper(md5(concat('task-', user_id * 10 + event_id % 3 + 1))) END AS project_sid,
+         md5(concat('wo-', user_id)) AS work_order_uuid, CASE WHEN event_id % 3 = 0 THEN 'SENT' ELSE 'NEW' END AS feed_status
+  FROM events WHERE event_type = 'error' AND event_id % 2 = 1
+),
 feed_vendor AS (
   SELECT event_id AS seq, concat('WO', user_id, '.', event_id % 7 + 1) AS workorder,
          concat('SID-', event_id) AS inspection_sid
@@ -247,8 +261,8 @@ def pipe_base_ref_sql(c: str) -> str:
             f"THEN nullif(substr({c}, 4), '') ELSE {c} END")
 
 
-def with_ctes(select: str, extra_ctes: str = "") -> str:
+def with_ctes(select: str, extra_ctes: str = "", recursive: bool = False) -> str:
     """A full oracle statement: fixture CTEs, view CTEs, optional extra CTEs, then the select."""
     from .oracle_view import view_ctes
     extra = f",\n{extra_ctes}" if extra_ctes.strip() else ""
-    return f"WITH {FIXTURE_CTES},\n{view_ctes()}{extra}\n{select}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{FIXTURE_CTES},\n{view_ctes()}{extra}\n{select}"

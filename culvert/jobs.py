@@ -56,7 +56,7 @@ def start_sync(spark: SparkSession, src_dir: str, feed_dir: str, state_dir: str,
     # the stream's checkpoint belongs to the state it produces (one per state folder)
     ckpt = checkpoint or os.path.join(state_dir, "_stream_checkpoint")
     checkpoint_dir(spark)   # batch-level checkpoints go to the cluster's shared folder
-    return stream_sync(spark, feed_dir, state_dir, ckpt, io.load_sources(spark, src_dir), all_lookups(spark),
+    return stream_sync(spark, feed_dir, state_dir, ckpt, lambda s: io.load_sources(s, src_dir), all_lookups(spark),
                        max_files_per_trigger=max_files_per_trigger, available_now=once, **kw)
 
 

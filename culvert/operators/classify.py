@@ -47,12 +47,6 @@ def explode_branches(df: DataFrame, ft: str = "facilitytype", ut: str = "unknfac
     return df.select("*", F.explode(branch_tags(F.col(ft), F.col(ut))).alias("inspection_type"))
 
 
-def inspection_type(ft: Column, ut: Column, branch: str) -> Column:
-    """Branch-local CASE: the branch name when the row satisfies that branch's filter."""
-    test = {"MACP": is_macp, "PACP": is_pacp, "LACP": is_lacp}[branch](ft, ut)
-    return F.when(test, F.lit(branch))
-
-
 def access_type(ft: Column, ut: Column) -> Column:
     """10/3 -> AMH, 10/2 -> ACB, 1 -> AMH, 2 -> ACB."""
     return (F.when((ft == 10) & (ut == 3), "AMH").when((ft == 10) & (ut == 2), "ACB")

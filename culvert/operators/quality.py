@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.codes import norm_key
 from ..functions.ids import is_valid_hex
-from ..sources.lookups import MATERIAL_ROWS
+from ..sources.lookups import MATERIAL_ROWS, Lookup
 
 
 def duplicate_keys(df: DataFrame, keys: list[str | Column], name: str = "key") -> DataFrame:
@@ -61,3 +64,32 @@ def double_branch(unified: DataFrame) -> DataFrame:
 def with_default_uuid(df: DataFrame, col: str = "task_uuid") -> DataFrame:
     """A generated 32-hex id where the id is missing (the column default upstream)."""
     return df.withColumn(col, F.coalesce(F.col(col), F.replace(F.expr("uuid()"), F.lit("-"), F.lit(""))))
+
+
+#: lookup -> the raw columns that it codes
+CODED = {
+    "shape": [("epdrpipe", "shape"), ("epdrmanhole", "shape"), ("epdrcatchbasin", "shape")],
+    "material": [("epdrpipe", "material"), ("epdrserviceconnect", "pipetype")],
+    "mh_use": [("epdrmanhole", "wwtype"), ("epdrcatchbasin", "wwtype")],
+    "wall": [("epdrmanhole", "cone"), ("epdrmanhole", "bench"), ("epdrmanhole", "channel")],
+}
+
+
+def coverage(src: dict[str, DataFrame], lookups: dict[str, Lookup]) -> DataFrame:
+    """Raw values that no key of their lookup matches, whatever code they would pass for: (lookup, raw, n)."""
+    def one(name: str) -> DataFrame:
+        raw = reduce(DataFrame.unionByName, (src[t].select(norm_key(F.col(c)).alias("raw")) for t, c in CODED[name]))
+        counts = raw.where(F.col("raw").isNotNull()).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+        keys = lookups[name].df.select(norm_key(F.col("src_text")).alias("raw"))
+        return counts.join(keys, "raw", "left_anti").select(F.lit(name).alias("lookup"), "raw", "n")
+    return reduce(DataFrame.unionByName, map(one, CODED))
+
+
+def lookup_report(lookups: dict[str, Lookup]) -> DataFrame:
+    """Rows, null keys and keys that repeat after normalising, of each lookup: (lookup, row_count, null_keys, repeated_keys)."""
+    def one(name: str) -> DataFrame:
+        keys = lookups[name].df.groupBy(norm_key(F.col("src_text")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        total = F.coalesce(F.sum("n"), F.lit(0))
+        return keys.agg(total.alias("row_count"), F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+                        F.coalesce(F.sum((F.col("k").isNotNull() & (F.col("n") > 1)).cast("long")), F.lit(0)).alias("repeated_keys")).select(F.lit(name).alias("lookup"), "*")
+    return reduce(DataFrame.unionByName, map(one, ("mh_use", "shape", "material", "wall")))

@@ -10,12 +10,11 @@ AQE's skew-join handling, since the small side of each join is one row per key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fit
-from ..session import checkpoint_dir
-from ..sources.lookups import Lookup, all_lookups
+from ..sources.lookups import Lookup
 from ..sources.schemas import LAYOUT
 from .spine import facility_dim, history_rows, task_dim
 
@@ -25,62 +24,36 @@ def to_layout(df: DataFrame, carry: list[str] | None = None) -> DataFrame:
     return df.select(*[fit(F.col(c), n).cast(t).alias(c) for c, t, n in LAYOUT], *(carry or []))
 
 
-# A history slice of at most this many keys has its key sets broadcast into the semi
-# joins below (each key set row is one id; 2M ids stay well under 64 MB).
-KEYSET_BROADCAST_LIMIT = 2_000_000
-
-
-def _restrict(src: dict[str, DataFrame], h: DataFrame, broadcast_keys: bool) -> dict[str, DataFrame]:
-    """Sources cut down to what a history slice can reach: tasks and facilities by semi
-    join with the slice's keys, attribute tables by semi join with those facilities.
-
-    With ``broadcast_keys`` (the caller has checked the slice size) the key sets are
-    broadcast, so each big table is only scanned and filtered, never shuffled; beyond
-    the limit the semi joins shuffle like any join."""
-    def keys(df: DataFrame) -> DataFrame:
-        df = df.dropDuplicates()
-        return F.broadcast(df) if broadcast_keys else df
-
+def _restrict(src: dict[str, DataFrame], h: DataFrame) -> dict[str, DataFrame]:
+    """Sources cut down to what a history slice can reach: tasks and facilities by semi join with the slice's keys,
+    attribute tables by semi join with those facilities. The sizes measured at run time decide how they are joined."""
     def semi(name: str, k: DataFrame, col: str) -> DataFrame:
-        return src[name].join(keys(k.where(F.col(col).isNotNull())), col, "left_semi")
+        return src[name].join(k.where(F.col(col).isNotNull()).dropDuplicates(), col, "left_semi")
 
     out = dict(src)
-    out["workordertask"] = semi("workordertask", h.select(F.col("wotask_oi").alias("workordertaskoi")),
-                                "workordertaskoi")
-    fac = semi("epdrdrainfacility", h.select(F.col("epdrfacility_oi").alias("epdrdrainagefacilityoi")),
-               "epdrdrainagefacilityoi")
-    if broadcast_keys:
-        # The restricted facilities feed six joins below; materialise them once (small,
-        # bounded by the slice) in the shared checkpoint folder instead of rescanning.
-        checkpoint_dir(fac.sparkSession)
-        fac = fac.checkpoint(eager=True)
+    out["workordertask"] = semi("workordertask", h.select(F.col("wotask_oi").alias("workordertaskoi")), "workordertaskoi")
+    fac = semi("epdrdrainfacility", h.select(F.col("epdrfacility_oi").alias("epdrdrainagefacilityoi")), "epdrdrainagefacilityoi")
     out["epdrdrainfacility"] = fac
     for name, col in (("epdrmanhole", "manholeid"), ("epdrcatchbasin", "catchbasinid"),
                       ("epdrserviceconnect", "wass_appid")):
         out[name] = semi(name, fac.select(F.col("facilityid").alias(col)), col)
     out["epdrpipe"] = semi("epdrpipe", fac.select(F.col("epdrpipe_oi").alias("epdrpipeoi")), "epdrpipeoi")
-    out["epdrunknfac"] = semi("epdrunknfac", fac.select(F.col("epdrunknownf_oi").alias("epdrunknownfacilityoi")),
-                              "epdrunknownfacilityoi")
+    out["epdrunknfac"] = semi("epdrunknfac", fac.select(F.col("epdrunknownf_oi").alias("epdrunknownfacilityoi")), "epdrunknownfacilityoi")
     return out
 
 
 def unified_inspections(src: dict[str, DataFrame], lookups: dict[str, Lookup],
-                        history: DataFrame | None = None, carry: list[str] | None = None,
-                        history_rows_bound: int | None = None) -> DataFrame:
+                        history: DataFrame | None = None, carry: list[str] | None = None) -> DataFrame:
     """The unified view.
 
-    ``history`` restricts the work-history rows (e.g. to the keys a change feed
-    inserted); the restriction is applied before any join and cuts the task and
-    facility sides down to what the slice reaches. ``history_rows_bound`` is a checked
-    upper bound of the slice's row count; under ``KEYSET_BROADCAST_LIMIT`` the slice's key
-    sets are broadcast. ``carry`` names extra columns of ``history`` passed through to the
-    output (after the 45 layout columns).
+    ``history`` restricts the work-history rows (e.g. to the keys a change feed inserted); the restriction is applied
+    before any join and cuts the task and facility sides down to what the slice reaches. ``carry`` names extra columns
+    of ``history`` passed through to the output (after the 45 layout columns).
     """
     carry = carry or []
     if history is not None:
         h = history_rows({"epdrfacworkhistory": history}, carry)
-        bounded = history_rows_bound is not None and history_rows_bound <= KEYSET_BROADCAST_LIMIT
-        src = _restrict(src, h, bounded)
+        src = _restrict(src, h)
     else:
         h = history_rows(src, carry)
     fac = facility_dim(src, lookups)
@@ -88,7 +61,3 @@ def unified_inspections(src: dict[str, DataFrame], lookups: dict[str, Lookup],
     j = h.join(fac, h["epdrfacility_oi"] == fac["__fac_key"], "inner")
     j = j.join(tasks, j["wotask_oi"] == tasks["__task_key"], "inner")
     return to_layout(j, carry)
-
-
-def unified_for(spark: SparkSession, src: dict[str, DataFrame], history: DataFrame | None = None) -> DataFrame:
-    return unified_inspections(src, all_lookups(spark), history)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,17 +65,16 @@ def cluster_spark(app: str = "culvert") -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a folder every executor can
-    reach). Only when it is unset (local tests) do we create one of our own.
+    On a cluster the deployment must set it (a folder that every executor reaches); a folder of our own is made only
+    where the driver is the only machine (``local`` masters, as in tests).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="culvert-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
-
-
-def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), *parts)

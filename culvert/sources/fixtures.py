@@ -10,6 +10,8 @@ derived tables grow with the input. Rules (see FIXTURES.md §3):
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -269,14 +271,17 @@ def _derive_feed(spark: SparkSession, sf_dir: str, sources: dict[str, DataFrame]
     purchase -> required-date change of work order o = user_id
     click    -> queue status update of work order o = user_id
     view     -> vendor row for work-order number 'WO<user_id>.<event_id % 7 + 1>'
-    error    -> ignored
+    error    -> even ids: staging row of task 1 of work order o = user_id written (every third one a new task,
+                some without a work order); odd ids: an inspection row of that work order changes its status
     """
     src = sources or derive_sources(spark, sf_dir)
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     e, u, typ = F.col("event_id"), F.col("user_id"), F.col("event_type")
     nul = {"history_oi": "long", "wo_uuid": "string", "site_oi": "long", "reqcompdate_dttm": "timestamp_ntz",
            "queue_uuid": "string", "old_status": "string", "new_status": "string", "workorder": "string",
-           "inspection_sid": "string"}
+           "inspection_sid": "string", "task_uuid": "string", "workorder_uuid": "string", "wotasktitle": "string",
+           "plndcompdate_dttm": "timestamp_ntz", "plndstrtdate_dttm": "timestamp_ntz", "workclassifi_oi": "long",
+           "feed_status": "string", "inspectionid": "string", "project_sid": "string", "work_order_uuid": "string"}
 
     def shape(df: DataFrame, source: str, **cols: Column) -> DataFrame:
         out = [F.col("seq").cast("long").alias("seq"), F.lit(source).alias("source")]
@@ -305,4 +310,21 @@ def _derive_feed(spark: SparkSession, sf_dir: str, sources: dict[str, DataFrame]
     f_v = shape(views, "vendor",
                 workorder=F.concat(F.lit("WO"), u.cast("string"), F.lit("."), (e % 7 + 1).cast("string")),
                 inspection_sid=F.concat(F.lit("SID-"), e.cast("string")))
-    return f_hist.unionByName(f_wo).unionByName(f_q).unionByName(f_v)
+
+    md5 = lambda *c: F.md5(F.concat(*c))
+    when = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
+    staged = ev.where((typ == "error") & (e % 2 == 0)).withColumn("seq", e)
+    f_s = shape(staged, "staging",
+                task_uuid=F.when(e % 6 == 0, md5(F.lit("new-"), e.cast("string")))
+                .otherwise(md5(F.lit("task-"), (u * 10 + 1).cast("string"))),
+                workorder_uuid=F.when(e % 30 != 0, md5(F.lit("wo-"), u.cast("string"))),
+                wotasktitle=F.concat(F.lit("ST "), e.cast("string")),
+                plndcompdate_dttm=F.when(e % 10 != 4, when), plndstrtdate_dttm=when, workclassifi_oi=e % 4,
+                feed_status=_pick(STG_STATUS_CYCLE, (e / 2).cast("long") % 5))
+    reset = ev.where((typ == "error") & (e % 2 == 1)).withColumn("seq", e)
+    f_i = shape(reset, "inspection",
+                project_sid=F.when(e % 25 == 1, F.lit("not-hex")).when(e % 25 == 2, F.lit(None).cast("string"))
+                .otherwise(F.upper(md5(F.lit("task-"), (u * 10 + e % 3 + 1).cast("string")))),
+                work_order_uuid=md5(F.lit("wo-"), u.cast("string")),
+                feed_status=F.when(e % 3 == 0, F.lit("SENT")).otherwise(F.lit("NEW")))
+    return reduce(DataFrame.unionByName, (f_hist, f_wo, f_q, f_v, f_s, f_i))

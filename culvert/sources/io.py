@@ -41,6 +41,32 @@ def _touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def mark(spark: SparkSession, path: str, text: str) -> None:
+    """Write the commit marker of a version folder, with a note."""
+    fs, p, _ = _hadoop_fs(spark, os.path.join(path, "_COMMITTED"))
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def marker(spark: SparkSession, path: str) -> str:
+    """The note of a version's marker."""
+    fs, p, jvm = _hadoop_fs(spark, os.path.join(path, "_COMMITTED"))
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def drop_version(spark: SparkSession, table_dir: str, version: int) -> None:
+    """Remove an old version, its marker first."""
+    path = version_path(table_dir, version)
+    fs, p, jvm = _hadoop_fs(spark, path)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(p, "_COMMITTED"), False)
+    fs.delete(p, True)
+
+
 def version_path(table_dir: str, version: int) -> str:
     return os.path.join(table_dir, f"v={version:012d}")
 

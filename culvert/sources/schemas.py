@@ -113,9 +113,17 @@ CR_INSPECT_COLUMNS = [
     "unknown_type", "createdate_dttm", "lastupdate_dttm", "feed_status", "inspection_sid",
 ]
 
+# Types of the inspection table: those of the layout, the renamed and added columns are strings.
+_LAYOUT_TYPES = {c: t for c, t, _ in LAYOUT}
+CR_INSPECT_SCHEMA = ", ".join(f"`{c}` {_LAYOUT_TYPES.get(c, 'string')}" for c in CR_INSPECT_COLUMNS)
+
 # Unified change feed consumed by the sync rules (batch and streaming).
 FEED_SCHEMA = _st(("seq", L), ("source", S),
                   ("history_oi", L),                                   # source = history
                   ("wo_uuid", S), ("site_oi", L), ("reqcompdate_dttm", TSNTZ),  # source = workorder
                   ("queue_uuid", S), ("old_status", S), ("new_status", S),      # source = queue
-                  ("workorder", S), ("inspection_sid", S))              # source = vendor
+                  ("workorder", S), ("inspection_sid", S),              # source = vendor
+                  # source = staging: the whole new row; source = inspection: an inspection row's new status
+                  ("task_uuid", S), ("workorder_uuid", S), ("wotasktitle", S), ("plndcompdate_dttm", TSNTZ),
+                  ("plndstrtdate_dttm", TSNTZ), ("workclassifi_oi", L), ("feed_status", S),
+                  ("inspectionid", S), ("project_sid", S), ("work_order_uuid", S))

@@ -1,0 +1,91 @@
+"""The rules of one work order, one event after the other: what the triggers do to its staging rows and queue row.
+
+A work order's rows and events are few and their order decides, which no built-in aggregate expresses; so they are
+shuffled together once, sorted, and stepped through in one pass per partition. Only one work order is held at a time, and
+the caller sends only work orders of a bounded number of rows (``rules.FOLD_ROWS``); larger ones go by rounds of set-based
+rules there, with the same result.
+"""
+
+from __future__ import annotations
+
+COLUMNS = "wo string, ord int, seq long, kind string, task string, title string, date timestamp_ntz, start timestamp_ntz, class long, status string, old_status string, stamp timestamp"
+OUT = "kind string, wo string, task string, title string, date timestamp_ntz, start timestamp_ntz, class long, status string, stamp timestamp"
+
+
+def folder():
+    """The function for ``mapInArrow``; self-contained, so that executors need not import this package."""
+    names = ["kind", "wo", "task", "title", "date", "start", "class", "status", "stamp"]
+
+    def run(batches):
+        import datetime
+
+        import pyarrow as pa
+
+        types = [pa.string()] * 4 + [pa.timestamp("us")] * 2 + [pa.int64(), pa.string(), pa.timestamp("us", "UTC")]
+        no_date = datetime.datetime(1900, 1, 1)
+        wo, queue, tasks, out = None, None, {}, []
+
+        def norm(s):
+            return (s.upper().strip(" ") or None) if s is not None else None
+
+        def fire(r):
+            nonlocal queue
+            if queue is None and r["status"] in ("NEW", "UPDATED"):
+                queue = {"title": r["title"], "date": r["date"], "start": r["start"], "class": r["class"], "status": r["status"]}
+
+        def step(e):
+            nonlocal queue
+            kind = e["kind"]
+            if kind == "queue":
+                if queue is None:
+                    return
+                old = norm(e["old_status"])
+                if norm(e["status"]) in ("SEND", "SENT") and (e["old_status"] is None or old is not None and old not in ("SEND", "SENT")):
+                    for r in tasks.values():
+                        r["status"] = "SENT"
+                    queue = None
+                else:
+                    queue["status"] = e["status"]
+            elif kind == "due":
+                date = e["date"]
+                for t in sorted(t for t, r in tasks.items() if (r["date"] or no_date) != (date or no_date)):
+                    tasks[t].update(date=date, status="UPDATED")
+                    fire(tasks[t])
+            elif kind == "flag":
+                r = tasks.get(e["task"])
+                if r is not None and r["status"] != "UPDATED":
+                    r["status"] = "UPDATED"
+                    fire(r)
+            elif e["task"] is not None:
+                stamp = tasks[e["task"]]["stamp"] if e["task"] in tasks else None
+                tasks[e["task"]] = r = {k: e[k] for k in ("title", "date", "start", "class", "status")} | {"stamp": stamp}
+                fire(r)
+
+        def close():
+            for t, r in tasks.items():
+                out.append({"kind": "stg", "wo": wo, "task": t} | r)
+            if queue is not None:
+                out.append({"kind": "queue", "wo": wo, "task": None, "stamp": None} | queue)
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, types)], names)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["wo"] != wo:
+                    close()
+                    wo, queue, tasks = row["wo"], None, {}
+                if row["ord"] == 0:
+                    queue = {k: row[k] for k in ("title", "date", "start", "class", "status")}
+                elif row["ord"] == 1:
+                    tasks[row["task"]] = {k: row[k] for k in ("title", "date", "start", "class", "status", "stamp")}
+                else:
+                    step(row)
+            if len(out) >= 5000:
+                yield batch_of(out)
+                out = []
+        close()
+        if out:
+            yield batch_of(out)
+
+    return run

@@ -8,20 +8,20 @@ Each rule maps (state, feed rows) -> new state. The same functions run in batch
   queue  outbound work-order queue           (task_uuid = the work-order id, .., feed_status)
   cr     inspection rows for the vendor feed (CR_INSPECT_COLUMNS)
 
-Staging updates carry a helper column ``__chg_seq`` (first feed sequence that changed
-the row in this batch) so that the enqueue rule sees every changed row once.
-
-Micro-batch decisions (where row-by-row firing is order dependent):
-  * enqueue: one queue row per work order, the first changed task by (seq, task_uuid),
-    with the task's state after the batch;
-  * order inside a batch: acknowledgements, then new histories, then due dates, then
-    enqueue, so that an update is never lost (at worst sent twice);
-  * a null work-order id would break the queue key: such rows go to quarantine.
+Staging updates carry helper columns: ``__chg_seq``, the first feed sequence that changed the row, and
+``__chg_date``, its planned date right then, so that the enqueue rule sees what it would have seen at that moment.
+
+Order. Events follow ``seq``, as if they came one by one, so a batch gives the same state however the feed is cut.
+Events of different work orders never meet. A work order of at most ``FOLD_ROWS`` rows and events is stepped through
+event by event (``fold``). For larger ones, which no task should hold, a run of one kind of event has a set-based rule
+here: ``run_cascade`` applies the first runs of all of them together, then the second ones, and so on. One event that changes several tasks is taken in the order of their ids. A null work-order id would
+break the queue key: such rows go to quarantine.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,34 +31,34 @@ from ..functions.ids import canonical_uuid, is_valid_hex, raw_key
 from ..functions.text import nn, strip_html
 from ..operators.changes import changed_keys, first_per_key, last_per_key, previous_value
 from ..operators.joins import delete_by_keys, not_present
-from ..plans.inspections import KEYSET_BROADCAST_LIMIT, unified_inspections
+from ..plans.inspections import unified_inspections
 from ..session import checkpoint_dir
+from . import fold
 from ..sources.lookups import Lookup
-from ..sources.schemas import CR_INSPECT_COLUMNS, WOT_STG1_SCHEMA
+from ..sources.schemas import CR_INSPECT_COLUMNS, WOT_STG1_SCHEMA, WOT_STG_SCHEMA
 
 DATE_SENTINEL = _dt.datetime(1900, 1, 1)
 STATUS_SENTINEL = "~"
-CHG = "__chg_seq"
+#: Rows and events of a work order that one task steps through.
+FOLD_ROWS = 10_000
+CHG, CHG_DATE = "__chg_seq", "__chg_date"
 QUEUE_COLUMNS = [f.name for f in WOT_STG1_SCHEMA.fields]
 
 
-# A change set derived from a feed batch of at most this many rows is broadcast into
-# its join with a state table, so the state table is scanned, never shuffled, per batch.
-CHANGESET_BROADCAST_LIMIT = 1_000_000
+def materialise(df: DataFrame) -> DataFrame:
+    """Computed once, in the shared checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
-def small(df: DataFrame, bounded: bool) -> DataFrame:
-    """Broadcast ``df`` when the caller has checked that it is bounded."""
-    return F.broadcast(df) if bounded else df
-
-
-def feed_is_bounded(feed: DataFrame) -> bool:
-    """The size check behind every change-set broadcast: the batch's row count."""
-    return feed.count() <= CHANGESET_BROADCAST_LIMIT
+def _with_chg(stg: DataFrame) -> DataFrame:
+    if CHG not in stg.columns:
+        stg = stg.withColumn(CHG, F.lit(None).cast("long"))
+    return stg if CHG_DATE in stg.columns else stg.withColumn(CHG_DATE, F.lit(None).cast("timestamp_ntz"))
 
 
-def _with_chg(stg: DataFrame) -> DataFrame:
-    return stg if CHG in stg.columns else stg.withColumn(CHG, F.lit(None).cast("long"))
+def _plain(stg: DataFrame) -> DataFrame:
+    return stg.drop(CHG, CHG_DATE)
 
 
 def _min_seq(a: Column, b: Column) -> Column:
@@ -84,61 +84,62 @@ def is_sent_transition(old: Column, new: Column) -> Column:
     return F.coalesce(t, F.lit(False))
 
 
-def with_old_status(queue_feed: DataFrame, queue: DataFrame | None, bounded: bool = False) -> DataFrame:
+def with_old_status(queue_feed: DataFrame, queue: DataFrame | None) -> DataFrame:
     """Old image for a feed that carries only new statuses: the previous update's status
     of the same queue row, the first one seeded from the stored queue row."""
     seed = None
     if queue is not None:
         q = queue.select(F.col("task_uuid").alias("__qk"), F.col("feed_status").alias("__seed"))
-        q = q.join(small(queue_feed.select(F.col("queue_uuid").alias("__qk")).distinct(), bounded), "__qk", "left_semi")
-        queue_feed = queue_feed.join(small(q, bounded), queue_feed["queue_uuid"] == q["__qk"], "left").drop("__qk")
+        q = q.join(queue_feed.select(F.col("queue_uuid").alias("__qk")).distinct(), "__qk", "left_semi")
+        queue_feed = queue_feed.join(q, queue_feed["queue_uuid"] == q["__qk"], "left").drop("__qk")
         seed = F.col("__seed")
     out = previous_value(queue_feed, "queue_uuid", "seq", "new_status", seed=seed, alias="old_status")
     return out.drop("__seed") if seed is not None else out
 
 
-def sent_transitions(queue_feed: DataFrame, queue: DataFrame | None = None, bounded: bool = False) -> DataFrame:
+def sent_transitions(queue_feed: DataFrame, queue: DataFrame | None = None) -> DataFrame:
     """Distinct work-order ids whose queue row turned to SEND/SENT. With ``queue`` given,
     only rows that exist fire (an UPDATE of a missing row changes nothing)."""
     if "old_status" not in queue_feed.columns:
-        queue_feed = with_old_status(queue_feed, queue, bounded)
+        queue_feed = with_old_status(queue_feed, queue)
     t = queue_feed.where(is_sent_transition(F.col("old_status"), F.col("new_status")))
     keys = changed_keys(t, "queue_uuid", "key")
     if queue is not None:
         # the queue rows of those keys (the queue is filtered by the small key set)
-        keys = (queue.select(F.col("task_uuid").alias("key")).join(small(keys, bounded), "key", "left_semi")
+        keys = (queue.select(F.col("task_uuid").alias("key")).join(keys, "key", "left_semi")
                 .dropDuplicates())
     return keys
 
 
-def acknowledge_sent(stg: DataFrame, queue: DataFrame, queue_feed: DataFrame,
-                     bounded: bool = False) -> tuple[DataFrame, DataFrame]:
+def acknowledge_sent(stg: DataFrame, queue: DataFrame, queue_feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Apply a batch of queue status updates: every staging row of a transitioned work
     order becomes SENT; transitioned queue rows are deleted; other updated queue rows
     take the status of their last update."""
-    keys = sent_transitions(queue_feed, queue, bounded)
-    k = small(keys.select(F.col("key").alias("__ack")), bounded)
+    if "old_status" not in queue_feed.columns:
+        queue_feed = with_old_status(queue_feed, queue)
+    acks = (queue_feed.where(F.col("queue_uuid").isNotNull()).groupBy(F.col("queue_uuid").alias("__q"))
+            .agg(F.max(is_sent_transition(F.col("old_status"), F.col("new_status"))).alias("__sent"),
+                 F.max_by("new_status", "seq").alias("__ns")))
+    q = queue.join(acks, queue["task_uuid"] == acks["__q"], "left")
+    sent = F.coalesce(F.col("__sent"), F.lit(False))
+    k = q.where(sent).select(F.col("task_uuid").alias("__ack")).distinct()
     stg2 = (stg.join(k, stg["workorder_uuid"] == k["__ack"], "left")
             .withColumn("feed_status", F.when(F.col("__ack").isNotNull(), F.lit("SENT"))
                         .otherwise(F.col("feed_status")))
             .drop("__ack"))
-    last = last_per_key(queue_feed.where(F.col("queue_uuid").isNotNull()), "queue_uuid", "seq", ["new_status"])
-    q = delete_by_keys(queue, small(keys, bounded), "task_uuid", "key")
-    q = (q.join(small(last.select(F.col("queue_uuid").alias("__q"), F.col("new_status").alias("__ns")), bounded),
-                F.col("task_uuid") == F.col("__q"), "left")
-         .withColumn("feed_status", F.when(F.col("__q").isNotNull(), F.col("__ns")).otherwise(F.col("feed_status")))
-         .select(*queue.columns))
-    return stg2, q
+    status = F.when(F.col("__q").isNotNull(), F.col("__ns")).otherwise(F.col("feed_status"))
+    return stg2, q.where(~sent).withColumn("feed_status", status).select(*queue.columns)
 
 
 # --------------------------------------------------------------------------- I4
 
 def due_date_summary(wo_feed: DataFrame) -> DataFrame:
     """Per work order (site 58 only): what a run of required-date updates does to a
-    staging row, computed with aggregates (no per-key sort).
+    staging row.
 
       first_s / first_date / first_seq  the first update (compared with the stored date)
       any_later                         some later update differs from the one before it
+      next_date / next_seq              the first update that differs from the first one
       run_date / run_seq                the update that starts the final run of equal
                                         values (the last one that changed anything)
     Dates compare through NVL(date, 1900-01-01).
@@ -146,25 +147,23 @@ def due_date_summary(wo_feed: DataFrame) -> DataFrame:
     ev = (wo_feed.where((F.col("site_oi") == 58) & F.col("wo_uuid").isNotNull())
           .select("seq", "wo_uuid", F.col("reqcompdate_dttm").alias("d"),
                   F.coalesce(F.col("reqcompdate_dttm"), F.lit(DATE_SENTINEL).cast("timestamp_ntz")).alias("s")))
+    before = F.lag("s").over(Window.partitionBy("wo_uuid").orderBy("seq"))
+    ev = ev.withColumn("differs", F.coalesce(before != F.col("s"), F.lit(False)))
+    event = F.struct("d", "seq")
     a = ev.groupBy("wo_uuid").agg(
-        F.min_by(F.struct("s", "d", "seq"), F.col("seq")).alias("first"),
-        F.max_by(F.col("s"), F.col("seq")).alias("last_s"),
-        (F.min("s") != F.max("s")).alias("any_later"))
-    j = ev.join(a.select("wo_uuid", "last_s"), "wo_uuid")
-    pivot = j.where(F.col("s") != F.col("last_s")).groupBy("wo_uuid").agg(F.max("seq").alias("pivot"))
-    run = (ev.join(pivot, "wo_uuid").where(F.col("seq") > F.col("pivot"))
-           .groupBy("wo_uuid").agg(F.min_by(F.struct("d", "seq"), F.col("seq")).alias("run")))
-    return (a.join(run, "wo_uuid", "left")
-            .select("wo_uuid", F.col("first.s").alias("first_s"), F.col("first.d").alias("first_date"),
-                    F.col("first.seq").alias("first_seq"), "any_later",
-                    F.col("run.d").alias("run_date"), F.col("run.seq").alias("run_seq")))
-
-
-def propagate_due_date(stg: DataFrame, wo_feed: DataFrame, bounded: bool = False) -> DataFrame:
+        F.min_by(F.struct("s", "d", "seq"), "seq").alias("first"), F.max("differs").alias("any_later"),
+        F.min_by(F.when(F.col("differs"), event), F.when(F.col("differs"), F.col("seq"))).alias("next"),
+        F.max_by(F.when(F.col("differs"), event), F.when(F.col("differs"), F.col("seq"))).alias("run"))
+    return a.select("wo_uuid", F.col("first.s").alias("first_s"), F.col("first.d").alias("first_date"),
+                    F.col("first.seq").alias("first_seq"), "any_later", F.col("next.d").alias("next_date"),
+                    F.col("next.seq").alias("next_seq"), F.col("run.d").alias("run_date"), F.col("run.seq").alias("run_seq"))
+
+
+def propagate_due_date(stg: DataFrame, wo_feed: DataFrame) -> DataFrame:
     """Required-date updates of site-58 work orders reach every staging row of the work
     order whose planned date really differs: date set, status UPDATED (SENT included)."""
     stg = _with_chg(stg)
-    sm = small(due_date_summary(wo_feed), bounded)
+    sm = due_date_summary(wo_feed)
     j = stg.join(sm, stg["workorder_uuid"] == sm["wo_uuid"], "left")
     matched = F.col("wo_uuid").isNotNull()
     changed1 = matched & null_safe_changed(F.col("plndcompdate_dttm"), F.col("first_s"),
@@ -173,11 +172,14 @@ def propagate_due_date(stg: DataFrame, wo_feed: DataFrame, bounded: bool = False
     changed = changed1 | later
     new_date = (F.when(later, F.col("run_date")).when(changed1, F.col("first_date"))
                 .otherwise(F.col("plndcompdate_dttm")))
-    seq = F.when(changed1, F.col("first_seq")).when(later, F.col("run_seq"))
+    seq = F.when(changed1, F.col("first_seq")).when(later, F.col("next_seq"))
+    at = F.when(changed1, F.col("first_date")).otherwise(F.col("next_date"))
+    sooner = changed & (F.col(CHG).isNull() | (seq < F.col(CHG)))
     # all outputs are computed from the pre-update row in one projection
     outs = {"plndcompdate_dttm": new_date,
             "feed_status": F.when(changed, F.lit("UPDATED")).otherwise(F.col("feed_status")),
-            CHG: _min_seq(F.col(CHG), seq)}
+            CHG: _min_seq(F.col(CHG), seq),
+            CHG_DATE: F.when(sooner, at).otherwise(F.col(CHG_DATE))}
     return j.select(*[(outs[c] if c in outs else F.col(c)).alias(c) for c in stg.columns])
 
 
@@ -216,79 +218,57 @@ def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, Data
     The key set restricts the history table before any join (semi join), then the
     unified view runs on that slice. A row is skipped when its id is already stored:
     ``dedupe='raw'`` compares the stored (canonical) id with the raw DR_UUID as the
-    integration does; ``'canonical'`` compares canonical forms. Keys are processed in
-    text order upstream, so inside the batch a row is also skipped when an earlier key
-    (text order) inserts the id it is compared with. Returns the rows to append,
-    cleaned, with ``__seq`` (the feed sequence of their key).
+    integration does; ``'canonical'`` compares canonical forms. Inside the batch a row is also skipped
+    when an earlier key (by sequence; one statement's keys in text order) inserts the id it is compared
+    with. Returns the rows to append, cleaned, with ``__seq`` (the feed sequence of their key).
     """
     keys = (hist_feed.where(F.col("history_oi").isNotNull())
             .groupBy("history_oi").agg(F.min("seq").alias("__seq")))
-    # The batch's key count (a small aggregate of the feed) is the checked bound that lets
-    # the slice's key sets be broadcast instead of shuffling the big tables.
-    n_keys = keys.count()
-    k = keys.withColumnRenamed("history_oi", "epdrfacilityworkhistoryoi")
-    if n_keys <= KEYSET_BROADCAST_LIMIT:
-        k = F.broadcast(k)
-    hist = src["epdrfacworkhistory"].join(k, "epdrfacilityworkhistoryoi", "inner")
-    if n_keys <= KEYSET_BROADCAST_LIMIT:
-        # the slice is read by several joins: one scan of the history table, kept in the
-        # shared checkpoint folder (reliable, lineage cut)
-        checkpoint_dir(hist.sparkSession)
-        hist = hist.checkpoint(eager=True)
-    # history oi is a key of the history table, so the slice has at most n_keys rows
-    # (duplicated oi rows would only raise it by their multiplicity)
-    view = unified_inspections(src, lookups, history=hist, carry=["__seq"], history_rows_bound=n_keys)
-    rows = to_cr_rows(view)
-    existing = cr.select(F.col("inspectionid").alias("__old_id")).where(F.col("__old_id").isNotNull())
+    # the slice restricts every other table, so it is read many times: computed once
+    hist = materialise(src["epdrfacworkhistory"].join(keys.withColumnRenamed("history_oi", "epdrfacilityworkhistoryoi"),
+                                                      "epdrfacilityworkhistoryoi", "inner"))
+    rows = to_cr_rows(unified_inspections(src, lookups, history=hist, carry=["__seq"]))
+    # only the stored ids that the slice can compare with
+    hcmp = F.col("uuid") if dedupe == "raw" else canonical_uuid(F.col("uuid"))
+    ids = hist.select(hcmp.alias("__old_id")).where(F.col("__old_id").isNotNull()).dropDuplicates()
+    existing = cr.select(F.col("inspectionid").alias("__old_id")).join(ids, "__old_id", "left_semi").dropDuplicates()
     cmp = F.col("__raw_dr_uuid") if dedupe == "raw" else F.col("inspectionid")
-    if n_keys <= KEYSET_BROADCAST_LIMIT:
-        # the ids the slice can compare with come from its history rows (already
-        # materialised): filter the stored table by them, then anti join on a small side
-        hcmp = F.col("uuid") if dedupe == "raw" else canonical_uuid(F.col("uuid"))
-        ids = hist.select(hcmp.alias("__old_id")).where(F.col("__old_id").isNotNull())
-        existing = F.broadcast(existing.join(F.broadcast(ids.dropDuplicates()), "__old_id", "left_semi"))
     rows = rows.join(existing, cmp == existing["__old_id"], "left_anti")
-    # Inside the batch an id is inserted by the first key (text order) carrying it. A row
-    # can only meet another row's id when its compared value equals its own canonical id,
-    # so the first key per canonical id decides it (null ids never match anything).
-    if n_keys <= KEYSET_BROADCAST_LIMIT:
-        # bounded batch: materialise the rows once, reduce to the first key per id with a
-        # map-side-combined aggregate, broadcast it back (no sort, no hot-id task)
-        rows = rows.checkpoint(eager=True)
-        first_key = (rows.where(F.col("inspectionid").isNotNull())
-                     .groupBy(F.col("inspectionid").alias("__iid")).agg(F.min("__key_txt").alias("__first")))
-        rows = rows.join(F.broadcast(first_key), rows["inspectionid"] == first_key["__iid"], "left")
-        first = F.coalesce(F.col("__first"), F.col("__key_txt"))
-    else:
-        grp = F.coalesce(F.col("inspectionid"), F.concat(F.lit("\u0000"), F.col("__key_txt")))
-        first = F.min("__key_txt").over(Window.partitionBy(grp))
-    keep = first == F.col("__key_txt")
+    # Inside the batch an id is inserted by the first key (by sequence, then text) carrying it. A row can only meet another
+    # row's id when its compared value equals its own canonical id, so the first key per canonical id decides it (null
+    # ids never match anything). An aggregate joined back: a hot id is combined before the shuffle, at every size.
+    order = F.struct("__seq", "__key_txt")
+    first = (rows.where(F.col("inspectionid").isNotNull())
+             .groupBy(F.col("inspectionid").alias("__iid")).agg(F.min(order).alias("__first")))
+    rows = rows.join(first, rows["inspectionid"] == first["__iid"], "left")
+    keep = F.col("__first").isNull() | (F.col("__first") == order)
     if dedupe == "raw":
         keep = keep | ~F.col("__raw_dr_uuid").eqNullSafe(F.col("inspectionid"))
-    rows = rows.withColumn("__keep", keep).where(F.col("__keep"))
-    return clean_before_write(rows).select(*CR_INSPECT_COLUMNS, "__seq")
+    return clean_before_write(rows.where(keep)).select(*CR_INSPECT_COLUMNS, "__seq")
 
 
 # --------------------------------------------------------------------------- I7
 
-def reflag_tasks(stg: DataFrame, cr_rows: DataFrame, bounded: bool = False) -> tuple[DataFrame, DataFrame]:
+def reflag_tasks(stg: DataFrame, cr_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Inspection rows with status NEW re-flag their staging row (same task and work
     order) to UPDATED unless it already is. Returns (new stg, rows whose ids are not
     valid hex, i.e. would fail the binary conversion upstream)."""
     stg = _with_chg(stg)
     new = cr_rows.where(F.col("feed_status") == "NEW")
     seqc = F.col("__seq") if "__seq" in cr_rows.columns else F.lit(None).cast("long")
+    # a null id matches no row and raises nothing; only text that is not hex does
+    broken = lambda c: F.col(c).isNotNull() & ~F.coalesce(is_valid_hex(F.col(c)), F.lit(False))
+    bad = new.where(broken("project_sid") | broken("work_order_uuid"))
     ok = is_valid_hex(F.col("project_sid")) & is_valid_hex(F.col("work_order_uuid"))
-    bad = new.where(~F.coalesce(ok, F.lit(False)))
     keys = (new.where(ok)
             .select(raw_key(F.col("project_sid")).alias("__t"), raw_key(F.col("work_order_uuid")).alias("__w"),
                     seqc.alias("__s"))
             .groupBy("__t", "__w").agg(F.min("__s").alias("__s")))
-    keys = small(keys, bounded)
     j = stg.join(keys, (stg["task_uuid"] == keys["__t"]) & (stg["workorder_uuid"] == keys["__w"]), "left")
     hit = F.col("__t").isNotNull() & null_safe_changed(F.col("feed_status"), F.lit("UPDATED"), STATUS_SENTINEL)
     out = (j.withColumn("__hit", hit)
            .withColumn("feed_status", F.when(F.col("__hit"), F.lit("UPDATED")).otherwise(F.col("feed_status")))
+           .withColumn(CHG_DATE, F.when(F.col("__hit") & F.col(CHG).isNull(), F.col("plndcompdate_dttm")).otherwise(F.col(CHG_DATE)))
            .withColumn(CHG, F.when(F.col("__hit"), _min_seq(F.col(CHG), F.col("__s"))).otherwise(F.col(CHG)))
            .select(*stg.columns))
     return out, bad
@@ -296,13 +276,15 @@ def reflag_tasks(stg: DataFrame, cr_rows: DataFrame, bounded: bool = False) -> t
 
 # --------------------------------------------------------------------------- I1
 
-def enqueue_work_orders(queue: DataFrame, stg: DataFrame, bounded: bool = False) -> tuple[DataFrame, DataFrame]:
+def enqueue_work_orders(queue: DataFrame, stg: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Staging rows changed in this batch (``__chg_seq`` set; or all rows when the column
     is absent, i.e. an initial load) with status NEW/UPDATED (exact case) put their work
     order on the queue when it is not there yet; a queued row is not refreshed.
     Returns (new queue, quarantined rows with a null work-order id)."""
     if CHG in stg.columns:
         ch = stg.where(F.col(CHG).isNotNull())
+        if CHG_DATE in stg.columns:
+            ch = ch.withColumn("plndcompdate_dttm", F.col(CHG_DATE))
         seq = F.col(CHG)
     else:
         ch, seq = stg, F.lit(None).cast("long")
@@ -311,21 +293,18 @@ def enqueue_work_orders(queue: DataFrame, stg: DataFrame, bounded: bool = False)
     vals = ["task_uuid", "wotasktitle", "plndcompdate_dttm", "plndstrtdate_dttm", "workclassifi_oi", "feed_status"]
     first = first_per_key(cand, "workorder_uuid", ["__seq", "task_uuid"], vals)
     new = first.select(F.col("workorder_uuid").alias("task_uuid"), *[c for c in vals if c != "task_uuid"])
-    queued = queue.select(F.col("task_uuid").alias("__q"))
-    if bounded:
-        # at most one new row per changed work order: filter the queue by them, then anti join
-        queued = small(queued.join(small(new.select(F.col("task_uuid").alias("__q")), True), "__q", "left_semi"), True)
+    queued = queue.select(F.col("task_uuid").alias("__q")).join(new.select(F.col("task_uuid").alias("__q")), "__q", "left_semi")
     new = not_present(new, queued, [("task_uuid", "__q")])
-    return queue.select(*QUEUE_COLUMNS).unionByName(new.select(*QUEUE_COLUMNS)), bad.drop("__seq")
+    return queue.select(*QUEUE_COLUMNS).unionByName(new.select(*QUEUE_COLUMNS)), bad.drop("__seq", CHG, CHG_DATE)
 
 
 # --------------------------------------------------------------------------- I8
 
-def backfill_sid(cr: DataFrame, vendor_feed: DataFrame, overwrite: bool = True, bounded: bool = False) -> DataFrame:
+def backfill_sid(cr: DataFrame, vendor_feed: DataFrame, overwrite: bool = True) -> DataFrame:
     """Vendor rows with a work-order number set the vendor id on every inspection row of
     that number (the last update per number wins). Updated rows are cleaned again."""
     last = last_per_key(vendor_feed.where(F.col("workorder").isNotNull()), "workorder", "seq", ["inspection_sid"])
-    lk = small(last.select(F.col("workorder").alias("__wo"), F.col("inspection_sid").alias("__sid")), bounded)
+    lk = last.select(F.col("workorder").alias("__wo"), F.col("inspection_sid").alias("__sid"))
     j = cr.join(lk, cr["workorder"] == lk["__wo"], "left")
     hit = F.col("__wo").isNotNull()
     if not overwrite:
@@ -336,32 +315,156 @@ def backfill_sid(cr: DataFrame, vendor_feed: DataFrame, overwrite: bool = True,
     return j.select(*[(outs[c] if c in outs else F.col(c)).alias(c) for c in cr.columns])
 
 
+# --------------------------------------------------------------------------- staging and inspection sources
+
+STG_COLUMNS = [f.name for f in WOT_STG_SCHEMA.fields]
+STAGED = ["task_uuid", "workorder_uuid", "wotasktitle", "plndcompdate_dttm", "plndstrtdate_dttm", "workclassifi_oi", "feed_status"]
+
+
+def write_staging(stg: DataFrame, staged: DataFrame) -> DataFrame:
+    """Inserts and updates of staging rows: the last image of a task wins; its status time is kept. A task keeps its work order."""
+    last = last_per_key(staged.where(F.col("task_uuid").isNotNull()), "task_uuid", "seq", STAGED[1:])
+    new = last.select(F.col("task_uuid").alias("__t"), *[F.col(c).alias(f"__{c}") for c in STAGED[1:]])
+    j = stg.select(*STG_COLUMNS).join(new, stg["task_uuid"] == new["__t"], "full_outer")
+    hit = F.col("__t").isNotNull()
+    value = lambda c: F.coalesce("task_uuid", "__t") if c == "task_uuid" else F.when(hit, F.col(f"__{c}")).otherwise(F.col(c)) if c in STAGED else F.col(c)
+    return j.select(*[value(c).alias(c) for c in STG_COLUMNS])
+
+
+def _as_changed(staged: DataFrame) -> DataFrame:
+    """Written staging rows as the enqueue rule sees them, with the values as they were written."""
+    rows = staged.withColumn("feed_status_dttm", F.lit(None).cast("timestamp")).withColumn(CHG, F.col("seq"))
+    return rows.withColumn(CHG_DATE, F.col("plndcompdate_dttm")).select(*STG_COLUMNS, CHG, CHG_DATE)
+
+
+def set_inspection_status(cr: DataFrame, changes: DataFrame) -> DataFrame:
+    """Inspection rows whose status changed upstream take the last one (an update also cleans the row again)."""
+    last = last_per_key(changes.where(F.col("inspectionid").isNotNull()), "inspectionid", "seq", ["feed_status"])
+    k = last.select(F.col("inspectionid").alias("__id"), F.col("feed_status").alias("__st"))
+    j = cr.join(k, cr["inspectionid"] == k["__id"], "left")
+    hit = F.col("__id").isNotNull()
+    outs = {"feed_status": F.when(hit, F.col("__st")).otherwise(F.col("feed_status")),
+            "additional_information": F.when(hit, strip_html(F.col("additional_information"))).otherwise(F.col("additional_information"))}
+    return j.select(*[(outs[c] if c in outs else F.col(c)).alias(c) for c in cr.columns])
+
+
 # --------------------------------------------------------------------------- I9
 
+EVENT_COLUMNS = ["seq", "kind", "wo", "task", "date", "old_status", "new_status", "title", "start", "class"]
+
+
+def work_order_events(feed: DataFrame, flagged: DataFrame) -> DataFrame:
+    """All events of a batch that a work order sees: (seq, kind, wo, task, ...).
+
+    ``flagged`` are the inspection rows set to NEW (inserted or changed), with ``__seq``. Events without a work order match
+    nothing and are left out."""
+    def part(df: DataFrame, kind: str, **cols: str | Column) -> DataFrame:
+        types = {"seq": "long", "date": "timestamp_ntz", "start": "timestamp_ntz", "class": "long"}
+        value = lambda c: cols[c] if c in cols else F.lit(kind) if c == "kind" else F.lit(None)
+        return df.select(*[(F.col(value(c)) if isinstance(value(c), str) else value(c)).cast(types.get(c, "string")).alias(c) for c in EVENT_COLUMNS])
+
+    source = F.col("source")
+    ok = is_valid_hex(F.col("project_sid")) & is_valid_hex(F.col("work_order_uuid"))
+    events = (part(feed.where(source == "queue"), "queue", seq="seq", wo="queue_uuid", old_status="old_status", new_status="new_status")
+              .unionByName(part(feed.where((source == "workorder") & (F.col("site_oi") == 58)), "due", seq="seq", wo="wo_uuid", date="reqcompdate_dttm"))
+              .unionByName(part(feed.where(source == "staging"), "staging", seq="seq", wo="workorder_uuid", task="task_uuid", date="plndcompdate_dttm",
+                                new_status="feed_status", title="wotasktitle", start="plndstrtdate_dttm", **{"class": "workclassifi_oi"}))
+              .unionByName(part(flagged.where(ok), "flag", seq="__seq", wo=raw_key(F.col("work_order_uuid")), task=raw_key(F.col("project_sid"))).distinct()))
+    return events.where(F.col("wo").isNotNull())
+
+
+def with_runs(events: DataFrame) -> DataFrame:
+    """The run of each event: how often the kind changed before it, along ``seq`` of its work order."""
+    along = Window.partitionBy("wo").orderBy("seq", "kind", "task")
+    turn = F.coalesce((F.lag("kind").over(along) != F.col("kind")).cast("int"), F.lit(0))
+    return (events.withColumn("__turn", turn)
+            .withColumn("run", F.sum("__turn").over(along.rowsBetween(Window.unboundedPreceding, 0))).drop("__turn"))
+
+
+def apply_runs(stg: DataFrame, queue: DataFrame, events: DataFrame, kinds: set[str]) -> tuple[DataFrame, DataFrame]:
+    """One run of each work order: all events of a work order are of one kind, so the rules do not meet. ``kinds``: those there are."""
+    of = lambda kind: events.where(F.col("kind") == kind)
+    if "queue" in kinds:
+        stg, queue = acknowledge_sent(stg, queue, of("queue").select("seq", F.col("wo").alias("queue_uuid"), "old_status", "new_status"))
+    stg = _with_chg(stg)
+    if "flag" in kinds:
+        flags = of("flag").select(F.col("task").alias("project_sid"), F.col("wo").alias("work_order_uuid"), F.lit("NEW").alias("feed_status"), F.col("seq").alias("__seq"))
+        stg, _ = reflag_tasks(stg, flags)
+    if "due" in kinds:
+        stg = propagate_due_date(stg, of("due").select("seq", F.col("wo").alias("wo_uuid"), F.lit(58).alias("site_oi"), F.col("date").alias("reqcompdate_dttm")))
+    changed = stg
+    if "staging" in kinds:
+        staged = of("staging").select("seq", F.col("task").alias("task_uuid"), F.col("wo").alias("workorder_uuid"), F.col("title").alias("wotasktitle"),
+                                      F.col("date").alias("plndcompdate_dttm"), F.col("start").alias("plndstrtdate_dttm"), F.col("class").alias("workclassifi_oi"), F.col("new_status").alias("feed_status"))
+        changed = stg.unionByName(_as_changed(staged))
+        stg = write_staging(stg, staged)
+    if kinds - {"queue"}:
+        queue, _ = enqueue_work_orders(queue, changed)
+    return _plain(stg), queue
+
+
+def fold_events(stg: DataFrame, queue: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Step through the events of each work order (see ``fold``): one shuffle of what the batch touches."""
+    null = lambda t: F.lit(None).cast(t)
+    q = queue.select(F.col("task_uuid").alias("wo"), F.lit(0).alias("ord"), null("long").alias("seq"), null("string").alias("kind"), null("string").alias("task"), F.col("wotasktitle").alias("title"),
+                     F.col("plndcompdate_dttm").alias("date"), F.col("plndstrtdate_dttm").alias("start"), F.col("workclassifi_oi").alias("class"), F.col("feed_status").alias("status"),
+                     null("string").alias("old_status"), null("timestamp").alias("stamp"))
+    t = stg.select(F.col("workorder_uuid").alias("wo"), F.lit(1).alias("ord"), null("long").alias("seq"), null("string").alias("kind"), F.col("task_uuid").alias("task"), F.col("wotasktitle").alias("title"),
+                   F.col("plndcompdate_dttm").alias("date"), F.col("plndstrtdate_dttm").alias("start"), F.col("workclassifi_oi").alias("class"), F.col("feed_status").alias("status"),
+                   null("string").alias("old_status"), F.col("feed_status_dttm").alias("stamp"))
+    e = events.select("wo", F.lit(2).alias("ord"), "seq", "kind", "task", "title", "date", "start", "class", F.col("new_status").alias("status"), "old_status", null("timestamp").alias("stamp"))
+    rows = q.unionByName(t).unionByName(e).repartition("wo").sortWithinPartitions("wo", "ord", "seq", "kind", "task")
+    out = materialise(rows.mapInArrow(fold.folder(), fold.OUT))
+    shared = [F.col("title").alias("wotasktitle"), F.col("date").alias("plndcompdate_dttm"), F.col("start").alias("plndstrtdate_dttm"), F.col("class").alias("workclassifi_oi"), F.col("status").alias("feed_status")]
+    new_stg = out.where(F.col("kind") == "stg").select(F.col("task").alias("task_uuid"), F.col("wo").alias("workorder_uuid"), *shared, F.col("stamp").alias("feed_status_dttm"))
+    return new_stg, out.where(F.col("kind") == "queue").select(F.col("wo").alias("task_uuid"), *shared)
+
+
+def apply_in_rounds(stg: DataFrame, queue: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same for work orders of any size: the first runs of all of them, then the second ones, and so on."""
+    events = materialise(with_runs(events))
+    kinds: dict[int, set[str]] = {}
+    for r in events.select("run", "kind").distinct().collect():  # four kinds a run at most
+        kinds.setdefault(r["run"], set()).add(r["kind"])
+    for run in sorted(kinds):
+        stg, queue = materialise(stg), materialise(queue)  # each rule reads them, and the next round all rules' result
+        stg, queue = apply_runs(stg, queue, events.where(F.col("run") == run), kinds[run])
+    return stg, queue
+
+
 def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, DataFrame],
-                lookups: dict[str, Lookup], dedupe: str = "raw", with_backfill: bool = False,
-                bounded: bool | None = None) -> dict[str, DataFrame]:
-    """One batch of the trigger chain, in a fixed order:
-    acknowledgements (I2, I3) -> new histories (I5 with I6, then I7) -> due dates (I4)
-    -> enqueue (I1) -> optional vendor back-fill (I8).
-    ``bounded``: change sets may be broadcast (default: the feed's row count is checked)."""
-    if bounded is None:
-        bounded = feed_is_bounded(feed)
-    stg, queue, cr = state["stg"], state["queue"], state["cr"]
-    qf = feed_part(feed, "queue", ["queue_uuid", "old_status", "new_status"])
-    stg, queue = acknowledge_sent(stg, queue, qf, bounded)
-
-    hf = feed_part(feed, "history", ["history_oi"])
-    new_cr = collect_inspections(cr, hf, src, lookups, dedupe)
-    stg, bad_ids = reflag_tasks(stg, new_cr, bounded)
-    cr = cr.select(*CR_INSPECT_COLUMNS).unionByName(new_cr.select(*CR_INSPECT_COLUMNS))
-
-    wf = feed_part(feed, "workorder", ["wo_uuid", "site_oi", "reqcompdate_dttm"])
-    stg = propagate_due_date(stg, wf, bounded)
-
-    queue, bad_queue = enqueue_work_orders(queue, stg, bounded)
+                lookups: dict[str, Lookup], dedupe: str = "raw", with_backfill: bool = False) -> dict[str, DataFrame]:
+    """One batch of the whole trigger chain in the order of ``seq``, however the batch was cut from the feed.
+
+    New histories give inspection rows (I5 with I6); then the events of each work order are applied in turn: queue
+    acknowledgements (I2, I3), written staging rows, re-flags (I7), due dates (I4), each followed by the enqueue rule (I1).
+    Optional vendor back-fill (I8). The feed, the new inspection rows and the events are computed once. Only work orders
+    that the batch touches take part; the rest of the state passes through."""
+    feed = materialise(feed)
+    stg, queue, cr = state["stg"].select(*STG_COLUMNS), state["queue"].select(*QUEUE_COLUMNS), state["cr"]
+    new_cr = materialise(collect_inspections(cr, feed_part(feed, "history", ["history_oi"]), src, lookups, dedupe))
+    changed = feed_part(feed, "inspection", ["inspectionid", "project_sid", "work_order_uuid", "feed_status"])
+    ids = ["project_sid", "work_order_uuid", "feed_status", "__seq"]
+    flagged = new_cr.select(*ids).unionByName(changed.withColumnRenamed("seq", "__seq").select(*ids)).where(F.col("feed_status") == "NEW")
+    events = materialise(work_order_events(feed, flagged))
+
+    lost = feed_part(feed, "staging", STAGED).where(F.col("workorder_uuid").isNull())
+    stg = write_staging(stg, lost)
+    _, bad_queue = enqueue_work_orders(queue, _as_changed(lost))
+    wos = events.groupBy("wo").agg(F.count("*").alias("n"))
+    held = stg.join(wos.select("wo"), stg["workorder_uuid"] == wos["wo"], "left_semi").groupBy(F.col("workorder_uuid").alias("wo")).agg(F.count("*").alias("n"))
+    sizes = materialise(wos.unionByName(held).groupBy(F.col("wo").alias("__wo")).agg(F.sum("n").alias("n")))
+    few, many = sizes.where(F.col("n") <= FOLD_ROWS), sizes.where(F.col("n") > FOLD_ROWS)
+    of = lambda df, key, part, how: df.join(part.select("__wo"), df[key] == F.col("__wo"), how)
+    rest = of(stg, "workorder_uuid", sizes, "left_anti"), of(queue, "task_uuid", sizes, "left_anti")
+    parts = [rest, fold_events(of(stg, "workorder_uuid", few, "left_semi"), of(queue, "task_uuid", few, "left_semi"), of(events, "wo", few, "left_semi"))]
+    if not many.isEmpty():
+        parts.append(apply_in_rounds(of(stg, "workorder_uuid", many, "left_semi"), of(queue, "task_uuid", many, "left_semi"), of(events, "wo", many, "left_semi")))
+    stg, queue = (reduce(DataFrame.unionByName, x) for x in zip(*parts))
+
+    cr = set_inspection_status(cr.select(*CR_INSPECT_COLUMNS).unionByName(new_cr.select(*CR_INSPECT_COLUMNS)), changed)
     if with_backfill:
-        cr = backfill_sid(cr, feed_part(feed, "vendor", ["workorder", "inspection_sid"]), bounded=bounded)
-    return {"stg": stg.drop(CHG), "queue": queue, "cr": cr,
-            "quarantine_ids": bad_ids.select(*CR_INSPECT_COLUMNS),
-            "quarantine_queue": bad_queue.drop(CHG)}
+        cr = backfill_sid(cr, feed_part(feed, "vendor", ["workorder", "inspection_sid"]))
+    broken = lambda c: F.col(c).isNotNull() & ~F.coalesce(is_valid_hex(F.col(c)), F.lit(False))
+    bad_ids = flagged.where(broken("project_sid") | broken("work_order_uuid")).select(F.col("__seq").alias("seq"), "project_sid", "work_order_uuid")
+    return {"stg": stg, "queue": queue, "cr": cr, "quarantine_ids": bad_ids, "quarantine_queue": bad_queue.select(*STG_COLUMNS)}

@@ -1,83 +1,90 @@
 """Structured Streaming driver of the sync rules.
 
-readStream(feed parquet) -> foreachBatch(run_cascade) -> versioned state snapshots.
+readStream(feed parquet) -> foreachBatch(run_cascade) -> versioned state.
 
-Each micro-batch reads the last committed state version (so lineage never grows
-across batches), applies ``run_cascade`` and writes version ``batch_id + 1`` of every
-state table, committing the inspection table last. A replayed batch id finds its
-version committed and writes nothing, so a restart after an executor or driver loss
-is idempotent; the streaming checkpoint lives in the shared checkpoint folder.
+A version is one folder, ``state/v=<n>/``, with all tables of the state (and what the batch put in quarantine), and one
+marker, written last, that names the stream's checkpoint and the batch. So a reader sees all tables of one batch or
+of the one before, a replayed batch finds its marker and writes nothing, and a stream with another checkpoint (which
+would apply the feed anew) is refused instead of being taken for a replay. Sources are read for each batch, so rows
+written after the start of the stream are seen. The last ``KEEP_VERSIONS`` versions are kept.
 """
 
 from __future__ import annotations
 
+import json
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import checkpoint_dir
 from ..sources import io
 from ..sources.lookups import Lookup
-from ..sources.schemas import WOT_STG1_SCHEMA, WOT_STG_SCHEMA
 from . import rules as R
-from ..session import checkpoint_dir
-from ..sources.schemas import CR_INSPECT_COLUMNS
 
 STATE_TABLES = ("stg", "queue", "cr")
+QUARANTINE_TABLES = ("quarantine_ids", "quarantine_queue")
+KEEP_VERSIONS = 3
+
+Sources = dict[str, DataFrame] | Callable[[SparkSession], dict[str, DataFrame]]
+
+
+def _commit(spark: SparkSession, state_dir: str, version: int, tables: dict[str, DataFrame], note: dict) -> None:
+    path = io.version_path(state_dir, version)
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(os.path.join(path, name))
+    io.mark(spark, path, json.dumps(note))
 
 
 def init_state(state_dir: str, state: dict[str, DataFrame]) -> None:
-    """Write version 0 of the state tables."""
-    for t in STATE_TABLES:
-        io.overwrite_snapshot(state[t], os.path.join(state_dir, t), 0)
+    """Write version 0. An existing state is never replaced: that is an error."""
+    spark = state["stg"].sparkSession
+    if io.committed_versions(spark, state_dir):
+        raise ValueError(f"{state_dir} already holds a state")
+    _commit(spark, state_dir, 0, {t: state[t] for t in STATE_TABLES}, {"query": None, "batch": -1})
 
 
 def read_state(spark: SparkSession, state_dir: str, before: int | None = None) -> dict[str, DataFrame]:
-    out = {}
-    schemas = {"stg": WOT_STG_SCHEMA, "queue": WOT_STG1_SCHEMA, "cr": None}  # stg drops the change marker
-    for t in STATE_TABLES:
-        df = io.read_latest(spark, os.path.join(state_dir, t), schemas[t], before)
-        if df is None:
-            raise ValueError(f"state table {t} has no committed version below {before} in {state_dir}")
-        out[t] = df
-    return out
-
-
-def make_batch_fn(state_dir: str, src: dict[str, DataFrame], lookups: dict[str, Lookup],
-                  dedupe: str = "raw", with_backfill: bool = False):
-    """foreachBatch body. Same rules and order as ``run_cascade``, but every expensive
-    piece is computed once: the new inspection rows are checkpointed (reliable, in the
-    shared checkpoint folder), and the queue is computed from the staging version just
-    written (which keeps the per-row change marker as an extra column)."""
+    """All tables of the last committed version (below ``before``)."""
+    versions = [v for v in io.committed_versions(spark, state_dir) if before is None or v < before]
+    if not versions:
+        raise ValueError(f"no committed version below {before} in {state_dir}")
+    path = io.version_path(state_dir, versions[-1])
+    return {t: spark.read.parquet(os.path.join(path, t)) for t in STATE_TABLES}
+
+
+def read_quarantine(spark: SparkSession, state_dir: str) -> dict[str, DataFrame]:
+    """What all kept versions put in quarantine."""
+    paths = [io.version_path(state_dir, v) for v in io.committed_versions(spark, state_dir) if v > 0]
+    return {t: spark.read.parquet(*[os.path.join(p, t) for p in paths]) for t in QUARANTINE_TABLES} if paths else {}
+
+
+def make_batch_fn(state_dir: str, src: Sources, lookups: dict[str, Lookup],
+                  dedupe: str = "raw", with_backfill: bool = False, query: str | None = None):
+    """foreachBatch body: ``run_cascade`` on the last state, committed as the next version.
+
+    ``src`` may be a function that lists the sources anew for each batch. ``query`` names the stream's checkpoint; by
+    default it is the id that Spark keeps in it."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         checkpoint_dir(spark)
-        version = batch_id + 1
-        if version in io.committed_versions(spark, os.path.join(state_dir, "cr")):
+        stream = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        version = io.committed_versions(spark, state_dir)[-1]
+        note = json.loads(io.marker(spark, io.version_path(state_dir, version)))
+        if note["query"] is not None and note["query"] != stream:
+            raise ValueError(f"{state_dir} was written by the stream {note['query']}; this one is {stream} and would apply the feed again")
+        if batch_id <= note["batch"]:
             return  # replay of a committed batch
-        state = read_state(spark, state_dir, before=version)
-        feed = batch.checkpoint(eager=True)
-        bounded = R.feed_is_bounded(feed)
-        stg, queue = R.acknowledge_sent(state["stg"], state["queue"],
-                                        R.feed_part(feed, "queue", ["queue_uuid", "old_status", "new_status"]), bounded)
-        new_cr = R.collect_inspections(state["cr"], R.feed_part(feed, "history", ["history_oi"]), src, lookups,
-                                       dedupe).checkpoint(eager=True)
-        stg, _ = R.reflag_tasks(stg, new_cr, bounded)
-        stg = R.propagate_due_date(stg, R.feed_part(feed, "workorder", ["wo_uuid", "site_oi", "reqcompdate_dttm"]),
-                                   bounded)
-        stg_dir = os.path.join(state_dir, "stg")
-        io.overwrite_snapshot(stg, stg_dir, version)
-        stg_w = spark.read.parquet(io.version_path(stg_dir, version))
-        queue, _ = R.enqueue_work_orders(queue, stg_w, bounded)
-        io.overwrite_snapshot(queue, os.path.join(state_dir, "queue"), version)
-        cr = state["cr"].select(*CR_INSPECT_COLUMNS).unionByName(new_cr.select(*CR_INSPECT_COLUMNS))
-        if with_backfill:
-            cr = R.backfill_sid(cr, R.feed_part(feed, "vendor", ["workorder", "inspection_sid"]), bounded=bounded)
-        io.overwrite_snapshot(cr, os.path.join(state_dir, "cr"), version)   # committed last
+        state = read_state(spark, state_dir)
+        out = R.run_cascade(state, batch, src(spark) if callable(src) else src, lookups, dedupe, with_backfill)
+        _commit(spark, state_dir, version + 1, out, {"query": stream, "batch": batch_id})
+        for old in io.committed_versions(spark, state_dir)[:-KEEP_VERSIONS]:
+            io.drop_version(spark, state_dir, old)
     return apply
 
 
 def stream_sync(spark: SparkSession, feed_dir: str, state_dir: str, checkpoint: str,
-                src: dict[str, DataFrame], lookups: dict[str, Lookup],
+                src: Sources, lookups: dict[str, Lookup],
                 max_files_per_trigger: int | None = None, available_now: bool = True, **kw):
     """Start the sync stream; with ``available_now`` it processes what is there and stops."""
     feed = io.change_feed(spark, feed_dir, max_files_per_trigger)
