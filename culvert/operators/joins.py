@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.codes import norm_key
 from ..sources.lookups import Lookup
 
-# Salt range for null join keys of outer joins (see left_join_spread_nulls).
-NULL_SALT_BUCKETS = 256
 
 
 def code_join(df: DataFrame, key: Column, lookup: Lookup, out: str) -> DataFrame:
@@ -28,10 +26,10 @@ def code_join(df: DataFrame, key: Column, lookup: Lookup, out: str) -> DataFrame
     return df.join(lk, norm_key(key) == lk[k], "left").drop(k)
 
 
-def null_salt(key: Column, *salt_from: Column) -> Column:
-    """0 for a non-null key; for a null key a bucket in [1, NULL_SALT_BUCKETS] from a
+def null_salt(key: Column, buckets: int, *salt_from: Column) -> Column:
+    """0 for a non-null key; for a null key a bucket in [1, ``buckets``] from a
     deterministic hash of ``salt_from`` (so recomputing a lost partition gives the same rows)."""
-    return F.when(key.isNull(), F.pmod(F.xxhash64(*salt_from), F.lit(NULL_SALT_BUCKETS)) + 1) \
+    return F.when(key.isNull(), F.pmod(F.xxhash64(*salt_from), F.lit(buckets)) + 1) \
         .otherwise(F.lit(0)).cast("int")
 
 
@@ -50,9 +48,10 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, lkey: str, rkey: s
     A null key never matches, but a hash shuffle sends every null-key row to one
     partition. Pairing the key with a salt (0 on the right, a hash bucket for
     null-key rows on the left) keeps the result identical while spreading those
-    rows over NULL_SALT_BUCKETS partitions. ``rkey`` is dropped after the join.
+    rows over as many buckets as the shuffle has partitions. ``rkey`` is dropped after the join.
     """
-    l2 = left.withColumn("__salt_l", null_salt(F.col(lkey), *[F.col(c) for c in salt_from]))
+    buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    l2 = left.withColumn("__salt_l", null_salt(F.col(lkey), buckets, *[F.col(c) for c in salt_from]))
     r2 = right.withColumn("__salt_r", match_salt(F.col(rkey)))
     cond = (l2[lkey] == r2[rkey]) & (l2["__salt_l"] == r2["__salt_r"])
     if extra is not None:

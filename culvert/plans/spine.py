@@ -53,11 +53,12 @@ def facility_dim(src: dict[str, DataFrame], lookups: dict[str, Lookup]) -> DataF
 
     # Attributes. Manhole, catch basin and service connection all key on facilityid,
     # so one shuffle of the left side serves the three joins.
-    f = f.withColumn("__salt", null_salt(F.col("facilityid"), F.col("epdrdrainagefacilityoi")))
+    buckets = int(f.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    f = f.withColumn("__salt", null_salt(F.col("facilityid"), buckets, F.col("epdrdrainagefacilityoi")))
     f = _attach(f, src["epdrmanhole"], "facilityid", "manholeid", "mh_", "MACP")
     f = _attach(f, src["epdrcatchbasin"], "facilityid", "catchbasinid", "cb_", "MACP")
     f = _attach(f, src["epdrserviceconnect"], "facilityid", "wass_appid", "sc_", "LACP")
-    f = f.withColumn("__salt", null_salt(F.col("epdrpipe_oi"), F.col("epdrdrainagefacilityoi")))
+    f = f.withColumn("__salt", null_salt(F.col("epdrpipe_oi"), buckets, F.col("epdrdrainagefacilityoi")))
     f = _attach(f, src["epdrpipe"], "epdrpipe_oi", "epdrpipeoi", "p_", "PACP").drop("__salt")
 
     ft, ut, br = F.col("facilitytype"), F.col("unknfactype"), F.col("inspection_type")

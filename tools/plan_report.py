@@ -55,8 +55,7 @@ def main():
     st = derive_state(spark, sf)
     stg = st["wot_stg"]
     feed = spark.createDataFrame([(1, "x", 58, None)], "seq long, wo_uuid string, site_oi long, reqcompdate_dttm timestamp_ntz")
-    summary("propagate_due_date (bounded change set)", R.propagate_due_date(stg, feed, bounded=True))
-    summary("propagate_due_date (unbounded change set)", R.propagate_due_date(stg, feed, bounded=False))
+    summary("propagate_due_date", R.propagate_due_date(stg, feed))
 
 
 if __name__ == "__main__":
