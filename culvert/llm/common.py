@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -18,9 +20,15 @@ from culvert.session import checkpoint_dir
 _SHIPPED: set[str] = set()
 
 
+#: Bytes that Spark hands to a Python worker at once, unless the deployment sets it: it bounds the memory of every worker.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application (as ``--py-files`` would)."""
+    """Send this package to the executors once per application (as ``--py-files`` would), and bound the batches they get."""
     sc = spark.sparkContext
+    if not sc.getConf().contains(BATCH_BYTES[0]):
+        spark.conf.set(*BATCH_BYTES)
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -54,7 +62,14 @@ def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return df.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
+def tidy() -> None:
+    """Give freed memory of this worker back to the machine; allocators would keep it beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = 2 << 20):
     """Cut a batch into runs of rows of about ``limit`` text bytes (one row at least), so temporaries stay bounded."""
     if batch.num_rows == 0:
         return
@@ -67,3 +82,4 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
             start, total = i, 0
         total += s
     yield batch.slice(start)
+    tidy()

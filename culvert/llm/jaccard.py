@@ -2,8 +2,9 @@
 
 1. Every text becomes the set of its distinct 5-word shingles (64-bit hashes). Equal sets are one class from there on.
 2. Prefix rule: in one common order of all shingles, two sets of similarity 0.8 or more share one of the first
-   n - ceil(0.8 n) + 1 shingles of each. The order puts the shingles that most documents have last, so common passages
-   seldom reach a prefix. Classes without a prefix shingle in common with another class have no links.
+   n - ceil(0.8 n) + 1 shingles of each, and have their least overlap left from there on. The order puts the shingles that
+   most documents have last, so common passages seldom reach a prefix. Classes that share no such shingle with a class of
+   fitting size have no links, and their sets are not looked at again.
 3. Groups: classes with equal min-hashes are compared with one hub of theirs, round by round, and those that link with it
    form its group. A group is connected, and is cut into chunks of about ``CHUNK`` classes.
 4. The matrix has a row for each prefix shingle and chunk, however many members share it. A class probes it with its own
@@ -23,21 +24,26 @@ nor changed.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from culvert.llm.common import ship, slices, stored, table
+from culvert.llm.common import ship, slices, stored, table, tidy
 from culvert.llm.components import components
 from culvert.llm.textnum import buffer, mix, shingle_sets
+from culvert.session import checkpoint_dir
 
 SHINGLE = 5
 #: Similarity of a link, in hundredths.
 PERCENT = 80
 #: Shingles that are put last in the common order, at most; and the share of a block's rows that makes one a candidate.
 COMMON, COMMON_SHARE = 1 << 17, 1 / 2000
+#: Text bytes whose shingles are counted together for that.
+BLOCK = 16 << 20
 #: Rounds of hubs, at most; they end when a round adds little.
 ROUNDS = 6
 CHUNK = 128
@@ -62,12 +68,11 @@ def common_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def often(batches):
         for batch in batches:
-            sets = [s for part in slices(batch, 0) for s in shingle_sets(*buffer(part.column(0)))]
-            if not sets:
-                continue
-            token, n = np.unique(np.concatenate(sets), return_counts=True)
-            ok = n >= max(3, COMMON_SHARE * batch.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(token[ok].view(np.int64)), pa.array(n[ok].astype(np.int64))], ["token", "n"])
+            for block in slices(batch, 0, BLOCK):
+                sets = np.concatenate([np.concatenate(shingle_sets(*buffer(part.column(0)))) for part in slices(block, 0)])
+                token, n = np.unique(sets, return_counts=True)
+                ok = n >= max(3, COMMON_SHARE * block.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(token[ok].view(np.int64)), pa.array(n[ok].astype(np.int64))], ["token", "n"])
 
     rows = _rows(docs, text).select("text").mapInArrow(often, "token long, n long")
     top = rows.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON).toArrow()
@@ -100,11 +105,11 @@ def _classes(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1):
                 got = shingle_sets(*buffer(part.column(1)))
-                pre = [_prefix(s, tokens, rank) >> np.uint64(32) for s in got]
+                pre = [_prefix(s, tokens, rank) for s in got]
                 keep = pa.array([len(s) > 0 for s in got])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([_digest(s) for s in got], pa.binary()), part.column(0), pa.array([len(s) for s in got], pa.int64()),
-                    pa.array([p.astype("<u4").tobytes() for p in pre], pa.binary())], ["digest", "doc", "n", "prefix"]).filter(keep)
+                    pa.array([p.tobytes() for p in pre], pa.binary())], ["digest", "doc", "n", "prefix"]).filter(keep)
 
     got = _rows(docs, text).mapInArrow(sets, "digest binary, doc long, n long, prefix binary")
     one = got.groupBy("digest").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
@@ -112,35 +117,57 @@ def _classes(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(token, node) of the prefixes; a token is a shingle's upper half, which only adds candidates."""
+    """(token, node, n, rest) of prefix shingles that a class of fitting size shares; ``rest``: the set's shingles from there on.
+
+    Of a linked pair, the first shingle in common has at least the least overlap, 80/180 of both sizes, left on both sides. So
+    with a class only those of its shingles stay that another class has whose size allows that: the next smaller or the
+    next larger size among the classes of the shingle decides."""
 
     def explode(batches):
         for batch in batches:
             raw, offs = buffer(batch.column(1))
             for k in range(0, batch.num_rows, 2000):
                 o = offs[k:k + 2001]
-                token = np.frombuffer(raw[o[0]:o[-1]].tobytes(), "<u4").view(np.int32)
-                node = np.repeat(batch.column(0).slice(k, 2000).to_numpy(zero_copy_only=False), np.diff(o) // 4)
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(node)], ["token", "node"])
+                token = np.frombuffer(raw[o[0]:o[-1]].tobytes(), np.int64)
+                size = np.diff(o) // 8
+                node, n = (np.repeat(batch.column(i).slice(k, 2000).to_numpy(zero_copy_only=False), size) for i in (0, 2))
+                place = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(node), pa.array((n << 32) | (n - place))], ["token", "node", "sizes"])
 
-    return classes.select("node", "prefix").mapInArrow(explode, "token int, node long")
+    rows = classes.select("node", "prefix", "n").mapInArrow(explode, "token long, node long, sizes long")
+    by_size = Window.partitionBy("token").orderBy("sizes")
+    size = lambda c: F.shiftright(c, 32)
+    near = rows.select("*", size(F.lag("sizes").over(by_size)).alias("smaller"), size(F.lead("sizes").over(by_size)).alias("larger"))
+    n, rest = size("sizes"), F.col("sizes").bitwiseAND(F.lit(0xFFFFFFFF))
+    most = F.least(100 * n / PERCENT, (100 + PERCENT) * rest / PERCENT - n)
+    return near.where((100 * F.col("smaller") >= PERCENT * n) | (F.col("larger") <= most)).select("token", "node", n.alias("n"), rest.alias("rest"))
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(node, n, set, keys) of the wanted classes, from the text of their least doc_id; stored."""
-
-    def cut(batches):
-        for batch in batches:
-            for part in slices(batch, 2):
-                got = shingle_sets(*buffer(part.column(2)))
-                ok = [_digest(s) == d for s, d in zip(got, part.column(1).to_pylist())]
-                keys = [[int(mix(s ^ x).min().view(np.int64)) for x in _SALT] if o else None for s, o in zip(got, ok)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in got], pa.int64()), pa.array([s.tobytes() for s in got], pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["node", "n", "set", "keys"]).filter(pa.array(ok))
-
+    """(node, n, set, keys) of the wanted classes, from the text of their least doc_id; a table bucketed by node, so that
+    the joins below move pairs and not sets."""
+
+    @F.arrow_udf("struct<ok: boolean, n: long, set: binary, keys: array<long>>")
+    def cut(digests: pa.Array, texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], ["t"])
+        wanted, ok, n, raw, keys = iter(digests.to_pylist()), [], [], [], []
+        for part in slices(batch, 0):
+            for s in shingle_sets(*buffer(part.column(0))):
+                ok.append(_digest(s) == next(wanted))
+                n.append(len(s))
+                raw.append(s.tobytes() if ok[-1] else b"")
+                keys.append([int(mix(s ^ x).min().view(np.int64)) for x in _SALT] if ok[-1] else None)
+        return pa.StructArray.from_arrays([pa.array(ok, pa.bool_()), pa.array(n, pa.int64()), pa.array(raw, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["ok", "n", "set", "keys"])
+
+    spark = docs.sparkSession
     absent = F.lit(-(1 << 63))
     rows = _rows(docs, text).select(F.coalesce("doc", absent).alias("doc"), "text")
-    found = wanted.select("node", "digest", F.coalesce("doc", absent).alias("doc")).join(rows, "doc").select("node", "digest", "text")
-    return stored(found.mapInArrow(cut, "node long, n long, set binary, keys array<long>").dropDuplicates(["node"]), "sets")
+    found = wanted.select("node", "digest", F.coalesce("doc", absent).alias("doc")).join(rows, "doc").select("node", cut("digest", "text").alias("c"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"culvert_sets_{uuid.uuid4().hex}"
+    one = found.where("c.ok").select("node", "c.n", "c.set", "c.keys").repartition(parts, "node").dropDuplicates(["node"])
+    one.write.bucketBy(parts, "node").option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
+    return spark.table(name)
 
 
 def _compare(kind: str):
@@ -152,28 +179,28 @@ def _compare(kind: str):
         for x, y in zip(a, b):
             s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             out.append(linked(s, t) if kind == "link" else 100 * len(np.intersect1d(s, t, assume_unique=True)) >= PERCENT * len(s))
+        tidy()
         return pa.array(out, pa.bool_())
 
     return test
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) pairs that link; sets of impossible sizes are not compared."""
+    """The (a, b) pairs that link; ``pairs`` is stored. Sets of impossible sizes are not compared."""
     a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("set").alias("sa"))
-    b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("set").alias("sb"))
+    b = sets.join(pairs.select(F.col("b").alias("node")).distinct(), "node").select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("set").alias("sb"))
     fits = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
     return pairs.join(a, "a").join(b, "b").where(fits).where(_compare("link")("sa", "sb")).select("a", "b")
 
 
 def _groups(sets: DataFrame) -> DataFrame:
     """(node, hub, chunk) of every class: hubs link with all classes of their group; stored."""
-    spark = sets.sparkSession
     open_ = sets.select("node", "keys")
     taken = None
     for r in range(ROUNDS):
         key = open_.select("node", F.col("keys")[r].alias("key"))
         hubs = key.groupBy("key").agg(F.count("*").alias("m"), F.min_by("node", F.xxhash64("node", F.lit(r))).alias("b")).where("m > 1").select("key", "b")
-        pairs = key.join(hubs, "key").where("node <> b").select(F.col("node").alias("a"), "b")
+        pairs = stored(key.join(hubs, "key").where("node <> b").select(F.col("node").alias("a"), "b"), "hubs")
         found = stored(_verified(pairs, sets), "stars")
         # a class can be its bucket's hub only, so a hub is never a member
         added = found.count()
@@ -191,11 +218,12 @@ def _groups(sets: DataFrame) -> DataFrame:
 
 def _cross_links(postings: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): a class and a class of another group that link, at least one for any two groups that have such a link."""
-    sized = sets.select("node", "n")
-    rows = stored(postings.join(groups, "node").join(sized, "node"), "matrix")
-    matrix = rows.groupBy("token", F.col("hub").alias("g"), F.col("chunk").alias("c")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.first("many").alias("many"))
-    probes = rows.select("token", F.col("node").alias("a"), "hub", "n")
-    fits = (F.col("hub") < F.col("g")) & (100 * F.col("n") <= 125 * F.col("high")) & (PERCENT * F.col("low") <= 100 * F.col("n"))
+    rows = stored(postings.join(groups, "node"), "matrix")
+    matrix = rows.groupBy("token", F.col("hub").alias("g"), F.col("chunk").alias("c")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most"), F.first("many").alias("many"))
+    probes = rows.select("token", F.col("node").alias("a"), "hub", "n", "rest")
+    least = PERCENT * (F.col("n") + F.col("low"))
+    fits = (F.col("hub") < F.col("g")) & (PERCENT * F.col("n") <= 100 * F.col("high")) & (PERCENT * F.col("low") <= 100 * F.col("n"))
+    fits = fits & ((100 + PERCENT) * F.col("rest") >= least) & ((100 + PERCENT) * F.col("most") >= least)
     candidates = stored(probes.join(matrix, "token").where(fits).select("a", "g", "c", "many").distinct(), "candidates")
     # chunks of one class are that class; of the others, the union bounds the overlap
     single = candidates.where("not many").select("a", F.col("g").alias("b"))
@@ -210,15 +238,14 @@ def _cross_links(postings: DataFrame, groups: DataFrame, sets: DataFrame) -> Dat
     own = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
     opened = many.join(own, "a").join(unions, ["g", "c"]).where(_compare("bound")("sa", "u")).select("a", "g", "c")
     pairs = single.unionByName(opened.join(members, ["g", "c"]).select("a", F.col("node").alias("b")))
-    return _verified(pairs, sets)
+    return _verified(stored(pairs, "pairs"), sets)
 
 
 def _named(docs: DataFrame, text: str) -> DataFrame:
     """(digest, doc, root): every different set, its least doc_id and its component."""
     ship(docs.sparkSession)
     classes = _classes(docs, text)
-    postings = _postings(classes).withColumn("m", F.count("*").over(Window.partitionBy("token")))
-    shared = stored(postings.where("m > 1").select("token", "node"), "postings")
+    shared = stored(_postings(classes), "postings")
     wanted = classes.select("node", "digest", "doc").join(shared.select("node").distinct(), "node")
     sets = _sets(docs, text, wanted)
     groups = _groups(sets)
@@ -231,8 +258,8 @@ def _digests_udf():
     @F.arrow_udf("struct<n: long, digest: binary>")
     def digest(v: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([v], ["t"])
-        got = [s for part in slices(batch, 0) for s in shingle_sets(*buffer(part.column(0)))]
-        return pa.StructArray.from_arrays([pa.array([len(s) for s in got], pa.int64()), pa.array([_digest(s) if len(s) else None for s in got], pa.binary())], ["n", "digest"])
+        got = [(len(s), _digest(s) if len(s) else None) for part in slices(batch, 0) for s in shingle_sets(*buffer(part.column(0)))]
+        return pa.StructArray.from_arrays([pa.array([n for n, _ in got], pa.int64()), pa.array([d for _, d in got], pa.binary())], ["n", "digest"])
 
     return digest
 
