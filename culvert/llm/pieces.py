@@ -30,7 +30,7 @@ from culvert.llm.common import slices, table, texts
 
 MARK = "▁"
 #: Words kept between slices.
-CACHE = 500_000
+CACHE = 200_000
 
 
 def default_model() -> str:
@@ -94,7 +94,7 @@ class Coder:
 
     def _follows(self, key: int) -> bool:
         u, t = self.names[key >> 32], self.names[key & 0xFFFFFFFF]
-        if len(self.pairs) > 1_000_000:
+        if len(self.pairs) > 300_000:
             self.pairs.clear()
         got = self.pairs[key] = self.merge(u + t) == [u, t]
         return got
@@ -194,7 +194,7 @@ def round_trips(docs: DataFrame, model: str) -> DataFrame:
     def run(batches):
         c = coder(model)
         for batch in batches:
-            for part in slices(batch, 1, 16 << 20):
+            for part in slices(batch, 1, 8 << 20):
                 values = part.column(1).to_pylist()
                 ids = c.encode(values)
                 back = [c.decode(x) for x in ids]
