@@ -5,8 +5,8 @@
    n - ceil(0.8 n) + 1 shingles of each, and have their least overlap left from there on. The order puts the shingles that
    most documents have last, so common passages seldom reach a prefix. Classes that share no such shingle with a class of
    fitting size have no links, and their sets are not looked at again.
-3. Groups: classes with equal min-hashes are compared with one hub of theirs, round by round, and those that link with it
-   form its group. A group is connected, and is cut into chunks of about ``CHUNK`` classes.
+3. Groups: where at least ``HUB_FROM`` classes have equal min-hashes they are compared with one hub of theirs, round by
+   round, and those that link with it form its group. A group is connected, and is cut into chunks of about ``CHUNK`` classes.
 4. The matrix has a row for each prefix shingle and chunk, however many members share it. A class probes it with its own
    prefix and gets candidate chunks of other groups. A chunk's union of shingles bounds the overlap: unless the class has
    at least 0.8 of its shingles in that union, no member can link with it, and the chunk is not opened.
@@ -44,8 +44,8 @@ PERCENT = 80
 COMMON, COMMON_SHARE = 1 << 17, 1 / 2000
 #: Text bytes whose shingles are counted together for that.
 BLOCK = 16 << 20
-#: Rounds of hubs, at most; they end when a round adds little.
-ROUNDS = 6
+#: Rounds of hubs, at most, over buckets of so many classes at least; fewer are compared in the matrix.
+ROUNDS, HUB_FROM = 6, 8
 CHUNK = 128
 _SALT = np.random.RandomState(23).randint(1, 1 << 62, ROUNDS, dtype=np.int64).astype(np.uint64)
 
@@ -199,18 +199,18 @@ def _groups(sets: DataFrame) -> DataFrame:
     taken = None
     for r in range(ROUNDS):
         key = open_.select("node", F.col("keys")[r].alias("key"))
-        hubs = key.groupBy("key").agg(F.count("*").alias("m"), F.min_by("node", F.xxhash64("node", F.lit(r))).alias("b")).where("m > 1").select("key", "b")
+        hubs = key.groupBy("key").agg(F.count("*").alias("m"), F.min_by("node", F.xxhash64("node", F.lit(r))).alias("b")).where(F.col("m") >= HUB_FROM).select("key", "b")
         pairs = stored(key.join(hubs, "key").where("node <> b").select(F.col("node").alias("a"), "b"), "hubs")
+        if pairs.isEmpty():
+            continue
         found = stored(_verified(pairs, sets), "stars")
         # a class can be its bucket's hub only, so a hub is never a member
-        added = found.count()
         got = found.select(F.col("a").alias("node"), F.col("b").alias("hub"))
         got = got.unionByName(found.select(F.col("b").alias("node"), F.col("b").alias("hub")).distinct())
         taken = got if taken is None else taken.unionByName(got)
         open_ = stored(open_.join(got.select("node"), "node", "left_anti"), "open")
-        if added * 100 < open_.count():
-            break
-    every = open_.select("node", F.col("node").alias("hub")).unionByName(taken)
+    every = open_.select("node", F.col("node").alias("hub"))
+    every = every if taken is None else every.unionByName(taken)
     sizes = every.groupBy("hub").agg(F.count("*").alias("m"))
     chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / CHUNK)).cast("int")
     return stored(every.join(sizes, "hub").select("node", "hub", chunk.alias("chunk"), (F.col("m") > 1).alias("many")), "groups")
