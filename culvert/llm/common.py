@@ -69,7 +69,7 @@ def tidy() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 2 << 20):
+def slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20):
     """Cut a batch into runs of rows of about ``limit`` text bytes (one row at least), so temporaries stay bounded."""
     if batch.num_rows == 0:
         return

@@ -43,7 +43,7 @@ PERCENT = 80
 #: Shingles that are put last in the common order, at most; and the share of a block's rows that makes one a candidate.
 COMMON, COMMON_SHARE = 1 << 17, 1 / 2000
 #: Text bytes whose shingles are counted together for that.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 #: Rounds of hubs, at most, over buckets of so many classes at least; fewer are compared in the matrix.
 ROUNDS, HUB_FROM = 6, 8
 CHUNK = 128
