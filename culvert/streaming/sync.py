@@ -2,8 +2,9 @@
 
 readStream(feed parquet) -> foreachBatch(run_cascade) -> versioned state.
 
-A version is one folder, ``state/v=<n>/``, with all tables of the state (and what the batch put in quarantine), and one
-marker, written last, that names the stream's checkpoint and the batch. So a reader sees all tables of one batch or
+A version is one folder, ``state/v=<n>/``, with all tables of the state, and one marker, written last, that names the
+stream's checkpoint and the batch. What a batch put in quarantine lies beside the versions, in a part of its own
+(``state/quarantine_*/stream=<id>/batch=<n>/``) that a replay overwrites and that outlives the version. So a reader sees all tables of one batch or
 of the one before, a replayed batch finds its marker and writes nothing, and a stream with another checkpoint (which
 would apply the feed anew) is refused instead of being taken for a replay. Sources are read for each batch, so rows
 written after the start of the stream are seen. The last ``KEEP_VERSIONS`` versions are kept.
@@ -14,8 +15,10 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from ..sources import io
@@ -53,10 +56,17 @@ def read_state(spark: SparkSession, state_dir: str, before: int | None = None) -
     return {t: spark.read.parquet(os.path.join(path, t)) for t in STATE_TABLES}
 
 
+def _quarantine_path(state_dir: str, table: str, stream: str) -> str:
+    return os.path.join(state_dir, table, f"stream={quote(stream, safe='')}")
+
+
 def read_quarantine(spark: SparkSession, state_dir: str) -> dict[str, DataFrame]:
-    """What all kept versions put in quarantine."""
-    paths = [io.version_path(state_dir, v) for v in io.committed_versions(spark, state_dir) if v > 0]
-    return {t: spark.read.parquet(*[os.path.join(p, t) for p in paths]) for t in QUARANTINE_TABLES} if paths else {}
+    """What all committed batches put in quarantine, also those whose version is dropped by now."""
+    versions = io.committed_versions(spark, state_dir)
+    note = json.loads(io.marker(spark, io.version_path(state_dir, versions[-1]))) if versions else {"query": None}
+    if note["query"] is None:
+        return {}
+    return {t: spark.read.parquet(_quarantine_path(state_dir, t, note["query"])).where(F.col("batch") <= note["batch"]).drop("batch") for t in QUARANTINE_TABLES}
 
 
 def make_batch_fn(state_dir: str, src: Sources, lookups: dict[str, Lookup],
@@ -77,7 +87,9 @@ def make_batch_fn(state_dir: str, src: Sources, lookups: dict[str, Lookup],
             return  # replay of a committed batch
         state = read_state(spark, state_dir)
         out = R.run_cascade(state, batch, src(spark) if callable(src) else src, lookups, dedupe, with_backfill)
-        _commit(spark, state_dir, version + 1, out, {"query": stream, "batch": batch_id})
+        for t in QUARANTINE_TABLES:
+            out[t].write.mode("overwrite").parquet(os.path.join(_quarantine_path(state_dir, t, stream), f"batch={batch_id}"))
+        _commit(spark, state_dir, version + 1, {t: out[t] for t in STATE_TABLES}, {"query": stream, "batch": batch_id})
         for old in io.committed_versions(spark, state_dir)[:-KEEP_VERSIONS]:
             io.drop_version(spark, state_dir, old)
     return apply

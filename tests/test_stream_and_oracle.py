@@ -13,6 +13,8 @@ from culvert.checks.compare import compare, duck
 from culvert.checks.oracle import ORACLE
 from culvert.session import checkpoint_dir
 from culvert.sources.io import committed_versions, marker, version_path, write_feed
+from culvert.sources.lookups import all_lookups
+from culvert.sources.schemas import CR_INSPECT_SCHEMA, FEED_SCHEMA, SOURCE_SCHEMAS, WOT_STG1_SCHEMA, WOT_STG_SCHEMA
 from culvert.streaming import rules as R
 from culvert.streaming.sync import init_state, make_batch_fn, read_quarantine, read_state, stream_sync
 
@@ -83,6 +85,32 @@ def test_stream_of_several_batches_equals_one_batch_and_sees_late_sources(spark,
         assert text(got[t], names) == text(want[t], names)
 
 
+def test_quarantine_of_five_batches_equals_that_of_one(spark):
+    sources = {n: spark.createDataFrame([], t) for n, t in SOURCE_SCHEMAS.items()}
+    fields, lookups = [f.name for f in FEED_SCHEMA.fields], all_lookups(spark)
+    rows = []
+    for i in range(5):
+        rows.append(dict.fromkeys(fields) | {"seq": 2 * i, "source": "inspection", "feed_status": "NEW", "project_sid": f"zz{i}", "work_order_uuid": "1" * 32})
+        rows.append(dict.fromkeys(fields) | {"seq": 2 * i + 1, "source": "staging", "feed_status": "NEW", "task_uuid": f"{i:032x}", "wotasktitle": f"t{i}"})
+    frame = lambda part: spark.createDataFrame([tuple(e[f] for f in fields) for e in part], FEED_SCHEMA)
+    got = []
+    for size in (10, 2):
+        state_dir = os.path.join(checkpoint_dir(spark), f"t-{uuid.uuid4().hex}", "state")
+        init_state(state_dir, {t: spark.createDataFrame([], x) for t, x in (("stg", WOT_STG_SCHEMA), ("queue", WOT_STG1_SCHEMA), ("cr", CR_INSPECT_SCHEMA))})
+        assert read_quarantine(spark, state_dir) == {}
+        apply = make_batch_fn(state_dir, sources, lookups, query="q")
+        for k in range(0, 10, size):
+            apply(frame(rows[k:k + size]), k // size)
+        bad = read_quarantine(spark, state_dir)
+        got.append([sorted(map(str, bad[t].collect())) for t in ("quarantine_ids", "quarantine_queue")])
+    assert got[0] == got[1] and [len(x) for x in got[0]] == [5, 5]
+    # the part of a batch that was not committed is not read, and its replay overwrites it
+    bad["quarantine_ids"].write.parquet(os.path.join(state_dir, "quarantine_ids", "stream=q", "batch=5"))
+    assert read_quarantine(spark, state_dir)["quarantine_ids"].count() == 5
+    apply(frame(rows[:1]), 5)
+    assert read_quarantine(spark, state_dir)["quarantine_ids"].count() == 6
+
+
 ORACLE_KEYS = ["unified_inspections", "cascade_stg", "cascade_queue", "collect_inspections", "propagate_due_date",
                "acknowledge_sent_queue", "strip_html", "clean_longdesc", "lookup_listing", "dq_double_branch"]
 
