@@ -18,7 +18,7 @@ There is no recursive renaming and both passes are linear in the text.
 
 Defined cases: null text is empty; texts under 200 bytes keep everything; strings are judged on the input as given, matches
 never cross rows, and a string also counts as repeated when it overlaps its other occurrence; rows that repeat a doc_id are
-documents of their own; a null doc_id is kept; an empty table gives no rows; other columns are neither read nor changed.
+documents of their own (told apart by 64 bits of their text); a null doc_id is kept; an empty table gives no rows; other columns are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from culvert.llm.common import ship, slices, stored, table
@@ -141,15 +141,15 @@ def fragments(data: np.ndarray, offs: np.ndarray):
     return row, lo - offs[row], hi - lo, p - lo, gram[p], whole
 
 
-def _pack(tag, lo, more, back):
-    return (tag << 45) | (lo << 14) | (more << 7) | back
+def _pack(lo, more, back):
+    return (lo << 14) | (more << 7) | back
 
 
 def _unpack(place: np.ndarray):
     return (place >> 14) & ((1 << 31) - 1), (place >> 7) & 127, place & 127
 
 
-_ROWS = "anchor long, whole long, doc long, place long, known int"
+_ROWS = "anchor long, whole long, doc long, tag long, place long, known int"
 
 
 def _scan(batches):
@@ -157,7 +157,7 @@ def _scan(batches):
     parts, held = [], 0
 
     def flush():
-        doc, place, anchor, whole = (np.concatenate(x) for x in zip(*parts))
+        doc, tag, place, anchor, whole = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((whole, anchor))
         a, w = anchor[order], whole[order]
         new = np.concatenate(([True], (a[1:] != a[:-1]) | (w[1:] != w[:-1])))
@@ -165,10 +165,10 @@ def _scan(batches):
         many = np.bincount(group)[group] > 1
         known = np.where(many, np.where(new, 1, 2), 0)
         # what is settled needs no company: spread it by its place
-        a = np.where(known == 2, mix(doc[order].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place[order].astype(np.uint64)), a)
+        a = np.where(known == 2, mix(doc[order].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tag[order].astype(np.uint64) + place[order].astype(np.uint64)), a)
         for k in range(0, len(order), 1 << 17):
             part = slice(k, k + (1 << 17))
-            yield pa.RecordBatch.from_arrays([pa.array(a[part].view(np.int64)), pa.array(w[part].view(np.int64)), pa.array(doc[order][part]), pa.array(place[order][part]), pa.array(known[part].astype(np.int32))], ["anchor", "whole", "doc", "place", "known"])
+            yield pa.RecordBatch.from_arrays([pa.array(a[part].view(np.int64)), pa.array(w[part].view(np.int64)), pa.array(doc[order][part]), pa.array(tag[order][part]), pa.array(place[order][part]), pa.array(known[part].astype(np.int32))], ["anchor", "whole", "doc", "tag", "place", "known"])
 
     for batch in batches:
         for part in slices(batch, 2):
@@ -176,7 +176,7 @@ def _scan(batches):
             row, lo, more, back, anchor, whole = fragments(data, offs)
             doc, tag = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             if len(row):
-                parts.append((doc[row], _pack(tag[row], lo, more, back), anchor, whole))
+                parts.append((doc[row], tag[row], _pack(lo, more, back), anchor, whole))
             held += len(data)
             if held >= LOCAL and parts:
                 yield from flush()
@@ -192,8 +192,8 @@ def _cut(batches):
             texts = part.column(0)
             data, offs = buffer(texts)
             pre = None
-            out: tuple[list, ...] = ([], [], [], [], [], [], [])
-            for i, (doc, want) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
+            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
+            for i, (doc, tag, want) in enumerate(zip(*(part.column(k).to_pylist() for k in (1, 2, 3)))):
                 for f in want:
                     lo, more, back = (int(x) for x in _unpack(np.int64(f["place"])))
                     a = offs[i] + lo
@@ -204,13 +204,13 @@ def _cut(batches):
                         w = np.arange(a, a + more + 1)
                         rows = [(int(h), None, k) for k, h in enumerate(mix(span(pre, w, w + LENGTH)).view(np.int64).tolist())]
                     for h, raw, k in rows:
-                        for column, value in zip(out, (f["anchor"], doc, f["place"], f["settled"], h, raw, k)):
+                        for column, value in zip(out, (f["anchor"], doc, tag, f["place"], f["settled"], h, raw, k)):
                             column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], ["anchor", "doc", "place", "settled", "hash", "raw", "at"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], ["anchor", "doc", "tag", "place", "settled", "hash", "raw", "at"])
 
 
-_CUT = "anchor long, doc long, place long, settled boolean, hash long, raw binary, at long"
+_CUT = "anchor long, doc long, tag long, place long, settled boolean, hash long, raw binary, at long"
 
 
 def repeated_windows(groups: list[tuple[int, bytes, int]]) -> list[np.ndarray]:
@@ -257,10 +257,10 @@ def _sorted_groups(batches):
 
     def flush(rows):
         out = []
-        for (_, doc, place, settled, _, _), hit in zip(rows, repeated_windows([(r[0], r[4], r[5]) for r in rows])):
+        for (_, doc, tag, place, settled, _, _), hit in zip(rows, repeated_windows([(r[0], r[5], r[6]) for r in rows])):
             if not settled:
                 lo = (place >> 14) & ((1 << 31) - 1)
-                out += [(doc, place >> 45, lo + a, lo + b - 1 + LENGTH) for a, b in _runs(hit)]
+                out += [(doc, tag, lo + a, lo + b - 1 + LENGTH) for a, b in _runs(hit)]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["doc", "tag", "start", "stop"])
 
@@ -271,7 +271,7 @@ def _sorted_groups(batches):
                 yield from flush(held)
                 held, size = [], 0
             held.append(r)
-            size += len(r[4]) - GRAM + 2
+            size += len(r[5]) - GRAM + 2
     if held:
         yield from flush(held)
 
@@ -286,10 +286,14 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _tag(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
-    """doc (null as the least long), an 18-bit tag of the text that tells rows of one doc_id apart, and the text."""
+    """doc (null as the least long), a 64-bit hash of the text (tag) that tells rows of one doc_id apart, and the text."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(t).bitwiseAND(F.lit((1 << 18) - 1)).alias("tag"), t.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), _tag(t).alias("tag"), t.alias("text"))
 
 
 def repeated_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -300,22 +304,22 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Data
     by_anchor, by_whole = Window.partitionBy("anchor"), Window.partitionBy("anchor", "whole")
     found = found.withColumn("n", F.count("*").over(by_whole)).withColumn("low", F.min("whole").over(by_anchor)).withColumn("high", F.max("whole").over(by_anchor))
     found = found.withColumn("settled", (F.col("known") > 0) | (F.col("n") > 1)).withColumn("open", (F.col("known") < 2) & (F.col("low") != F.col("high")))
-    hits = stored(found.where("settled or open").select("anchor", "whole", "doc", "place", "settled", "open"), "fragments")
+    hits = stored(found.where("settled or open").select("anchor", "whole", "doc", "tag", "place", "settled", "open"), "fragments")
     # one row for each different fragment of an open group
-    one = hits.where("open").groupBy("anchor", "whole").agg(F.min(F.struct("doc", "place")).alias("f"), F.first("settled").alias("settled"))
+    one = hits.where("open").groupBy("anchor", "whole").agg(F.min(F.struct("doc", "tag", "place")).alias("f"), F.first("settled").alias("settled"))
     sizes = one.groupBy("anchor").agg((F.count("*") > GROUP).alias("large"))
-    wanted = one.join(sizes, "anchor").groupBy(F.col("f.doc").alias("doc"), F.shiftright("f.place", 45).alias("tag")).agg(F.collect_list(F.struct("anchor", F.col("f.place").alias("place"), "settled", "large")).alias("want"))
-    touched = hits.select("doc", F.shiftright("place", 45).alias("tag")).distinct()
+    wanted = one.join(sizes, "anchor").groupBy(F.col("f.doc").alias("doc"), F.col("f.tag").alias("tag")).agg(F.collect_list(F.struct("anchor", F.col("f.place").alias("place"), "settled", "large")).alias("want"))
+    touched = hits.select("doc", "tag").distinct()
     affected = stored(rows.join(touched.join(wanted, ["doc", "tag"], "left"), ["doc", "tag"]), "affected")
-    cut = affected.where("want is not null").select(F.col("text").cast("binary").alias("text"), "doc", "want").mapInArrow(_cut, _CUT)
+    cut = affected.where("want is not null").select(F.col("text").cast("binary").alias("text"), "doc", "tag", "want").mapInArrow(_cut, _CUT)
     cut = stored(cut, "cut")
-    decided = cut.where("raw is not null").select("anchor", "doc", "place", "settled", "raw", "at").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_groups, _SPANS)
+    decided = cut.where("raw is not null").select("anchor", "doc", "tag", "place", "settled", "raw", "at").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_groups, _SPANS)
     windows = cut.where("raw is null")
     place = F.col("place")
     lo, more = F.shiftright(place, 14).bitwiseAND(F.lit((1 << 31) - 1)), F.shiftright(place, 7).bitwiseAND(F.lit(127))
     shared = windows.groupBy("anchor", "hash").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "hash")
-    counted = windows.where("not settled").join(shared, ["anchor", "hash"]).select("doc", F.shiftright(place, 45).alias("tag"), (lo + F.col("at")).alias("start"), (lo + F.col("at") + LENGTH).alias("stop"))
-    whole = hits.where("settled").select("doc", F.shiftright(place, 45).alias("tag"), lo.alias("start"), (lo + more + LENGTH).alias("stop"))
+    counted = windows.where("not settled").join(shared, ["anchor", "hash"]).select("doc", "tag", (lo + F.col("at")).alias("start"), (lo + F.col("at") + LENGTH).alias("stop"))
+    whole = hits.where("settled").select("doc", "tag", lo.alias("start"), (lo + more + LENGTH).alias("stop"))
     spans = whole.unionByName(decided).unionByName(counted).groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     return affected.select("doc", "tag", "text"), spans
 
@@ -370,7 +374,7 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 
     t = F.coalesce(F.col(text), F.lit(""))
     names = [c for c in docs.columns]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(t).bitwiseAND(F.lit((1 << 18) - 1)).alias("tag"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), _tag(t).alias("tag"))
     got = rows.join(spans, ["doc", "tag"], "left").withColumn("new", F.col(f"row.`{text}`"))
     hit = got.where("spans is not null").withColumn("new", cut(F.col("new").cast("binary"), F.col("spans")))
     both = got.where("spans is null").unionByName(hit)

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from brute import covered, links, personal, sha, shingles
 from edge_rows import ROWS, SF, frame
+from pyspark.sql import functions as F
 
 from culvert.llm import components, imatch, jaccard, pii, suffix_dedup
 from culvert.llm.common import table
@@ -138,6 +139,28 @@ def test_removal_of_edge_rows(spark, edge, nothing):
     assert texts[1] is None and texts[5] == "" and texts[13] == "one two three"
 
 
+def test_texts_without_id_are_told_apart(spark, rows_of):
+    """Different texts of one doc value whose hashes agree in their low 18 bits."""
+    r = random.Random(11)
+    prose = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    shared = [prose(60) for _ in range(3)]
+    made = [(None, prose(r.randint(0, 9)) + shared[i % 3][r.randint(0, 90):] + prose(r.randint(0, 9))) for i in range(2500)]
+    low = F.xxhash64("text").bitwiseAND(F.lit((1 << 18) - 1))
+    alike = rows_of(spark, made).groupBy(low).agg(F.sort_array(F.collect_list("text")).alias("t")).where("size(t) > 1").select("t").collect()
+    rows = [(None, t) for x in alike for t in x["t"]][:40] + [(1, shared[0])]
+    assert len(rows) > 2
+    for group in (2000, 1):
+        suffix_dedup.GROUP, kept = group, suffix_dedup.GROUP
+        try:
+            got = sorted((-1 if x["doc_id"] is None else x["doc_id"], *list(x)[1:]) for x in suffix_dedup.removed(rows_of(spark, rows)).collect())
+        finally:
+            suffix_dedup.GROUP = kept
+        assert got == _removed(rows)
+    raw, masks = covered(rows)
+    want = sorted(suffix_dedup.kept_text(b, [q.span() for q in re.finditer(b"\x01+", m)]) for b, m in zip(raw, masks))
+    assert sorted(x["text"] for x in suffix_dedup.without_repeats(rows_of(spark, rows)).collect()) == want
+
+
 def test_kept_text_keeps_characters_whole():
     assert suffix_dedup.kept_text("aéb€c".encode(), [(2, 5)]) == "aé€c"
     assert suffix_dedup.kept_text("abc".encode(), [(0, 3)]) == ""
