@@ -489,7 +489,7 @@ def cascade_queue(c: Ctx):
 def cascade_quarantine(c: Ctx):
     out = _cascade(c)
     seqs = c.part("staging", ["task_uuid", "workorder_uuid", "wotasktitle"]).where(F.col("workorder_uuid").isNull())
-    lost = out["quarantine_queue"].join(seqs.select("seq", "task_uuid"), "task_uuid")
+    lost = out["quarantine_queue"].join(seqs.select("seq", R.staged_task().alias("task_uuid")), "task_uuid")
     return (out["quarantine_ids"].select(F.lit("inspection.bad_hex").alias("rule"), "seq")
             .unionByName(lost.select(F.lit("staging.null_work_order").alias("rule"), "seq")))
 

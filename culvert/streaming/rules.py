@@ -321,6 +321,12 @@ STG_COLUMNS = [f.name for f in WOT_STG_SCHEMA.fields]
 STAGED = ["task_uuid", "workorder_uuid", "wotasktitle", "plndcompdate_dttm", "plndstrtdate_dttm", "workclassifi_oi", "feed_status"]
 
 
+def staged_task() -> Column:
+    """The task id of a staging event. One written without an id gets one, as the column's default does upstream; it is
+    made from ``seq``, so a replay gives the same."""
+    return F.coalesce(F.col("task_uuid"), F.md5(F.concat(F.lit("staging-"), F.col("seq").cast("string")).cast("binary")))
+
+
 def write_staging(stg: DataFrame, staged: DataFrame) -> DataFrame:
     """Inserts and updates of staging rows: the last image of a task wins; its status time is kept. A task keeps its work order."""
     last = last_per_key(staged.where(F.col("task_uuid").isNotNull()), "task_uuid", "seq", STAGED[1:])
@@ -440,7 +446,8 @@ def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, Dat
     acknowledgements (I2, I3), written staging rows, re-flags (I7), due dates (I4), each followed by the enqueue rule (I1).
     Optional vendor back-fill (I8). The feed, the new inspection rows and the events are computed once. Only work orders
     that the batch touches take part; the rest of the state passes through."""
-    feed = materialise(feed)
+    task = F.when(F.col("source") == "staging", staged_task()).otherwise(F.col("task_uuid"))
+    feed = materialise(feed.withColumn("task_uuid", task))
     stg, queue, cr = state["stg"].select(*STG_COLUMNS), state["queue"].select(*QUEUE_COLUMNS), state["cr"]
     new_cr = materialise(collect_inspections(cr, feed_part(feed, "history", ["history_oi"]), src, lookups, dedupe))
     changed = feed_part(feed, "inspection", ["inspectionid", "project_sid", "work_order_uuid", "feed_status"])

@@ -1,6 +1,7 @@
 """The cascade follows ``seq``: equal to a row-by-row simulation, for any split of the feed."""
 
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -134,3 +135,28 @@ def test_many_events_of_one_kind_are_one_run(spark):
     flagged = spark.createDataFrame([], "project_sid string, work_order_uuid string, __seq long")
     ev = R.work_order_events(spark.createDataFrame([tuple(e[f] for f in FIELDS) for e in rows], FEED_SCHEMA), flagged)
     assert R.with_runs(ev).agg(F.max("run")).first()[0] == 0
+
+
+@pytest.mark.parametrize("fold_rows", [10_000, 9, 0])
+def test_staging_rows_without_task_id_get_one(spark, sources, monkeypatch, fold_rows):
+    monkeypatch.setattr(R, "FOLD_ROWS", fold_rows)
+    stg, queue, events = world(4)
+    events = [e for e in events if e["seq"] < 40] + [dict.fromkeys(FIELDS) | {"seq": 40 + i, "source": "staging", "workorder_uuid": h(990 + i % 3), "wotasktitle": f"n{i}", "feed_status": ["NEW", "SENT"][i % 2]} for i in range(6)]
+    lacking = [e for e in events if e["source"] == "staging" and (e["task_uuid"] is None or e["seq"] % 3 == 0)]
+    for e in lacking:
+        e["task_uuid"] = None
+    assert len(lacking) > 6
+    frame = spark.createDataFrame([tuple(e[f] for f in FIELDS) for e in events], FEED_SCHEMA)
+    state = {
+        "stg": spark.createDataFrame([(t, r["wo"], r["title"], r["d"], r["start"], r["cls"], r["st"], None) for t, r in stg.items()], WOT_STG_SCHEMA),
+        "queue": spark.createDataFrame([(k, r["title"], r["d"], r["start"], r["cls"], r["st"]) for k, r in queue.items()], WOT_STG1_SCHEMA),
+        "cr": spark.createDataFrame([], CR_INSPECT_SCHEMA),
+    }
+    out = R.run_cascade(state, frame, *sources)
+    for e in lacking:
+        e["task_uuid"] = hashlib.md5(f"staging-{e['seq']}".encode()).hexdigest()
+    want_stg, want_queue = simulate(stg, queue, events)
+    got = {r.task_uuid: (r.workorder_uuid, r.wotasktitle, r.plndcompdate_dttm, r.feed_status) for r in out["stg"].collect()}
+    assert got == {t: (r["wo"], r["title"], r["d"], r["st"]) for t, r in want_stg.items()}
+    got = {r.task_uuid: (r.wotasktitle, r.plndcompdate_dttm, r.feed_status) for r in out["queue"].collect()}
+    assert got == {k: (r["title"], r["d"], r["st"]) for k, r in want_queue.items()}
