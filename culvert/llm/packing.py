@@ -22,6 +22,7 @@ from collections import deque
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,17 +75,22 @@ class Tokens:
     The split pattern never joins characters across a single white space between two other characters, other than by
     putting a space before the next word. So a text is cut before each single space or newline, the distinct cuts are
     found by their hashes, new ones are encoded in one call, and their ids are told apart by the bytes each id stands
-    for. Texts with any other white space are encoded whole. At most ``CACHE`` cuts are kept between blocks.
+    for. Texts with any other white space are encoded whole. Texts are cut at the file's added tokens first, whose ids
+    stand for them, as the tokenizers library does by default; ``plain`` encodes those as any other text. At most ``CACHE`` cuts are kept between blocks.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        byte, special = _byte_of(), {t["content"] for t in spec.get("added_tokens", ()) if t.get("special")}
-        ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-        self.coder = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        byte, added = _byte_of(), {t["content"]: t for t in spec.get("added_tokens", ())}
+        odd = [c for c, t in added.items() if t.get("single_word") or t.get("lstrip") or t.get("rstrip") or any(c != d and c in d for d in added)]
+        if odd and not plain:
+            raise ValueError(f"{path}: added tokens that take in white space, whole words or each other: {odd}")
+        ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
+        self.added = {} if plain else {c: t["id"] for c, t in added.items()}
+        self.coder = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=self.added)
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         for t, i in ranks.items():
             self.size[i] = len(t)
@@ -119,6 +125,9 @@ class Tokens:
         odd[full] |= sep[offs[:-1][full]] | sep[offs[1:][full] - 1]
         return odd
 
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.coder.encode(text, allowed_special="all") if self.added else self.coder.encode_ordinary(text), np.uint32)
+
     def encode(self, values: pa.Array) -> list[np.ndarray]:
         """Ids of each text, the end id included."""
         data, offs = buffer(values)
@@ -127,6 +136,8 @@ class Tokens:
         if len(data):
             sep = (data == 32) | (data == 10)
             odd = self._odd(data, offs, sep)
+            for content in self.added:
+                odd |= pc.match_substring(values, content).to_numpy(zero_copy_only=False)
             first = np.zeros(len(data) + 1, bool)
             first[offs] = True
             start = np.flatnonzero(sep | first[:-1])
@@ -151,17 +162,17 @@ class Tokens:
             flat = self.flat[_ragged(self.at[spot][inv], length)]
             counts = np.bincount(row, length, rows).astype(np.int64)
         ends, end = np.cumsum(counts), np.array([END], np.uint32)
-        return [np.concatenate((np.array(self.coder.encode_ordinary(values[i].as_py()), np.uint32) if odd[i] else flat[ends[i] - counts[i]:ends[i]], end)) for i in range(rows)]
+        return [np.concatenate((self._whole(values[i].as_py()) if odd[i] else flat[ends[i] - counts[i]:ends[i]], end)) for i in range(rows)]
 
 
-_tokens: dict[str, Tokens] = {}
+_tokens: dict[tuple[str, bool], Tokens] = {}
 
 
-def tokens(path: str) -> Tokens:
-    """The tokeniser of a file, kept by the worker."""
-    if path not in _tokens:
-        _tokens[path] = Tokens(path)
-    return _tokens[path]
+def tokens(path: str, plain: bool = True) -> Tokens:
+    """The tokeniser of a file, kept by the worker; ``plain`` takes added tokens inside texts as plain text."""
+    if (path, plain) not in _tokens:
+        _tokens[path, plain] = Tokens(path, plain)
+    return _tokens[path, plain]
 
 
 def windows(docs: list[tuple[object, object, np.ndarray]], share: dict, credit: dict):
@@ -219,8 +230,8 @@ def sequences(pieces_by_window, total: int):
                     seq, offset = seq + 1, 0
 
 
-def packed(docs: DataFrame, tokenizer: str, shares: dict | None = None, text: str = "text", source: str = "source") -> DataFrame:
-    """Pieces of all documents; ``shares`` are target token shares by source (default: as in the table)."""
+def packed(docs: DataFrame, tokenizer: str, shares: dict | None = None, text: str = "text", source: str = "source", plain: bool = False) -> DataFrame:
+    """Pieces of all documents; ``shares`` are target token shares by source (default: as in the table). ``plain``: see ``tokens``."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -244,7 +255,7 @@ def packed(docs: DataFrame, tokenizer: str, shares: dict | None = None, text: st
     dealt = body.unionByName(heads).repartition(parts, "part").sortWithinPartitions("part", "row", F.xxhash64("doc_id"), "doc_id", "source", "text")
 
     def run(batches):
-        tok = tokens(tokenizer)
+        tok = tokens(tokenizer, plain)
         current, ids, credit = None, [], {}
 
         def flush():

@@ -61,6 +61,22 @@ def test_tokens_equal_the_library():
         assert [x.tolist() for x in t.encode(pa.array(texts))] == _ids(texts)
 
 
+def test_added_tokens_inside_texts_equal_the_library(spark, rows_of):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    r = random.Random(12)
+    texts = ["x <|endoftext|> a", "<|endoftext|>", "a<|endoftext|><|endoftext|> \n b", "<|endoftext|", "it's <|endoftext|>'s  x", " <|endoftext|>\n", "é<|endoftext|>é"]
+    texts += ["".join(r.choice(["<|endoftext|>", " ", "\n", "ab", "1", "é", "<|"]) for _ in range(r.randint(0, 20))) for _ in range(300)]
+    want = [e.ids + [packing.END] for e in tok.encode_batch(HARD + texts, add_special_tokens=False)]
+    assert want[len(HARD)] == [87, 220, 50256, 257, packing.END]
+    t = packing.tokens(packing.default_tokenizer(), plain=False)
+    for _ in range(2):
+        assert [x.tolist() for x in t.encode(pa.array(HARD + texts))] == want
+    got = packing.packed(rows_of(spark, list(enumerate(texts[:7]))), packing.default_tokenizer()).select("doc_id", "doc_tokens").distinct().collect()
+    assert dict(map(tuple, got)) == {i: len(x) for i, x in enumerate(want[len(HARD):][:7])}
+
+
 def _check(rows, docs):
     want = defaultdict(list)
     for (d, t), ids in zip(docs, _ids([t or "" for _, t in docs])):
