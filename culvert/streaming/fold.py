@@ -1,9 +1,9 @@
 """The rules of one work order, one event after the other: what the triggers do to its staging rows and queue row.
 
 A work order's rows and events are few and their order decides, which no built-in aggregate expresses; so they are
-shuffled together once, sorted, and stepped through in one pass per partition. Only one work order is held at a time, and
-the caller sends only work orders of a bounded number of rows (``rules.FOLD_ROWS``); larger ones go by rounds of set-based
-rules there, with the same result.
+shuffled together once, sorted, and stepped through in one pass per partition. Only the tasks of one work order
+are held at a time, its events are streamed, and the caller sends only work orders of a bounded number of tasks
+(``rules.FOLD_ROWS``), with any number of events; larger ones go by rounds of set-based rules there, with the same result.
 """
 
 from __future__ import annotations

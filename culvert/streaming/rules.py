@@ -12,7 +12,7 @@ Staging updates carry helper columns: ``__chg_seq``, the first feed sequence tha
 ``__chg_date``, its planned date right then, so that the enqueue rule sees what it would have seen at that moment.
 
 Order. Events follow ``seq``, as if they came one by one, so a batch gives the same state however the feed is cut.
-Events of different work orders never meet. A work order of at most ``FOLD_ROWS`` rows and events is stepped through
+Events of different work orders never meet. A work order of at most ``FOLD_ROWS`` tasks is stepped through
 event by event (``fold``). For larger ones, which no task should hold, a run of one kind of event has a set-based rule
 here: ``run_cascade`` applies the first runs of all of them together, then the second ones, and so on. One event that changes several tasks is taken in the order of their ids. A null work-order id would
 break the queue key: such rows go to quarantine.
@@ -39,7 +39,7 @@ from ..sources.schemas import CR_INSPECT_COLUMNS, WOT_STG1_SCHEMA, WOT_STG_SCHEM
 
 DATE_SENTINEL = _dt.datetime(1900, 1, 1)
 STATUS_SENTINEL = "~"
-#: Rows and events of a work order that one task steps through.
+#: Tasks (staging rows) of a work order that the fold holds at most; its events are streamed.
 FOLD_ROWS = 10_000
 CHG, CHG_DATE = "__chg_seq", "__chg_date"
 QUEUE_COLUMNS = [f.name for f in WOT_STG1_SCHEMA.fields]
@@ -458,9 +458,11 @@ def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, Dat
     lost = feed_part(feed, "staging", STAGED).where(F.col("workorder_uuid").isNull())
     stg = write_staging(stg, lost)
     _, bad_queue = enqueue_work_orders(queue, _as_changed(lost))
-    wos = events.groupBy("wo").agg(F.count("*").alias("n"))
-    held = stg.join(wos.select("wo"), stg["workorder_uuid"] == wos["wo"], "left_semi").groupBy(F.col("workorder_uuid").alias("wo")).agg(F.count("*").alias("n"))
-    sizes = materialise(wos.unionByName(held).groupBy(F.col("wo").alias("__wo")).agg(F.sum("n").alias("n")))
+    # the fold streams the events and holds the tasks of one work order: those staged before and those its events stage
+    wos = events.select("wo").distinct()
+    held = stg.join(wos, stg["workorder_uuid"] == wos["wo"], "left_semi").select(F.col("workorder_uuid").alias("wo"), F.col("task_uuid").alias("task"))
+    tasks = events.select("wo", F.when(F.col("kind") == "staging", F.col("task")).alias("task")).unionByName(held).distinct()
+    sizes = materialise(tasks.groupBy(F.col("wo").alias("__wo")).agg(F.count("task").alias("n")))
     few, many = sizes.where(F.col("n") <= FOLD_ROWS), sizes.where(F.col("n") > FOLD_ROWS)
     of = lambda df, key, part, how: df.join(part.select("__wo"), df[key] == F.col("__wo"), how)
     rest = of(stg, "workorder_uuid", sizes, "left_anti"), of(queue, "task_uuid", sizes, "left_anti")

@@ -137,7 +137,7 @@ def test_many_events_of_one_kind_are_one_run(spark):
     assert R.with_runs(ev).agg(F.max("run")).first()[0] == 0
 
 
-@pytest.mark.parametrize("fold_rows", [10_000, 9, 0])
+@pytest.mark.parametrize("fold_rows", [10_000, 9, 3, 0])
 def test_staging_rows_without_task_id_get_one(spark, sources, monkeypatch, fold_rows):
     monkeypatch.setattr(R, "FOLD_ROWS", fold_rows)
     stg, queue, events = world(4)
@@ -160,3 +160,16 @@ def test_staging_rows_without_task_id_get_one(spark, sources, monkeypatch, fold_
     assert got == {t: (r["wo"], r["title"], r["d"], r["st"]) for t, r in want_stg.items()}
     got = {r.task_uuid: (r.wotasktitle, r.plndcompdate_dttm, r.feed_status) for r in out["queue"].collect()}
     assert got == {k: (r["title"], r["d"], r["st"]) for k, r in want_queue.items()}
+
+
+def test_many_events_of_few_tasks_are_folded(spark, sources, monkeypatch):
+    monkeypatch.setattr(R, "FOLD_ROWS", 5)
+    monkeypatch.setattr(R, "apply_in_rounds", lambda *a: pytest.fail("events of changing kinds went by rounds"))
+    kinds = [{"source": "staging", "task_uuid": h(1), "workorder_uuid": h(9), "feed_status": "NEW"}, {"source": "workorder", "wo_uuid": h(9), "site_oi": 58},
+             {"source": "queue", "queue_uuid": h(9), "old_status": "NEW", "new_status": "SENT"}, {"source": "staging", "task_uuid": h(2), "workorder_uuid": h(9), "feed_status": "SENT"}]
+    events = [dict.fromkeys(FIELDS) | kinds[i % 4] | {"seq": i, "wotasktitle": f"t{i}", "reqcompdate_dttm": DATES[i // 4 % 5]} for i in range(402)]
+    empty = {t: spark.createDataFrame([], x) for t, x in (("stg", WOT_STG_SCHEMA), ("queue", WOT_STG1_SCHEMA), ("cr", CR_INSPECT_SCHEMA))}
+    out = R.run_cascade(empty, spark.createDataFrame([tuple(e[f] for f in FIELDS) for e in events], FEED_SCHEMA), *sources)
+    want_stg, want_queue = simulate({}, {}, events)
+    assert {r.task_uuid: (r.wotasktitle, r.plndcompdate_dttm, r.feed_status) for r in out["stg"].collect()} == {t: (r["title"], r["d"], r["st"]) for t, r in want_stg.items()}
+    assert {r.task_uuid: (r.wotasktitle, r.feed_status) for r in out["queue"].collect()} == {k: (r["title"], r["st"]) for k, r in want_queue.items()}
