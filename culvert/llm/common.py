@@ -7,6 +7,7 @@ import ctypes
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
 
 import pyarrow as pa
@@ -48,12 +49,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where each stored table lies, and all that are not discarded yet.
+_PLACE: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_LIVE: set[str] = set()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage, survives lost executors)."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/culvert-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    got = spark.read.schema(df.schema).parquet(path)
+    _PLACE[got] = path
+    _LIVE.add(path)
+    return got
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _LIVE.discard(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables from which everything that is needed has been stored elsewhere by now."""
+    for df in tables:
+        if df in _PLACE:
+            _delete(df.sparkSession, _PLACE.pop(df))
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every table that ``stored`` has written: for a caller whose results are written elsewhere."""
+    for path in list(_LIVE):
+        _delete(spark, path)
 
 
 def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from culvert.llm.common import stored
+from culvert.llm.common import discard, stored
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = _least(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
-        pairs = stored(small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct(), "edges")
+        before, pairs = pairs, stored(small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct(), "edges")
+        discard(before)
         state = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == seen:
             break

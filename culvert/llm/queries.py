@@ -10,6 +10,7 @@ from culvert.llm.packing import op8_packing
 from culvert.llm.pieces import op3_sentencepiece
 from culvert.llm.pii import op1_pii
 from culvert.llm.quality import op6_quality_rules
+from culvert.llm.simhash_vp import op11_simhash_vp
 from culvert.llm.suffix_dedup import op9_suffix_dedup
 from culvert.llm.warc import op5_warc
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
+    "op11_simhash_vp": op11_simhash_vp,
 }
 
 ORACLE: dict[str, str] = {}
