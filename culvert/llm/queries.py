@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from culvert.llm.align_tokens import op13_token_alignment
 from culvert.llm.html_text import op7_html_text
 from culvert.llm.imatch import op2_imatch
 from culvert.llm.jaccard import op4_jaccard_join
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
     "op11_simhash_vp": op11_simhash_vp,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {}
