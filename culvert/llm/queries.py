@@ -13,6 +13,7 @@ from culvert.llm.pii import op1_pii
 from culvert.llm.quality import op6_quality_rules
 from culvert.llm.simhash_vp import op11_simhash_vp
 from culvert.llm.suffix_dedup import op9_suffix_dedup
+from culvert.llm.turn_repair import op12_turn_repair
 from culvert.llm.warc import op5_warc
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
     "op11_simhash_vp": op11_simhash_vp,
+    "op12_turn_repair": op12_turn_repair,
     "op13_token_alignment": op13_token_alignment,
 }
 
