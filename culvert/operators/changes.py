@@ -4,9 +4,11 @@ replace row-by-row trigger firing when a micro-batch holds many rows at once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scan import along
+
 
 def changed_keys(feed: DataFrame, key: str, alias: str | None = None) -> DataFrame:
     """Distinct non-null keys touched by a statement (partial + final hash aggregate)."""
@@ -36,9 +38,10 @@ def last_per_key(df: DataFrame, key: str, seq: str, value_cols: list[str]) -> Da
 
 def previous_value(df: DataFrame, key: str, seq: str, col: str, seed: Column | None = None,
                    alias: str | None = None) -> DataFrame:
-    """The value of ``col`` in the previous row of the same key (old image), seeded for the first."""
-    w = Window.partitionBy(key).orderBy(seq)
-    prev = F.lag(F.col(col)).over(w)
+    """The value of ``col`` in the previous row of the same key (old image), seeded for the first. A key of any size is
+    spread over range partitions (``scan.along``)."""
+    prev = F.col("__before.v")
     if seed is not None:
-        prev = F.when(F.row_number().over(w) == 1, seed).otherwise(prev)
-    return df.withColumn(alias or f"prev_{col}", prev)
+        prev = F.when(F.col("__before").isNull(), seed).otherwise(prev)
+    out = along(df, [key], [seq], before={"__before": F.struct(F.col(col).alias("v"))})
+    return out.withColumn(alias or f"prev_{col}", prev).drop("__before")

@@ -12,18 +12,16 @@ Staging updates carry helper columns: ``__chg_seq``, the first feed sequence tha
 ``__chg_date``, its planned date right then, so that the enqueue rule sees what it would have seen at that moment.
 
 Order. Events follow ``seq``, as if they came one by one, so a batch gives the same state however the feed is cut.
-Events of different work orders never meet. A work order of at most ``FOLD_ROWS`` tasks is stepped through
-event by event (``fold``). For larger ones, which no task should hold, a run of one kind of event has a set-based rule
-here: ``run_cascade`` applies the first runs of all of them together, then the second ones, and so on. One event that changes several tasks is taken in the order of their ids. A null work-order id would
-break the queue key: such rows go to quarantine.
+Events of different work orders never meet, and what all events of a work order do to its rows together is computed by
+aggregates (``effects``), for any number of events and tasks. One event that changes several tasks is taken in the order of
+their ids. A null work-order id would break the queue key: such rows go to quarantine.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import null_safe_changed
@@ -32,25 +30,17 @@ from ..functions.text import nn, strip_html
 from ..operators.changes import changed_keys, first_per_key, last_per_key, previous_value
 from ..operators.joins import delete_by_keys, not_present
 from ..plans.inspections import unified_inspections
-from ..session import checkpoint_dir
-from . import fold
+from ..session import materialise
+from . import effects
 from ..sources.lookups import Lookup
 from ..sources.schemas import CR_INSPECT_COLUMNS, WOT_STG1_SCHEMA, WOT_STG_SCHEMA
 
 DATE_SENTINEL = _dt.datetime(1900, 1, 1)
 STATUS_SENTINEL = "~"
-#: Tasks (staging rows) of a work order that the fold holds at most; its events are streamed.
-FOLD_ROWS = 10_000
 CHG, CHG_DATE = "__chg_seq", "__chg_date"
 QUEUE_COLUMNS = [f.name for f in WOT_STG1_SCHEMA.fields]
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Computed once, in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _with_chg(stg: DataFrame) -> DataFrame:
     if CHG not in stg.columns:
         stg = stg.withColumn(CHG, F.lit(None).cast("long"))
@@ -147,13 +137,20 @@ def due_date_summary(wo_feed: DataFrame) -> DataFrame:
     ev = (wo_feed.where((F.col("site_oi") == 58) & F.col("wo_uuid").isNotNull())
           .select("seq", "wo_uuid", F.col("reqcompdate_dttm").alias("d"),
                   F.coalesce(F.col("reqcompdate_dttm"), F.lit(DATE_SENTINEL).cast("timestamp_ntz")).alias("s")))
-    before = F.lag("s").over(Window.partitionBy("wo_uuid").orderBy("seq"))
-    ev = ev.withColumn("differs", F.coalesce(before != F.col("s"), F.lit(False)))
-    event = F.struct("d", "seq")
-    a = ev.groupBy("wo_uuid").agg(
-        F.min_by(F.struct("s", "d", "seq"), "seq").alias("first"), F.max("differs").alias("any_later"),
-        F.min_by(F.when(F.col("differs"), event), F.when(F.col("differs"), F.col("seq"))).alias("next"),
-        F.max_by(F.when(F.col("differs"), event), F.when(F.col("differs"), F.col("seq"))).alias("run"))
+    # Associative aggregates joined back, so a work order of any number of updates is combined before each shuffle: the first
+    # update and the last one; then the first that differs from the first, and the last that differs from the last;
+    # the final run starts right after that one.
+    event = F.struct("s", "d", "seq")
+    ends = ev.groupBy("wo_uuid").agg(F.min_by(event, "seq").alias("first"), F.max_by("s", "seq").alias("last_s"))
+    seen = ev.join(ends.select(F.col("wo_uuid").alias("__w"), F.col("first.s").alias("__first"), F.col("last_s").alias("__last")), F.col("wo_uuid") == F.col("__w"))
+    other = F.col("s") != F.col("__first")
+    turns = seen.groupBy("wo_uuid").agg(
+        F.max(other).alias("any_later"), F.min_by(F.when(other, event), F.when(other, F.col("seq"))).alias("next"),
+        F.max(F.when(F.col("s") != F.col("__last"), F.col("seq"))).alias("turn"))
+    after = ev.join(turns.select(F.col("wo_uuid").alias("__w"), "turn"), F.col("wo_uuid") == F.col("__w")).where(F.col("seq") > F.col("turn"))
+    run = after.groupBy(F.col("wo_uuid").alias("__r")).agg(F.min_by(event, "seq").alias("run"))
+    a = (ends.join(turns.withColumnRenamed("wo_uuid", "__w"), F.col("wo_uuid") == F.col("__w"))
+         .join(run, F.col("wo_uuid") == F.col("__r"), "left"))
     return a.select("wo_uuid", F.col("first.s").alias("first_s"), F.col("first.d").alias("first_date"),
                     F.col("first.seq").alias("first_seq"), "any_later", F.col("next.d").alias("next_date"),
                     F.col("next.seq").alias("next_seq"), F.col("run.d").alias("run_date"), F.col("run.seq").alias("run_seq"))
@@ -379,65 +376,6 @@ def work_order_events(feed: DataFrame, flagged: DataFrame) -> DataFrame:
     return events.where(F.col("wo").isNotNull())
 
 
-def with_runs(events: DataFrame) -> DataFrame:
-    """The run of each event: how often the kind changed before it, along ``seq`` of its work order."""
-    along = Window.partitionBy("wo").orderBy("seq", "kind", "task")
-    turn = F.coalesce((F.lag("kind").over(along) != F.col("kind")).cast("int"), F.lit(0))
-    return (events.withColumn("__turn", turn)
-            .withColumn("run", F.sum("__turn").over(along.rowsBetween(Window.unboundedPreceding, 0))).drop("__turn"))
-
-
-def apply_runs(stg: DataFrame, queue: DataFrame, events: DataFrame, kinds: set[str]) -> tuple[DataFrame, DataFrame]:
-    """One run of each work order: all events of a work order are of one kind, so the rules do not meet. ``kinds``: those there are."""
-    of = lambda kind: events.where(F.col("kind") == kind)
-    if "queue" in kinds:
-        stg, queue = acknowledge_sent(stg, queue, of("queue").select("seq", F.col("wo").alias("queue_uuid"), "old_status", "new_status"))
-    stg = _with_chg(stg)
-    if "flag" in kinds:
-        flags = of("flag").select(F.col("task").alias("project_sid"), F.col("wo").alias("work_order_uuid"), F.lit("NEW").alias("feed_status"), F.col("seq").alias("__seq"))
-        stg, _ = reflag_tasks(stg, flags)
-    if "due" in kinds:
-        stg = propagate_due_date(stg, of("due").select("seq", F.col("wo").alias("wo_uuid"), F.lit(58).alias("site_oi"), F.col("date").alias("reqcompdate_dttm")))
-    changed = stg
-    if "staging" in kinds:
-        staged = of("staging").select("seq", F.col("task").alias("task_uuid"), F.col("wo").alias("workorder_uuid"), F.col("title").alias("wotasktitle"),
-                                      F.col("date").alias("plndcompdate_dttm"), F.col("start").alias("plndstrtdate_dttm"), F.col("class").alias("workclassifi_oi"), F.col("new_status").alias("feed_status"))
-        changed = stg.unionByName(_as_changed(staged))
-        stg = write_staging(stg, staged)
-    if kinds - {"queue"}:
-        queue, _ = enqueue_work_orders(queue, changed)
-    return _plain(stg), queue
-
-
-def fold_events(stg: DataFrame, queue: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Step through the events of each work order (see ``fold``): one shuffle of what the batch touches."""
-    null = lambda t: F.lit(None).cast(t)
-    q = queue.select(F.col("task_uuid").alias("wo"), F.lit(0).alias("ord"), null("long").alias("seq"), null("string").alias("kind"), null("string").alias("task"), F.col("wotasktitle").alias("title"),
-                     F.col("plndcompdate_dttm").alias("date"), F.col("plndstrtdate_dttm").alias("start"), F.col("workclassifi_oi").alias("class"), F.col("feed_status").alias("status"),
-                     null("string").alias("old_status"), null("timestamp").alias("stamp"))
-    t = stg.select(F.col("workorder_uuid").alias("wo"), F.lit(1).alias("ord"), null("long").alias("seq"), null("string").alias("kind"), F.col("task_uuid").alias("task"), F.col("wotasktitle").alias("title"),
-                   F.col("plndcompdate_dttm").alias("date"), F.col("plndstrtdate_dttm").alias("start"), F.col("workclassifi_oi").alias("class"), F.col("feed_status").alias("status"),
-                   null("string").alias("old_status"), F.col("feed_status_dttm").alias("stamp"))
-    e = events.select("wo", F.lit(2).alias("ord"), "seq", "kind", "task", "title", "date", "start", "class", F.col("new_status").alias("status"), "old_status", null("timestamp").alias("stamp"))
-    rows = q.unionByName(t).unionByName(e).repartition("wo").sortWithinPartitions("wo", "ord", "seq", "kind", "task")
-    out = materialise(rows.mapInArrow(fold.folder(), fold.OUT))
-    shared = [F.col("title").alias("wotasktitle"), F.col("date").alias("plndcompdate_dttm"), F.col("start").alias("plndstrtdate_dttm"), F.col("class").alias("workclassifi_oi"), F.col("status").alias("feed_status")]
-    new_stg = out.where(F.col("kind") == "stg").select(F.col("task").alias("task_uuid"), F.col("wo").alias("workorder_uuid"), *shared, F.col("stamp").alias("feed_status_dttm"))
-    return new_stg, out.where(F.col("kind") == "queue").select(F.col("wo").alias("task_uuid"), *shared)
-
-
-def apply_in_rounds(stg: DataFrame, queue: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The same for work orders of any size: the first runs of all of them, then the second ones, and so on."""
-    events = materialise(with_runs(events))
-    kinds: dict[int, set[str]] = {}
-    for r in events.select("run", "kind").distinct().collect():  # four kinds a run at most
-        kinds.setdefault(r["run"], set()).add(r["kind"])
-    for run in sorted(kinds):
-        stg, queue = materialise(stg), materialise(queue)  # each rule reads them, and the next round all rules' result
-        stg, queue = apply_runs(stg, queue, events.where(F.col("run") == run), kinds[run])
-    return stg, queue
-
-
 def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, DataFrame],
                 lookups: dict[str, Lookup], dedupe: str = "raw", with_backfill: bool = False) -> dict[str, DataFrame]:
     """One batch of the whole trigger chain in the order of ``seq``, however the batch was cut from the feed.
@@ -456,20 +394,15 @@ def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, Dat
     events = materialise(work_order_events(feed, flagged))
 
     lost = feed_part(feed, "staging", STAGED).where(F.col("workorder_uuid").isNull())
-    stg = write_staging(stg, lost)
+    written = lost.select(F.col("task_uuid").alias("__t")).distinct()
+    hit = lambda how: stg.join(written, stg["task_uuid"] == written["__t"], how)
+    stg = hit("left_anti").unionByName(write_staging(hit("left_semi"), lost))
     _, bad_queue = enqueue_work_orders(queue, _as_changed(lost))
-    # the fold streams the events and holds the tasks of one work order: those staged before and those its events stage
-    wos = events.select("wo").distinct()
-    held = stg.join(wos, stg["workorder_uuid"] == wos["wo"], "left_semi").select(F.col("workorder_uuid").alias("wo"), F.col("task_uuid").alias("task"))
-    tasks = events.select("wo", F.when(F.col("kind") == "staging", F.col("task")).alias("task")).unionByName(held).distinct()
-    sizes = materialise(tasks.groupBy(F.col("wo").alias("__wo")).agg(F.count("task").alias("n")))
-    few, many = sizes.where(F.col("n") <= FOLD_ROWS), sizes.where(F.col("n") > FOLD_ROWS)
-    of = lambda df, key, part, how: df.join(part.select("__wo"), df[key] == F.col("__wo"), how)
-    rest = of(stg, "workorder_uuid", sizes, "left_anti"), of(queue, "task_uuid", sizes, "left_anti")
-    parts = [rest, fold_events(of(stg, "workorder_uuid", few, "left_semi"), of(queue, "task_uuid", few, "left_semi"), of(events, "wo", few, "left_semi"))]
-    if not many.isEmpty():
-        parts.append(apply_in_rounds(of(stg, "workorder_uuid", many, "left_semi"), of(queue, "task_uuid", many, "left_semi"), of(events, "wo", many, "left_semi")))
-    stg, queue = (reduce(DataFrame.unionByName, x) for x in zip(*parts))
+    wos = events.select(F.col("wo").alias("__wo")).distinct()
+    of = lambda df, key, how: df.join(wos, df[key] == F.col("__wo"), how)
+    new_stg, new_queue = effects.apply_events(of(stg, "workorder_uuid", "left_semi"), of(queue, "task_uuid", "left_semi"), events,
+                                              is_sent_transition(F.col("old_status"), F.col("status")))
+    stg, queue = of(stg, "workorder_uuid", "left_anti").unionByName(new_stg), of(queue, "task_uuid", "left_anti").unionByName(new_queue)
 
     cr = set_inspection_status(cr.select(*CR_INSPECT_COLUMNS).unionByName(new_cr.select(*CR_INSPECT_COLUMNS)), changed)
     if with_backfill:

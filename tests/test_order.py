@@ -93,9 +93,8 @@ def world(seed):
     return stg, queue, events
 
 
-@pytest.mark.parametrize("seed,cuts,fold_rows", [(1, 0, 10_000), (2, 2, 10_000), (3, 1, 10_000), (1, 0, 0), (2, 0, 9)])
-def test_cascade_equals_row_by_row_for_any_split(spark, sources, monkeypatch, seed, cuts, fold_rows):
-    monkeypatch.setattr(R, "FOLD_ROWS", fold_rows)  # 0: all work orders go by rounds; 9: some
+@pytest.mark.parametrize("seed,cuts", [(1, 0), (2, 2), (3, 1), (4, 0), (5, 0)])
+def test_cascade_equals_row_by_row_for_any_split(spark, sources, seed, cuts):
     stg, queue, events = world(seed)
     frame = lambda rows: spark.createDataFrame([tuple(e[f] for f in FIELDS) for e in rows], FEED_SCHEMA)
     state = {
@@ -130,16 +129,7 @@ def test_null_ids_are_no_bad_hex_and_null_work_orders_go_to_quarantine(spark, so
     assert {r.inspectionid: r.feed_status for r in out["cr"].collect()} == {"i1": "NEW", "i2": "SENT"}
 
 
-def test_many_events_of_one_kind_are_one_run(spark):
-    rows = [dict.fromkeys(FIELDS) | {"seq": i, "source": "workorder", "site_oi": 58, "wo_uuid": "hot", "reqcompdate_dttm": DATES[i % 3 + 2]} for i in range(500)]
-    flagged = spark.createDataFrame([], "project_sid string, work_order_uuid string, __seq long")
-    ev = R.work_order_events(spark.createDataFrame([tuple(e[f] for f in FIELDS) for e in rows], FEED_SCHEMA), flagged)
-    assert R.with_runs(ev).agg(F.max("run")).first()[0] == 0
-
-
-@pytest.mark.parametrize("fold_rows", [10_000, 9, 3, 0])
-def test_staging_rows_without_task_id_get_one(spark, sources, monkeypatch, fold_rows):
-    monkeypatch.setattr(R, "FOLD_ROWS", fold_rows)
+def test_staging_rows_without_task_id_get_one(spark, sources):
     stg, queue, events = world(4)
     events = [e for e in events if e["seq"] < 40] + [dict.fromkeys(FIELDS) | {"seq": 40 + i, "source": "staging", "workorder_uuid": h(990 + i % 3), "wotasktitle": f"n{i}", "feed_status": ["NEW", "SENT"][i % 2]} for i in range(6)]
     lacking = [e for e in events if e["source"] == "staging" and (e["task_uuid"] is None or e["seq"] % 3 == 0)]
@@ -162,9 +152,7 @@ def test_staging_rows_without_task_id_get_one(spark, sources, monkeypatch, fold_
     assert got == {k: (r["title"], r["d"], r["st"]) for k, r in want_queue.items()}
 
 
-def test_many_events_of_few_tasks_are_folded(spark, sources, monkeypatch):
-    monkeypatch.setattr(R, "FOLD_ROWS", 5)
-    monkeypatch.setattr(R, "apply_in_rounds", lambda *a: pytest.fail("events of changing kinds went by rounds"))
+def test_many_events_of_one_work_order(spark, sources):
     kinds = [{"source": "staging", "task_uuid": h(1), "workorder_uuid": h(9), "feed_status": "NEW"}, {"source": "workorder", "wo_uuid": h(9), "site_oi": 58},
              {"source": "queue", "queue_uuid": h(9), "old_status": "NEW", "new_status": "SENT"}, {"source": "staging", "task_uuid": h(2), "workorder_uuid": h(9), "feed_status": "SENT"}]
     events = [dict.fromkeys(FIELDS) | kinds[i % 4] | {"seq": i, "wotasktitle": f"t{i}", "reqcompdate_dttm": DATES[i // 4 % 5]} for i in range(402)]
@@ -173,3 +161,72 @@ def test_many_events_of_few_tasks_are_folded(spark, sources, monkeypatch):
     want_stg, want_queue = simulate({}, {}, events)
     assert {r.task_uuid: (r.wotasktitle, r.plndcompdate_dttm, r.feed_status) for r in out["stg"].collect()} == {t: (r["title"], r["d"], r["st"]) for t, r in want_stg.items()}
     assert {r.task_uuid: (r.wotasktitle, r.feed_status) for r in out["queue"].collect()} == {k: (r["title"], r["st"]) for k, r in want_queue.items()}
+
+
+def _check(spark, sources, stg, queue, events):
+    state = {
+        "stg": spark.createDataFrame([(t, r["wo"], r["title"], r["d"], r["start"], r["cls"], r["st"], None) for t, r in stg.items()], WOT_STG_SCHEMA),
+        "queue": spark.createDataFrame([(k, r["title"], r["d"], r["start"], r["cls"], r["st"]) for k, r in queue.items()], WOT_STG1_SCHEMA),
+        "cr": spark.createDataFrame([], CR_INSPECT_SCHEMA),
+    }
+    out = R.run_cascade(state, spark.createDataFrame([tuple(e[f] for f in FIELDS) for e in events], FEED_SCHEMA), *sources)
+    want_stg, want_queue = simulate(stg, queue, events)
+    got = {r.task_uuid: (r.workorder_uuid, r.wotasktitle, r.plndcompdate_dttm, r.workclassifi_oi, r.feed_status) for r in out["stg"].collect()}
+    assert got == {t: (r["wo"], r["title"], r["d"], r["cls"], r["st"]) for t, r in want_stg.items()}
+    got = {r.task_uuid: (r.wotasktitle, r.plndcompdate_dttm, r.workclassifi_oi, r.feed_status) for r in out["queue"].collect()}
+    assert got == {k: (r["title"], r["d"], r["cls"], r["st"]) for k, r in want_queue.items()}
+
+
+def test_sixty_random_feeds_at_once(spark, sources):
+    """Work orders never meet, so many random feeds are one batch: 840 work orders, 5400 events."""
+    ids = ["task_uuid", "workorder_uuid", "queue_uuid", "wo_uuid", "project_sid", "work_order_uuid"]
+    all_stg, all_queue, all_events = {}, {}, []
+    for seed in range(60):
+        move = lambda x: x and f"{int(x, 16) + seed * 100_000:032x}"  # noqa: B023, E731
+        stg, queue, events = world(100 + seed)
+        all_stg |= {move(t): r | {"wo": move(r["wo"])} for t, r in stg.items()}
+        all_queue |= {move(k): r for k, r in queue.items()}
+        all_events += [e | {k: move(e[k]) for k in ids} | {"seq": e["seq"] * 60 + seed} for e in events]
+    _check(spark, sources, all_stg, all_queue, all_events)
+
+
+def test_a_work_order_with_a_third_of_all_events(spark, sources):
+    r = random.Random(11)
+    stg, queue, events = world(12)
+    hot = h(900 + 3)
+    for k in range(300):
+        stg[h(50_000 + k)] = {"wo": hot, "title": f"hot{k}", "d": r.choice(DATES), "start": None, "cls": k, "st": r.choice([None, "NEW", "SENT", "UPDATED"])}
+    for i in range(1500):
+        e = dict.fromkeys(FIELDS) | {"seq": 90 + i, "source": r.choice(["queue", "workorder", "inspection", "staging"])}
+        t = h(50_000 + r.randrange(320))
+        e |= {"queue": {"queue_uuid": hot, "old_status": r.choice([None, "NEW"]), "new_status": r.choice(["SENT", "OTHER", "NEW"])},
+              "workorder": {"wo_uuid": hot, "site_oi": 58, "reqcompdate_dttm": r.choice(DATES)},
+              "inspection": {"project_sid": t, "work_order_uuid": hot, "feed_status": "NEW"},
+              "staging": {"task_uuid": t, "workorder_uuid": hot, "wotasktitle": f"s{i}", "plndcompdate_dttm": r.choice(DATES), "workclassifi_oi": i, "feed_status": r.choice(["NEW", "SENT", None])}}[e["source"]]
+        events.append(e)
+    _check(spark, sources, stg, queue, events)
+
+
+def test_a_hot_key_is_spread_and_looked_along(spark):
+    from culvert.operators.changes import previous_value
+    from culvert.operators.scan import PART, along
+    r = random.Random(4)
+    rows = [("hot" if i % 3 else (None if i % 5 == 0 else f"k{i % 7}"), i, r.choice(["a", "b", None])) for i in range(4000)]
+    df = spark.createDataFrame(r.sample(rows, len(rows)), "key string, seq long, v string").repartition(5)
+    want, last, seen = {}, {}, {}
+    for k, i, v in rows:
+        want[i] = (seen.get(k, "first"), last.get(k))
+        seen[k] = v
+        last[k] = v if v is not None else last.get(k)
+    got = previous_value(df, "key", "seq", "v", seed=F.lit("first"))
+    assert {x["seq"]: x["prev_v"] for x in got.collect()} == {i: a for i, (a, _) in want.items()}
+    both = along(df, ["key"], ["seq"], before={"b": F.col("v")}, after={"a": F.col("v")}).collect()
+    assert {x["seq"]: x["b"] for x in both} == {i: b for i, (_, b) in want.items()}
+    following, nxt = {}, {}
+    for k, i, v in reversed(rows):
+        nxt[i] = following.get(k)
+        following[k] = v if v is not None else following.get(k)
+    assert {x["seq"]: x["a"] for x in both} == nxt
+    # every window is within one range partition, so the hot key is in all of them
+    plan = along(df, ["key"], ["seq"], before={"b": F.col("v")})._jdf.queryExecution().executedPlan().toString()
+    assert f"[{PART}" in plan.replace("(", "[") and "Window" in plan
