@@ -8,7 +8,9 @@ write, which makes a replayed micro-batch a no-op.
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,17 @@ def drop_version(spark: SparkSession, table_dir: str, version: int) -> None:
     fs.delete(p, True)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _hadoop_fs(spark, path)
+    fs.delete(p, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of what a folder holds."""
+    fs, p, _ = _hadoop_fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def version_path(table_dir: str, version: int) -> str:
     return os.path.join(table_dir, f"v={version:012d}")
 
@@ -110,14 +123,51 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+#: The column that names a feed row's file.
+FILE = "__file"
+MANIFEST = "feed_manifest"
+
+
 def change_feed(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming source of the unified change feed (parquet files arriving in ``path``)."""
+    """Streaming source of the unified change feed (parquet files arriving in ``path``), with each row's file name."""
     r = spark.readStream.schema(FEED_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path)
+    return r.parquet(path).select("*", F.col("_metadata.file_name").alias(FILE))
+
+
+def feed_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(file, after, last, n): the files of a feed, the last ``seq`` before each, its own last ``seq`` and its rows."""
+    place = os.path.join(path, f"_{MANIFEST}")
+    schema = "file string, after long, last long, n long"
+    # the folder's name starts with an underscore, which a scan of the feed skips; its files are read by their own names
+    files = [os.path.join(place, f) for f in folders(spark, place) if f.endswith(".json")]
+    return spark.read.schema(schema).json(files) if files else spark.createDataFrame([], schema)
 
 
 def write_feed(feed: DataFrame, path: str, files: int = 1) -> None:
-    """Write a feed as ``files`` parquet files ranged by seq (so file order = seq order)."""
-    feed.repartitionByRange(files, F.col("seq")).sortWithinPartitions("seq").write.mode("overwrite").parquet(path)
+    """Append a feed as ``files`` parquet files, each a range of ``seq``. The files are written in parallel and may be seen in any
+    order; the manifest, published before them, says which follows which. All ``seq`` must lie beyond those already there."""
+    spark = feed.sparkSession
+    name = uuid.uuid4().hex
+    fresh = os.path.join(path, f"_new-{name}")
+    feed.repartitionByRange(files, F.col("seq")).sortWithinPartitions("seq").write.parquet(fresh)
+    paths = [os.path.join(fresh, f) for f in folders(spark, fresh) if f.endswith(".parquet")]
+    if not paths:
+        return
+    rows = spark.read.schema(feed.schema).parquet(*paths).groupBy(F.col("_metadata.file_name").alias("file"))
+    ranges = sorted((r["first"], r["last"], r["n"], r["file"]) for r in rows.agg(F.min("seq").alias("first"), F.max("seq").alias("last"), F.count("*").alias("n")).collect())
+    after = feed_manifest(spark, path).agg(F.max("last")).first()[0]
+    lines = []
+    for first, last, n, file in ranges:
+        if after is not None and first <= after:
+            raise ValueError(f"seq {first} is not beyond {after}, the end of the feed")
+        lines.append(json.dumps({"file": file, "after": after, "last": last, "n": n}))
+        after = last
+    fs, place, jvm = _hadoop_fs(spark, path)
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(place, f"_{MANIFEST}/{name}.json"), True)
+    out.write(bytearray("\n".join(lines).encode()))
+    out.close()
+    for *_, file in ranges:
+        fs.rename(jvm.org.apache.hadoop.fs.Path(fresh, file), jvm.org.apache.hadoop.fs.Path(place, file))
+    delete(spark, fresh)

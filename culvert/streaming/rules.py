@@ -297,13 +297,18 @@ def enqueue_work_orders(queue: DataFrame, stg: DataFrame) -> tuple[DataFrame, Da
 
 # --------------------------------------------------------------------------- I8
 
+def _was_there(cr: DataFrame) -> Column:
+    """Whether a row was inserted (``__seq``, if there is such a column) before the change at ``__at``."""
+    return F.col("__seq").isNull() | (F.col("__at") > F.col("__seq")) if "__seq" in cr.columns else F.lit(True)
+
+
 def backfill_sid(cr: DataFrame, vendor_feed: DataFrame, overwrite: bool = True) -> DataFrame:
     """Vendor rows with a work-order number set the vendor id on every inspection row of
     that number (the last update per number wins). Updated rows are cleaned again."""
     last = last_per_key(vendor_feed.where(F.col("workorder").isNotNull()), "workorder", "seq", ["inspection_sid"])
-    lk = last.select(F.col("workorder").alias("__wo"), F.col("inspection_sid").alias("__sid"))
+    lk = last.select(F.col("workorder").alias("__wo"), F.col("inspection_sid").alias("__sid"), F.col("seq").alias("__at"))
     j = cr.join(lk, cr["workorder"] == lk["__wo"], "left")
-    hit = F.col("__wo").isNotNull()
+    hit = F.col("__wo").isNotNull() & _was_there(cr)
     if not overwrite:
         hit = hit & F.col("inspection_sid").isNull()
     outs = {"inspection_sid": F.when(hit, F.col("__sid")).otherwise(F.col("inspection_sid")),
@@ -343,9 +348,9 @@ def _as_changed(staged: DataFrame) -> DataFrame:
 def set_inspection_status(cr: DataFrame, changes: DataFrame) -> DataFrame:
     """Inspection rows whose status changed upstream take the last one (an update also cleans the row again)."""
     last = last_per_key(changes.where(F.col("inspectionid").isNotNull()), "inspectionid", "seq", ["feed_status"])
-    k = last.select(F.col("inspectionid").alias("__id"), F.col("feed_status").alias("__st"))
+    k = last.select(F.col("inspectionid").alias("__id"), F.col("feed_status").alias("__st"), F.col("seq").alias("__at"))
     j = cr.join(k, cr["inspectionid"] == k["__id"], "left")
-    hit = F.col("__id").isNotNull()
+    hit = F.col("__id").isNotNull() & _was_there(cr)
     outs = {"feed_status": F.when(hit, F.col("__st")).otherwise(F.col("feed_status")),
             "additional_information": F.when(hit, strip_html(F.col("additional_information"))).otherwise(F.col("additional_information"))}
     return j.select(*[(outs[c] if c in outs else F.col(c)).alias(c) for c in cr.columns])
@@ -376,24 +381,25 @@ def work_order_events(feed: DataFrame, flagged: DataFrame) -> DataFrame:
     return events.where(F.col("wo").isNotNull())
 
 
-def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, DataFrame],
-                lookups: dict[str, Lookup], dedupe: str = "raw", with_backfill: bool = False) -> dict[str, DataFrame]:
-    """One batch of the whole trigger chain in the order of ``seq``, however the batch was cut from the feed.
-
-    New histories give inspection rows (I5 with I6); then the events of each work order are applied in turn: queue
-    acknowledgements (I2, I3), written staging rows, re-flags (I7), due dates (I4), each followed by the enqueue rule (I1).
-    Optional vendor back-fill (I8). The feed, the new inspection rows and the events are computed once. Only work orders
-    that the batch touches take part; the rest of the state passes through."""
+def prepare(cr: DataFrame, feed: DataFrame, src: dict[str, DataFrame], lookups: dict[str, Lookup], dedupe: str = "raw") -> dict[str, DataFrame]:
+    """What a batch brings, each computed once: ``feed``, ``new_cr`` (new inspection rows with ``__seq``; I5 with I6), ``changed`` (status
+    changes of inspection rows), ``flagged`` (rows set to NEW), ``events`` (see ``work_order_events``) and ``lost`` (staging events without a work order).
+    Of the stored inspections only the ids are read."""
     task = F.when(F.col("source") == "staging", staged_task()).otherwise(F.col("task_uuid"))
     feed = materialise(feed.withColumn("task_uuid", task))
-    stg, queue, cr = state["stg"].select(*STG_COLUMNS), state["queue"].select(*QUEUE_COLUMNS), state["cr"]
     new_cr = materialise(collect_inspections(cr, feed_part(feed, "history", ["history_oi"]), src, lookups, dedupe))
     changed = feed_part(feed, "inspection", ["inspectionid", "project_sid", "work_order_uuid", "feed_status"])
     ids = ["project_sid", "work_order_uuid", "feed_status", "__seq"]
     flagged = new_cr.select(*ids).unionByName(changed.withColumnRenamed("seq", "__seq").select(*ids)).where(F.col("feed_status") == "NEW")
-    events = materialise(work_order_events(feed, flagged))
-
     lost = feed_part(feed, "staging", STAGED).where(F.col("workorder_uuid").isNull())
+    return {"feed": feed, "new_cr": new_cr, "changed": changed, "flagged": flagged, "events": materialise(work_order_events(feed, flagged)), "lost": lost}
+
+
+def apply_prepared(stg: DataFrame, queue: DataFrame, batch: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staging and queue after a prepared batch, and its quarantine. The events of each work order are applied in turn: queue
+    acknowledgements (I2, I3), written staging rows, re-flags (I7), due dates (I4), each followed by the enqueue rule (I1).
+    ``stg`` and ``queue`` may be the rows of the touched work orders only; others pass through."""
+    stg, queue, events, lost = stg.select(*STG_COLUMNS), queue.select(*QUEUE_COLUMNS), batch["events"], batch["lost"]
     written = lost.select(F.col("task_uuid").alias("__t")).distinct()
     hit = lambda how: stg.join(written, stg["task_uuid"] == written["__t"], how)
     stg = hit("left_anti").unionByName(write_staging(hit("left_semi"), lost))
@@ -403,10 +409,19 @@ def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, Dat
     new_stg, new_queue = effects.apply_events(of(stg, "workorder_uuid", "left_semi"), of(queue, "task_uuid", "left_semi"), events,
                                               is_sent_transition(F.col("old_status"), F.col("status")))
     stg, queue = of(stg, "workorder_uuid", "left_anti").unionByName(new_stg), of(queue, "task_uuid", "left_anti").unionByName(new_queue)
+    broken = lambda c: F.col(c).isNotNull() & ~F.coalesce(is_valid_hex(F.col(c)), F.lit(False))
+    bad_ids = batch["flagged"].where(broken("project_sid") | broken("work_order_uuid")).select(F.col("__seq").alias("seq"), "project_sid", "work_order_uuid")
+    return {"stg": stg, "queue": queue, "quarantine_ids": bad_ids, "quarantine_queue": bad_queue.select(*STG_COLUMNS)}
+
 
-    cr = set_inspection_status(cr.select(*CR_INSPECT_COLUMNS).unionByName(new_cr.select(*CR_INSPECT_COLUMNS)), changed)
+def run_cascade(state: dict[str, DataFrame], feed: DataFrame, src: dict[str, DataFrame],
+                lookups: dict[str, Lookup], dedupe: str = "raw", with_backfill: bool = False) -> dict[str, DataFrame]:
+    """One batch of the whole trigger chain in the order of ``seq``, however the batch was cut from the feed: ``prepare``,
+    ``apply_prepared``, then status changes of inspection rows and the optional vendor back-fill (I8)."""
+    batch = prepare(state["cr"], feed, src, lookups, dedupe)
+    out = apply_prepared(state["stg"], state["queue"], batch)
+    cr = state["cr"].select(*CR_INSPECT_COLUMNS).withColumn("__seq", F.lit(None).cast("long")).unionByName(batch["new_cr"])
+    cr = set_inspection_status(cr, batch["changed"])
     if with_backfill:
-        cr = backfill_sid(cr, feed_part(feed, "vendor", ["workorder", "inspection_sid"]))
-    broken = lambda c: F.col(c).isNotNull() & ~F.coalesce(is_valid_hex(F.col(c)), F.lit(False))
-    bad_ids = flagged.where(broken("project_sid") | broken("work_order_uuid")).select(F.col("__seq").alias("seq"), "project_sid", "work_order_uuid")
-    return {"stg": stg, "queue": queue, "cr": cr, "quarantine_ids": bad_ids, "quarantine_queue": bad_queue.select(*STG_COLUMNS)}
+        cr = backfill_sid(cr, feed_part(batch["feed"], "vendor", ["workorder", "inspection_sid"]))
+    return {**out, "cr": cr.select(*CR_INSPECT_COLUMNS)}

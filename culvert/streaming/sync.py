@@ -1,18 +1,17 @@
 """Structured Streaming driver of the sync rules.
 
-readStream(feed parquet) -> foreachBatch(run_cascade) -> versioned state.
+readStream(feed parquet) -> ordered intake -> foreachBatch(rules) -> versioned state.
 
-A version is one folder, ``state/v=<n>/``, with all tables of the state, and one marker, written last, that names the
-stream's checkpoint and the batch. What a batch put in quarantine lies beside the versions, in a part of its own
+A version is a manifest of parts (``state``), written last, that names the stream's checkpoint, the batch and the frontier of the feed.
+What a batch put in quarantine lies beside the versions, in a part of its own
 (``state/quarantine_*/stream=<id>/batch=<n>/``) that a replay overwrites and that outlives the version. So a reader sees all tables of one batch or
 of the one before, a replayed batch finds its marker and writes nothing, and a stream with another checkpoint (which
-would apply the feed anew) is refused instead of being taken for a replay. Sources are read for each batch, so rows
-written after the start of the stream are seen. The last ``KEEP_VERSIONS`` versions are kept.
+would apply the feed anew) is refused instead of being taken for a replay. Events are applied in the order of ``seq``, files that come too
+early are held back (``intake``). Sources are read for each batch, so rows written after the start of the stream are seen.
 """
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Callable
 from urllib.parse import quote
@@ -20,40 +19,38 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialise
 from ..sources import io
 from ..sources.lookups import Lookup
+from ..sources.schemas import CR_INSPECT_COLUMNS
+from . import intake
 from . import rules as R
+from . import state as S
 
 STATE_TABLES = ("stg", "queue", "cr")
 QUARANTINE_TABLES = ("quarantine_ids", "quarantine_queue")
-KEEP_VERSIONS = 3
 
 Sources = dict[str, DataFrame] | Callable[[SparkSession], dict[str, DataFrame]]
 
 
-def _commit(spark: SparkSession, state_dir: str, version: int, tables: dict[str, DataFrame], note: dict) -> None:
-    path = io.version_path(state_dir, version)
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(os.path.join(path, name))
-    io.mark(spark, path, json.dumps(note))
-
-
-def init_state(state_dir: str, state: dict[str, DataFrame]) -> None:
+def init_state(state_dir: str, state: dict[str, DataFrame], buckets: int = S.BUCKETS) -> None:
     """Write version 0. An existing state is never replaced: that is an error."""
     spark = state["stg"].sparkSession
     if io.committed_versions(spark, state_dir):
         raise ValueError(f"{state_dir} already holds a state")
-    _commit(spark, state_dir, 0, {t: state[t] for t in STATE_TABLES}, {"query": None, "batch": -1})
+    S.init(state_dir, state, buckets)
 
 
 def read_state(spark: SparkSession, state_dir: str, before: int | None = None) -> dict[str, DataFrame]:
     """All tables of the last committed version (below ``before``)."""
-    versions = [v for v in io.committed_versions(spark, state_dir) if before is None or v < before]
-    if not versions:
-        raise ValueError(f"no committed version below {before} in {state_dir}")
-    path = io.version_path(state_dir, versions[-1])
-    return {t: spark.read.parquet(os.path.join(path, t)) for t in STATE_TABLES}
+    _, note = S.last_version(spark, state_dir, before)
+    return {"stg": S.read(spark, state_dir, note, "stg"), "queue": S.read(spark, state_dir, note, "queue"),
+            "cr": S.inspections(spark, state_dir, note).select(*CR_INSPECT_COLUMNS)}
+
+
+def read_held(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Feed events that wait for files before theirs."""
+    return S.read(spark, state_dir, S.last_version(spark, state_dir)[1], "held")
 
 
 def _quarantine_path(state_dir: str, table: str, stream: str) -> str:
@@ -63,35 +60,68 @@ def _quarantine_path(state_dir: str, table: str, stream: str) -> str:
 def read_quarantine(spark: SparkSession, state_dir: str) -> dict[str, DataFrame]:
     """What all committed batches put in quarantine, also those whose version is dropped by now."""
     versions = io.committed_versions(spark, state_dir)
-    note = json.loads(io.marker(spark, io.version_path(state_dir, versions[-1]))) if versions else {"query": None}
+    note = S.note_of(spark, state_dir, versions[-1]) if versions else {"query": None}
     if note["query"] is None:
         return {}
-    return {t: spark.read.parquet(_quarantine_path(state_dir, t, note["query"])).where(F.col("batch") <= note["batch"]).drop("batch") for t in QUARANTINE_TABLES}
+    paths = {t: _quarantine_path(state_dir, t, note["query"]) for t in QUARANTINE_TABLES}
+    return {t: spark.read.parquet(p).where(F.col("batch") <= note["batch"]).drop("batch") for t, p in paths.items() if io.folders(spark, p)}
+
+
+def _apply(spark: SparkSession, state_dir: str, version: int, note: dict, feed: DataFrame, src: dict[str, DataFrame],
+           lookups: dict[str, Lookup], dedupe: str, with_backfill: bool) -> tuple[dict, dict[str, DataFrame]]:
+    """Apply released events to the parts they touch: (the tables of the next version's manifest, quarantine)."""
+    got = R.prepare(S.read(spark, state_dir, note, "cr"), feed, src, lookups, dedupe)
+    n = note["buckets"]
+    ids = lambda df, key: {r[0] for r in df.select(S.wo_bucket(key, n)).distinct().collect()}
+    wos = ids(got["events"], F.col("wo"))
+    lost = ids(got["lost"], F.col("task_uuid"))
+    if lost:  # rows that lose their work order: the buckets where they are
+        at = S.read(spark, state_dir, note, "stg").select(F.col("task_uuid").alias("__t"), S.bucket("stg", n).alias("b"))
+        lost |= {r["b"] for r in at.join(got["lost"], at["__t"] == got["lost"]["task_uuid"], "left_semi").select("b").distinct().collect()}
+    out = R.apply_prepared(S.read(spark, state_dir, note, "stg", wos | lost), S.read(spark, state_dir, note, "queue", wos), got)
+    tables = {"stg": S.write_buckets(out["stg"], state_dir, "stg", version, note, wos | lost),
+              "queue": S.write_buckets(out["queue"], state_dir, "queue", version, note, wos),
+              "cr": note["cr"] + S.write_part(got["new_cr"].select(*CR_INSPECT_COLUMNS, S.SEQ), state_dir, "cr", version)}
+    changes = R.last_per_key(got["changed"].where(F.col("inspectionid").isNotNull()), "inspectionid", "seq", ["feed_status"])
+    tables["changes"] = note["changes"] + S.write_part(changes.select("inspectionid", "feed_status", "seq"), state_dir, "changes", version)
+    sids = R.feed_part(feed, "vendor", ["workorder", "inspection_sid"]).where(F.col("workorder").isNotNull())
+    sids = R.last_per_key(sids, "workorder", "seq", ["inspection_sid"]).select("workorder", "inspection_sid", "seq")
+    tables["sids"] = note["sids"] + (S.write_part(sids, state_dir, "sids", version) if with_backfill else [])
+    if len(tables["changes"]) + len(tables["sids"]) > S.COMPACT:
+        merged = S.write_part(S.inspections(spark, state_dir, tables), state_dir, "cr", version + S.MERGED)
+        S.forget(spark, state_dir, version, {t: tables[t] for t in ("cr", "changes", "sids")})  # what this batch wrote is merged, too
+        tables |= {"cr": merged, "changes": [], "sids": []}
+    return tables, out
 
 
 def make_batch_fn(state_dir: str, src: Sources, lookups: dict[str, Lookup],
-                  dedupe: str = "raw", with_backfill: bool = False, query: str | None = None):
-    """foreachBatch body: ``run_cascade`` on the last state, committed as the next version.
+                  dedupe: str = "raw", with_backfill: bool = False, query: str | None = None, feed_dir: str | None = None):
+    """foreachBatch body: the rules on the touched parts of the last state, committed as the next version.
 
     ``src`` may be a function that lists the sources anew for each batch. ``query`` names the stream's checkpoint; by
-    default it is the id that Spark keeps in it."""
+    default it is the id that Spark keeps in it. With ``feed_dir`` batches come from the files of a feed with a manifest and are
+    put in order; without, the caller gives batches in the order of ``seq``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         checkpoint_dir(spark)
         stream = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        version = io.committed_versions(spark, state_dir)[-1]
-        note = json.loads(io.marker(spark, io.version_path(state_dir, version)))
+        version, note = S.last_version(spark, state_dir)
         if note["query"] is not None and note["query"] != stream:
             raise ValueError(f"{state_dir} was written by the stream {note['query']}; this one is {stream} and would apply the feed again")
         if batch_id <= note["batch"]:
             return  # replay of a committed batch
-        state = read_state(spark, state_dir)
-        out = R.run_cascade(state, batch, src(spark) if callable(src) else src, lookups, dedupe, with_backfill)
-        for t in QUARANTINE_TABLES:
-            out[t].write.mode("overwrite").parquet(os.path.join(_quarantine_path(state_dir, t, stream), f"batch={batch_id}"))
-        _commit(spark, state_dir, version + 1, {t: out[t] for t in STATE_TABLES}, {"query": stream, "batch": batch_id})
-        for old in io.committed_versions(spark, state_dir)[:-KEEP_VERSIONS]:
-            io.drop_version(spark, state_dir, old)
+        ready, held, frontier = batch, None, note["frontier"]
+        if feed_dir:
+            ready, held, frontier = intake.release(spark, feed_dir, frontier, S.read(spark, state_dir, note, "held"), batch)
+        ready = materialise(ready)
+        next_ = {**note, "query": stream, "batch": batch_id, "frontier": frontier}
+        next_["held"] = S.write_part(held, state_dir, "held", version + 1) if held is not None else []
+        if not ready.isEmpty():
+            tables, out = _apply(spark, state_dir, version + 1, note, ready, src(spark) if callable(src) else src, lookups, dedupe, with_backfill)
+            next_ |= tables
+            for t in QUARANTINE_TABLES:
+                out[t].write.mode("overwrite").parquet(os.path.join(_quarantine_path(state_dir, t, stream), f"batch={batch_id}"))
+        S.commit(spark, state_dir, version + 1, next_)
     return apply
 
 
@@ -100,7 +130,7 @@ def stream_sync(spark: SparkSession, feed_dir: str, state_dir: str, checkpoint:
                 max_files_per_trigger: int | None = None, available_now: bool = True, **kw):
     """Start the sync stream; with ``available_now`` it processes what is there and stops."""
     feed = io.change_feed(spark, feed_dir, max_files_per_trigger)
-    w = (feed.writeStream.foreachBatch(make_batch_fn(state_dir, src, lookups, **kw))
+    w = (feed.writeStream.foreachBatch(make_batch_fn(state_dir, src, lookups, feed_dir=feed_dir, **kw))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)

@@ -16,7 +16,7 @@ from culvert.sources.io import committed_versions, marker, version_path, write_f
 from culvert.sources.lookups import all_lookups
 from culvert.sources.schemas import CR_INSPECT_SCHEMA, FEED_SCHEMA, SOURCE_SCHEMAS, WOT_STG1_SCHEMA, WOT_STG_SCHEMA
 from culvert.streaming import rules as R
-from culvert.streaming.sync import init_state, make_batch_fn, read_quarantine, read_state, stream_sync
+from culvert.streaming.sync import init_state, make_batch_fn, read_held, read_quarantine, read_state, stream_sync
 
 
 def _rows(df, cols):
@@ -40,6 +40,7 @@ def test_stream_single_batch_equals_batch_cascade(spark, sf_small):
     # replaying a committed batch id writes nothing and changes nothing
     before = committed_versions(spark, state_dir)
     note = json.loads(marker(spark, version_path(state_dir, before[-1])))
+    assert note["frontier"] == c.feed.agg(F.max("seq")).first()[0]
     make_batch_fn(state_dir, c.src, c.lk, query=note["query"])(spark.read.parquet(feed_dir), 0)
     assert committed_versions(spark, state_dir) == before
     # another checkpoint would apply the feed again: refused, and so is a second init
@@ -77,7 +78,8 @@ def test_stream_of_several_batches_equals_one_batch_and_sees_late_sources(spark,
         return {**c.src, "epdrfacworkhistory": s.read.schema(history.schema).parquet(late)}
 
     stream_sync(spark, feed_dir, state_dir, ckpt, sources, c.lk, max_files_per_trigger=1).awaitTermination()
-    assert committed_versions(spark, state_dir) == [0, 1, 2] and len(calls) == 2
+    assert committed_versions(spark, state_dir) == [0, 1, 2] and len(calls) in (1, 2)  # one, if the later file came first and was held back
+    assert read_held(spark, state_dir).isEmpty()
     got, want = read_state(spark, state_dir), R.run_cascade(state, c.feed, c.src, c.lk)
     cols = {"stg": ["task_uuid", "workorder_uuid", "wotasktitle", "feed_status", "plndcompdate_dttm"], "queue": ["task_uuid", "wotasktitle", "feed_status", "plndcompdate_dttm"], "cr": ["inspectionid", "inspection_type", "workorder"]}
     text = lambda df, names: sorted(str(tuple(r)) for r in df.select(*names).collect())
