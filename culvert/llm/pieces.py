@@ -12,7 +12,7 @@ put before the text, so it gives the text back, with any literal U+2581 as a spa
 
 Defined cases: null is empty; the empty text has no pieces and decodes to itself; equal texts have equal ids; texts are
 encoded whole; other columns are neither read nor changed. State is bounded by the distinct words of one slice of rows
-and a cache of at most ``CACHE`` words.
+and a cache of at most ``CACHE`` words; a prefix keeps its last piece and a pointer back, so a word of any length takes memory in proportion to it.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from culvert.llm.common import slices, table, texts
 MARK = "▁"
 #: Words kept between slices.
 CACHE = 200_000
+#: Characters of a word that is not kept.
+LONG = 256
 
 
 def default_model() -> str:
@@ -112,14 +115,14 @@ class Coder:
         """Ids (little-endian unsigned 32-bit) of distinct words, in one depth-first pass over their sorted order."""
         out: dict[str, bytes] = {}
         previous = ""
-        # forward state of each prefix on the path: last piece, ids, automaton state
-        last, ids, states = [-1], [b""], [""]
+        # forward state of each prefix on the path: last piece, where it begins, automaton state
+        last, back, states = array("q", [-1]), array("q", [0]), [""]
         steps, pairs, packed = self.steps, self.pairs, self.packed
         for w in sorted(words):
             same, most = 0, min(len(w), len(previous))
             while same < most and w[same] == previous[same]:
                 same += 1
-            del last[same + 1:], ids[same + 1:], states[same + 1:]
+            del last[same + 1:], back[same + 1:], states[same + 1:]
             state = states[same]
             for i in range(same, len(w)):
                 c = w[i]
@@ -133,9 +136,13 @@ class Coder:
                             continue
                     break
                 last.append(t)
-                ids.append(ids[j] + packed[t])
+                back.append(j)
                 states.append(state)
-            out[w] = ids[-1]
+            ends, i = [], len(w)
+            while i:
+                ends.append(packed[last[i]])
+                i = back[i]
+            out[w] = b"".join(reversed(ends))
             previous = w
         return out
 
@@ -149,7 +156,11 @@ class Coder:
             for w in [w for w in cache if w not in keep]:
                 del cache[w]
         cache.update(self.encode_words(list(new)))
-        return [np.frombuffer(b"".join([cache[w] for w in words]), "<u4") for words in cut]
+        out = [np.frombuffer(b"".join([cache[w] for w in words]), "<u4") for words in cut]
+        for w in new:
+            if len(w) > LONG:
+                del cache[w]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         pieces = self.bytes_of

@@ -185,3 +185,39 @@ def test_warc_round_trip(spark, tmp_path):
         assert sorted(got) == sorted(want)
     empty = warc.write(pages.limit(0), f"file://{tmp_path}/none")
     assert warc.read(empty, f"file://{tmp_path}/none").count() == 0
+
+
+def test_a_very_long_unspaced_word():
+    import random
+    import tracemalloc
+
+    import sentencepiece
+
+    from culvert.llm.pieces import Coder, default_model
+
+    word = "".join(random.Random(8).choices("abcdefghijklmnopqrstuvwxyzABC0123456789+/=\u00e9\u6771", k=400_000))
+    coder = Coder(default_model())
+    coder.encode([word[:20_000]])
+    tracemalloc.start()
+    got = coder.encode([word, "short " + word[:300]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sp = sentencepiece.SentencePieceProcessor(model_file=default_model())
+    assert got[0].tolist() == sp.encode(word) and got[1].tolist() == sp.encode("short " + word[:300])
+    assert peak < 400 * len(word) and not any(len(w) > 256 for w in coder.cache)
+
+
+def test_archives_equal_their_sql(spark):
+    import duckdb
+    from edge_rows import SF
+
+    from culvert.llm.queries import ORACLE
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    cur = con.execute(ORACLE["op5_warc"])
+    names = [d[0] for d in cur.description]
+    got = warc.op5_warc(spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    key = lambda rows: sorted(map(str, rows))
+    assert key(tuple(r[n] for n in names) for r in got.collect()) == key(cur.fetchall())
