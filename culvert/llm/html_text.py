@@ -35,6 +35,9 @@ LABELLED = [
     ((60, .00, 50, .0, 70, .0, 0, 0), 1), ((40, .05, 3, .0, 45, .0, 0, 0), 1), ((120, .0, 4, 1., 90, .1, 0, 0), 1), ((18, .0, 60, .0, 55, .0, 0, 0), 1),
     ((9, .0, 70, .0, 80, .0, 0, 0), 1), ((35, .1, 0, .0, 5, .0, 0, 0), 1), ((22, .0, 40, .0, 3, 1., 0, 0), 1), ((14, .0, 33, .0, 41, .0, 0, 0), 1),
     ((3, .0, 60, .0, 70, .0, 0, 0), 1), ((1, .0, 45, .0, 55, .0, 0, 0), 1), ((5, .0, 40, .0, 25, .0, 0, 0), 1), ((7, .0, 1, 1., 60, .0, 0, 0), 1), ((6, .0, 0, .0, 48, .0, 0, 0), 1), ((2, .0, 90, .0, 30, .0, 0, 0), 1),
+    # pages of one block
+    ((2, .0, 0, .0, 0, .0, 0, 0), 1), ((1, .0, 0, .0, 0, .0, 0, 0), 1), ((5, .0, 0, .0, 0, .0, 0, 0), 1), ((12, .1, 0, .0, 0, .0, 0, 0), 1), ((30, .0, 0, .0, 0, .0, 0, 0), 1),
+    ((1, 1., 0, .0, 0, .0, 0, 0), 0), ((4, 1., 0, .0, 0, .0, 0, 0), 0), ((6, .0, 0, .0, 0, .0, 1, 0), 0), ((40, .0, 0, .0, 0, .0, 1, 0), 0),
     # menus and link lists outside furniture containers
     ((1, 1., 1, 1., 1, 1., 0, 0), 0), ((2, 1., 3, 1., 2, 1., 0, 0), 0), ((5, 1., 2, 1., 60, .0, 0, 0), 0), ((8, .9, 30, .0, 4, 1., 0, 0), 0), ((12, .8, 5, 1., 9, .9, 0, 0), 0),
     ((20, .7, 10, .9, 10, .8, 0, 0), 0), ((3, .0, 2, 1., 4, 1., 0, 0), 0), ((2, .0, 0, .0, 3, .0, 0, 0), 0), ((6, .0, 4, .5, 5, 1., 0, 0), 0), ((4, .0, 3, .0, 2, .0, 0, 0), 0),
@@ -47,11 +50,13 @@ LABELLED = [
 _BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 _HOLDS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figure footer form header li main menu nav ol p section table tbody td tfoot th thead tr ul span".split())
 _RAW = frozenset("script style noscript template textarea title svg math iframe object select button canvas audio video head".split())
+#: Only these may end with their own tag.
+_FOREIGN = frozenset(("svg", "math"))
 _FURNITURE = frozenset("nav footer aside form menu dialog".split())
 _NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|side-?bar|menu|nav(?:bar|igation)?|footer|header|masthead|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|breadcrumbs?|pagination|pager|comments?|replies|respond|disqus|widget|toolbar|copyright|legal|skip)(?:$|[\s_-])", re.I)
 _CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main)(?:$|[\s_-])", re.I)
 _ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
-_TAG = re.compile(r"<(?:!--(?:.*?(?:--!?>|$))|(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?/][^>]*(?:>|$))", re.S)
+_TAG = re.compile(r"<(?:!--(?:.*?(?:--!?>|$))|(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>|[!?/][^>]*(?:>|$))", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 
@@ -103,7 +108,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         if name in _BLOCK:
             close()
         if name in _RAW:
-            if opening and not m[3].endswith("/"):
+            if opening and not (name in _FOREIGN and m[3].endswith("/")):
                 if name == "head":  # its contents are furniture; the body may start without its end
                     continue
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, pos)
@@ -137,7 +142,7 @@ def features(page_blocks: list[tuple[str, int, int, int, int]]) -> list[tuple[fl
     return [(*one[i], *(one[i - 1] if i else none), *(one[i + 1] if i + 1 < len(one) else none), b[3], b[4]) for i, b in enumerate(page_blocks)]
 
 
-def train(rows=LABELLED, depth: int = 6):
+def train(rows=LABELLED, depth: int = 8):
     """CART with Gini impurity; a node is (feature, cut, left, right), a leaf the majority label."""
     positive = sum(y for _, y in rows)
     label = int(2 * positive >= len(rows))

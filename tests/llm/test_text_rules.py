@@ -6,6 +6,7 @@ import random
 import re
 import zipfile  # noqa: F401
 
+import pytest
 from brute import personal, sha, statistics
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -143,3 +144,49 @@ def test_main_text_frame(spark):
     assert got[2] == "" and got[3] == "" and got[1].startswith("Title")
     assert html_text.extracted(pages.limit(0)).count() == 0
     assert sha("")
+
+
+MORE = "It goes on with many more words than any menu would have, so that it is the main text of the page."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article><p>Here a long paragraph <a title=it's href=x>with a link</a> and so on. </p><p>It doesn't end. {MORE}", f"Here a long paragraph with a link and so on. It doesn't end. {MORE}"),
+    (f"<p>{MORE}<script src=a />var x=1; secret();</script> after", f"{MORE} after"),
+    (f"<p title=\"a > b\">{MORE}", MORE), (f"<p a='x>y' b=\"it's\">{MORE}", MORE), (f"<p>{MORE}<svg/> end", f"{MORE} end"),
+    ("<p>Hello world", "Hello world"), ("<body>Short text</body>", "Short text"), ("<div><p>A single paragraph page only</p></div>", "A single paragraph page only"),
+    ("<nav>Home</nav>", ""), ("<a href=x>link</a>", ""),
+])
+def test_quotes_scripts_and_short_pages(page, want):
+    assert html_text.main_text(page, html_text.train()) == want
+
+
+def test_articles_equal_a_standard_parser():
+    """Random articles with odd attributes, read by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Text(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.skip = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.skip += tag in ("script", "style")
+            self.out.append(" " if tag == "p" else "")
+
+        def handle_endtag(self, tag):
+            self.skip -= tag in ("script", "style")
+            self.out.append(" " if tag == "p" else "")
+
+        def handle_data(self, data):
+            self.out.append("" if self.skip else data)
+
+    r = random.Random(6)
+    tree = html_text.train()
+    word = lambda: r.choice(["alpha", "it's", "&amp;", "x&lt;y", "&eacute;t\u00e9", "caf&#233;", "\u6771\u4eac", "5", "\"said\"", "end."])
+    tag = lambda: r.choice(["<b>{}</b>", "<i title='a>b'>{}</i>", "<em data-x=\"it's > 3\">{}</em>", "<a href=x title=it's>{}</a>", "{}", "{}", "{}<script>var a = '<p>';</script>", "<span lang=en>{}</span>"])
+    for _ in range(200):
+        page = "<html><body><article>" + "".join("<p>" + " ".join(tag().format(word()) for _ in range(r.randint(20, 60))) + "</p>" for _ in range(r.randint(1, 5))) + "</article></body></html>"
+        p = Text()
+        p.feed(page)
+        p.close()
+        assert html_text.main_text(page, tree) == " ".join("".join(p.out).split())
