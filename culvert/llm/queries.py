@@ -32,4 +32,15 @@ QUERIES = {
     "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLE: dict[str, str] = {}
+#: The others' rows (hash groups, learned verdicts, tokens, spans by scanning) cannot be expressed in SQL, or not at this size.
+ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH sized AS (
+            SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        firsts AS (SELECT payload_digest, min(page_id) AS page FROM sized WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT s.page_id, s.url, s.payload_bytes, s.payload_digest,
+               CASE WHEN f.page < s.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN f.page < s.page_id THEN f.page END AS refers_to
+        FROM sized s LEFT JOIN firsts f ON f.payload_digest = s.payload_digest AND s.payload_bytes >= 100
+    """,
+}
