@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import os
 import tempfile
 import uuid
@@ -65,7 +66,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return got
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
@@ -76,13 +77,28 @@ def discard(*tables: DataFrame) -> None:
     """Delete stored tables from which everything that is needed has been stored elsewhere by now."""
     for df in tables:
         if df in _PLACE:
-            _delete(df.sparkSession, _PLACE.pop(df))
+            delete(df.sparkSession, _PLACE.pop(df))
 
 
-def discard_all(spark: SparkSession) -> None:
-    """Delete every table that ``stored`` has written: for a caller whose results are written elsewhere."""
-    for path in list(_LIVE):
-        _delete(spark, path)
+#: Tables that the steps of a chain have left.
+_LEFT: set[str] = set()
+
+
+def step(fn):
+    """A step of a chain whose results are each written elsewhere before the next step starts: ``fn(spark, docs, ..)``, which
+    first deletes the tables that earlier steps have stored on their way."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, *args):
+        for path in _LEFT & _LIVE:
+            delete(spark, path)
+        _LEFT.clear()
+        before = set(_LIVE)
+        out = fn(spark, docs, *args)
+        _LEFT.update(_LIVE - before)
+        return out
+
+    return run
 
 
 def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

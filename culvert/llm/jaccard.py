@@ -5,11 +5,12 @@
    n - ceil(0.8 n) + 1 shingles of each, and have their least overlap left from there on. The order puts the shingles that
    most documents have last, so common passages seldom reach a prefix. Classes that share no such shingle with a class of
    fitting size have no links, and their sets are not looked at again.
-3. Groups: where at least ``HUB_FROM`` classes have equal min-hashes they are compared with one hub of theirs, round by
-   round, and those that link with it form its group. A group is connected, and is cut into chunks of about ``CHUNK`` classes.
+3. Groups: in each of some rounds, a class without a group is compared with one class of equal min-hash, if possible one that
+   has a group, and joins it if they link. A group is connected by these links, and is cut into chunks of about ``CHUNK`` classes of like size.
 4. The matrix has a row for each prefix shingle and chunk, however many members share it. A class probes it with its own
-   prefix and gets candidate chunks of other groups. A chunk's union of shingles bounds the overlap: unless the class has
-   at least 0.8 of its shingles in that union, no member can link with it, and the chunk is not opened.
+   prefix and gets candidate chunks of other groups. A chunk's union of shingles bounds the overlap: a link with a member of m
+   shingles takes 80/180 of both sizes, so unless the class of n has 80/180 (n + least m) of its shingles in that union, no member
+   can link with it, and the chunk is not opened.
 5. Members of opened chunks are compared exactly. Links and groups give the components.
 
 The order (step 2) only steers the work: any order gives the same links. It is taken from the most frequent shingles, at
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from culvert.llm.common import ship, slices, stored, table, tidy
+from culvert.llm.common import delete, discard, ship, slices, stored, table, tidy
 from culvert.llm.components import components
 from culvert.llm.textnum import buffer, mix, shingle_sets
 from culvert.session import checkpoint_dir
@@ -40,12 +41,12 @@ from culvert.session import checkpoint_dir
 SHINGLE = 5
 #: Similarity of a link, in hundredths.
 PERCENT = 80
-#: Shingles that are put last in the common order, at most; and the share of a block's rows that makes one a candidate.
-COMMON, COMMON_SHARE = 1 << 17, 1 / 2000
+#: Shingles that are put last in the common order, at most; and how many different sets of a block make one a candidate.
+COMMON, COMMON_FROM = 1 << 20, 2
 #: Text bytes whose shingles are counted together for that.
 BLOCK = 8 << 20
-#: Rounds of hubs, at most, over buckets of so many classes at least; fewer are compared in the matrix.
-ROUNDS, HUB_FROM = 6, 8
+#: Rounds in which classes join groups.
+ROUNDS = 6
 CHUNK = 128
 _SALT = np.random.RandomState(23).randint(1, 1 << 62, ROUNDS, dtype=np.int64).astype(np.uint64)
 
@@ -69,9 +70,10 @@ def common_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
     def often(batches):
         for batch in batches:
             for block in slices(batch, 0, BLOCK):
-                sets = np.concatenate([np.concatenate(shingle_sets(*buffer(part.column(0)))) for part in slices(block, 0)])
-                token, n = np.unique(sets, return_counts=True)
-                ok = n >= max(3, COMMON_SHARE * block.num_rows)
+                # equal texts count once: they become one class
+                sets = {_digest(s): s for part in slices(block, 0) for s in shingle_sets(*buffer(part.column(0)))}
+                token, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+                ok = n >= COMMON_FROM
                 yield pa.RecordBatch.from_arrays([pa.array(token[ok].view(np.int64)), pa.array(n[ok].astype(np.int64))], ["token", "n"])
 
     rows = _rows(docs, text).select("text").mapInArrow(often, "token long, n long")
@@ -143,8 +145,12 @@ def _postings(classes: DataFrame) -> DataFrame:
     return near.where((100 * F.col("smaller") >= PERCENT * n) | (F.col("larger") <= most)).select("token", "node", n.alias("n"), rest.alias("rest"))
 
 
-def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(node, n, set, keys) of the wanted classes, from the text of their least doc_id; a table bucketed by node, so that
+def _place(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
+def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> tuple[str, DataFrame]:
+    """The name of a table, and the table (node, n, set, keys) of the wanted classes, from the text of their least doc_id; a table bucketed by node, so that
     the joins below move pairs and not sets."""
 
     @F.arrow_udf("struct<ok: boolean, n: long, set: binary, keys: array<long>>")
@@ -166,23 +172,25 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"culvert_sets_{uuid.uuid4().hex}"
     one = found.where("c.ok").select("node", "c.n", "c.set", "c.keys").repartition(parts, "node").dropDuplicates(["node"])
-    one.write.bucketBy(parts, "node").option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
-    return spark.table(name)
+    one.write.bucketBy(parts, "node").option("path", _place(spark, name)).saveAsTable(name)
+    return name, spark.table(name)
 
 
-def _compare(kind: str):
-    """A filter on two binary columns of sets: ``link`` is the exact test, ``bound`` the overlap of the first with a union."""
+def _link(a: pa.Array, b: pa.Array) -> pa.Array:
+    out = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(a, b)]
+    tidy()
+    return pa.array(out, pa.bool_())
 
-    @F.arrow_udf("boolean")
-    def test(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a, b):
-            s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            out.append(linked(s, t) if kind == "link" else 100 * len(np.intersect1d(s, t, assume_unique=True)) >= PERCENT * len(s))
-        tidy()
-        return pa.array(out, pa.bool_())
 
-    return test
+def _may_link(a: pa.Array, union: pa.Array, low: pa.Array) -> pa.Array:
+    """Whether a set has enough in a union to link with a member of at least ``low`` shingles."""
+    out = []
+    for x, y, m in zip(a, union, low.to_pylist()):
+        s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        both = len(np.intersect1d(s, t, assume_unique=True))
+        out.append((100 + PERCENT) * both >= PERCENT * (len(s) + max(m, both)))
+    tidy()
+    return pa.array(out, pa.bool_())
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -190,30 +198,40 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("set").alias("sa"))
     b = sets.join(pairs.select(F.col("b").alias("node")).distinct(), "node").select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("set").alias("sb"))
     fits = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-    return pairs.join(a, "a").join(b, "b").where(fits).where(_compare("link")("sa", "sb")).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(fits).where(F.arrow_udf("boolean")(_link)("sa", "sb")).select("a", "b")
 
 
-def _groups(sets: DataFrame) -> DataFrame:
-    """(node, hub, chunk) of every class: hubs link with all classes of their group; stored."""
-    open_ = sets.select("node", "keys")
-    taken = None
+def _groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(groups, links): (node, hub, chunk, many) of every class, and the links (a, b) that connect the groups; both stored.
+
+    A round's bucket is a min-hash, so two classes share it with a chance of their similarity. Each class without a group is
+    compared with one class of its bucket, so a round has at most as many comparisons as classes, whatever their groups' sizes."""
+    state = sets.select("node", "n", "keys", F.lit(None).cast("long").alias("hub"))
+    links, temporary = None, []
     for r in range(ROUNDS):
-        key = open_.select("node", F.col("keys")[r].alias("key"))
-        hubs = key.groupBy("key").agg(F.count("*").alias("m"), F.min_by("node", F.xxhash64("node", F.lit(r))).alias("b")).where(F.col("m") >= HUB_FROM).select("key", "b")
-        pairs = stored(key.join(hubs, "key").where("node <> b").select(F.col("node").alias("a"), "b"), "hubs")
-        if pairs.isEmpty():
-            continue
-        found = stored(_verified(pairs, sets), "stars")
-        # a class can be its bucket's hub only, so a hub is never a member
-        got = found.select(F.col("a").alias("node"), F.col("b").alias("hub"))
-        got = got.unionByName(found.select(F.col("b").alias("node"), F.col("b").alias("hub")).distinct())
-        taken = got if taken is None else taken.unionByName(got)
-        open_ = stored(open_.join(got.select("node"), "node", "left_anti"), "open")
-    every = open_.select("node", F.col("node").alias("hub"))
-    every = every if taken is None else every.unionByName(taken)
-    sizes = every.groupBy("hub").agg(F.count("*").alias("m"))
-    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / CHUNK)).cast("int")
-    return stored(every.join(sizes, "hub").select("node", "hub", chunk.alias("chunk"), (F.col("m") > 1).alias("many")), "groups")
+        key = state.select("node", "hub", F.col("keys")[r].alias("key"))
+        # one class of each bucket: of those with a group if there are any, else any that another one meets
+        order = F.struct(F.col("hub").isNull(), F.xxhash64("node", F.lit(r)))
+        heads = key.groupBy("key").agg(F.count("*").alias("m"), F.min_by(F.struct("node", "hub"), order).alias("h")).where(F.col("m") > 1)
+        pairs = stored(key.where("hub is null").join(heads, "key").where(F.col("node") != F.col("h.node")).select(F.col("node").alias("a"), F.col("h.node").alias("b"), F.coalesce("h.hub", "h.node").alias("g")), "heads")
+        found = stored(_verified(pairs.select("a", "b"), sets).join(pairs.select("a", "g"), "a"), "joined")
+        discard(pairs)
+        links = found.select("a", "b") if links is None else links.unionByName(found.select("a", "b"))
+        # a head without a group starts one; it is in no other bucket of this round, so it joins none
+        got = found.select(F.col("a").alias("joined"), "g").unionByName(found.select(F.col("g").alias("joined"), "g").distinct())
+        before, state = state, stored(state.join(got, state["node"] == got["joined"], "left").select("node", "n", "keys", F.coalesce("hub", "g").alias("hub")), "state")
+        discard(before)
+        temporary.append(found)
+    every = state.select("node", "n", F.coalesce("hub", "node").alias("hub"))
+    # chunks are ranges of size, cut by the share of the group's classes that are smaller
+    sizes = every.groupBy("hub").agg(F.count("*").alias("m"), F.percentile_approx("n", F.array(*[F.lit(x / 32) for x in range(1, 32)]), F.lit(1000)).alias("cuts"))
+    band = F.size(F.filter("cuts", lambda c: c < F.col("n")))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / (32 * CHUNK)))
+    chunk = F.when(F.col("m") > CHUNK, band + 32 * part).otherwise(0).cast("int")
+    groups = stored(every.join(sizes, "hub").select("node", "hub", chunk.alias("chunk"), (F.col("m") > 1).alias("many")), "groups")
+    links = stored(links, "grouped")
+    discard(state, *temporary)
+    return groups, links
 
 
 def _cross_links(postings: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
@@ -234,11 +252,13 @@ def _cross_links(postings: DataFrame, groups: DataFrame, sets: DataFrame) -> Dat
     def union(v: pa.Array) -> pa.Array:
         return pa.array([np.unique(np.frombuffer(b"".join(x), np.uint64)).tobytes() for x in v.to_pylist()], pa.binary())
 
-    unions = members.join(many.select("g", "c").distinct(), ["g", "c"]).join(sets.select("node", "set"), "node").groupBy("g", "c").agg(F.collect_list("set").alias("s")).select("g", "c", union("s").alias("u"))
+    unions = members.join(many.select("g", "c").distinct(), ["g", "c"]).join(sets.select("node", "n", "set"), "node").groupBy("g", "c").agg(F.min("n").alias("low"), F.collect_list("set").alias("s")).select("g", "c", "low", union("s").alias("u"))
     own = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    opened = many.join(own, "a").join(unions, ["g", "c"]).where(_compare("bound")("sa", "u")).select("a", "g", "c")
+    opened = many.join(own, "a").join(unions, ["g", "c"]).where(F.arrow_udf("boolean")(_may_link)("sa", "u", "low")).select("a", "g", "c")
     pairs = single.unionByName(opened.join(members, ["g", "c"]).select("a", F.col("node").alias("b")))
-    return _verified(stored(pairs, "pairs"), sets)
+    got = stored(_verified(stored(pairs, "pairs"), sets), "cross")
+    discard(rows, candidates)
+    return got
 
 
 def _named(docs: DataFrame, text: str) -> DataFrame:
@@ -247,11 +267,15 @@ def _named(docs: DataFrame, text: str) -> DataFrame:
     classes = _classes(docs, text)
     shared = stored(_postings(classes), "postings")
     wanted = classes.select("node", "digest", "doc").join(shared.select("node").distinct(), "node")
-    sets = _sets(docs, text, wanted)
-    groups = _groups(sets)
+    name, sets = _sets(docs, text, wanted)
+    groups, links = _groups(sets)
     cross = _cross_links(shared, groups, sets)
-    edges = groups.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(cross)
-    return classes.select("node", "digest", "doc").join(components(edges), "node", "left").select("digest", "doc", F.coalesce("root", "node").alias("root"))
+    roots = components(links.unionByName(cross))
+    spark = docs.sparkSession
+    discard(shared, groups, links, cross)
+    spark.sql(f"DROP TABLE {name}")
+    delete(spark, _place(spark, name))
+    return classes.select("node", "digest", "doc").join(roots, "node", "left").select("digest", "doc", F.coalesce("root", "node").alias("root"))
 
 
 def _digests_udf():

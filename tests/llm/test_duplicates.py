@@ -38,7 +38,6 @@ def _near_rows(n=150, seed=3):
 @pytest.mark.parametrize("chunk", [1, 2, 128])
 def test_links_equal_brute_force(spark, rows_of, monkeypatch, chunk):
     monkeypatch.setattr(jaccard, "CHUNK", chunk)
-    monkeypatch.setattr(jaccard, "HUB_FROM", {1: 8, 2: 2, 128: 3}[chunk])
     if chunk == 1:  # without any hub round everything goes through the matrix
         monkeypatch.setattr(jaccard, "ROUNDS", 1)
     rows = _near_rows()
