@@ -5,8 +5,8 @@
    n - ceil(0.8 n) + 1 shingles of each, and have their least overlap left from there on. The order puts the shingles that
    most documents have last, so common passages seldom reach a prefix. Classes that share no such shingle with a class of
    fitting size have no links, and their sets are not looked at again.
-3. Groups: in each of some rounds, a class without a group is compared with one class of equal min-hash, if possible one that
-   has a group, and joins it if they link. A group is connected by these links, and is cut into chunks of about ``CHUNK`` classes of like size.
+3. Groups: in each of some rounds, a class without a group is compared with one class of equal min-hash, the one with the fewest
+   shingles of its own, and joins its group if they link. A group is connected by these links, and is cut into chunks of about ``CHUNK`` classes of like size.
 4. The matrix has a row for each prefix shingle and chunk, however many members share it. A class probes it with its own
    prefix and gets candidate chunks of other groups. A chunk's union of shingles bounds the overlap: a link with a member of m
    shingles takes 80/180 of both sizes, so unless the class of n has 80/180 (n + least m) of its shingles in that union, no member
@@ -201,17 +201,19 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(fits).where(F.arrow_udf("boolean")(_link)("sa", "sb")).select("a", "b")
 
 
-def _groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _groups(sets: DataFrame, postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, links): (node, hub, chunk, many) of every class, and the links (a, b) that connect the groups; both stored.
 
     A round's bucket is a min-hash, so two classes share it with a chance of their similarity. Each class without a group is
-    compared with one class of its bucket, so a round has at most as many comparisons as classes, whatever their groups' sizes."""
-    state = sets.select("node", "n", "keys", F.lit(None).cast("long").alias("hub"))
+    compared with one class of its bucket, so a round has at most as many comparisons as classes, whatever their groups' sizes.
+    That one is the class with the fewest prefix shingles of its own: of a text and its changed copies, which often link with the text only, it is the text."""
+    shared = postings.groupBy("node").agg(F.count("*").alias("shared"))
+    own = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - F.col("shared")
+    state = stored(sets.join(shared, "node").select("node", "n", "keys", own.alias("own"), F.lit(None).cast("long").alias("hub")), "state")
     links, temporary = None, []
     for r in range(ROUNDS):
-        key = state.select("node", "hub", F.col("keys")[r].alias("key"))
-        # one class of each bucket: of those with a group if there are any, else any that another one meets
-        order = F.struct(F.col("hub").isNull(), F.xxhash64("node", F.lit(r)))
+        key = state.select("node", "hub", "own", F.col("keys")[r].alias("key"))
+        order = F.struct("own", F.col("hub").isNull(), F.xxhash64("node", F.lit(r)))
         heads = key.groupBy("key").agg(F.count("*").alias("m"), F.min_by(F.struct("node", "hub"), order).alias("h")).where(F.col("m") > 1)
         pairs = stored(key.where("hub is null").join(heads, "key").where(F.col("node") != F.col("h.node")).select(F.col("node").alias("a"), F.col("h.node").alias("b"), F.coalesce("h.hub", "h.node").alias("g")), "heads")
         found = stored(_verified(pairs.select("a", "b"), sets).join(pairs.select("a", "g"), "a"), "joined")
@@ -219,14 +221,14 @@ def _groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         links = found.select("a", "b") if links is None else links.unionByName(found.select("a", "b"))
         # a head without a group starts one; it is in no other bucket of this round, so it joins none
         got = found.select(F.col("a").alias("joined"), "g").unionByName(found.select(F.col("g").alias("joined"), "g").distinct())
-        before, state = state, stored(state.join(got, state["node"] == got["joined"], "left").select("node", "n", "keys", F.coalesce("hub", "g").alias("hub")), "state")
+        before, state = state, stored(state.join(got, state["node"] == got["joined"], "left").select("node", "n", "keys", "own", F.coalesce("hub", "g").alias("hub")), "state")
         discard(before)
         temporary.append(found)
     every = state.select("node", "n", F.coalesce("hub", "node").alias("hub"))
     # chunks are ranges of size, cut by the share of the group's classes that are smaller
     sizes = every.groupBy("hub").agg(F.count("*").alias("m"), F.percentile_approx("n", F.array(*[F.lit(x / 32) for x in range(1, 32)]), F.lit(1000)).alias("cuts"))
     band = F.size(F.filter("cuts", lambda c: c < F.col("n")))
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / (32 * CHUNK)))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / (CHUNK * (F.size(F.array_distinct("cuts")) + 1))))
     chunk = F.when(F.col("m") > CHUNK, band + 32 * part).otherwise(0).cast("int")
     groups = stored(every.join(sizes, "hub").select("node", "hub", chunk.alias("chunk"), (F.col("m") > 1).alias("many")), "groups")
     links = stored(links, "grouped")
@@ -268,7 +270,7 @@ def _named(docs: DataFrame, text: str) -> DataFrame:
     shared = stored(_postings(classes), "postings")
     wanted = classes.select("node", "digest", "doc").join(shared.select("node").distinct(), "node")
     name, sets = _sets(docs, text, wanted)
-    groups, links = _groups(sets)
+    groups, links = _groups(sets, shared)
     cross = _cross_links(shared, groups, sets)
     roots = components(links.unionByName(cross))
     spark = docs.sparkSession
