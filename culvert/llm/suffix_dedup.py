@@ -6,8 +6,8 @@ consecutive windows of one anchor form a fragment. Windows of fragments with dif
 
 Decision. All fragments meet by anchor in one shuffle. A fragment that occurs twice as a whole is repeated as a whole
 (copies inside one task are settled there, so a passage that very many documents share sends one row a task). What is
-left are anchors with two or more different fragments: their bytes are fetched, the gram they share is replaced by one
-symbol, and the suffixes of a block of such groups are sorted. A window is repeated if and only if a neighbour of
+left are anchors with two or more different fragments: their bytes are fetched and aligned at the gram they share, columns
+that tell the fragments apart in the same way become one symbol, and the suffixes of a block of such groups are sorted. A window is repeated if and only if a neighbour of
 its suffix agrees on the whole window. A group of more than ``GROUP`` different fragments is not gathered: its windows
 are counted by their hashes, spread over all tasks.
 
@@ -38,7 +38,7 @@ GRAM = 100
 SPREAD = LENGTH - GRAM + 1
 #: Larger groups of different fragments are counted window by window.
 GROUP = 2000
-#: Symbols sorted at once.
+#: Columns of fragments that are aligned and sorted at once.
 BLOCK = 1 << 18
 #: Text bytes whose fragments are compared inside a task before the shuffle.
 LOCAL = 48 << 20
@@ -213,33 +213,71 @@ def _cut(batches):
 _CUT = "anchor long, doc long, tag long, place long, settled boolean, hash long, raw binary, at long"
 
 
+def _columns(groups: list[tuple[int, bytes, int]]):
+    """All fragments as one row of columns, aligned within a group at the gram they share, which is one column.
+
+    (first column of each fragment, its columns, column's place in its group, column's value)."""
+    core: dict = {}
+    values, sizes, places = [], [], []
+    number = -1
+    for k, (group, raw, back) in enumerate(groups):
+        number += k == 0 or group != groups[k - 1][0]
+        s = np.frombuffer(raw, np.uint8)
+        gram = core.setdefault((group, raw[back:back + GRAM]), 256 + len(core))
+        values += [s[:back].astype(np.int64), [gram], s[back + GRAM:]]
+        sizes.append(len(raw) - GRAM + 1)
+        places.append(number * (2 * SPREAD) + SPREAD - back)
+    size = np.array(sizes)
+    start = np.cumsum(size) - size
+    return start, size, _ragged(np.array(places), size), np.concatenate(values).astype(np.int64)
+
+
 def repeated_windows(groups: list[tuple[int, bytes, int]]) -> list[np.ndarray]:
-    """For fragments (group, bytes, anchor place), which of their windows occur in another fragment of their group."""
-    symbols, starts, core = [], [], {}
-    for group, raw, back in groups:
-        starts.append(sum(map(len, symbols[-1:])) + (starts[-1] if starts else 0))
-        s = np.frombuffer(raw, np.uint8).astype(np.int64) + 1
-        gram = core.setdefault((group, raw[back:back + GRAM]), 257 + len(core))
-        symbols.append(np.concatenate((s[:back], [gram], s[back + GRAM:], [0])))
-    text = np.concatenate((*symbols, [-1]))
-    order = np.array(suffix_array(text.tolist()))
-    n = len(text)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.arange(n)
-    count = [len(raw) - LENGTH + 1 for _, raw, _ in groups]
-    at = _ragged(np.array(starts), np.array(count))
-    padded = np.concatenate((text, np.full(SPREAD, -2)))
-    hit = np.zeros(len(at), bool)
-    for step in (-1, 1):
-        near = rank[at] + step
-        left = np.flatnonzero((near >= 0) & (near < n) & ~hit)
-        other = order[near[left]]
-        for t in range(SPREAD):
-            same = padded[at[left] + t] == padded[other + t]
-            left, other = left[same], other[same]
-            if not len(left):
-                break
-        hit[left] = True
+    """For fragments (group, bytes, anchor place), which of their windows occur in another fragment of their group.
+
+    Fragments come group by group. Neighbouring columns that tell the fragments of a group apart in the same way are one
+    symbol: a window agrees on a part of such a run of columns if and only if it agrees on all of it. So two long fragments
+    that differ in one place have a handful of symbols."""
+    start, size, place, value = _columns(groups)
+    n, total = len(groups), int(size.sum())
+    owner = np.repeat(np.arange(n), size)
+    # of the fragments that have the same value in a column, the first
+    kind = place * (int(value.max()) + 1) + value
+    order = np.argsort(kind, kind="stable")
+    new = np.concatenate(([True], kind[order[1:]] != kind[order[:-1]]))
+    label = np.empty(total, np.int64)
+    label[order] = owner[order[np.maximum.accumulate(np.where(new, np.arange(total), 0))]]
+    # a run of columns ends where the labels of any fragment change, or where a fragment begins or ends
+    split = np.zeros(int(place.max()) + 2, bool)
+    split[place[start]] = True
+    split[place[start + size - 1] + 1] = True
+    inner = np.flatnonzero((label[1:] != label[:-1]) & (owner[1:] == owner[:-1])) + 1
+    split[place[inner]] = True
+    head = split[place]
+    run = np.cumsum(head) - 1
+    heads = np.flatnonzero(head)
+    symbol = np.unique(place[heads] * n + label[heads], return_inverse=True)[1] + 1
+    runs = np.bincount(owner[heads], minlength=n)
+    # the symbols of all fragments, a 0 after each and a least one at the end
+    spot = np.arange(len(heads)) + np.repeat(np.arange(n), runs)
+    text = np.zeros(len(heads) + n + 1, np.int64)
+    text[spot] = symbol
+    text[-1] = -1
+    sorted_ = np.array(suffix_array(text.tolist()))
+    # what neighbours agree on, in symbols
+    agree = np.zeros(len(text), np.int64)
+    padded = np.concatenate((text, np.full(2 * SPREAD + 1, -2)))
+    a, b = sorted_[:-1], sorted_[1:]
+    alive = np.flatnonzero(text[a] > 0)
+    for t in range(2 * SPREAD):
+        alive = alive[(padded[a[alive] + t] == padded[b[alive] + t]) & (padded[a[alive] + t] > 0)]
+        if not len(alive):
+            break
+        agree[a[alive]] = np.maximum(agree[a[alive]], t + 1)
+        agree[b[alive]] = np.maximum(agree[b[alive]], t + 1)
+    count = size - SPREAD + 1
+    at = _ragged(start, count)
+    hit = agree[spot[run[at]]] >= run[at + SPREAD - 1] - run[at] + 1
     return np.split(hit, np.cumsum(count)[:-1])
 
 

@@ -86,6 +86,35 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("letters", [b"ab", b"abcdefgh"])
+def test_repeated_windows_of_groups_equal_brute_force(letters):
+    r = random.Random(len(letters))
+    some = lambda n: bytearray(r.choice(letters) for _ in range(n))
+    groups = []
+    for g in range(60):
+        left, gram, right, seen = some(100), bytes(some(100)), some(100), set()
+        for _ in range(r.choice([2, 3, 25])):
+            a, b = bytearray(left), bytearray(right)
+            for _ in range(r.randint(0, 3)):
+                r.choice([a, b])[r.randrange(100)] = r.choice(letters)
+            if r.random() < 0.2:
+                a = some(100)
+            back = r.randint(0, 100)
+            more = r.randint(0, back)
+            raw = bytes(a[100 - back:]) + gram + bytes(b[:more + 100 - back])
+            if (raw, back) not in seen:
+                seen.add((raw, back))
+                groups.append((g, raw, back))
+    holders: dict = {}
+    for g, raw, back in groups:
+        for k in range(len(raw) - 199):
+            holders.setdefault((g, raw[k:k + 200]), set()).add((raw, back))
+    got = suffix_dedup.repeated_windows(groups)
+    assert any(x.any() for x in got) and not all(x.all() for x in got)
+    for (g, raw, _), hit in zip(groups, got):
+        assert hit.tolist() == [len(holders[g, raw[k:k + 200]]) > 1 for k in range(len(raw) - 199)]
+
+
 def test_suffix_array_is_sorted():
     for n in range(1, 9):
         for s in itertools.product((1, 2), repeat=n):
