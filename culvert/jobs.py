@@ -24,11 +24,11 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from culvert.plans.inspections import unified_inspections  # noqa: E402
-from culvert.plans.outbound import extract_to_send, register_views  # noqa: E402
+from culvert.plans.outbound import register_views  # noqa: E402
 from culvert.session import checkpoint_dir, cluster_spark  # noqa: E402
 from culvert.sources import io  # noqa: E402
 from culvert.sources.lookups import all_lookups  # noqa: E402
-from culvert.streaming.sync import init_state, read_state, stream_sync  # noqa: E402
+from culvert.streaming.sync import init_state, read_outbound, read_state, send_outbound, stream_sync  # noqa: E402
 
 
 def publish_views(spark: SparkSession, src_dir: str, state_dir: str | None = None) -> list[str]:
@@ -43,12 +43,11 @@ def write_views(spark: SparkSession, src_dir: str, out_dir: str, state_dir: str
     src = io.load_sources(spark, src_dir)
     unified_inspections(src, all_lookups(spark)).write.mode("overwrite").parquet(os.path.join(out_dir, "inspections"))
     if state_dir:
-        extract_to_send(read_state(spark, state_dir)["cr"]).write.mode("overwrite").parquet(
-            os.path.join(out_dir, "cr_inspect_to_send"))
+        read_outbound(spark, state_dir)[0].write.mode("overwrite").parquet(os.path.join(out_dir, "cr_inspect_to_send"))
 
 
-def init_from(spark: SparkSession, stg: DataFrame, queue: DataFrame, cr: DataFrame, state_dir: str) -> None:
-    init_state(state_dir, {"stg": stg, "queue": queue, "cr": cr})
+def init_from(spark: SparkSession, stg: DataFrame, queue: DataFrame, cr: DataFrame, state_dir: str, quality: bool = False) -> None:
+    init_state(state_dir, {"stg": stg, "queue": queue, "cr": cr}, quality=quality)
 
 
 def start_sync(spark: SparkSession, src_dir: str, feed_dir: str, state_dir: str, checkpoint: str | None = None,
@@ -81,12 +80,18 @@ def main(argv: list[str] | None = None) -> None:
     i.add_argument("--queue", required=True)
     i.add_argument("--cr", required=True)
     i.add_argument("--state", required=True)
+    i.add_argument("--quality", action="store_true", help="keep duplicate and null counters from batch to batch")
+    o = sub.add_parser("send", help="write the inspections to be sent since the last send")
+    o.add_argument("--state", required=True)
+    o.add_argument("--out", required=True)
     a = p.parse_args(argv)
     spark = cluster_spark(app=f"culvert-{a.cmd}")
     if a.cmd == "views":
         write_views(spark, a.src, a.out, a.state)
     elif a.cmd == "init":
-        init_from(spark, spark.read.parquet(a.stg), spark.read.parquet(a.queue), spark.read.parquet(a.cr), a.state)
+        init_from(spark, spark.read.parquet(a.stg), spark.read.parquet(a.queue), spark.read.parquet(a.cr), a.state, a.quality)
+    elif a.cmd == "send":
+        send_outbound(spark, a.state, a.out)
     else:
         q = start_sync(spark, a.src, a.feed, a.state, a.checkpoint, a.once, a.max_files,
                        dedupe=a.dedupe, with_backfill=a.backfill)

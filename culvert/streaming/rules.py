@@ -352,7 +352,8 @@ def set_inspection_status(cr: DataFrame, changes: DataFrame) -> DataFrame:
     j = cr.join(k, cr["inspectionid"] == k["__id"], "left")
     hit = F.col("__id").isNotNull() & _was_there(cr)
     outs = {"feed_status": F.when(hit, F.col("__st")).otherwise(F.col("feed_status")),
-            "additional_information": F.when(hit, strip_html(F.col("additional_information"))).otherwise(F.col("additional_information"))}
+            "additional_information": F.when(hit, strip_html(F.col("additional_information"))).otherwise(F.col("additional_information")),
+            "__status_seq": F.when(hit, F.col("__at")).otherwise(F.col("__status_seq")) if "__status_seq" in cr.columns else None}
     return j.select(*[(outs[c] if c in outs else F.col(c)).alias(c) for c in cr.columns])
 
 

@@ -4,9 +4,10 @@
 frontier of the feed, and for every table the parts it consists of:
 
   stg, queue   hash buckets of the work order; a bucket is in the part of the version that last rewrote it
-  cr           inspection rows in parts that are only appended
+  cr           inspection rows in parts that are only appended, laid out by whether they are to be sent (``outbound``)
   changes, sids  status changes and vendor ids since, one part a batch; readers merge the last ones into ``cr``
   held         feed events that wait for earlier files
+  keys         how often each key of staging and queue occurs, in hash buckets of the key (``watch``), if the state keeps them
 
 Parts lie in ``state/data/<table>/v=<n>/``. A batch rewrites the buckets it touches and appends inspections and changes; after
 ``COMPACT`` parts of changes the inspections are written anew, merged. What no kept version lists any more is deleted.
@@ -31,18 +32,21 @@ KEEP_VERSIONS = 3
 #: Added to the number of a part of merged inspections, so that it is not one of the parts it is made from.
 MERGED = 1 << 40
 SEQ = "__seq"
+#: The ``seq`` that gave an inspection row its status (null: it was there at the start).
+STATUS_SEQ = "__status_seq"
 
 _SCHEMA = {
-    "stg": WOT_STG_SCHEMA, "queue": WOT_STG1_SCHEMA, "cr": f"{CR_INSPECT_SCHEMA}, {SEQ} long",
+    "stg": WOT_STG_SCHEMA, "queue": WOT_STG1_SCHEMA, "cr": f"{CR_INSPECT_SCHEMA}, {SEQ} long, {STATUS_SEQ} long, outbound int",
     "changes": "inspectionid string, feed_status string, seq long", "sids": "workorder string, inspection_sid string, seq long",
+    "keys": "table_name string, key string, n long",
     "held": StructType([*FEED_SCHEMA.fields, StructField(io.FILE, StringType())]),
 }
-BUCKETED, PARTS = ("stg", "queue"), ("cr", "changes", "sids", "held")
+BUCKETED, PARTS = ("stg", "queue", "keys"), ("cr", "changes", "sids", "held")
 
 
 def bucket(table: str, n: int) -> Column:
-    """The bucket of a staging or queue row. Staging rows without a work order are spread by their task."""
-    key = F.coalesce("workorder_uuid", "task_uuid") if table == "stg" else F.col("task_uuid")
+    """The bucket of a staging, queue or key row. Staging rows without a work order are spread by their task."""
+    key = {"stg": F.coalesce("workorder_uuid", "task_uuid"), "queue": F.col("task_uuid"), "keys": F.col("key")}[table]
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
 
@@ -69,7 +73,7 @@ def last_version(spark: SparkSession, state_dir: str, before: int | None = None)
 def read(spark: SparkSession, state_dir: str, note: dict, table: str, only: set[int] | None = None) -> DataFrame:
     """A table of a version as its parts hold it (``only`` these buckets)."""
     if table in BUCKETED:
-        paths = [os.path.join(_part(state_dir, table, v), f"bucket={b}") for b, v in note[table].items() if only is None or int(b) in only]
+        paths = [os.path.join(_part(state_dir, table, v), f"bucket={b}") for b, v in note.get(table, {}).items() if only is None or int(b) in only]
     else:
         paths = [_part(state_dir, table, v) for v in note[table]]
     if not paths:
@@ -77,9 +81,9 @@ def read(spark: SparkSession, state_dir: str, note: dict, table: str, only: set[
     return spark.read.schema(_SCHEMA[table]).parquet(*paths)
 
 
-def inspections(spark: SparkSession, state_dir: str, note: dict) -> DataFrame:
-    """The inspection rows of a version with ``__seq``: appended rows, with the changes since merged in."""
-    cr = read(spark, state_dir, note, "cr")
+def _merged(spark: SparkSession, state_dir: str, note: dict, cr: DataFrame) -> DataFrame:
+    """Stored inspection rows with the changes since merged in."""
+    cr = cr.drop("outbound")
     if note["changes"]:
         cr = R.set_inspection_status(cr, read(spark, state_dir, note, "changes"))
     if note["sids"]:
@@ -87,6 +91,37 @@ def inspections(spark: SparkSession, state_dir: str, note: dict) -> DataFrame:
     return cr
 
 
+def inspections(spark: SparkSession, state_dir: str, note: dict) -> DataFrame:
+    """The inspection rows of a version with ``__seq`` and ``__status_seq``."""
+    return _merged(spark, state_dir, note, read(spark, state_dir, note, "cr"))
+
+
+def to_send(spark: SparkSession, state_dir: str, note: dict, after: int | None = None) -> DataFrame:
+    """The inspection rows of a version whose status is NEW (those that a ``seq`` beyond ``after`` set to it).
+
+    Rows written as NEW are one folder of each part, so others are not read, unless upstream has set some back to NEW
+    since the parts were merged: those are looked up by their ids."""
+    cr = read(spark, state_dir, note, "cr")
+    fresh, newer = F.col("outbound") == 1, F.lit(True) if after is None else F.col(STATUS_SEQ) > after
+    rows = cr.where(fresh & newer)
+    if note["changes"]:
+        last = R.last_per_key(read(spark, state_dir, note, "changes"), "inspectionid", "seq", ["feed_status"])
+        back = last.where(F.col("feed_status") == "NEW")
+        back = back if after is None else back.where(F.col("seq") > after)
+        if not back.isEmpty():
+            rest = cr.where(~(fresh & F.coalesce(newer, F.lit(False))))
+            rows = rows.unionByName(rest.join(back.select("inspectionid"), "inspectionid", "left_semi"))
+    rows = _merged(spark, state_dir, note, rows).where(F.col("feed_status") == "NEW")
+    return rows if after is None else rows.where(F.col(STATUS_SEQ) > after)
+
+
+def write_inspections(df: DataFrame, state_dir: str, version: int) -> list[int]:
+    """Write inspection rows (with ``__seq``; ``__status_seq`` is ``__seq`` where it is missing) as a part."""
+    since = F.col(STATUS_SEQ if STATUS_SEQ in df.columns else SEQ)
+    outbound = F.coalesce(F.col("feed_status") == "NEW", F.lit(False)).cast("int").alias("outbound")
+    return write_part(df.select(*CR_INSPECT_COLUMNS, SEQ, since.alias(STATUS_SEQ), outbound), state_dir, "cr", version, ["outbound"])
+
+
 def write_buckets(df: DataFrame, state_dir: str, table: str, version: int, note: dict, touched: set[int]) -> dict[str, int]:
     """Rewrite the touched buckets with ``df``; the buckets of the table in the new version."""
     spark = df.sparkSession
@@ -99,11 +134,11 @@ def write_buckets(df: DataFrame, state_dir: str, table: str, version: int, note:
     return kept
 
 
-def write_part(df: DataFrame, state_dir: str, table: str, version: int) -> list[int]:
+def write_part(df: DataFrame, state_dir: str, table: str, version: int, by: list[str] | None = None) -> list[int]:
     """Write a part; no part if there are no rows."""
     if df.isEmpty():
         return []
-    df.write.mode("overwrite").parquet(_part(state_dir, table, version))
+    df.write.mode("overwrite").partitionBy(*by or []).parquet(_part(state_dir, table, version))
     return [version]
 
 
@@ -115,7 +150,7 @@ def forget(spark: SparkSession, state_dir: str, version: int, tables: dict[str,
 
 
 def _places(state_dir: str, note: dict) -> set[str]:
-    of_buckets = {os.path.join(_part(state_dir, t, v), f"bucket={b}") for t in BUCKETED for b, v in note[t].items()}
+    of_buckets = {os.path.join(_part(state_dir, t, v), f"bucket={b}") for t in BUCKETED for b, v in note.get(t, {}).items()}
     return of_buckets | {_part(state_dir, t, v) for t in PARTS for v in note[t]}
 
 
@@ -132,12 +167,16 @@ def commit(spark: SparkSession, state_dir: str, version: int, note: dict) -> Non
                 io.delete(spark, path)
 
 
-def init(state_dir: str, state: dict[str, DataFrame], buckets: int) -> None:
+def init(state_dir: str, state: dict[str, DataFrame], buckets: int, quality: bool = False) -> None:
     """Version 0, with all rows."""
     spark = state["stg"].sparkSession
-    note: dict = {"query": None, "batch": -1, "frontier": None, "buckets": buckets, "changes": [], "sids": [], "held": []}
+    note: dict = {"query": None, "batch": -1, "frontier": None, "seq": -1, "buckets": buckets, "keys": {}, "nulls": None, "changes": [], "sids": [], "held": []}
     every = set(range(buckets))
     for t, columns in (("stg", R.STG_COLUMNS), ("queue", R.QUEUE_COLUMNS)):
         note[t] = write_buckets(state[t].select(*columns), state_dir, t, 0, note, every)
-    note["cr"] = write_part(state["cr"].select(*CR_INSPECT_COLUMNS, F.lit(None).cast("long").alias(SEQ)), state_dir, "cr", 0)
+    note["cr"] = write_inspections(state["cr"].select(*CR_INSPECT_COLUMNS, F.lit(None).cast("long").alias(SEQ)), state_dir, 0)
+    if quality:
+        from . import watch
+        before = {**note, "stg": {}, "queue": {}, "nulls": {}}
+        note |= watch.update(spark, state_dir, 0, before, note, dict.fromkeys(watch.KEYS, every))
     commit(spark, state_dir, 0, note)

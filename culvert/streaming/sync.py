@@ -12,6 +12,7 @@ early are held back (``intake``). Sources are read for each batch, so rows writt
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable
 from urllib.parse import quote
@@ -19,11 +20,12 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.outbound import extract_to_send
 from ..session import checkpoint_dir, materialise
 from ..sources import io
 from ..sources.lookups import Lookup
 from ..sources.schemas import CR_INSPECT_COLUMNS
-from . import intake
+from . import intake, watch
 from . import rules as R
 from . import state as S
 
@@ -33,12 +35,13 @@ QUARANTINE_TABLES = ("quarantine_ids", "quarantine_queue")
 Sources = dict[str, DataFrame] | Callable[[SparkSession], dict[str, DataFrame]]
 
 
-def init_state(state_dir: str, state: dict[str, DataFrame], buckets: int = S.BUCKETS) -> None:
-    """Write version 0. An existing state is never replaced: that is an error."""
+def init_state(state_dir: str, state: dict[str, DataFrame], buckets: int = S.BUCKETS, quality: bool = False) -> None:
+    """Write version 0. An existing state is never replaced: that is an error. With ``quality`` the state keeps the
+    counters of ``watch`` from batch to batch."""
     spark = state["stg"].sparkSession
     if io.committed_versions(spark, state_dir):
         raise ValueError(f"{state_dir} already holds a state")
-    S.init(state_dir, state, buckets)
+    S.init(state_dir, state, buckets, quality)
 
 
 def read_state(spark: SparkSession, state_dir: str, before: int | None = None) -> dict[str, DataFrame]:
@@ -48,6 +51,28 @@ def read_state(spark: SparkSession, state_dir: str, before: int | None = None) -
             "cr": S.inspections(spark, state_dir, note).select(*CR_INSPECT_COLUMNS)}
 
 
+def read_outbound(spark: SparkSession, state_dir: str, after: int | None = None) -> tuple[DataFrame, int]:
+    """(the outbound extract of the last version, a cursor). With the cursor of an earlier call as ``after``, only the rows that
+    events since then inserted as NEW or set to NEW; a row that left NEW before it was read is not among them."""
+    _, note = S.last_version(spark, state_dir)
+    return extract_to_send(S.to_send(spark, state_dir, note, after)), note["seq"]
+
+
+def send_outbound(spark: SparkSession, state_dir: str, out_dir: str) -> int | None:
+    """Write what is to be sent since the last time as the next version of ``out_dir``, whose marker keeps the cursor; the number
+    of the version, or None if there is nothing. A send that did not reach its marker is done again."""
+    sent = io.committed_versions(spark, out_dir)
+    after = json.loads(io.marker(spark, io.version_path(out_dir, sent[-1])))["seq"] if sent else None
+    rows, cursor = read_outbound(spark, state_dir, after)
+    if cursor == after:
+        return None
+    version = sent[-1] + 1 if sent else 0
+    path = io.version_path(out_dir, version)
+    rows.write.mode("overwrite").parquet(path)
+    io.mark(spark, path, json.dumps({"seq": cursor}))
+    return version
+
+
 def read_held(spark: SparkSession, state_dir: str) -> DataFrame:
     """Feed events that wait for files before theirs."""
     return S.read(spark, state_dir, S.last_version(spark, state_dir)[1], "held")
@@ -81,14 +106,16 @@ def _apply(spark: SparkSession, state_dir: str, version: int, note: dict, feed:
     out = R.apply_prepared(S.read(spark, state_dir, note, "stg", wos | lost), S.read(spark, state_dir, note, "queue", wos), got)
     tables = {"stg": S.write_buckets(out["stg"], state_dir, "stg", version, note, wos | lost),
               "queue": S.write_buckets(out["queue"], state_dir, "queue", version, note, wos),
-              "cr": note["cr"] + S.write_part(got["new_cr"].select(*CR_INSPECT_COLUMNS, S.SEQ), state_dir, "cr", version)}
+              "cr": note["cr"] + S.write_inspections(got["new_cr"], state_dir, version)}
+    if note.get("nulls") is not None:
+        tables |= watch.update(spark, state_dir, version, note, tables, {"stg": wos | lost, "queue": wos})
     changes = R.last_per_key(got["changed"].where(F.col("inspectionid").isNotNull()), "inspectionid", "seq", ["feed_status"])
     tables["changes"] = note["changes"] + S.write_part(changes.select("inspectionid", "feed_status", "seq"), state_dir, "changes", version)
     sids = R.feed_part(feed, "vendor", ["workorder", "inspection_sid"]).where(F.col("workorder").isNotNull())
     sids = R.last_per_key(sids, "workorder", "seq", ["inspection_sid"]).select("workorder", "inspection_sid", "seq")
     tables["sids"] = note["sids"] + (S.write_part(sids, state_dir, "sids", version) if with_backfill else [])
     if len(tables["changes"]) + len(tables["sids"]) > S.COMPACT:
-        merged = S.write_part(S.inspections(spark, state_dir, tables), state_dir, "cr", version + S.MERGED)
+        merged = S.write_inspections(S.inspections(spark, state_dir, tables), state_dir, version + S.MERGED)
         S.forget(spark, state_dir, version, {t: tables[t] for t in ("cr", "changes", "sids")})  # what this batch wrote is merged, too
         tables |= {"cr": merged, "changes": [], "sids": []}
     return tables, out
@@ -118,7 +145,7 @@ def make_batch_fn(state_dir: str, src: Sources, lookups: dict[str, Lookup],
         next_["held"] = S.write_part(held, state_dir, "held", version + 1) if held is not None else []
         if not ready.isEmpty():
             tables, out = _apply(spark, state_dir, version + 1, note, ready, src(spark) if callable(src) else src, lookups, dedupe, with_backfill)
-            next_ |= tables
+            next_ |= tables | {"seq": max(note["seq"], ready.agg(F.max("seq")).first()[0])}
             for t in QUARANTINE_TABLES:
                 out[t].write.mode("overwrite").parquet(os.path.join(_quarantine_path(state_dir, t, stream), f"batch={batch_id}"))
         S.commit(spark, state_dir, version + 1, next_)

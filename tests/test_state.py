@@ -15,7 +15,10 @@ from culvert.sources.schemas import CR_INSPECT_SCHEMA, FEED_SCHEMA, SOURCE_SCHEM
 from culvert.streaming import intake
 from culvert.streaming import rules as R
 from culvert.streaming import state as S
-from culvert.streaming.sync import init_state, make_batch_fn, read_held, read_state, stream_sync
+from culvert.plans.outbound import OUTBOUND_COLUMNS, extract_to_send
+from culvert.operators import quality as Q
+from culvert.streaming import watch
+from culvert.streaming.sync import init_state, make_batch_fn, read_held, read_outbound, read_state, send_outbound, stream_sync
 
 FIELDS = [f.name for f in FEED_SCHEMA.fields]
 
@@ -177,3 +180,66 @@ def test_a_status_change_meets_only_rows_that_were_there(spark):
     changes = spark.createDataFrame([("a", "X", 2), ("a", "Y", 3)], "inspectionid string, feed_status string, seq long")
     got = {(r["inspectionid"], r["__seq"]): r["feed_status"] for r in R.set_inspection_status(cr, changes).collect()}
     assert got == {("a", 5): "NEW", ("a", 1): "Y", ("a", None): "Y", ("b", 1): "NEW"}
+
+
+def _batches(n):
+    """Events of a batch each, among them status changes of stored inspections and rows without a date."""
+    for k in range(n):
+        rows = [e | {"seq": 1000 * k + e["seq"]} for e in feed_rows(10, [3 + k, 4], k)]
+        yield rows + [{"seq": 1000 * k + 500 + j, "source": "inspection", "inspectionid": h(20 + k + j), "project_sid": h(4), "work_order_uuid": h(10_001), "feed_status": "NEW" if j else "DONE"} for j in range(3)]
+
+
+def test_outbound_by_cursor(spark, folder, sources, monkeypatch):
+    monkeypatch.setattr(S, "COMPACT", 1)  # merged in the second batch
+    state_dir, out_dir = os.path.join(folder, "state"), os.path.join(folder, "out")
+    state = stored(spark, 60)
+    init_state(state_dir, state | {"cr": state["cr"].withColumn("feed_status", F.when(F.col("workorder").endswith("1"), "NEW").otherwise(F.col("feed_status")))}, buckets=4)
+    assert send_outbound(spark, state_dir, out_dir) == 0 and send_outbound(spark, state_dir, out_dir) is None
+    assert spark.read.parquet(io.version_path(out_dir, 0)).count() == read_state(spark, state_dir)["cr"].where("feed_status = 'NEW'").count() > 0
+    apply = make_batch_fn(state_dir, *sources, query="q")
+    for k, rows in enumerate(_batches(2)):
+        before, cursor = S.last_version(spark, state_dir)[1]["seq"], read_outbound(spark, state_dir)[1]
+        assert before == cursor
+        apply(events_frame(spark, rows), k)
+        now = read_state(spark, state_dir)["cr"]
+        assert text(read_outbound(spark, state_dir)[0]) == text(extract_to_send(now))
+        # since the cursor: the rows whose last status of this batch is NEW
+        last = {e["inspectionid"]: e["feed_status"] for e in rows if e["source"] == "inspection"}
+        want = sorted(r["inspectionid"] for r in now.select("inspectionid").collect() if last.get(r["inspectionid"]) == "NEW")
+        assert send_outbound(spark, state_dir, out_dir) == k + 1
+        got = spark.read.parquet(io.version_path(out_dir, k + 1))
+        assert got.columns == OUTBOUND_COLUMNS and sorted(r["inspectionid"] for r in got.collect()) == want
+
+
+def test_outbound_reads_only_the_folder_of_rows_to_send(spark, folder, sources):
+    init_state(folder, stored(spark, 20), buckets=2)
+    _, note = S.last_version(spark, folder)
+    scan = [x for x in S.to_send(spark, folder, note, 7)._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert len(scan) == 1
+    assert "PartitionFilters: [isnotnull(outbound" in scan[0] and "GreaterThan(__status_seq,7)" in scan[0]
+
+
+def test_kept_counters_equal_the_reports_of_the_whole_state(spark, folder, sources, monkeypatch):
+    state = stored(spark, 60)
+    twice = state["stg"].where("plndcompdate_dttm is null").limit(3)
+    state["stg"] = state["stg"].unionByName(twice).unionByName(twice.limit(1).withColumn("workorder_uuid", F.lit(h(99))))
+    init_state(folder, state, buckets=16, quality=True)
+    apply = make_batch_fn(folder, *sources, query="q")
+    read, seen = S.read, []
+    monkeypatch.setattr(watch.S, "read", lambda spark, d, note, t, only=None: seen.append((t, only)) or read(spark, d, note, t, only))
+    for k, rows in enumerate([None, *_batches(2)]):
+        if rows:
+            seen.clear()
+            apply(events_frame(spark, rows), k)
+            assert all(only is not None and len(only) < 16 for t, only in seen if t in ("stg", "queue"))
+        now = read_state(spark, folder)
+        want = Q.duplicate_keys(now["stg"], ["task_uuid"]).withColumn("t", F.lit("stg")).unionByName(Q.duplicate_keys(now["queue"], ["task_uuid"]).withColumn("t", F.lit("queue")))
+        assert sorted(map(tuple, watch.kept_duplicates(spark, folder).collect())) == sorted((r["t"], r["key"], r["n"]) for r in want.collect()) != []
+        nulls = Q.null_violations(now["stg"], watch.REQUIRED["stg"], "stg").unionByName(Q.null_violations(now["queue"], watch.REQUIRED["queue"], "queue"))
+        assert sorted(map(tuple, watch.kept_nulls(spark, folder).collect())) == sorted(map(tuple, nulls.collect()))
+
+
+def test_a_state_without_counters_has_no_kept_report(spark, folder):
+    init_state(folder, stored(spark, 4), buckets=2)
+    with pytest.raises(ValueError):
+        watch.kept_nulls(spark, folder)
