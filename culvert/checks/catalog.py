@@ -29,7 +29,7 @@ from ..sources import fixtures as FX
 from ..sources.lookups import all_lookups
 from ..sources.schemas import CR_INSPECT_COLUMNS, CR_INSPECT_SCHEMA, SOURCE_NAMES
 from ..streaming import rules as R
-from ..streaming.sync import init_state, read_state, stream_sync
+from ..streaming.sync import init_state, make_batch_fn, read_outbound, read_state, stream_sync
 
 
 class Ctx:
@@ -164,6 +164,20 @@ def feed_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, state_dir)["stg"]
 
 
+@_q
+def outbound_since(c: Ctx):
+    """What is to be sent after the first half of the history feed was sent: two batches, the extract beyond the first one's cursor."""
+    base = os.path.join(checkpoint_dir(c.spark), f"outbound-{uuid.uuid4().hex}")
+    init_state(base, {"stg": c.stg, "queue": c.queue, "cr": c.empty_cr()})
+    apply = make_batch_fn(base, c.src, c.lk, query="outbound")
+    feed = c.feed.where(F.col("source") == "history")
+    half = (feed.agg(F.max("seq")).first()[0] or 0) // 2
+    apply(feed.where(F.col("seq") <= half), 0)
+    cursor = read_outbound(c.spark, base)[1]
+    apply(feed.where(F.col("seq") > half), 1)
+    return read_outbound(c.spark, base, cursor)[0]
+
+
 @_q
 def view_outbound(c: Ctx):
     register_views(c.spark, c.src, c.collected().select(*CR_INSPECT_COLUMNS))
@@ -559,7 +573,7 @@ def default_task_uuid(c: Ctx):
 QUERIES = {
     "src_scan_counts": src_scan_counts, "lookup_mh_use": lookup_mh_use, "lookup_shape": lookup_shape,
     "lookup_material": lookup_material, "lookup_wall": lookup_wall, "lookup_listing": lookup_listing,
-    "view_registered": view_registered, "outbound_extract": outbound_extract,
+    "view_registered": view_registered, "outbound_extract": outbound_extract, "outbound_since": outbound_since,
     "feed_stream_replay": feed_stream_replay,
     "layout_cast": layout_cast, "classify_kinds": classify_kinds, "access_type": access_type,
     "pick_by_kind": pick_by_kind, "wall_bench_channel": wall_bench_channel, "segment_refs": segment_refs,

@@ -234,14 +234,16 @@ FROM (SELECT material AS raw FROM epdrpipe UNION ALL SELECT pipetype FROM epdrse
 LEFT JOIN lk_material m ON upper(trim(m.src_text)) = upper(trim(r.raw))
 GROUP BY 1, 2 ORDER BY 1 NULLS LAST, 2 NULLS LAST""")
     o["view_registered"] = _u("SELECT inspection_type, count(*) AS n FROM unified GROUP BY inspection_type")
-    o["outbound_extract"] = _u("""
+    outbound = """
 SELECT inspection_type, pip_type, work_order_uuid AS project_sid, inspectionid, workorder, project, po_number,
   additional_information AS additional_info, pipe_segment_reference, lateral_segment_reference, manhole_number,
   material, pipe_use, cover_shape, upstream_mh, downstream_mh, facility_type, facility_id, facilityoi, shape,
   access_type, mh_use, wall_material, bench_material, channel_material, wall_bysize, wall_depth, elevation,
   frame_material, height, up_elevation, up_grade_to_invert, down_elevation, down_grade_to_invert, street,
   'Edmonton' AS city, total_length, year_constructed, size, drainage_area, feed_status
-FROM crn WHERE feed_status = 'NEW'""", COLLECT_CTES)
+FROM crn WHERE feed_status = 'NEW'"""
+    o["outbound_extract"] = _u(outbound, COLLECT_CTES)
+    o["outbound_since"] = _u(f"{outbound} AND hseq > (SELECT max(seq) // 2 FROM feed_history)", COLLECT_CTES)
     o["layout_cast"] = _u("""
 SELECT inspection_type, count(*) AS n, max(length(work_order_task_title)) AS max_title_len,
   count(pip_type) AS n_pip_type, count(access_type) AS n_access_type, count(shape) AS n_shape,

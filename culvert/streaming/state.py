@@ -78,6 +78,9 @@ def read(spark: SparkSession, state_dir: str, note: dict, table: str, only: set[
         paths = [_part(state_dir, table, v) for v in note[table]]
     if not paths:
         return spark.createDataFrame([], _SCHEMA[table])
+    if table == "cr":  # its parts are laid out by folders, below the version's
+        base = os.path.dirname(paths[0])
+        return spark.read.option("basePath", base).schema(f"{_SCHEMA[table]}, v long").parquet(*paths).drop("v")
     return spark.read.schema(_SCHEMA[table]).parquet(*paths)
 
 

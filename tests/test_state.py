@@ -211,6 +211,24 @@ def test_outbound_by_cursor(spark, folder, sources, monkeypatch):
         assert got.columns == OUTBOUND_COLUMNS and sorted(r["inspectionid"] for r in got.collect()) == want
 
 
+def test_outbound_of_several_parts(spark, folder):
+    init_state(folder, stored(spark, 6), buckets=2)
+    _, note = S.last_version(spark, folder)
+    cr = spark.createDataFrame([], CR_INSPECT_SCHEMA)
+    for v, rows in enumerate([[("a", "NEW", 5), ("b", "SENT", 6)], [("c", "NEW", 9), ("d", "", 9), ("e", None, 9)]], 1):
+        new = spark.createDataFrame(rows, "inspectionid string, feed_status string, __seq long")
+        note["cr"] += S.write_inspections(cr.unionByName(new, allowMissingColumns=True), folder, v)
+    changes = spark.createDataFrame([("b", "NEW", 10), ("c", "DONE", 11), ("e", "NEW", 2), (h(0), "NEW", 7)], "inspectionid string, feed_status string, seq long")
+    plain = {None: ["a", "c"], 5: ["c"]}
+    merged = {None: [h(0), "a", "b"], 5: [h(0), "b"], 7: ["b"], 10: []}
+    for parts, want in (([], plain), (S.write_part(changes, folder, "changes", 3), merged)):
+        note["changes"] = parts
+        for after, ids in want.items():
+            assert sorted(r["inspectionid"] for r in S.to_send(spark, folder, note, after).collect()) == ids
+    got = {r["inspectionid"]: r["feed_status"] for r in S.inspections(spark, folder, note).where("length(inspectionid) = 1").collect()}
+    assert got == {"a": "NEW", "b": "NEW", "c": "DONE", "d": "", "e": None}
+
+
 def test_outbound_reads_only_the_folder_of_rows_to_send(spark, folder, sources):
     init_state(folder, stored(spark, 20), buckets=2)
     _, note = S.last_version(spark, folder)
