@@ -1,17 +1,19 @@
 """Mixture-controlled packing of token sequences by deficit round-robin over source queues.
 
-Documents are tokenised, ended by the end id, and queued by source. Every window of ``WINDOW`` tokens gives each source
-a quantum in proportion to its target share; a source is served while it has credit, what it could not use (or took
-beyond it) is carried to the next window, and when only sources without credit have tokens the one owed most goes on,
-so no window waits. Rows are dealt to partitions by a hash, and the credit that each partition starts with comes from
-the source totals of the partitions before it, so shares are steered over the whole table, not per partition.
+Documents are tokenised once, ended by the end id, stored with a number of their own, and queued by source. Every window of
+``WINDOW`` tokens gives each source a quantum in proportion to its target share; a source is served while it has credit, what
+it could not use (or took beyond it) is carried to the next window, and when only sources without credit have tokens the one
+owed most goes on, so no window waits. Rows are dealt to parts by a hash of their number, so equal rows spread. The credit
+that a part starts with is its share of all tokens before it less the source's own tokens before it, counted exactly over all
+parts and for every source, so shares are steered over the whole table, not per part. Nothing is left out, so a target above
+what a source has can only bring its tokens forward.
 
-Windows are cut into sequences of 2048 tokens. What remains at the end of a partition is cut into powers of two, which
-need no padding. The target shares default to the table's own (by text bytes).
+Windows are cut into sequences of 2048 tokens. What remains at the end of a part is cut into powers of two, which
+need no padding. The target shares default to the table's own, by tokens.
 
 Defined cases: null text is empty (its document is the end id alone); a null source is a source of its own; equal rows are
 packed each; a document of any length is cut at window ends; an empty table gives no rows; other columns are not read.
-Memory is bounded by one partition's tokens (``PARTITION_BYTES`` of text on average) or one document.
+Memory is bounded by one part's tokens (``PART_TOKENS`` on average) or one document.
 """
 
 from __future__ import annotations
@@ -32,13 +34,12 @@ from culvert.llm.textnum import buffer, mix, prefix, span
 SEQUENCE = 2048
 WINDOW = 16 * SEQUENCE
 END = 1
-PARTITION_BYTES = 8 << 20
-#: Sources with a target share of their own, the largest ones; the others are packed too, without a share.
-QUEUES = 1024
-#: Credit is carried along chains of so many partitions.
-CHAIN = 256
-#: Turns bytes owed into tokens owed.
-BYTES_PER_TOKEN = 2.5
+#: Tokens of a part on average.
+PART_TOKENS = 3 << 20
+#: Shuffle partitions at most; a task takes its parts one after another.
+TASKS = 1 << 15
+#: Children of a node in the tree over the parts that gives the sums before each.
+FAN = 256
 #: Encoded cuts kept by a worker.
 CACHE = 2_000_000
 
@@ -168,7 +169,7 @@ class Tokens:
 _tokens: dict[tuple[str, bool], Tokens] = {}
 
 
-def tokens(path: str, plain: bool = True) -> Tokens:
+def tokens(path: str, plain: bool = False) -> Tokens:
     """The tokeniser of a file, kept by the worker; ``plain`` takes added tokens inside texts as plain text."""
     if (path, plain) not in _tokens:
         _tokens[path, plain] = Tokens(path, plain)
@@ -185,9 +186,8 @@ def windows(docs: list[tuple[object, object, np.ndarray]], share: dict, credit:
     order = sorted(queues, key=lambda s: (s is not None, str(s)))
     while any(queues.values()):
         room, window = WINDOW, []
-        for s in share:
-            # a source that has nothing here is not owed more than a few windows of the whole stream
-            credit[s] = min(credit.get(s, 0.0) + share[s] * WINDOW, 4.0 * WINDOW)
+        for s in order:
+            credit[s] = credit.get(s, 0.0) + share.get(s, 0.0) * WINDOW
 
         def serve(s, most):
             nonlocal room
@@ -230,33 +230,86 @@ def sequences(pieces_by_window, total: int):
                     seq, offset = seq + 1, 0
 
 
+def _planes(ids: np.ndarray) -> bytes:
+    """Ids as all their lowest bytes, then all the next ones, and so on, which codecs pack well."""
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _ids(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _encoded(docs: DataFrame, tokenizer: str, text: str, source: str, plain: bool) -> DataFrame:
+    """(doc_id, source, number, n, ids) of every row."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("number"),
+    )
+
+    def run(batches):
+        tok = tokens(tokenizer, plain)
+        for batch in batches:
+            for part in slices(batch, 2):
+                ids = tok.encode(part.column(2))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), part.column(3), pa.array([len(x) for x in ids], pa.int64()), pa.array([_planes(x) for x in ids], pa.binary())],
+                    ["doc_id", "source", "number", "n", "ids"],
+                )
+
+    return rows.mapInArrow(run, "doc_id long, source string, number long, n long, ids binary")
+
+
+def before(counts: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """(keys, part, before): the sum of ``n`` over all smaller parts with the same keys, for the pairs that ``counts`` has.
+
+    A part is a leaf of a tree with ``FAN`` children a node; what lies before it are the earlier siblings of each of its
+    ancestors, so no task holds more than ``FAN`` rows of a key."""
+    counts = counts.groupBy(*keys, "part").agg(F.sum("n").alias("n"))
+    out, width = counts.select(*keys, "part", F.lit(0).cast("long").alias("before")), 1
+    while width < parts:
+        nodes = counts.groupBy(*keys, F.expr(f"part div {width}").alias("node")).agg(F.sum("n").alias("n"))
+        earlier = Window.partitionBy(*keys, F.expr(f"node div {FAN}")).orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+        nodes = nodes.select(*(F.col(k).alias(f"_{k}") for k in keys), "node", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
+        same = F.expr(f"part div {width}") == F.col("node")
+        for k in keys:
+            same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+        out = out.join(nodes, same).select(*keys, "part", (F.col("before") + F.col("earlier")).alias("before"))
+        width *= FAN
+    return out
+
+
+def targets(counts: DataFrame, shares: dict | None) -> DataFrame:
+    """(source, share) of every source: the given shares (0 where none is given), or those of its tokens, with the sum 1."""
+    sums = counts.groupBy("source").agg(F.sum("n").cast("double").alias("share"))
+    if shares is not None:
+        given = counts.sparkSession.createDataFrame([(k, float(v)) for k, v in shares.items()], "_source string, _share double")
+        sums = sums.join(given, F.col("source").eqNullSafe(F.col("_source")), "left").select("source", F.coalesce("_share", F.lit(0.0)).alias("share"))
+    whole = sums.agg(F.sum("share")).first()[0] or 1.0
+    return sums.select("source", (F.col("share") / whole).alias("share"))
+
+
+def owed(counts: DataFrame, parts: int, shares: dict | None) -> DataFrame:
+    """(part, due): for each source of a part its target share and the tokens it is owed at the part's start."""
+    own = before(counts, parts, "source").select("source", "part", F.col("before").alias("own"))
+    whole = before(counts, parts).select("part", F.col("before").alias("whole"))
+    share = targets(counts, shares).select(F.col("source").alias("_source"), "share")
+    due = own.join(whole, "part").join(share, F.col("source").eqNullSafe(F.col("_source")))
+    return due.groupBy("part").agg(F.collect_list(F.struct("source", "share", (F.col("share") * F.col("whole") - F.col("own")).alias("owed"))).alias("due"))
+
+
 def packed(docs: DataFrame, tokenizer: str, shares: dict | None = None, text: str = "text", source: str = "source", plain: bool = False) -> DataFrame:
     """Pieces of all documents; ``shares`` are target token shares by source (default: as in the table). ``plain``: see ``tokens``."""
-    spark = docs.sparkSession
-    ship(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = F.octet_length("text") + 1
-    total = rows.agg(F.sum(size)).first()[0] or 0
-    parts = max(1, -(-total // PARTITION_BYTES))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", size, F.substring("text", 1, 64)), F.lit(parts)).cast("int"))
-    by_part = stored(rows.groupBy("part", "source").agg(F.sum(size).cast("double").alias("n")), "mixture")
-    sums = by_part.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(QUEUES).collect()
-    share = {r["source"]: r["n"] if shares is None else float(shares.get(r["source"], 0.0)) for r in sums}
-    scale = sum(share.values()) or 1.0
-    share = {s: v / scale for s, v in share.items()}
-    # what came before a partition, in all and of a source, within a chain of partitions
-    chain = F.floor(F.col("part") / CHAIN)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    of_part = by_part.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(before.partitionBy(chain)), F.lit(0.0)).alias("all"))
-    of_source = by_part.select("part", "source", F.coalesce(F.sum("n").over(before.partitionBy("source", chain)), F.lit(0.0)).alias("own"))
-    owed = of_source.join(of_part, "part").groupBy("part").agg(F.collect_list(F.struct("source", "own", "all")).alias("owed"))
-    heads = owed.select("part", F.lit(0).alias("row"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("source"), F.lit("").alias("text"), "owed")
-    body = rows.select("part", F.lit(1).alias("row"), "doc_id", "source", "text", F.lit(None).cast(heads.schema["owed"].dataType).alias("owed"))
-    dealt = body.unionByName(heads).repartition(parts, "part").sortWithinPartitions("part", "row", F.xxhash64("doc_id"), "doc_id", "source", "text")
+    ship(docs.sparkSession)
+    kept = stored(_encoded(docs, tokenizer, text, source, plain), "tokens")
+    parts = max(1, -(-(kept.agg(F.sum("n")).first()[0] or 0) // PART_TOKENS))
+    rows = kept.withColumn("part", F.pmod(F.xxhash64("number"), F.lit(parts)))
+    counts = stored(rows.groupBy("part", "source").agg(F.sum("n").alias("n")), "mixture")
+    heads = owed(counts, parts, shares).select("part", F.lit(0).alias("row"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("source"), F.lit(b"").alias("ids"), F.lit(-1).cast("long").alias("number"), "due")
+    body = rows.select("part", F.lit(1).alias("row"), "doc_id", "source", "ids", "number", F.lit(None).cast(heads.schema["due"].dataType).alias("due"))
+    dealt = body.unionByName(heads).repartition(min(parts, TASKS), "part").sortWithinPartitions("part", "row", F.xxhash64("number"), "number")
 
     def run(batches):
-        tok = tokens(tokenizer, plain)
-        current, ids, credit = None, [], {}
+        current, ids, share, credit = None, [], {}, {}
 
         def flush():
             doc, start, length, crc, of, seq, off = ([] for _ in range(7))
@@ -268,16 +321,15 @@ def packed(docs: DataFrame, tokenizer: str, shares: dict | None = None, text: st
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, start, length, crc, of, seq, off)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
         for batch in batches:
-            for part in slices(batch, 4):
-                got = tok.encode(part.column(4))
-                for p, r, key, src, x, due in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), got, part.column(5).to_pylist()):
+            for part in slices(batch, 4, 4 << 20):
+                for p, r, key, src, x, due in zip(*(part.column(k).to_pylist() for k in (0, 1, 2, 3, 4, 6))):
                     if p != current:
                         yield from flush()
-                        current, ids, credit = p, [], {}
+                        current, ids, share, credit = p, [], {}, {}
                     if r:
-                        ids.append((key, src, x))
+                        ids.append((key, src, _ids(x)))
                     else:
-                        credit = {d["source"]: max(-4.0 * WINDOW, min(4.0 * WINDOW, (share.get(d["source"], 0.0) * d["all"] - d["own"]) / BYTES_PER_TOKEN)) for d in due}
+                        share, credit = {d["source"]: d["share"] for d in due}, {d["source"]: d["owed"] for d in due}
         yield from flush()
 
     return dealt.mapInArrow(run, OUT)

@@ -56,7 +56,7 @@ def _ids(texts):
 
 def test_tokens_equal_the_library():
     texts = HARD + _random()
-    t = packing.tokens(packing.default_tokenizer())
+    t = packing.tokens(packing.default_tokenizer(), plain=True)
     for _ in range(2):  # the second time from the cache
         assert [x.tolist() for x in t.encode(pa.array(texts))] == _ids(texts)
 
@@ -130,6 +130,66 @@ def test_windows_hold_the_shares_and_lose_nothing():
     assert abs(first["a"] / sum(first.values()) - 0.5) < 0.15
 
 
+def test_every_source_is_owed_its_share_of_all_parts_before(spark):
+    r = random.Random(18)
+    names = [None, *(f"s{i}" for i in range(2999))]
+    counts = Counter()
+    for _ in range(20_000):
+        counts[r.randrange(70_000), r.choice(names) if r.random() < 0.7 else "s7"] += r.randint(1, 10**9)
+    frame = spark.createDataFrame([(p, s, n) for (p, s), n in counts.items()], "part long, source string, n long")
+    for shares in (None, {"s7": 3.0, None: 1.0, "s9": 0.5, "not there": 2.0}):
+        weight = Counter()
+        for (_, s), n in counts.items():
+            weight[s] += n
+        if shares:
+            weight = {s: shares.get(s, 0.0) for s in weight}
+        whole, own, want = 0, Counter(), {}
+        for p, s in sorted(counts, key=lambda k: (k[0], str(k[1]))):
+            want[p, s] = (weight[s] / sum(weight.values()), own[s])
+            own[s] += counts[p, s]
+        ahead = {}
+        totals = Counter()
+        for (p, _), n in counts.items():
+            totals[p] += n
+        whole = 0
+        for p in sorted(totals):
+            ahead[p] = whole
+            whole += totals[p]
+        got = {(x["part"], d["source"]): (d["share"], d["owed"]) for x in packing.owed(frame, 70_000, shares).collect() for d in x["due"]}
+        assert got.keys() == want.keys()
+        for k, (share, mine) in want.items():
+            assert abs(got[k][0] - share) < 1e-12 and abs(got[k][1] - (share * ahead[k[0]] - mine)) < 1e-9 * whole
+
+
+def test_shares_hold_over_all_windows_of_all_parts():
+    r = random.Random(19)
+    weights = [1 / (k + 1) for k in range(300)]
+    parts = [[(i, s, np.zeros(r.randint(1, 3000), np.uint32)) for i, s in enumerate(r.choices(range(300), weights, k=400))] for _ in range(12)]
+    total = Counter()
+    for docs in parts:
+        for _, s, x in docs:
+            total[s] += len(x)
+    whole = sum(total.values())
+    share = {s: n / whole for s, n in total.items()}
+    seen, done, worst = Counter(), 0, 0.0
+    for docs in parts:
+        credit = {s: share[s] * done - seen[s] for s in {s for _, s, _ in docs}}
+        for w in packing.windows(docs, share, credit):
+            for i, _, n in w:
+                seen[docs[i][1]] += n
+                done += n
+            worst = max(worst, *(abs(seen[s] - share[s] * done) for s in share))
+    assert done == whole and seen == total and worst < 0.01 * whole
+
+
+def test_equal_rows_are_dealt_to_many_parts(spark, rows_of, monkeypatch):
+    monkeypatch.setattr(packing, "PART_TOKENS", 500)
+    docs = [(None, "the same text again and again")] * 300 + [(k, "t " * k) for k in range(40)]
+    rows = packing.packed(rows_of(spark, docs), packing.default_tokenizer()).collect()
+    _check(rows, docs)
+    assert len({r["sequence_id"] >> 32 for r in rows if r["doc_id"] is None}) > 3
+
+
 def test_remainders_are_powers_of_two():
     got = list(packing.sequences([[(0, 0, 5000)]], 5000))
     sizes = Counter()
