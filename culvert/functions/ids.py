@@ -9,14 +9,19 @@ from .text import cat, nn
 
 _HEX32 = "^([0-9A-Fa-f]{8})([0-9A-Fa-f]{4})([0-9A-Fa-f]{4})([0-9A-Fa-f]{4})([0-9A-Fa-f]{12})$"
 
+_DASHED = r"^[0-9A-Fa-f]{8}-([0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}\z"
+
 
 def canonical_uuid(c: Column) -> Column:
     """Keep hex digits only; when exactly 32 remain, dash them 8-4-4-4-12; lower-case.
 
     Any other count of hex digits stays bare (lower-cased); nothing left -> null.
+    Ids that are 32 digits, or dashed already, are only matched, not rewritten digit by digit.
     """
     bare = F.regexp_replace(c, "[^0-9A-Fa-f]", "")
-    return nn(F.lower(F.regexp_replace(bare, _HEX32, "$1-$2-$3-$4-$5")))
+    dashed = F.concat_ws("-", *[F.substring(c, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    return (F.when(c.rlike(r"^[0-9A-Fa-f]{32}\z"), F.lower(dashed)).when(c.rlike(_DASHED), F.lower(c))
+            .otherwise(nn(F.lower(F.regexp_replace(bare, _HEX32, "$1-$2-$3-$4-$5")))))
 
 
 def compact_uuid(c: Column) -> Column:

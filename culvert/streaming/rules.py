@@ -256,11 +256,13 @@ def reflag_tasks(stg: DataFrame, cr_rows: DataFrame) -> tuple[DataFrame, DataFra
     # a null id matches no row and raises nothing; only text that is not hex does
     broken = lambda c: F.col(c).isNotNull() & ~F.coalesce(is_valid_hex(F.col(c)), F.lit(False))
     bad = new.where(broken("project_sid") | broken("work_order_uuid"))
-    ok = is_valid_hex(F.col("project_sid")) & is_valid_hex(F.col("work_order_uuid"))
-    keys = (new.where(ok)
-            .select(raw_key(F.col("project_sid")).alias("__t"), raw_key(F.col("work_order_uuid")).alias("__w"),
-                    seqc.alias("__s"))
-            .groupBy("__t", "__w").agg(F.min("__s").alias("__s")))
+    ok = F.coalesce(is_valid_hex(F.col("project_sid")) & is_valid_hex(F.col("work_order_uuid")), F.lit(False))
+    # The check is an aggregate and the keys are never null: a filter on either would be moved below all joins of the view and
+    # work on every row of its sources. Rows of one key are all valid or not, but for null ids, which ``ok`` leaves out.
+    key = lambda c: F.coalesce(raw_key(F.col(c)), F.lit(""))
+    keys = (new.select(key("project_sid").alias("__t"), key("work_order_uuid").alias("__w"), seqc.alias("__s"), ok.alias("__ok"))
+            .groupBy("__t", "__w").agg(F.min(F.when(F.col("__ok"), F.col("__s"))).alias("__s"), F.bool_or("__ok").alias("__ok"))
+            .where("__ok").drop("__ok"))
     j = stg.join(keys, (stg["task_uuid"] == keys["__t"]) & (stg["workorder_uuid"] == keys["__w"]), "left")
     hit = F.col("__t").isNotNull() & null_safe_changed(F.col("feed_status"), F.lit("UPDATED"), STATUS_SENTINEL)
     out = (j.withColumn("__hit", hit)

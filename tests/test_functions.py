@@ -125,3 +125,16 @@ def test_null_safe_changed(spark):
     df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
     got = [r[0] for r in df.select(C.null_safe_changed(F.col("a"), F.col("b"), F.lit(s).cast("timestamp_ntz"))).collect()]
     assert got == [False, False, True, False]
+
+
+def test_canonical_uuid_of_ready_forms(spark):
+    h = "0123456789abcdefABCDEF0123456789"
+    dashed = f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}"
+    odd = [h, h.upper(), dashed, dashed + "\n", h + "\n", h[:31], h + "0", "{" + dashed + "}", "--", "", None, dashed.replace("-", "_"), "Ａ" + h]
+    import re
+
+    def slow(c):
+        bare = None if c is None else re.sub("[^0-9A-Fa-f]", "", c)
+        return bare and re.sub("^(.{8})(.{4})(.{4})(.{4})(.{12})$", r"\1-\2-\3-\4-\5", bare).lower() or None
+    got = [r[0] for r in spark.createDataFrame([(c,) for c in odd], "c string").select(I.canonical_uuid(F.col("c"))).collect()]
+    assert got == [slow(c) for c in odd]

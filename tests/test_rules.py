@@ -175,3 +175,15 @@ def test_old_status_from_previous_event(spark):
     assert got == {1: "NEW", 2: "OTHER", 3: "SENT", 4: None}
     keys = sorted(r.key for r in R.sent_transitions(f, q).collect())
     assert keys == ["w1"]      # w2 was already SENT; w3 is not queued
+
+
+def test_reflag_checks_ids_after_the_joins(spark):
+    stg = stg_rows(spark, [("aa", "bb", D1, "NEW"), ("", "bb", D1, "NEW"), ("zz", "bb", D1, "NEW")])
+    ids = spark.createDataFrame([("AA", 1), ("-", 2), (None, 3), ("ZZ", 4)], "project_sid string, n int")
+    wos = spark.createDataFrame([(n, "BB", n + 10) for n in range(1, 5)], "n int, work_order_uuid string, __seq long")
+    cr = ids.join(wos, "n").withColumn("feed_status", F.lit("NEW"))
+    out, bad = R.reflag_tasks(stg, cr)
+    assert as_map(out.drop(R.CHG_DATE), cols=("feed_status", R.CHG)) == {"aa": ("UPDATED", 11), "": ("UPDATED", 12), "zz": ("NEW", None)}
+    assert [r.project_sid for r in bad.collect()] == ["ZZ"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and ("RLIKE" in line or "upper" in line) for line in plan.split("\n"))
