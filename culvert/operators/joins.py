@@ -74,6 +74,36 @@ def only_keys(df: DataFrame, keys: DataFrame, on: str, key_col: str | None = Non
     return df.join(k, on, "left_semi")
 
 
+#: Bits of the filter that ``split_by_keys`` broadcasts: 2^20 words of 64 bits at most, whatever the number of keys.
+FILTER_BITS = 26
+
+
+def split_by_keys(df: DataFrame, on: str, keys: DataFrame, key_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of df whose ``on`` may be in keys, rows whose ``on`` certainly is not, null ones among them).
+
+    A Bloom filter of one hash, as a table of bit words that is broadcast: a wide table of which a batch touches a small share
+    is cut down where it is scanned, and only that share is shuffled for the exact join that has to follow. Its size is
+    bounded; with more keys it lets more rows through. ``keys`` is read once for each of the two that is used, so it should be stored or cheap."""
+    place = lambda c: F.xxhash64(F.col(c)).bitwiseAND((1 << FILTER_BITS) - 1)
+    bit = lambda c: place(c).bitwiseAND(63).cast("int")
+    words = (keys.where(F.col(key_col).isNotNull()).select(F.shiftright(place(key_col), 6).alias("__word"), bit(key_col).alias("__bit"))
+             .groupBy("__word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__bit"))).alias("__bits")))
+    set_ = F.call_function("shiftright", F.col("__bits"), bit(on)).bitwiseAND(1) == 1
+    known = F.col(on).isNotNull() & F.coalesce(set_, F.lit(False))
+    marked = lambda how: df.join(F.broadcast(words), F.shiftright(place(on), 6) == F.col("__word"), how)
+    return marked("inner").where(known).select(*df.columns), marked("left").where(~known).select(*df.columns)
+
+
+def split_rows(df: DataFrame, on: str, keys: DataFrame, key_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows of df whose ``on`` is in keys, the others in two parts: the second is not shuffled). ``keys`` holds each key once.
+
+    Inner and left joins rather than semi and anti ones, which the optimizer would move below the filter."""
+    near, far = split_by_keys(df, on, keys, key_col)
+    k = keys.select(F.col(key_col).alias("__key")).where(F.col("__key").isNotNull())
+    rest = near.join(k, near[on] == F.col("__key"), "left").where(F.col("__key").isNull())
+    return near.join(k, near[on] == F.col("__key")).select(*df.columns), rest.select(*df.columns), far
+
+
 def update_by_key(state: DataFrame, changes: DataFrame, on: list[tuple[str, str]],
                   set_cols: dict[str, Column], when: Column | None = None,
                   flag: str | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fit
+from ..operators.joins import split_rows
 from ..sources.lookups import Lookup
 from ..sources.schemas import LAYOUT
 from .spine import facility_dim, history_rows, task_dim
@@ -26,12 +27,14 @@ def to_layout(df: DataFrame, carry: list[str] | None = None) -> DataFrame:
 
 def _restrict(src: dict[str, DataFrame], h: DataFrame) -> dict[str, DataFrame]:
     """Sources cut down to what a history slice can reach: tasks and facilities by semi join with the slice's keys,
-    attribute tables by semi join with those facilities. The sizes measured at run time decide how they are joined."""
+    attribute tables by semi join with those facilities. The sizes measured at run time decide how they are joined.
+    Tasks, by far the widest rows, are cut down by a filter of the keys before they are shuffled."""
     def semi(name: str, k: DataFrame, col: str) -> DataFrame:
         return src[name].join(k.where(F.col(col).isNotNull()).dropDuplicates(), col, "left_semi")
 
     out = dict(src)
-    out["workordertask"] = semi("workordertask", h.select(F.col("wotask_oi").alias("workordertaskoi")), "workordertaskoi")
+    tasks = h.select(F.col("wotask_oi").alias("workordertaskoi")).dropDuplicates()
+    out["workordertask"] = split_rows(src["workordertask"], "workordertaskoi", tasks, "workordertaskoi")[0]
     fac = semi("epdrdrainfacility", h.select(F.col("epdrfacility_oi").alias("epdrdrainagefacilityoi")), "epdrdrainagefacilityoi")
     out["epdrdrainfacility"] = fac
     for name, col in (("epdrmanhole", "manholeid"), ("epdrcatchbasin", "catchbasinid"),

@@ -28,7 +28,7 @@ from ..functions.codes import null_safe_changed
 from ..functions.ids import canonical_uuid, is_valid_hex, raw_key
 from ..functions.text import nn, strip_html
 from ..operators.changes import changed_keys, first_per_key, last_per_key, previous_value
-from ..operators.joins import delete_by_keys, not_present
+from ..operators.joins import delete_by_keys, not_present, split_by_keys
 from ..plans.inspections import unified_inspections
 from ..session import materialise
 from . import effects
@@ -219,11 +219,11 @@ def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, Data
     when an earlier key (by sequence; one statement's keys in text order) inserts the id it is compared
     with. Returns the rows to append, cleaned, with ``__seq`` (the feed sequence of their key).
     """
-    keys = (hist_feed.where(F.col("history_oi").isNotNull())
-            .groupBy("history_oi").agg(F.min("seq").alias("__seq")))
+    key = "epdrfacilityworkhistoryoi"
+    keys = materialise(hist_feed.where(F.col("history_oi").isNotNull())
+                       .groupBy(F.col("history_oi").alias(key)).agg(F.min("seq").alias("__seq")))
     # the slice restricts every other table, so it is read many times: computed once
-    hist = materialise(src["epdrfacworkhistory"].join(keys.withColumnRenamed("history_oi", "epdrfacilityworkhistoryoi"),
-                                                      "epdrfacilityworkhistoryoi", "inner"))
+    hist = materialise(split_by_keys(src["epdrfacworkhistory"], key, keys, key)[0].join(keys, key, "inner"))
     rows = to_cr_rows(unified_inspections(src, lookups, history=hist, carry=["__seq"]))
     # only the stored ids that the slice can compare with
     hcmp = F.col("uuid") if dedupe == "raw" else canonical_uuid(F.col("uuid"))

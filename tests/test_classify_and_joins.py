@@ -67,3 +67,26 @@ def test_lookup_sizes(spark):
     assert (len(SHAPE_ROWS), len(MATERIAL_ROWS), len(WALL_ROWS), len(MH_USE_ROWS)) == (18, 67, 14, 5)
     assert sum(1 for _, c in WALL_ROWS if c is None) == 5
     assert dict(MATERIAL_ROWS)["WEEPING TILE"] == "PVC"
+
+
+def test_split_by_keys_shuffles_no_wide_row(spark):
+    from culvert.operators.joins import split_by_keys, split_rows
+    rows = [(f"k{i % 400}" if i % 9 else None, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(0, 400, 5)] + [(None,), ("k0",)], "key string")
+    near, far = split_by_keys(df, "k", keys, "key")
+    got_near, got_far = [tuple(r) for r in near.collect()], [tuple(r) for r in far.collect()]
+    wanted = {f"k{i}" for i in range(0, 400, 5)}
+    assert sorted(got_near + got_far, key=str) == sorted(rows, key=str)
+    assert {r for r in rows if r[0] in wanted} <= set(got_near)
+    assert not any(r[0] is None for r in got_near) and len(got_near) < 400
+    for part in (near, far):
+        assert "SortMergeJoin" not in part._jdf.queryExecution().toString()
+    inside, rest, out = split_rows(df, "k", keys.distinct(), "key")
+    assert sorted(tuple(r) for r in inside.collect()) == sorted(r for r in rows if r[0] in wanted)
+    assert sorted([tuple(r) for r in rest.unionByName(out).collect()], key=str) == sorted([r for r in rows if r[0] not in wanted], key=str)
+    # the exact join comes after the filter
+    plan = inside._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("__key") < plan.index("__word") and "LeftSemi" not in plan
+    none = split_by_keys(df, "k", keys.where("key is null"), "key")
+    assert none[0].count() == 0 and none[1].count() == 2000
