@@ -13,16 +13,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fit
 from ..operators.joins import split_rows
 from ..sources.lookups import Lookup
-from ..sources.schemas import LAYOUT
-from .spine import facility_dim, history_rows, task_dim
+from ..sources.schemas import LAYOUT_COLUMNS
+from .spine import facility_dim, facility_rest, history_rows, join_tasks, published, task_rows, unpack_ids
+
+
+#: Columns that get their published width and type here; the others have it from their dimension, before the joins.
+_LATE = {"work_orders_number", "facility_id", "manhole_number", "pipe_segment_reference", "lateral_segment_reference",
+         "work_order_task_uuid", "work_order_uuid", "dr_uuid", "facilityoi", "epdrfacility_oi", "epdrfacilityworkhistoryoi",
+         "createdate_dttm", "lastupdate_dttm"}
 
 
 def to_layout(df: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Typed projection to the 45 columns: width truncation, casts, order."""
-    return df.select(*[fit(F.col(c), n).cast(t).alias(c) for c, t, n in LAYOUT], *(carry or []))
+    return df.select(*[published(F.col(c), c).alias(c) if c in _LATE else F.col(c) for c in LAYOUT_COLUMNS], *(carry or []))
 
 
 def _restrict(src: dict[str, DataFrame], h: DataFrame) -> dict[str, DataFrame]:
@@ -60,7 +65,10 @@ def unified_inspections(src: dict[str, DataFrame], lookups: dict[str, Lookup],
     else:
         h = history_rows(src, carry)
     fac = facility_dim(src, lookups)
-    tasks = task_dim(src)
     j = h.join(fac, h["epdrfacility_oi"] == fac["__fac_key"], "inner")
-    j = j.join(tasks, j["wotask_oi"] == tasks["__task_key"], "inner")
-    return to_layout(j, carry)
+    if history is not None:     # the few tasks of a slice: read once
+        tasks = task_rows(src)
+        j = unpack_ids(facility_rest(j.join(tasks, j["wotask_oi"] == tasks["__task_key"], "inner")), ["work_order_task_uuid"])
+    else:
+        j = join_tasks(j, src, "wotask_oi", between=lambda d: unpack_ids(facility_rest(d), ["work_order_task_uuid"]))
+    return to_layout(unpack_ids(j, ["work_order_uuid", "dr_uuid"]), carry)
