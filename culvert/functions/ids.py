@@ -49,30 +49,6 @@ def hex_raw(c: Column) -> Column:
     return F.try_to_binary(c, F.lit("hex"))
 
 
-#: Spellings of an id of 16 bytes: (mark, bytes of text, pattern, upper case, dashed).
-_SPELLINGS = [(1, 32, r"^[0-9a-f]{32}\z", False, False), (2, 36, r"^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}\z", False, True),
-              (3, 32, r"^[0-9A-F]{32}\z", True, False), (4, 36, r"^[0-9A-F]{8}-([0-9A-F]{4}-){3}[0-9A-F]{12}\z", True, True)]
-
-
-def pack_id(c: Column) -> Column:
-    """Text of an id as binary, for shuffles: a mark and 16 bytes where the text is 32 hex digits of one case, bare or dashed
-    8-4-4-4-12; any other text as a zero byte and its bytes. ``unpack_id`` gives back the same text, whatever it was."""
-    out = F.when(c.isNull(), F.lit(None).cast("binary"))
-    for mark, size, pattern, _, dashed in _SPELLINGS:
-        digits = F.replace(c, F.lit("-"), F.lit("")) if dashed else c
-        out = out.when((F.octet_length(c) == size) & c.rlike(pattern), F.concat(F.lit(bytes([mark])), F.unhex(digits)))
-    return out.otherwise(F.concat(F.lit(bytes(1)), c.cast("binary")))
-
-
-def unpack_id(c: Column) -> Column:
-    """The text that ``pack_id`` was given."""
-    mark, rest = F.substring(c, 1, 1), F.substring(c, 2, 1 << 30)
-    dashed = F.regexp_replace(F.hex(rest), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
-    text = F.when(mark.isin(*[bytes([m]) for m, *_, d in _SPELLINGS if d]), dashed).otherwise(F.hex(rest))
-    return (F.when(mark == F.lit(bytes(1)), rest.cast("string"))
-            .when(mark.isin(*[bytes([m]) for m, _, _, upper, _ in _SPELLINGS if upper]), text).otherwise(F.lower(text)))
-
-
 def strip_prefix(c: Column, prefix: str) -> Column:
     """Remove a leading prefix, case-sensitive ('MH12' -> '12')."""
     return nn(F.regexp_replace(c, "^" + prefix, ""))
