@@ -78,20 +78,32 @@ def only_keys(df: DataFrame, keys: DataFrame, on: str, key_col: str | None = Non
 FILTER_BITS = 26
 
 
+def _marking(df: DataFrame, on: str, keys: DataFrame, key_col: str, how: str) -> tuple[DataFrame, Column]:
+    """(df joined with the words of a Bloom filter of ``keys``, whether ``on`` may be in keys). One hash, as a table of bit words
+    that is broadcast: its size is bounded; with more keys it lets more rows through."""
+    place = lambda c: F.xxhash64(F.col(c)).bitwiseAND((1 << FILTER_BITS) - 1)
+    bit = lambda c: place(c).bitwiseAND(63).cast("int")
+    word, bits = f"__word_{on}", f"__bits_{on}"
+    words = (keys.where(F.col(key_col).isNotNull()).select(F.shiftright(place(key_col), 6).alias(word), bit(key_col).alias("__bit"))
+             .groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__bit"))).alias(bits)))
+    set_ = F.call_function("shiftright", F.col(bits), bit(on)).bitwiseAND(1) == 1
+    return df.join(F.broadcast(words), F.shiftright(place(on), 6) == F.col(word), how), F.col(on).isNotNull() & F.coalesce(set_, F.lit(False))
+
+
+def mark_keys(df: DataFrame, on: str, keys: DataFrame, key_col: str, flag: str) -> DataFrame:
+    """df with column ``flag``: whether ``on`` may be in keys; where it is false, ``on`` certainly is not in keys (or null)."""
+    marked, known = _marking(df, on, keys, key_col, "left")
+    return marked.select(*df.columns, known.alias(flag))
+
+
 def split_by_keys(df: DataFrame, on: str, keys: DataFrame, key_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows of df whose ``on`` may be in keys, rows whose ``on`` certainly is not, null ones among them).
 
-    A Bloom filter of one hash, as a table of bit words that is broadcast: a wide table of which a batch touches a small share
-    is cut down where it is scanned, and only that share is shuffled for the exact join that has to follow. Its size is
-    bounded; with more keys it lets more rows through. ``keys`` is read once for each of the two that is used, so it should be stored or cheap."""
-    place = lambda c: F.xxhash64(F.col(c)).bitwiseAND((1 << FILTER_BITS) - 1)
-    bit = lambda c: place(c).bitwiseAND(63).cast("int")
-    words = (keys.where(F.col(key_col).isNotNull()).select(F.shiftright(place(key_col), 6).alias("__word"), bit(key_col).alias("__bit"))
-             .groupBy("__word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__bit"))).alias("__bits")))
-    set_ = F.call_function("shiftright", F.col("__bits"), bit(on)).bitwiseAND(1) == 1
-    known = F.col(on).isNotNull() & F.coalesce(set_, F.lit(False))
-    marked = lambda how: df.join(F.broadcast(words), F.shiftright(place(on), 6) == F.col("__word"), how)
-    return marked("inner").where(known).select(*df.columns), marked("left").where(~known).select(*df.columns)
+    By a Bloom filter: a wide table of which a batch touches a small share is cut down where it is scanned, and only that share
+    is shuffled for the exact join that has to follow. ``keys`` is read once for each of the two that is used, so it should be stored or cheap."""
+    near, known = _marking(df, on, keys, key_col, "inner")
+    far, known_too = _marking(df, on, keys, key_col, "left")
+    return near.where(known).select(*df.columns), far.where(~known_too).select(*df.columns)
 
 
 def split_rows(df: DataFrame, on: str, keys: DataFrame, key_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,7 +87,63 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Folders of the tables that the innermost ``scratch`` or ``settle`` has materialised.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside are deleted when its execution ends, not at some later collection on the driver.
+    A DataFrame that was run inside has to be built anew to run again."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Computed once, in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Computed once, as a compressed table in the shared checkpoint folder; the shuffles it took are deleted. The table stays
+    until the end of the ``scratch`` or ``settle`` around it; without one, as long as that folder."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"made-{uuid.uuid4().hex}")
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    with tidy(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised inside are deleted at the end, and shuffles as soon as they were used."""
+    made: list[str] = []
+    outer = _MADE.set(made)
+    try:
+        with tidy(spark):
+            yield
+    finally:
+        _MADE.reset(outer)
+        _delete(spark, made)
+
+
+def settle(build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` materialised; the tables materialised on the way to it are deleted."""
+    made: list[str] = []
+    outer = _MADE.set(made)
+    try:
+        df = build()
+    finally:
+        _MADE.reset(outer)
+    out = materialise(df)
+    _delete(df.sparkSession, made)
+    return out

@@ -20,13 +20,15 @@ need an order, which ``scan.along`` takes over range partitions. A work order ma
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import split_by_keys
 from ..operators.scan import along
-from ..session import materialise
+from ..session import materialise, settle
 
 _NO_DATE = _dt.datetime(1900, 1, 1)
 _ROW = ["title", "date", "start", "class", "status"]
@@ -48,27 +50,35 @@ def _stored(stg: DataFrame) -> DataFrame:
                       F.col("feed_status").alias("status"), _date_key("plndcompdate_dttm").alias("s"), F.col("feed_status_dttm").alias("stamp"), F.lit(True).alias("stored"))
 
 
-def _dated(stg: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(due, base). ``due``: the due-date events (wo, o, d, s) with ``prev``, the one before. ``base``: stored and written rows
-    with ``next``, the first due-date event after them."""
+def _dated(stg: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(due, base, dated). ``due``: the due-date events (wo, o, d, s) with ``prev``, the one before. ``base``: stored and written rows
+    with ``next``, the first due-date event after them. ``dated``: the work orders with such events, each once."""
     ev = events.where(F.col("kind").isin("due", "staging")).select("wo", "seq", "kind", "task", *_ROW, _date_key("date").alias("s"))
     ev = ev.withColumn("o", _moment(F.col("seq"), F.col("kind"), F.col("task")))
     is_due = F.when(F.col("kind") == "due", F.struct("o", F.col("date").alias("d"), "s"))
-    ev = materialise(along(ev, ["wo"], ["seq", "kind", "task"], before={"prev": is_due}, after={"next": is_due}))
+    ev = settle(lambda: along(ev, ["wo"], ["seq", "kind", "task"], before={"prev": is_due}, after={"next": is_due}))
     due = ev.where(F.col("kind") == "due").select("wo", "o", F.col("date").alias("d"), "s", "prev")
-    first = due.groupBy(F.col("wo").alias("__w")).agg(F.min_by(F.struct("o", "d", "s"), "o").alias("next"))
-    old = _stored(stg)
-    old = old.join(first, old["wo"] == first["__w"], "left").drop("__w")
+    first = materialise(due.groupBy(F.col("wo").alias("__w")).agg(F.min_by(F.struct("o", "d", "s"), "o").alias("next")))
+    old = _looked_up(first, lambda rows: rows, _stored(stg))
     new = ev.where(F.col("kind") == "staging").select("wo", "task", "o", *_ROW, "s", F.lit(None).cast("timestamp").alias("stamp"), F.lit(False).alias("stored"), "next")
-    return due, materialise(old.unionByName(new))
+    return due, materialise(old.unionByName(new)), first.select("__w")
 
 
-def _firing_dates(due: DataFrame, base: DataFrame) -> DataFrame:
+def _looked_up(table: DataFrame, build: Callable[..., DataFrame], *parts: DataFrame) -> DataFrame:
+    """``build(*parts)`` with the columns of ``table``, which has one row for each of a few work orders ``__w``. All is grouped by work
+    order, so parts are split by it before, and only the rows of those few are shuffled for the look-up."""
+    split = [split_by_keys(p, "wo", table, "__w") for p in parts]
+    near, far = build(*[near for near, _ in split]), build(*[far for _, far in split])
+    values = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name != "__w"]
+    return near.join(table, near["wo"] == table["__w"], "left").drop("__w").unionByName(far.select("*", *values))
+
+
+def _firing_dates(due: DataFrame, base: DataFrame, dated: DataFrame) -> DataFrame:
     """The due-date events that change some row: of the value before, or one written since then."""
     # of a task's rows with the same next date, the last one meets it
     met = base.where(F.col("next").isNotNull()).groupBy("wo", "task", "next").agg(F.max_by("s", "o").alias("s"))
     met = met.where(F.col("s") != F.col("next.s")).select(F.col("wo").alias("__w"), F.col("next.o").alias("__o")).distinct()
-    born = base.groupBy(F.col("wo").alias("__b")).agg(F.min("o").alias("born"))
+    born = split_by_keys(base, "wo", dated, "__w")[0].groupBy(F.col("wo").alias("__b")).agg(F.min("o").alias("born"))
     j = due.join(met, (due["wo"] == met["__w"]) & (due["o"] == met["__o"]), "left").join(born, due["wo"] == born["__b"], "left")
     turned = (F.col("s") != F.col("prev.s")) & (F.col("born") < F.col("prev.o"))
     return j.where(F.col("__o").isNotNull() | F.coalesce(turned, F.lit(False))).select("wo", "o", "d", "s")
@@ -149,11 +159,14 @@ def _queue_after(queue: DataFrame, events: DataFrame, acks_too: Column, decided:
 
 def _tasks_after(decided: DataFrame, due: DataFrame, base: DataFrame, flags: DataFrame) -> DataFrame:
     """The staging rows of the work orders after all events."""
-    last = base.groupBy("wo", "task").agg(F.max_by(F.struct(*_ROW, "s", "o", "next"), "o").alias("b"), F.max(F.when(F.col("stored"), F.col("stamp"))).alias("stamp"))
+    def latest(base: DataFrame, flags: DataFrame) -> DataFrame:
+        last = base.groupBy("wo", "task").agg(F.max_by(F.struct(*_ROW, "s", "o", "next"), "o").alias("b"), F.max(F.when(F.col("stored"), F.col("stamp"))).alias("stamp"))
+        flag = flags.groupBy(F.col("wo").alias("__w"), F.col("task").alias("__t")).agg(F.max("o").alias("flagged"))
+        return last.join(flag, (last["wo"] == flag["__w"]) & (last["task"] == flag["__t"]), "left").drop("__w", "__t")
+
     turned = due.where(F.col("s") != F.col("prev.s")).groupBy("wo").agg(F.max_by(F.struct("o", "d", "s"), "o").alias("turn"))
-    flag = flags.groupBy(F.col("wo").alias("__w"), F.col("task").alias("__t")).agg(F.max("o").alias("flagged"))
-    j = _join(last, turned, decided.select("wo", "sent"))
-    j = j.join(flag, (j["wo"] == flag["__w"]) & (j["task"] == flag["__t"]), "left")
+    sent = decided.where(F.col("sent").isNotNull()).select("wo", "sent")
+    j = _looked_up(materialise(turned.join(sent, "wo", "full_outer").withColumnRenamed("wo", "__w")), latest, base, flags)
     following, turn = F.col("b.next"), F.col("turn")
     dated = F.when(turn["o"] > following["o"], turn["o"]).when(following["s"] != F.col("b.s"), following["o"])
     said = lambda at, status: F.when(at.isNotNull(), F.struct(at.alias("o"), status.cast("string").alias("status")))
@@ -166,11 +179,11 @@ def apply_events(stg: DataFrame, queue: DataFrame, events: DataFrame, is_ack: Co
     """(staging rows, queue rows) of the work orders in ``events`` (see ``rules.work_order_events``) after all of them, given their rows before.
     ``is_ack``: which queue events acknowledge (in terms of old_status and status)."""
     events = events.withColumnRenamed("new_status", "status")
-    due, base = _dated(stg, events)
-    flags = _flags(events, base)
+    due, base, dated = _dated(stg, events)
+    flags = materialise(_flags(events, base))
     value = F.struct(*_ROW, "s")
     null = F.lit(None).cast("string")
-    dates = _firing_dates(due, base).select("wo", "o", F.lit(False).alias("weak"), F.lit("due").alias("kind"), null.alias("task"), F.struct(
+    dates = _firing_dates(due, base, dated).select("wo", "o", F.lit(False).alias("weak"), F.lit("due").alias("kind"), null.alias("task"), F.struct(
         null.alias("title"), F.col("d").alias("date"), F.lit(None).cast("timestamp_ntz").alias("start"), F.lit(None).cast("long").alias("class"), null.alias("status"), "s").alias("v"))
     written = base.where(~F.col("stored") & F.col("status").isin("NEW", "UPDATED")).select("wo", "o", F.lit(False).alias("weak"), F.lit("staging").alias("kind"), "task", value.alias("v"))
     flagged = flags.select("wo", "o", "weak", F.lit("flag").alias("kind"), "task")

@@ -28,9 +28,9 @@ from ..functions.codes import null_safe_changed
 from ..functions.ids import canonical_uuid, is_valid_hex, raw_key
 from ..functions.text import nn, strip_html
 from ..operators.changes import changed_keys, first_per_key, last_per_key, previous_value
-from ..operators.joins import delete_by_keys, not_present, split_by_keys, split_rows
+from ..operators.joins import delete_by_keys, mark_keys, not_present, split_by_keys, split_rows
 from ..plans.inspections import unified_inspections
-from ..session import materialise
+from ..session import materialise, settle
 from . import effects
 from ..sources.lookups import Lookup
 from ..sources.schemas import CR_INSPECT_COLUMNS, WOT_STG1_SCHEMA, WOT_STG_SCHEMA
@@ -224,24 +224,35 @@ def collect_inspections(cr: DataFrame, hist_feed: DataFrame, src: dict[str, Data
                        .groupBy(F.col("history_oi").alias(key)).agg(F.min("seq").alias("__seq")))
     # the slice restricts every other table, so it is read many times: computed once
     hist = materialise(split_by_keys(src["epdrfacworkhistory"], key, keys, key)[0].join(keys, key, "inner"))
-    rows = to_cr_rows(unified_inspections(src, lookups, history=hist, carry=["__seq"]))
+    # The rows, too: what follows reads their ids only, and all rows but those of doubtful ids pass as they are, unshuffled.
+    rows = to_cr_rows(unified_inspections(src, lookups, history=hist, carry=["__seq"])).drop("__key")
+    cmp = "__raw_dr_uuid" if dedupe == "raw" else "inspectionid"
+    rows = materialise(clean_before_write(rows))
     # only the stored ids that the slice can compare with
-    hcmp = F.col("uuid") if dedupe == "raw" else canonical_uuid(F.col("uuid"))
-    ids = hist.select(hcmp.alias("__old_id")).where(F.col("__old_id").isNotNull()).dropDuplicates()
-    existing = cr.select(F.col("inspectionid").alias("__old_id")).join(ids, "__old_id", "left_semi").dropDuplicates()
-    cmp = F.col("__raw_dr_uuid") if dedupe == "raw" else F.col("inspectionid")
-    rows = rows.join(existing, cmp == existing["__old_id"], "left_anti")
+    ids = rows.select(F.col(cmp).alias("__old_id")).where(F.col("__old_id").isNotNull()).dropDuplicates()
+    stored = split_by_keys(cr.select(F.col("inspectionid").alias("__old_id")), "__old_id", rows, cmp)[0]
+    existing = materialise(stored.join(ids, "__old_id", "left_semi").dropDuplicates())
+    # Doubtful are ids that more than one key carries, and those of rows that are there already.
+    order = F.struct("__seq", "__key_txt")
+    known = rows.where(F.col("inspectionid").isNotNull())
+    twice = known.groupBy("inspectionid").agg(F.min(order).alias("__a"), F.max(order).alias("__b")).where(F.col("__a") != F.col("__b"))
+    there = known.join(existing, F.col(cmp) == existing["__old_id"], "left_semi")
+    doubtful = materialise(twice.select("inspectionid").unionByName(there.select("inspectionid")).distinct())
+    near, rest = split_by_keys(rows, "inspectionid", doubtful, "inspectionid")
+    near_too, far = split_by_keys(rest, cmp, existing, "__old_id")
+    near = near.unionByName(near_too)
+    near = near.join(existing, near[cmp] == existing["__old_id"], "left").where(F.col("__old_id").isNull())  # an anti join would be moved below the filter
     # Inside the batch an id is inserted by the first key (by sequence, then text) carrying it. A row can only meet another
     # row's id when its compared value equals its own canonical id, so the first key per canonical id decides it (null
     # ids never match anything). An aggregate joined back: a hot id is combined before the shuffle, at every size.
-    order = F.struct("__seq", "__key_txt")
-    first = (rows.where(F.col("inspectionid").isNotNull())
+    first = (near.where(F.col("inspectionid").isNotNull())
              .groupBy(F.col("inspectionid").alias("__iid")).agg(F.min(order).alias("__first")))
-    rows = rows.join(first, rows["inspectionid"] == first["__iid"], "left")
+    near = near.join(first, near["inspectionid"] == first["__iid"], "left")
     keep = F.col("__first").isNull() | (F.col("__first") == order)
     if dedupe == "raw":
         keep = keep | ~F.col("__raw_dr_uuid").eqNullSafe(F.col("inspectionid"))
-    return clean_before_write(rows.where(keep)).select(*CR_INSPECT_COLUMNS, "__seq")
+    out = [*CR_INSPECT_COLUMNS, "__seq"]
+    return far.select(*out).unionByName(near.where(keep).select(*out))
 
 
 # --------------------------------------------------------------------------- I7
@@ -390,7 +401,7 @@ def prepare(cr: DataFrame, feed: DataFrame, src: dict[str, DataFrame], lookups:
     Of the stored inspections only the ids are read."""
     task = F.when(F.col("source") == "staging", staged_task()).otherwise(F.col("task_uuid"))
     feed = materialise(feed.withColumn("task_uuid", task))
-    new_cr = materialise(collect_inspections(cr, feed_part(feed, "history", ["history_oi"]), src, lookups, dedupe))
+    new_cr = settle(lambda: collect_inspections(cr, feed_part(feed, "history", ["history_oi"]), src, lookups, dedupe))
     changed = feed_part(feed, "inspection", ["inspectionid", "project_sid", "work_order_uuid", "feed_status"])
     ids = ["project_sid", "work_order_uuid", "feed_status", "__seq"]
     flagged = new_cr.select(*ids).unionByName(changed.withColumnRenamed("seq", "__seq").select(*ids)).where(F.col("feed_status") == "NEW")
@@ -403,16 +414,21 @@ def apply_prepared(stg: DataFrame, queue: DataFrame, batch: dict[str, DataFrame]
     acknowledgements (I2, I3), written staging rows, re-flags (I7), due dates (I4), each followed by the enqueue rule (I1).
     ``stg`` and ``queue`` may be the rows of the touched work orders only; others pass through."""
     stg, queue, events, lost = stg.select(*STG_COLUMNS), queue.select(*QUEUE_COLUMNS), batch["events"], batch["lost"]
-    # Rows that lose their work order are few; the filter keeps all others from being shuffled.
+    # Rows that no event can touch pass through without a shuffle; the others are looked up once.
     written = materialise(lost.select(F.col("task_uuid").alias("__t")).distinct())
-    near, far = split_by_keys(stg, "task_uuid", written, "__t")
-    near = materialise(near)
-    hit = lambda how: near.join(written, near["task_uuid"] == written["__t"], how)
-    stg = far.unionByName(materialise(hit("left_anti").unionByName(write_staging(hit("left_semi"), lost))))
-    _, bad_queue = enqueue_work_orders(queue, _as_changed(lost))
     wos = materialise(events.select(F.col("wo").alias("__wo")).distinct())
-    # rows that no event can touch pass through without a shuffle
-    stg_in, stg_out, stg_far = split_rows(stg, "workorder_uuid", wos, "__wo")
+    marked = mark_keys(mark_keys(stg, "workorder_uuid", wos, "__wo", "__seen"), "task_uuid", written, "__t", "__lost")
+    touched = F.col("__seen") | F.col("__lost")
+    stg_far = marked.where(~touched).select(*STG_COLUMNS)
+    near = marked.where(touched)
+    near = materialise(near.join(wos, near["workorder_uuid"] == wos["__wo"], "left").select(*STG_COLUMNS, "__lost", F.col("__wo").isNotNull().alias("__in")))
+    # Rows that lose their work order are few.
+    kept, few = near.where(~F.col("__lost")).drop("__lost"), near.where("__lost").drop("__lost")
+    hit = lambda how: few.join(written, few["task_uuid"] == written["__t"], how)
+    few = materialise(hit("left_anti").unionByName(write_staging(hit("left_semi"), lost).withColumn("__in", F.lit(False))))
+    part = lambda which: kept.unionByName(few).where(which).select(*STG_COLUMNS)
+    stg_in, stg_out = part(F.col("__in")), part(~F.col("__in"))
+    _, bad_queue = enqueue_work_orders(queue, _as_changed(lost))
     queue_in, queue_out, queue_far = split_rows(queue, "task_uuid", wos, "__wo")
     new_stg, new_queue = effects.apply_events(stg_in, queue_in, events, is_sent_transition(F.col("old_status"), F.col("status")))
     # near: rows that may have changed, far: all others, as they were
