@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import time
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from culvert.session import checkpoint_dir, materialise, scratch, settle
 from culvert.sources.lookups import all_lookups
 from culvert.sources.schemas import CR_INSPECT_SCHEMA, FEED_SCHEMA, SOURCE_SCHEMAS, WOT_STG1_SCHEMA, WOT_STG_SCHEMA
 from culvert.streaming import rules as R
+from culvert.streaming import state as S
+from culvert.streaming.sync import init_state, make_batch_fn, read_state
 
 
 def shuffles(spark):
@@ -81,6 +84,16 @@ def test_a_materialised_table_leaves_no_shuffle_and_scratch_no_table(spark):
     assert made(spark) - tables == set()
 
 
+def test_a_batch_leaves_only_its_parts_of_the_state(spark, state, feed):
+    folder = os.path.join(checkpoint_dir(spark), f"t-{uuid.uuid4().hex}")
+    files, tables = shuffles(spark), made(spark)
+    init_state(folder, state)
+    make_batch_fn(folder, view_sources(spark, [h(7)]), all_lookups(spark), query="q")(feed, 0)
+    assert made(spark) - tables == set()
+    assert gone(lambda: shuffles(spark), files) == set()
+    assert read_state(spark, folder)["cr"].count() == 1
+
+
 def test_a_cascade_leaves_no_shuffles_behind(spark, state, feed):
     files = shuffles(spark)
     out = R.run_cascade(state, feed, view_sources(spark, [h(7)]), all_lookups(spark))
@@ -107,3 +120,13 @@ def test_ids_that_repeat_or_are_stored(spark, dedupe):
             want.append((i, canonical[u]))
             seen |= {canonical[u]} - {None}
     assert sorted((r["__seq"], r["inspectionid"]) for r in got.collect()) == sorted(want)
+
+
+def test_ids_of_a_bucket_are_written_as_they_were(spark):
+    folder = os.path.join(checkpoint_dir(spark), f"t-{uuid.uuid4().hex}")
+    rows = [{"task_uuid": u, "workorder_uuid": w} for u, w in ((h(0xabc), h(1).upper()), ("plain", None), (None, "x-y"), (None, None), ("", h(2)))]
+    df = frame(spark, WOT_STG_SCHEMA, rows)
+    note = {"buckets": 4, "stg": {}}
+    with scratch(spark):
+        note["stg"] = S.write_buckets(df, folder, "stg", 0, note, set(range(4)))
+    assert sorted(map(str, S.read(spark, folder, note, "stg").collect())) == sorted(map(str, df.collect()))
