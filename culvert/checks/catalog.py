@@ -70,8 +70,8 @@ class Ctx:
             self._feed = FX.derive_feed(self.spark, self.sf)
         return self._feed
 
-    def unified(self) -> DataFrame:
-        return unified_inspections(self.src, self.lk)
+    def unified(self, stored: bool = False) -> DataFrame:
+        return unified_inspections(self.src, self.lk, stored=stored)
 
     def part(self, source: str, cols: list[str]) -> DataFrame:
         return R.feed_part(self.feed, source, cols)
@@ -367,7 +367,7 @@ def previous_value_q(c: Ctx):
 
 @_q
 def unified_q(c: Ctx):
-    return c.unified()
+    return c.unified(stored=True)
 
 
 # ------------------------------------------------------------------ H: scalar functions

@@ -25,7 +25,7 @@ if __package__ in (None, ""):
 
 from culvert.plans.inspections import unified_inspections  # noqa: E402
 from culvert.plans.outbound import register_views  # noqa: E402
-from culvert.session import checkpoint_dir, cluster_spark  # noqa: E402
+from culvert.session import checkpoint_dir, cluster_spark, scratch  # noqa: E402
 from culvert.sources import io  # noqa: E402
 from culvert.sources.lookups import all_lookups  # noqa: E402
 from culvert.streaming.sync import init_state, read_outbound, read_state, send_outbound, stream_sync  # noqa: E402
@@ -41,7 +41,8 @@ def publish_views(spark: SparkSession, src_dir: str, state_dir: str | None = Non
 
 def write_views(spark: SparkSession, src_dir: str, out_dir: str, state_dir: str | None = None) -> None:
     src = io.load_sources(spark, src_dir)
-    unified_inspections(src, all_lookups(spark)).write.mode("overwrite").parquet(os.path.join(out_dir, "inspections"))
+    with scratch(spark):
+        unified_inspections(src, all_lookups(spark), stored=True).write.mode("overwrite").parquet(os.path.join(out_dir, "inspections"))
     if state_dir:
         read_outbound(spark, state_dir)[0].write.mode("overwrite").parquet(os.path.join(out_dir, "cr_inspect_to_send"))
 

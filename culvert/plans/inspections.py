@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import split_rows
+from ..session import materialise
 from ..sources.lookups import Lookup
 from ..sources.schemas import LAYOUT_COLUMNS
-from .spine import facility_dim, facility_rest, history_rows, join_tasks, published, task_rows, unpack_ids
+from .spine import facility_dim, facility_rest, history_rows, join_tasks, published, stored_tasks, task_rows, unpack_ids
 
 
 #: Columns that get their published width and type here; the others have it from their dimension, before the joins.
@@ -51,12 +52,14 @@ def _restrict(src: dict[str, DataFrame], h: DataFrame) -> dict[str, DataFrame]:
 
 
 def unified_inspections(src: dict[str, DataFrame], lookups: dict[str, Lookup],
-                        history: DataFrame | None = None, carry: list[str] | None = None) -> DataFrame:
+                        history: DataFrame | None = None, carry: list[str] | None = None, stored: bool = False) -> DataFrame:
     """The unified view.
 
     ``history`` restricts the work-history rows (e.g. to the keys a change feed inserted); the restriction is applied
     before any join and cuts the task and facility sides down to what the slice reaches. ``carry`` names extra columns
-    of ``history`` passed through to the output (after the 45 layout columns).
+    of ``history`` passed through to the output (after the 45 layout columns). ``stored`` is for the whole view, all columns: the tasks
+    and the histories with their facilities are stored before the join of the two, so that the shuffles they took are gone by then.
+    Without it nothing is run here, and a query on the view reads only the columns it needs.
     """
     carry = carry or []
     if history is not None:
@@ -65,6 +68,11 @@ def unified_inspections(src: dict[str, DataFrame], lookups: dict[str, Lookup],
     else:
         h = history_rows(src, carry)
     fac = facility_dim(src, lookups)
+    if stored and history is None:
+        tasks = stored_tasks(src)
+        j = materialise(h.join(fac, h["epdrfacility_oi"] == fac["__fac_key"], "inner").drop("__fac_key"))
+        j = facility_rest(j.join(tasks, j["wotask_oi"] == tasks["__task_key"], "inner"))
+        return to_layout(unpack_ids(j, ["dr_uuid"]), carry)
     j = h.join(fac, h["epdrfacility_oi"] == fac["__fac_key"], "inner")
     if history is not None:     # the few tasks of a slice: read once
         tasks = task_rows(src)

@@ -27,6 +27,7 @@ from ..functions import ids as I
 from ..functions.text import clean_longdesc, fit
 from ..operators import classify as K
 from ..operators.joins import code_join, left_join_spread_nulls, match_salt, null_salt
+from ..session import materialise, settle
 from ..sources.lookups import Lookup
 from ..sources.schemas import LAYOUT
 
@@ -190,14 +191,33 @@ def join_tasks(df: DataFrame, src: dict[str, DataFrame], key: str, between: Call
     The keys pass as distinct triples and meet the texts on the whole triple, so tasks, assets and work orders that repeat
     give the rows of the plain joins. All three sides are dealt by the task key alone: the rest of the triple is written so
     that it is no join key, which would deal the wide rows once more."""
+    texts, links = _texts_and_links(src)
+    j = between(df.join(texts, F.col(key) == F.col("__task_key")))
+    kept = [c for c in j.columns if c not in texts.columns]
+    return _task_columns(j.join(links, _same_task(links)), *kept)
+
+
+def _texts_and_links(src: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Tasks as they are shuffled, and their distinct keys with what asset and work order bring."""
     texts = _task_texts(src).where(F.col("__task_key").isNotNull())
     links = _with_links(texts.select("__task_key", "workorder_oi", "asset_oi").distinct(), src)
-    links = links.withColumnsRenamed({"__task_key": "__l_key", "workorder_oi": "__l_wo", "asset_oi": "__l_asset"})
+    return texts, links.withColumnsRenamed({"__task_key": "__l_key", "workorder_oi": "__l_wo", "asset_oi": "__l_asset"})
+
+
+def _same_task(links: DataFrame) -> Column:
     same = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.col(a).isNull() & F.col(b).isNull())
-    j = between(df.join(texts, F.col(key) == F.col("__task_key")))
-    kept = [c for c in j.columns if c not in texts.columns]
-    j = j.join(links, (F.col("__task_key") == F.col("__l_key")) & same("workorder_oi", "__l_wo") & same("asset_oi", "__l_asset"))
-    return _task_columns(j, *kept)
+    return (F.col("__task_key") == links["__l_key"]) & same("workorder_oi", "__l_wo") & same("asset_oi", "__l_asset")
+
+
+def stored_tasks(src: dict[str, DataFrame]) -> DataFrame:
+    """``task_dim`` as a stored table in buckets of the task key, for all tasks with one (see ``join_tasks`` for the way of their keys)."""
+    texts, links = _texts_and_links(src)
+
+    def rows() -> DataFrame:
+        link = materialise(links)
+        return unpack_ids(_task_columns(texts.join(link, _same_task(link)), "__task_key"), ["work_order_task_uuid", "work_order_uuid"])
+
+    return settle(rows, "__task_key")
 
 
 def task_dim(src: dict[str, DataFrame]) -> DataFrame:

@@ -104,21 +104,32 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, by: str | None = None) -> DataFrame:
     """Computed once, as a compressed table in the shared checkpoint folder; the shuffles it took are deleted. The table stays
-    until the end of the ``scratch`` or ``settle`` around it; without one, as long as that folder."""
+    until the end of the ``scratch`` or ``settle`` around it; without one, as long as that folder. With ``by`` the rows lie
+    in buckets of that column, as many as a shuffle has partitions, so that a join on it does not shuffle them again."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"made-{uuid.uuid4().hex}")
+    name = f"made-{uuid.uuid4().hex}"
+    path = os.path.join(checkpoint_dir(spark), name)
     made = _MADE.get()
     if made is not None:
         made.append(path)
     with tidy(spark):
-        df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        if by is None:
+            df.write.option("compression", "zstd").parquet(path)
+            return spark.read.schema(df.schema).parquet(path)
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, by).saveAsTable(_table(path))
+        return spark.table(_table(path))
+
+
+def _table(path: str) -> str:
+    return os.path.basename(path).replace("-", "_")
 
 
 def _delete(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
+        spark.sql(f"DROP TABLE IF EXISTS {_table(path)}")
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -136,14 +147,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         _delete(spark, made)
 
 
-def settle(build: Callable[[], DataFrame]) -> DataFrame:
-    """``build()`` materialised; the tables materialised on the way to it are deleted."""
+def settle(build: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
+    """``build()`` materialised (in buckets of ``by``); the tables materialised on the way to it are deleted."""
     made: list[str] = []
     outer = _MADE.set(made)
     try:
         df = build()
     finally:
         _MADE.reset(outer)
-    out = materialise(df)
+    out = materialise(df, by)
     _delete(df.sparkSession, made)
     return out

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from culvert.functions.ids import canonical_uuid
+from culvert.plans.inspections import unified_inspections
 from culvert.session import checkpoint_dir, materialise, scratch, settle
 from culvert.sources.lookups import all_lookups
 from culvert.sources.schemas import CR_INSPECT_SCHEMA, FEED_SCHEMA, SOURCE_SCHEMAS, WOT_STG1_SCHEMA, WOT_STG_SCHEMA
@@ -130,3 +131,33 @@ def test_ids_of_a_bucket_are_written_as_they_were(spark):
     with scratch(spark):
         note["stg"] = S.write_buckets(df, folder, "stg", 0, note, set(range(4)))
     assert sorted(map(str, S.read(spark, folder, note, "stg").collect())) == sorted(map(str, df.collect()))
+
+
+def test_the_stored_view_has_the_rows_of_the_view_and_one_shuffle(spark):
+    src, lk = view_sources(spark, []), all_lookups(spark)
+    tasks = [(1, 1, 1, h(1)), (1, 1, 1, h(1)), (1, 2, None, "odd id"), (2, None, 1, None), (3, 9, 9, h(3).upper()), (None, 1, 1, h(4)), (4, 2, 2, "")]
+    history = [(i, t, f, u) for i, (t, f, u) in enumerate([(1, 1, h(11)), (1, 1, h(11)), (2, 1, "x"), (3, 2, None), (None, 1, h(12)), (4, None, h(13)), (4, 2, h(14)), (7, 1, h(15)), (1, 5, h(16))])]
+    src["workordertask"] = frame(spark, SOURCE_SCHEMAS["workordertask"], [
+        {"workordertaskoi": t, "workorder_oi": w, "asset_oi": a, "tasknumber": t, "uuid": u, "wotasktitle": f"t{t}", "longdescript": "<p>x</p>"} for t, w, a, u in tasks])
+    src["workorders"] = frame(spark, SOURCE_SCHEMAS["workorders"], [{"workordersoi": w, "wonumber": n, "uuid": u} for w, n, u in [(1, "W1", h(21)), (2, "W2", "odd"), (2, "W3", None), (None, "W", h(22))]])
+    src["asset"] = frame(spark, SOURCE_SCHEMAS["asset"], [{"assetoi": a, "assetnumber": n} for a, n in [(1, "A1"), (1, "A1"), (2, None), (None, "A")]])
+    src["epdrdrainfacility"] = frame(spark, SOURCE_SCHEMAS["epdrdrainfacility"], [
+        {"epdrdrainagefacilityoi": f, "facilityid": i, "facilitytype": k, "epdrunknownf_oi": n} for f, i, k, n in [(1, "MH1", 1, None), (2, "SC-1-2", 10, 1), (2, "CB1", 2, None), (5, "X", 9, None)]])
+    src["epdrunknfac"] = frame(spark, SOURCE_SCHEMAS["epdrunknfac"], [{"epdrunknownfacilityoi": 1, "unknfactype": 6}])
+    src["epdrfacworkhistory"] = frame(spark, SOURCE_SCHEMAS["epdrfacworkhistory"], [
+        {"epdrfacilityworkhistoryoi": i, "wotask_oi": t, "epdrfacility_oi": f, "uuid": u} for i, t, f, u in history])
+    rows = lambda df: sorted(map(str, df.collect()))
+    want = rows(unified_inspections(src, lk))
+    tables, known = made(spark), {t.name for t in spark.catalog.listTables()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            with scratch(spark):
+                got = unified_inspections(src, lk, stored=True)
+                assert rows(got) == want and len(want) > 10
+            if limit == "-1":   # no table is broadcast, and only the histories are still to be shuffled
+                assert got._jdf.queryExecution().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert made(spark) == tables and {t.name for t in spark.catalog.listTables()} == known
